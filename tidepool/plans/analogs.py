@@ -138,3 +138,81 @@ def a13(t: Tables) -> DataFrame:
 def a14(t: Tables) -> DataFrame:
     """Country edges touching NATION_12."""
     return net.ego_network(net.cooccurrence(fx.authorships(t), "country_code", "id"), "NATION_12")
+
+
+# ---- web text and dictionaries ----------------------------------------------
+
+def _hits_a(t: Tables) -> DataFrame:
+    from tidepool.operators import terms
+    return terms.term_hits(fx.tokens(t), fx.dict_a(t))
+
+
+@query("a15_unigrams")
+def a15(t: Tables) -> DataFrame:
+    """Unigram occurrences and pages over all web pages (stop words removed)."""
+    from tidepool.operators import text
+    grams = text.unigrams(fx.web(t), "text", keep=["page_id"], stop_words=fx.WEB_STOP_WORDS)
+    return text.ngram_counts(grams)
+
+
+@query("a16_bigrams")
+def a16(t: Tables) -> DataFrame:
+    """Bigram occurrences and pages over all web pages (no stop list)."""
+    from tidepool.operators import text
+    return text.ngram_counts(text.ngrams(fx.web(t), 2, "text", keep=["page_id"]))
+
+
+@query("a17_host_counts")
+def a17(t: Tables) -> DataFrame:
+    """Distinct pages per host."""
+    from tidepool.operators import text
+    return text.host_counts(fx.web(t))
+
+
+@query("a18_dedupe_sentences")
+def a18(t: Tables) -> DataFrame:
+    """Sentences, distinct within each document."""
+    from tidepool.operators import text
+    return text.dedupe_sentences(text.sentences(t.documents, "text", "doc_id"))
+
+
+@query("a19_term_counts")
+def a19(t: Tables) -> DataFrame:
+    """Dictionary terms: pages and occurrences."""
+    from tidepool.operators import terms
+    return terms.term_counts(_hits_a(t), ["term", "label"])
+
+
+@query("a20_label_counts")
+def a20(t: Tables) -> DataFrame:
+    """Terms, pages and occurrences per dictionary label."""
+    from tidepool.operators import terms
+    return terms.label_counts(_hits_a(t))
+
+
+@query("a21_merged_term_counts")
+def a21(t: Tables) -> DataFrame:
+    """A19 with trailing '.'/',' variants merged onto one term."""
+    from tidepool.operators import terms
+    return terms.term_counts(terms.merge_variants(_hits_a(t)), "term")
+
+
+@query("a22_cooccurring_documents")
+def a22(t: Tables) -> DataFrame:
+    """Documents hitting both dictionaries."""
+    from tidepool.operators import terms
+    return terms.cooccurring_docs(fx.dtok(t), fx.dict_a(t), fx.dict_b(t))
+
+
+@query("a23_funnel")
+def a23(t: Tables) -> DataFrame:
+    """Funnel: documents -> with dictionary A -> with A and B."""
+    from tidepool.operators import terms
+    return terms.funnel(fx.dtok(t), fx.dict_a(t), fx.dict_b(t))
+
+
+@query("a24_term_density")
+def a24(t: Tables) -> DataFrame:
+    """Dictionary hits per token, by document."""
+    from tidepool.operators import terms
+    return terms.term_density(fx.dtok(t), fx.dict_a(t))
