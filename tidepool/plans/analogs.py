@@ -216,3 +216,220 @@ def a24(t: Tables) -> DataFrame:
     """Dictionary hits per token, by document."""
     from tidepool.operators import terms
     return terms.term_density(fx.dtok(t), fx.dict_a(t))
+
+
+# ---- scoring, shares, quality, trends ----------------------------------------
+
+# Analog criteria weights (the reference's weights are not published).
+CRITERIA_WEIGHTS = {"c_lang": 1, "c_long": 2, "c_src": 3, "c_quality": 2, "c_toxic": 1}
+
+
+def _scored(t: Tables) -> DataFrame:
+    from tidepool.operators.score import weighted_score
+    return weighted_score(fx.criteria(t), CRITERIA_WEIGHTS, keep=("doc_id",))
+
+
+@query("a25_weighted_score")
+def a25(t: Tables) -> DataFrame:
+    """Weighted criteria total per document."""
+    return _scored(t)
+
+
+@query("a26_level_distribution")
+def a26(t: Tables) -> DataFrame:
+    """Documents per score level, cumulative from the top, plus a total row."""
+    from tidepool.operators.score import level_distribution
+    return level_distribution(_scored(t), "total")
+
+
+@query("a27_membership_share")
+def a27(t: Tables) -> DataFrame:
+    """Region share of distinct works (multi-membership)."""
+    from tidepool.operators.rank import membership_share
+    return membership_share(fx.authorships(t), "region", "id")
+
+
+@query("a28_region_rollup")
+def a28(t: Tables) -> DataFrame:
+    """Distinct works by region, by region and country, and in total."""
+    from tidepool.operators.rank import region_rollup
+    return region_rollup(fx.authorships(t), ["region", "country_code"], "id")
+
+
+@query("a29_field_coverage")
+def a29(t: Tables) -> DataFrame:
+    """Share of documents with a label, per source."""
+    from tidepool.operators.quality import field_coverage
+    return field_coverage(t.documents.select("doc_id", "source"), t.labels, "doc_id", "source")
+
+
+@query("a30_match_report")
+def a30(t: Tables) -> DataFrame:
+    """Documents matched / unmatched in the labels, per language."""
+    from tidepool.operators.quality import match_report
+    return match_report(t.documents.select("doc_id", "lang"), t.labels, "doc_id", "lang")
+
+
+@query("a31_year_trend")
+def a31(t: Tables) -> DataFrame:
+    """Orders per year, split by status."""
+    from tidepool.operators.rank import year_trend
+    return year_trend(t.orders, "o_orderdate", split="o_orderstatus", split_as="status")
+
+
+@query("a32_top_k")
+def a32(t: Tables) -> DataFrame:
+    """Ten most frequent part names (ties by name)."""
+    from tidepool.operators.rank import top_k
+    return top_k(t.part, "p_name", 10)
+
+
+# ---- taxa ----------------------------------------------------------------------
+
+def _taxa(t: Tables) -> DataFrame:
+    from tidepool.operators.taxa import classify_taxa
+    return classify_taxa(fx.occurrences(t))
+
+
+@query("a33_classify_taxa")
+def a33(t: Tables) -> DataFrame:
+    """Per taxon: marine only, ABNJ, ABNJ only, occurrences."""
+    return _taxa(t)
+
+
+@query("a34_habitat_crosstab")
+def a34(t: Tables) -> DataFrame:
+    """Taxon classes counted per part type."""
+    from tidepool.operators.taxa import habitat_crosstab
+    tx_ = _taxa(t)
+    p = t.part.select("p_partkey", "p_type")
+    return habitat_crosstab(tx_.join(p, tx_.taxon == p.p_partkey), "p_type")
+
+
+@query("a35_extract_binomial")
+def a35(t: Tables) -> DataFrame:
+    """First and second word of part names, with counts."""
+    from tidepool.operators.taxa import extract_binomial
+    from tidepool.operators.rank import frequency
+    return frequency(extract_binomial(t.part, "p_name"), ["genus", "epithet"])
+
+
+# ---- patents ---------------------------------------------------------------------
+
+@query("a36_first_filings")
+def a36(t: Tables) -> DataFrame:
+    """Families by first-filing year."""
+    from tidepool.operators.patents import first_filings
+    return first_filings(fx.patents(t))
+
+
+@query("a37_family_members")
+def a37(t: Tables) -> DataFrame:
+    """Publications by publication year and country."""
+    from tidepool.operators.patents import family_members
+    return family_members(fx.patents(t))
+
+
+@query("a38_three_way_counts")
+def a38(t: Tables) -> DataFrame:
+    """Families, applications, publications per country."""
+    from tidepool.operators.patents import three_way_counts
+    return three_way_counts(fx.patents(t))
+
+
+@query("a39_claims_vs_text")
+def a39(t: Tables) -> DataFrame:
+    """Publications in claims (section F) vs anywhere; HOUSEHOLD applicants excluded."""
+    from tidepool.operators.patents import claims_vs_text
+    return claims_vs_text(fx.patents(t), claims="F", exclude_col="applicant_kind",
+                          exclude=["HOUSEHOLD"])
+
+
+# ---- places ----------------------------------------------------------------------
+
+@query("a40_classify_points")
+def a40(t: Tables) -> DataFrame:
+    """Points inside (EEZ) or outside (ABNJ) the polygon."""
+    from tidepool.operators.places import classify_points
+    return classify_points(fx.points(t), fx.poly(t))
+
+
+@query("a41_centroid")
+def a41(t: Tables) -> DataFrame:
+    """Polygon area and centroid."""
+    from tidepool.operators.places import centroid
+    return centroid(fx.poly(t))
+
+
+# ---- corpus ----------------------------------------------------------------------
+
+@query("a42_citation_expand")
+def a42(t: Tables) -> DataFrame:
+    """Seeds (citing id < 20) plus their references and the works citing them."""
+    from tidepool.operators.corpus import citation_expand
+    c = fx.cites(t)
+    seeds = c.where(F.col("citing") < 20).select(F.col("citing").alias("work"))
+    return citation_expand(c, seeds)
+
+
+@query("a43_citations_received")
+def a43(t: Tables) -> DataFrame:
+    """Incoming citations per work."""
+    from tidepool.operators.corpus import citations_received
+    return citations_received(fx.cites(t))
+
+
+@query("a44_compare_corpora")
+def a44(t: Tables) -> DataFrame:
+    """Vocabulary of English vs German documents: both, only one."""
+    from tidepool.operators.corpus import compare_corpora
+    d = fx.dtok(t).join(t.documents.select("doc_id", "lang").where(F.col("lang").isin("en", "de")),
+                        "doc_id")
+    return compare_corpora(d.where(F.col("lang") == "en"), d.where(F.col("lang") == "de"), "w",
+                           names=("en", "de"))
+
+
+# ---- listings --------------------------------------------------------------------
+
+# Analog listing stop words.
+LISTING_STOP_WORDS = ("widget", "anvil")
+
+
+@query("a45_filter_listings")
+def a45(t: Tables) -> DataFrame:
+    """Listing cascade counts: stop words, distinct, any word, full phrase."""
+    from tidepool.operators.listings import filter_listings
+    return filter_listings(fx.listings(t), LISTING_STOP_WORDS)
+
+
+@query("a46_applicant_domain_hits")
+def a46(t: Tables) -> DataFrame:
+    """Pages per (host, term) on hosts with at least 3 pages."""
+    from tidepool.operators.listings import applicant_domain_hits
+    return applicant_domain_hits(fx.tokens(t), fx.dict_a(t), pages=fx.web(t), min_pages=3)
+
+
+# ---- cleaning and ranking helpers ---------------------------------------------
+
+@query("a47_fill_down")
+def a47(t: Tables) -> DataFrame:
+    """Labels filled down per user in event order."""
+    from tidepool.operators.clean import fill_down
+    return fill_down(fx.seq(t), "label", "user_id", "event_id").select("event_id", "user_id", "label")
+
+
+@query("a48_sum_numeric")
+def a48(t: Tables) -> DataFrame:
+    """Every numeric part column summed per brand."""
+    from tidepool.operators.rank import sum_numeric
+    return sum_numeric(t.part.select("p_brand", "p_partkey", "p_size", "p_retailprice"), "p_brand")
+
+
+@query("a49_exclude_terms")
+def a49(t: Tables) -> DataFrame:
+    """A15 without the three hosts with most pages."""
+    from tidepool.operators import text
+    from tidepool.operators.clean import exclude_terms
+    top = text.host_counts(fx.web(t)).orderBy(F.col("pages").desc(), F.col("host")).limit(3)
+    toks = exclude_terms(fx.tokens(t), "host", top, stop_col="host")
+    return text.ngram_counts(toks.withColumnRenamed("w", "ngram"))

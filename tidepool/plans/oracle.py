@@ -337,8 +337,10 @@ ORACLE.update({
         "SELECT taxon, marine_only, abnj, abnj_only, occurrences FROM taxa",
         "occurrences", extra=_TAXA),
     "a34_habitat_crosstab": _q(
-        """SELECT p.p_type, count(*) AS taxa, count_if(t.marine_only) AS marine_only,
-                  count_if(t.abnj) AS abnj, count_if(t.abnj_only) AS abnj_only
+        """SELECT p.p_type, count(*) AS taxa,
+                  CAST(count_if(t.marine_only) AS BIGINT) AS marine_only,
+                  CAST(count_if(t.abnj) AS BIGINT) AS abnj,
+                  CAST(count_if(t.abnj_only) AS BIGINT) AS abnj_only
            FROM taxa t JOIN part p ON t.taxon = p.p_partkey GROUP BY p.p_type""",
         "occurrences", extra=_TAXA),
     "a35_extract_binomial": _q(

@@ -44,6 +44,22 @@ def table_digest(columns: list[str], rows: Iterable[tuple]) -> tuple[int, str]:
     return len(lines), h
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+                  "timestamp_ntz": "TIMESTAMP", "date": "DATE", "tinyint": "TINYINT"}
+
+
+def type_mismatches(spark_dtypes: list[tuple[str, str]], duck_desc) -> list[str]:
+    duck = {d[0]: str(d[1]) for d in duck_desc}
+    bad = []
+    for name, t in spark_dtypes:
+        want = _SPARK_TO_DUCK.get(t, t.upper())
+        got = duck.get(name)
+        if got is not None and got != want:
+            bad.append(f"{name}: spark {t} vs duckdb {got}")
+    return bad
+
+
 def compare(spark, sf_dir: str, names: Iterable[str] | None = None) -> dict[str, dict]:
     from tidepool.plans.analogs import QUERIES
     from tidepool.plans.oracle import ORACLE
@@ -62,9 +78,10 @@ def compare(spark, sf_dir: str, names: Iterable[str] | None = None) -> dict[str,
             o_rows = cur.fetchall()
             sn, sh = table_digest(s_cols, s_rows)
             on, oh = table_digest(o_cols, o_rows)
-            res = {"rows": sn, "oracle_rows": on, "columns_match": sorted(s_cols) == sorted(o_cols),
+            res = {"types": type_mismatches(df.dtypes, cur.description), "rows": sn, "oracle_rows": on, "columns_match": sorted(s_cols) == sorted(o_cols),
                    "hash_match": sh == oh, "spark_cols": s_cols, "oracle_cols": o_cols}
-            res["ok"] = res["columns_match"] and res["hash_match"] and sn == on
+            res["ok"] = (res["columns_match"] and res["hash_match"] and sn == on
+                         and not res["types"])
         except Exception as e:  # report, keep going
             res = {"ok": False, "error": f"{type(e).__name__}: {str(e)[:500]}"}
         out[name] = res
