@@ -86,3 +86,13 @@ def compare(spark, sf_dir: str, names: Iterable[str] | None = None) -> dict[str,
             res = {"ok": False, "error": f"{type(e).__name__}: {str(e)[:500]}"}
         out[name] = res
     return out
+
+
+def plan_text(df, mode: str = "formatted") -> str:
+    """The physical plan as ``explain`` prints it."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
