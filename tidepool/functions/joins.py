@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +17,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     more than it needs to; beyond the bound the join stays a shuffle join and
     AQE chooses the strategy from runtime sizes.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    # Persisted first so the rows counted are the rows broadcast (computed
+    # once); lost cache blocks are recomputed from lineage, unlike
+    # localCheckpoint. Released again when the side turns out too large.
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def literal_table(spark, rows, schema) -> DataFrame:

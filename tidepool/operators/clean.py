@@ -17,10 +17,14 @@ def disambiguate_names(df: DataFrame, name: str, qualifier: str) -> DataFrame:
     E.g. an institution name used in two countries becomes two names. The
     ambiguous names are found with a grouped distinct count and joined back
     (not a per-name window, which would put a very common name in one task).
+    The distinct count de-duplicates (name, qualifier) map-side first.
     """
     ambiguous = (df.groupBy(F.col(name).alias("_amb"))
                  .agg(F.countDistinct(qualifier).alias("_k"))
                  .where(F.col("_k") > 1).select("_amb", F.lit(True).alias("_is_amb")))
+    # One row per ambiguous name: broadcast when the checked count allows, so
+    # the (large, name-skewed) input is not shuffled by name at all.
+    ambiguous = bounded_broadcast(ambiguous)
     joined = df.join(ambiguous, df[name] == ambiguous["_amb"], "left")
     renamed = F.when(F.col("_is_amb"),
                      F.concat(F.col(name), F.lit(" ("), F.col(qualifier), F.lit(")"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.joins import bounded_broadcast
 from tidepool.functions.scalars import rescale_column, unordered_pair
+from tidepool.session import materialize
 
 
 def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = False,
@@ -95,8 +96,10 @@ def graph_nodes(entities: DataFrame, name: str, category: str, value: str,
     ``threshold`` is a number (keep value >= threshold) or ``"median"`` (exact
     median of ``value`` over all entities, as one scalar subquery).
     """
-    ents = entities.select(F.col(name).alias("name"), F.col(category).alias("category"),
-                           F.col(value).alias("value"))
+    # One row per entity, read by the median, the min/max and the result:
+    # written once to the checkpoint folder instead of recomputed three times.
+    ents = materialize(entities.select(F.col(name).alias("name"), F.col(category).alias("category"),
+                                       F.col(value).alias("value")))
     if threshold == "median":
         cut = ents.select(F.percentile("value", 0.5)).scalar()
     else:

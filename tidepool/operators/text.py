@@ -56,7 +56,10 @@ def ngrams(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ("ur
     toks = tx.tokenize(text, pattern=pattern, drop_empty=True)
     if stop_words:
         toks = tx.remove_stop_words(toks, stop_words)
-    return df.select(*keep, F.explode(tx.ngram_array(toks, n)).alias(out))
+    # Tokens become a column first: the n-gram lambda then slices a ready
+    # array instead of re-splitting the text once per position.
+    staged = df.select(*keep, toks.alias("_toks"))
+    return staged.select(*keep, F.explode(tx.ngram_array("_toks", n)).alias(out))
 
 
 def ngram_counts(grams: DataFrame, ngram: str = "ngram", doc: str = "page_id") -> DataFrame:
