@@ -25,6 +25,13 @@ def top_k(df: DataFrame, col: str | Sequence[str], k: int, out: str = "n") -> Da
     return frequency(df, cols, out).orderBy(F.col(out).desc(), *[F.col(c).asc() for c in cols]).limit(k)
 
 
+def outcome_share(df: DataFrame, flag: str, out: str = "share") -> DataFrame:
+    """Rows per outcome value and its share of all rows (denominator as a scalar subquery)."""
+    total = df.select(F.count(F.lit(1))).scalar()
+    per = df.groupBy(flag).agg(F.count(F.lit(1)).alias("n"))
+    return per.withColumn(out, F.round(F.col("n") / total, 6))
+
+
 def membership_share(df: DataFrame, group: str, id_col: str, out: str = "share") -> DataFrame:
     """Distinct ids per group over distinct ids with any group.
 

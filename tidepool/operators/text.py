@@ -15,7 +15,23 @@ from tidepool.functions import text as tx
 
 
 def english_stop_words() -> list[str]:
-    """Spark ML's default English stop list (the reference's remover default)."""
+    """Spark ML's default English stop list (the reference's remover default).
+
+    Read from the MLlib jar that ships with PySpark (no JVM needed, so the
+    DuckDB oracle can use the very same list); falls back to the JVM loader.
+    """
+    import glob
+    import os
+    import zipfile
+
+    import pyspark
+    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+    for jar in jars:
+        with zipfile.ZipFile(jar) as z:
+            try:
+                return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
+            except KeyError:
+                continue
     from pyspark.ml.feature import StopWordsRemover
     return list(StopWordsRemover.loadDefaultStopWords("english"))
 

@@ -433,3 +433,90 @@ def a49(t: Tables) -> DataFrame:
     top = text.host_counts(fx.web(t)).orderBy(F.col("pages").desc(), F.col("host")).limit(3)
     toks = exclude_terms(fx.tokens(t), "host", top, stop_col="host")
     return text.ngram_counts(toks.withColumnRenamed("w", "ngram"))
+
+
+# ---- operators without a FIXTURES analog (A50+) ---------------------------------
+
+@query("a50_score_bands")
+def a50(t: Tables) -> DataFrame:
+    """Documents at score level >= 4 and >= 6."""
+    from tidepool.operators.score import band_counts
+    return band_counts(_scored(t), "total", (4, 6))
+
+
+# The last complete year for the trend line (later years lag).
+TREND_BEFORE_YEAR = 2000
+
+
+@query("a51_trend_line")
+def a51(t: Tables) -> DataFrame:
+    """Least-squares line of yearly order counts per status, complete years only."""
+    from tidepool.operators.rank import trend_line, year_trend
+    counts = year_trend(t.orders, "o_orderdate", split="o_orderstatus", split_as="status")
+    line = trend_line(counts, "year", "n", by=["status"], before=TREND_BEFORE_YEAR)
+    return line.select("status", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query("a52_column_coverage")
+def a52(t: Tables) -> DataFrame:
+    """Share of documents with a quality and a toxicity value."""
+    from tidepool.operators.quality import column_coverage
+    d = t.documents.select("doc_id").join(t.labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
+    return column_coverage(d, ["quality", "toxic"])
+
+
+@query("a53_family_size")
+def a53(t: Tables) -> DataFrame:
+    """Publications per patent family."""
+    from tidepool.operators.patents import family_size
+    return family_size(fx.patents(t))
+
+
+@query("a54_undirected_pairs")
+def a54(t: Tables) -> DataFrame:
+    """Both-direction funder pairs collapsed back to one row per pair."""
+    d = net.cooccurrence(fx.grants(t), "funder", "id", directed=True)
+    return net.undirected(d, "item1", "item2", "n")
+
+
+# Analog recode chain for part types.
+TYPE_RECODE = {"ECONOMY": "BUDGET", "PROMO": "SALE"}
+
+
+@query("a55_recode_types")
+def a55(t: Tables) -> DataFrame:
+    """Part types recoded through a literal map, then counted."""
+    from tidepool.operators.clean import recode
+    from tidepool.operators.rank import frequency
+    return frequency(recode(t.part.select("p_type"), "p_type", TYPE_RECODE), "p_type")
+
+
+@query("a56_first_page_per_host")
+def a56(t: Tables) -> DataFrame:
+    """First page (lowest id) of each host, whole row kept."""
+    from tidepool.operators.clean import first_per_key
+    return first_per_key(fx.web(t).select("host", "page_id", "url"), "host", ["page_id"])
+
+
+@query("a57_totals_row")
+def a57(t: Tables) -> DataFrame:
+    """Parts per type with a Total row appended."""
+    from tidepool.operators.rank import add_total_row, frequency
+    return add_total_row(frequency(t.part, "p_type"), "p_type")
+
+
+@query("a58_outcome_share")
+def a58(t: Tables) -> DataFrame:
+    """Labelled documents per quality outcome and its share."""
+    from tidepool.operators.rank import outcome_share
+    return outcome_share(t.labels, "quality")
+
+
+@query("a59_reference_unigrams")
+def a59(t: Tables) -> DataFrame:
+    """The reference tokenizer pipeline over whole documents: lower-case, split on
+    each white-space character, English stop words removed, trimmed; counted."""
+    from tidepool.operators import text
+    grams = text.unigrams(t.documents, "text", keep=["doc_id"], stop_words=text.english_stop_words(),
+                          pattern=r"\s", drop_empty=False, trim=True)
+    return grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))

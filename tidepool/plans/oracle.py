@@ -410,3 +410,50 @@ ORACLE.update({
            WHERE host NOT IN (SELECT host FROM top_hosts) GROUP BY w""",
         "tokens", extra=_TOP_HOSTS),
 })
+
+
+def _english_in_list() -> str:
+    from tidepool.operators.text import english_stop_words
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words())
+
+
+ORACLE.update({
+    "a50_score_bands": _q(
+        """SELECT CAST(count_if(total >= 4) AS BIGINT) AS at_least_4,
+                  CAST(count_if(total >= 6) AS BIGINT) AS at_least_6 FROM scored""",
+        "criteria", extra=_SCORE),
+    "a51_trend_line": _q(
+        """SELECT status, round(regr_slope(CAST(n AS DOUBLE), CAST(year AS DOUBLE)), 6) AS slope,
+                  round(regr_intercept(CAST(n AS DOUBLE), CAST(year AS DOUBLE)), 6) AS intercept
+           FROM (SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderstatus AS status, count(*) AS n
+                 FROM orders GROUP BY 1, 2)
+           WHERE year < 2000 GROUP BY status"""),
+    "a52_column_coverage": _q(
+        """SELECT count(*) AS rows, round(count(l.quality) / count(*), 6) AS quality,
+                  round(count(l.toxic) / count(*), 6) AS toxic
+           FROM documents d LEFT JOIN labels l USING (doc_id)"""),
+    "a53_family_size": _q(
+        "SELECT family_id, count(DISTINCT pub_id) AS members FROM patents GROUP BY family_id",
+        "patents"),
+    "a54_undirected_pairs": _q(
+        "SELECT item1, item2, n FROM pairs", "grants", extra=_pairs("grants", "funder", "id")),
+    "a55_recode_types": _q(
+        """SELECT CASE p_type WHEN 'ECONOMY' THEN 'BUDGET' WHEN 'PROMO' THEN 'SALE' ELSE p_type END AS p_type,
+                  count(*) AS n FROM part GROUP BY 1"""),
+    "a56_first_page_per_host": _q(
+        "SELECT host, min(page_id) AS page_id, arg_min(url, page_id) AS url FROM web GROUP BY host",
+        "web"),
+    "a57_totals_row": _q(
+        """SELECT p_type, count(*) AS n FROM part GROUP BY p_type
+           UNION ALL SELECT 'Total', count(*) FROM part"""),
+    "a58_outcome_share": _q(
+        """SELECT quality, count(*) AS n,
+                  round(count(*) / (SELECT count(*) FROM labels), 6) AS share
+           FROM labels GROUP BY quality"""),
+    "a59_reference_unigrams": _q(
+        f"""SELECT trim(w) AS ngram, count(*) AS n FROM (
+                SELECT unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS w
+                FROM documents)
+            WHERE w NOT IN ({_english_in_list()})
+            GROUP BY 1"""),
+})
