@@ -32,9 +32,7 @@ def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = Fal
     sides, so no single task emits all of its pairs.
     """
     i1, i2, n = out
-    e = (df.select(F.col(item).alias("_item"), F.col(feature).alias("_feat"))
-         .where(F.col("_item").isNotNull() & F.col("_feat").isNotNull())
-         .distinct())
+    e = links(df, item, feature)
     a = e.select(F.col("_item").alias(i1), F.col("_feat"))
     b = e.select(F.col("_item").alias(i2), F.col("_feat"))
     pairs = (a.join(b, "_feat").where(F.col(i1) < F.col(i2))
@@ -44,6 +42,17 @@ def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = Fal
     return pairs
 
 
+def links(df: DataFrame, item: str, feature: str) -> DataFrame:
+    """Distinct non-NULL (item, feature) links as ``(_item, _feat)``.
+
+    Hash-partitioned on both columns, so a hot item or feature is spread
+    over tasks while duplicates are removed (partially map-side first).
+    """
+    return (df.select(F.col(item).alias("_item"), F.col(feature).alias("_feat"))
+            .where(F.col("_item").isNotNull() & F.col("_feat").isNotNull())
+            .distinct())
+
+
 def undirected(edges: DataFrame, a: str, b: str, weight: str | None = None) -> DataFrame:
     """Collapse an edge list to one row per unordered pair.
 

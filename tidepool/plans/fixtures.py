@@ -11,22 +11,33 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import text as tx
 from tidepool.operators.clean import disambiguate_names
+from tidepool.sources.io import read_parquet
 
 # The analog stop list for web tokens.
 WEB_STOP_WORDS = ("the", "and", "of", "to", "a", "in", "is", "that")
 
 
 class Tables:
-    """Lazy readers for the parquet tables of one folder."""
+    """Lazy readers for the parquet tables of one folder (one scan object each).
+
+    Test files are written as a single row group, which one task must read
+    alone; ``read_parquet`` spreads such files over the cores by their key.
+    Inputs with many row groups are scanned as they are.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
+        self._spread = spark.sparkContext.defaultParallelism
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet",
+                                              spread_to=self._spread)
+        return self._frames[name]
 
 
 def authorships(t: Tables) -> DataFrame:

@@ -15,6 +15,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Small shuffles feeding row-multiplying joins (pair counting) are not
+    # squeezed into a single task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

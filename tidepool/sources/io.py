@@ -65,6 +65,46 @@ def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
     raise ValueError(f"unknown format {fmt!r}")
 
 
+def parquet_row_groups(path: str) -> int | None:
+    """Row groups of a local Parquet file or folder (None when not local)."""
+    import glob
+    import os
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in local or not os.path.exists(local):
+        return None
+    try:
+        import pyarrow.parquet as pq
+    except ImportError:
+        return None
+    files = [local] if os.path.isfile(local) else glob.glob(os.path.join(local, "**", "*.parquet"),
+                                                            recursive=True)
+    return sum(pq.ParquetFile(f).metadata.num_row_groups for f in files) if files else None
+
+
+def read_parquet(spark: SparkSession, path: str, spread_to: int = 0, spread_key: str | None = None,
+                 spread_min_bytes: int = 4 << 20) -> DataFrame:
+    """Parquet scan that can spread a file stored as too few row groups.
+
+    A Parquet row group is never split between tasks, so a large file written
+    as a single row group is read by one task however many cores there are.
+    When ``spread_to`` is set and the (local) file has fewer row groups than
+    that, the scan is hash-partitioned on ``spread_key`` into ``spread_to``
+    parts. Well-laid-out inputs (many row groups, remote storage) are left
+    alone and never pay the extra shuffle.
+    """
+    df = spark.read.parquet(path)
+    if spread_to <= 1:
+        return df
+    import os
+    local = path[len("file:"):] if path.startswith("file:") else path
+    size = os.path.getsize(local) if os.path.isfile(local) else 0
+    groups = parquet_row_groups(path)
+    if groups is None or groups >= spread_to or size < spread_min_bytes:
+        return df
+    key = spread_key or df.columns[0]
+    return df.repartition(spread_to, key)
+
+
 def read_corpus(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Web corpus as JSON lines ``{url, text}`` over a glob (e.g. ``en/*``)."""
     return read_table(spark, path, fmt="json", schema=CORPUS_SCHEMA)
