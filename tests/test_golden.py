@@ -70,3 +70,10 @@ def test_directed_pairs_are_symmetric(mini):
     got = {(r.item1, r.item2): r.n for r in d.collect()}
     assert all(got[(b, a)] == n for (a, b), n in got.items())
     assert len(got) == 8
+
+
+def test_fixture_triangle_centroid(spark):
+    from tidepool.operators.places import centroid
+    from tidepool.plans import fixtures as fx
+    r = centroid(fx.poly(fx.Tables(spark, "/root/testdata/sf0.001"))).first()
+    assert (r.poly_id, r.area, r.cx, r.cy) == (1, 0.09, 0.0, -0.05)

@@ -27,7 +27,7 @@ def test_dictionary_match_is_broadcast(spark, name):
 
 def test_seed_filter_reaches_the_scan(spark):
     plan = plan_text(QUERIES["a42_citation_expand"](spark, SF_SMALL))
-    assert "LessThan(l_orderkey,20)" in plan
+    assert "EqualTo(o_orderpriority,1-URGENT)" in plan
 
 
 def test_scan_reads_only_needed_columns(spark):

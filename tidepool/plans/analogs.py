@@ -62,12 +62,14 @@ def a02(t: Tables) -> DataFrame:
 
 @query("a03_crosswalk")
 def a03(t: Tables) -> DataFrame:
-    """Nation -> region label; ASIA treated as missing -> Unclassified."""
+    """Supplier nation code -> region label; ASIA treated as missing -> Unclassified."""
     from tidepool.operators.clean import crosswalk
-    n = t.nation.select(F.col("n_name").alias("code"), "n_regionkey")
-    out = crosswalk(n, "n_regionkey", t.region, "r_regionkey", "r_name", out="label",
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    n = t.nation.select("n_nationkey", F.col("n_name").alias("code"), "n_regionkey")
+    coded = s.join(n, s.s_nationkey == n.n_nationkey, "left")
+    out = crosswalk(coded, "n_regionkey", t.region, "r_regionkey", "r_name", out="label",
                     treat_missing=["ASIA"])
-    return out.select("code", "label")
+    return out.select("s_suppkey", "code", "label")
 
 
 @query("a04_institution_pairs")
@@ -356,20 +358,19 @@ def a40(t: Tables) -> DataFrame:
 
 @query("a41_centroid")
 def a41(t: Tables) -> DataFrame:
-    """Polygon area and centroid."""
+    """Area and centroid of every embedding polygon."""
     from tidepool.operators.places import centroid
-    return centroid(fx.poly(t))
+    return centroid(fx.embedding_polygons(t))
 
 
 # ---- corpus ----------------------------------------------------------------------
 
 @query("a42_citation_expand")
 def a42(t: Tables) -> DataFrame:
-    """Seeds (citing id < 20) plus their references and the works citing them."""
+    """Seeds (urgent orders) plus the works they cite and the works citing them."""
     from tidepool.operators.corpus import citation_expand
-    c = fx.cites(t)
-    seeds = c.where(F.col("citing") < 20).select(F.col("citing").alias("work"))
-    return citation_expand(c, seeds)
+    seeds = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_orderkey").alias("work"))
+    return citation_expand(fx.cites(t), seeds)
 
 
 @query("a43_citations_received")

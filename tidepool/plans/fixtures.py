@@ -157,6 +157,28 @@ def poly(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "poly_id int, x1 double, y1 double, x2 double, y2 double")
 
 
+def embedding_polygons(t: Tables) -> DataFrame:
+    """Each embedding as a polygon: vertex i = (e[2i], e[2i+1]), vertices in
+    angle order around the origin (a star-shaped ring), as edge rows.
+
+    Built inside each row (array sort, no window, no shuffle); the ring is
+    staged as a column so the edge lambda indexes a ready array.
+    """
+    e = F.col("embedding")
+    k = (F.size(e) / 2).cast("int")
+    verts = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct(
+        F.atan2(F.get(e, 2 * i + 1).cast("double"), F.get(e, 2 * i).cast("double")).alias("a"),
+        F.get(e, 2 * i).cast("double").alias("x"),
+        F.get(e, 2 * i + 1).cast("double").alias("y")))
+    rings = t.embeddings.select(F.col("vec_id").alias("poly_id"), F.array_sort(verts).alias("ring"))
+    r = F.col("ring")
+    n = F.size(r)
+    edges = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        F.get(r, i)["x"].alias("x1"), F.get(r, i)["y"].alias("y1"),
+        F.get(r, F.pmod(i + 1, n))["x"].alias("x2"), F.get(r, F.pmod(i + 1, n))["y"].alias("y2")))
+    return rings.select("poly_id", F.inline(edges))
+
+
 def cites(t: Tables) -> DataFrame:
     return (t.lineitem.where(F.col("l_orderkey") != F.col("l_partkey"))
             .select(F.col("l_orderkey").alias("citing"), F.col("l_partkey").alias("cited"))

@@ -167,10 +167,11 @@ ORACLE: dict[str, str] = {
                                THEN 'GROUP' ELSE funder END AS funder FROM grants)
            GROUP BY funder""", "grants"),
     "a03_crosswalk": _q(
-        """SELECT n_name AS code,
+        """SELECT s_suppkey, n_name AS code,
                   coalesce(CASE WHEN r_name = 'ASIA' THEN NULL ELSE r_name END,
                            'Unclassified') AS label
-           FROM nation LEFT JOIN region ON n_regionkey = r_regionkey"""),
+           FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+           LEFT JOIN region ON n_regionkey = r_regionkey"""),
     "a04_institution_pairs": _q(
         "SELECT item1, item2, n FROM pairs", "inst", extra=_INST_LINKS),
     "a05_funder_pairs": _q(
@@ -280,10 +281,20 @@ _CROSSINGS = """
                        AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
                       GROUP BY p.vec_id)"""
 _SEEDS = """
-        seeds AS (SELECT DISTINCT citing AS work FROM cites WHERE citing < 20),
+        seeds AS (SELECT DISTINCT o_orderkey AS work FROM orders WHERE o_orderpriority = '1-URGENT'),
         expanded AS (SELECT work FROM seeds
                      UNION SELECT c.cited FROM cites c JOIN seeds s ON c.citing = s.work
                      UNION SELECT c.citing FROM cites c JOIN seeds s ON c.cited = s.work)"""
+_EPOLY = """
+        rings AS (SELECT vec_id AS poly_id,
+                         list_sort([{'a': atan2(CAST(embedding[2 * i + 2] AS DOUBLE), CAST(embedding[2 * i + 1] AS DOUBLE)),
+                                     'x': CAST(embedding[2 * i + 1] AS DOUBLE),
+                                     'y': CAST(embedding[2 * i + 2] AS DOUBLE)}
+                                    FOR i IN range(len(embedding) // 2)]) AS ring
+                  FROM embeddings),
+        epoly AS (SELECT poly_id, ring[i + 1].x AS x1, ring[i + 1].y AS y1,
+                         ring[(i + 1) % len(ring) + 1].x AS x2, ring[(i + 1) % len(ring) + 1].y AS y2
+                  FROM (SELECT poly_id, ring, unnest(range(len(ring))) AS i FROM rings))"""
 _VOCAB = """
         vocab AS (SELECT DISTINCT d.lang, t.w FROM dtok t JOIN documents d USING (doc_id)
                   WHERE d.lang IN ('en', 'de')),
@@ -374,7 +385,7 @@ ORACLE.update({
         """SELECT poly_id, round(sum(x1 * y2 - x2 * y1) / 2, 6) AS area,
                   round(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 6) AS cx,
                   round(sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 6) AS cy
-           FROM poly GROUP BY poly_id""", "poly"),
+           FROM epoly GROUP BY poly_id""", extra=_EPOLY),
     # ---- corpus --------------------------------------------------------------
     "a42_citation_expand": _q("SELECT work FROM expanded", "cites", extra=_SEEDS),
     "a43_citations_received": _q(
