@@ -33,6 +33,15 @@ def test_cooccurrence_matches_brute_force(spark, rows):
     assert got == dict(want)
 
 
+@SETTINGS
+@given(st.lists(st.tuples(names, feats), min_size=0, max_size=60), st.sampled_from([1, 2, 5]))
+def test_salted_cooccurrence_equals_plain(spark, rows, hot):
+    df = spark.createDataFrame(rows, "item string, feature string")
+    plain = {tuple(r) for r in net.cooccurrence(df, "item", "feature").collect()}
+    salted = {tuple(r) for r in net.cooccurrence(df, "item", "feature", hot_items=hot).collect()}
+    assert plain == salted
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from("xyz"))),
                 min_size=1, max_size=60),

@@ -3,26 +3,50 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-# A side is broadcast only when it is proven to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave it as is.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than it needs to; beyond the bound the join stays a shuffle join and
-    AQE chooses the strategy from runtime sizes.
+from pyspark.sql import types as T
+
+# A side is broadcast only when it is proven to hold at most this many rows
+# and at most this many (estimated) bytes.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Rough in-memory size of a row: string/binary lengths plus 8 bytes per
+    other field (nested values are measured through their JSON text)."""
+    parts: list[Column] = [F.lit(16)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 8)
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("bigint")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` if it is proven small, else leave it as is.
+
+    One bounded job (over at most ``max_rows + 1`` rows) counts the rows and
+    sums an estimate of their size; the side is broadcast only when both are
+    within bounds. Beyond them the join stays a shuffle join and AQE chooses
+    the strategy from runtime sizes. The side is persisted first so the rows
+    measured are the rows broadcast (computed once); lost cache blocks are
+    recomputed from lineage, unlike localCheckpoint. It is released again when
+    too large.
     """
-    # Persisted first so the rows counted are the rows broadcast (computed
-    # once); lost cache blocks are recomputed from lineage, unlike
-    # localCheckpoint. Released again when the side turns out too large.
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
+    probe = kept.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                         F.coalesce(F.sum(_row_bytes(kept)), F.lit(0)).alias("b")).first()
+    if probe["n"] <= max_rows and probe["b"] <= max_bytes:
         return F.broadcast(kept)
     kept.unpersist()
     return df

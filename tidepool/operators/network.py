@@ -17,7 +17,8 @@ from tidepool.session import materialize
 
 
 def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = False,
-                 out: Sequence[str] = ("item1", "item2", "n")) -> DataFrame:
+                 out: Sequence[str] = ("item1", "item2", "n"),
+                 hot_items: int | None = None) -> DataFrame:
     """Number of features shared by each pair of items.
 
     (item, feature) is made distinct first, so an item listed twice on one
@@ -28,20 +29,42 @@ def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = Fal
     Plan: one shuffle of the distinct (item, feature) rows, reused for both
     sides of an equi self-join on ``feature``; the count is partially
     aggregated before its shuffle. A feature shared by very many items is a
-    skewed join key: AQE's skew-join splits that partition across tasks on both
-    sides, so no single task emits all of its pairs.
+    skewed join key. AQE's skew-join splits such a partition on both sides;
+    with ``hot_items`` set, features holding more items than that are also
+    salted explicitly: a hot feature with k items gets s = ceil(k / hot_items)
+    buckets, its items are hashed into them, and the join key becomes
+    (feature, bucket of item1, bucket of item2). Its k*k/2 pairs are then
+    emitted by s*s tasks of about ``hot_items`` items a side, each pair in
+    exactly one block. No pair is dropped or capped.
     """
     i1, i2, n = out
     e = links(df, item, feature)
-    a = e.select(F.col("_item").alias(i1), F.col("_feat"))
-    b = e.select(F.col("_item").alias(i2), F.col("_feat"))
-    pairs = (a.join(b, "_feat").where(F.col(i1) < F.col(i2))
-             .groupBy(i1, i2).agg(F.count(F.lit(1)).alias(n)))
+    if hot_items is None:
+        pairs = _pair_join(e, e, ["_feat"], i1, i2)
+    else:
+        sizes = e.groupBy("_feat").agg(F.count(F.lit(1)).alias("_k"))
+        # At most (links / hot_items) features can be hot: a bounded set.
+        hot = bounded_broadcast(sizes.where(F.col("_k") > hot_items).select(
+            "_feat", F.ceil(F.col("_k") / F.lit(hot_items)).cast("int").alias("_s")))
+        cold_e = e.join(hot, "_feat", "left_anti")
+        hot_e = e.join(hot, "_feat").withColumn("_b", F.pmod(F.xxhash64("_item"), F.col("_s")).cast("int"))
+        buckets = F.sequence(F.lit(0), F.col("_s") - 1)
+        left = hot_e.select("_item", "_feat", F.col("_b").alias("_bl"), F.explode(buckets).alias("_br"))
+        right = hot_e.select("_item", "_feat", F.explode(buckets).alias("_bl"), F.col("_b").alias("_br"))
+        pairs = _pair_join(cold_e, cold_e, ["_feat"], i1, i2).unionByName(
+            _pair_join(left, right, ["_feat", "_bl", "_br"], i1, i2))
+    pairs = pairs.groupBy(i1, i2).agg(F.count(F.lit(1)).alias(n))
     if directed:
         pairs = pairs.unionByName(pairs.select(F.col(i2).alias(i1), F.col(i1).alias(i2), n))
     return pairs
 
 
+def _pair_join(left: DataFrame, right: DataFrame, keys: list[str], i1: str, i2: str) -> DataFrame:
+    a = left.select(F.col("_item").alias(i1), *keys)
+    b = right.select(F.col("_item").alias(i2), *keys)
+    return a.join(b, keys).where(F.col(i1) < F.col(i2)).select(i1, i2)
+
+
 def links(df: DataFrame, item: str, feature: str) -> DataFrame:
     """Distinct non-NULL (item, feature) links as ``(_item, _feat)``.
 

@@ -29,8 +29,17 @@ def query(name: str) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tabl
 
 # ---- collaboration networks -----------------------------------------------
 
+# A work (feature) linking more entities than this is salted
+# explicitly in pair counting (see ``network.cooccurrence``).
+HOT_FEATURE_ITEMS = 5_000
+
+
+def _pairs(df: DataFrame, item: str, feature: str) -> DataFrame:
+    return net.cooccurrence(df, item, feature, hot_items=HOT_FEATURE_ITEMS)
+
+
 def _inst_links(t: Tables) -> DataFrame:
-    return net.cooccurrence(fx.inst(t), "display_name", "id")
+    return _pairs(fx.inst(t), "display_name", "id")
 
 
 def _inst_works(t: Tables) -> DataFrame:
@@ -81,13 +90,13 @@ def a04(t: Tables) -> DataFrame:
 @query("a05_funder_pairs")
 def a05(t: Tables) -> DataFrame:
     """Funder (brand) pairs sharing works."""
-    return net.cooccurrence(fx.grants(t), "funder", "id")
+    return _pairs(fx.grants(t), "funder", "id")
 
 
 @query("a06_country_pairs")
 def a06(t: Tables) -> DataFrame:
     """Country pairs sharing works."""
-    return net.cooccurrence(fx.authorships(t), "country_code", "id")
+    return _pairs(fx.authorships(t), "country_code", "id")
 
 
 @query("a07_weighted_degree")
@@ -139,7 +148,7 @@ def a13(t: Tables) -> DataFrame:
 @query("a14_ego_network")
 def a14(t: Tables) -> DataFrame:
     """Country edges touching NATION_12."""
-    return net.ego_network(net.cooccurrence(fx.authorships(t), "country_code", "id"), "NATION_12")
+    return net.ego_network(_pairs(fx.authorships(t), "country_code", "id"), "NATION_12")
 
 
 # ---- web text and dictionaries ----------------------------------------------
@@ -476,7 +485,7 @@ def a53(t: Tables) -> DataFrame:
 @query("a54_undirected_pairs")
 def a54(t: Tables) -> DataFrame:
     """Both-direction funder pairs collapsed back to one row per pair."""
-    d = net.cooccurrence(fx.grants(t), "funder", "id", directed=True)
+    d = net.cooccurrence(fx.grants(t), "funder", "id", directed=True, hot_items=HOT_FEATURE_ITEMS)
     return net.undirected(d, "item1", "item2", "n")
 
 
