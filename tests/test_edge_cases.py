@@ -76,3 +76,28 @@ def test_one_row_group_and_sentences(spark):
     df = spark.createDataFrame([(1, "One. Two!  Three\n\nFour"), (2, "   ")], "doc_id int, text string")
     got = [(r.doc_id, r.sentno, r.sentence) for r in text.sentences(df).collect()]
     assert got == [(1, 0, "One"), (1, 1, "Two"), (1, 2, "Three"), (1, 3, "Four")]
+
+
+def test_enrich_never_multiplies(spark):
+    from tidepool.operators.clean import enrich
+    probe = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    details = spark.createDataFrame([(1, 5, "late"), (1, 2, "early"), (3, 1, "other")], "dk int, o int, d string")
+    got = sorted((r.k, r.d) for r in enrich(probe, details, "k", "dk", ["o"]).collect())
+    assert got == [(1, "early"), (2, None)]
+
+
+def test_variant_map_and_canonicalize(spark):
+    from tidepool.operators import terms
+    d = spark.createDataFrame([("sea",), ("sea.",), ("sea,,",), ("reef",)], "term string")
+    m = {(r.variant, r.canonical) for r in terms.variant_map(d).collect()}
+    assert m == {("sea.", "sea"), ("sea,,", "sea")}
+    hits = spark.createDataFrame([(1, "sea."), (2, "reef"), (3, "sea")], "page_id int, term string")
+    got = sorted(r.term for r in terms.canonicalize(hits, terms.variant_map(d)).collect())
+    assert got == ["reef", "sea", "sea"]
+
+
+def test_within_period_is_half_open(spark):
+    from tidepool.operators.patents import within_period
+    df = spark.sql("SELECT explode(array(TIMESTAMP_NTZ'1995-12-31 23:59:59', TIMESTAMP_NTZ'1996-01-01 00:00:00', "
+                   "TIMESTAMP_NTZ'1999-12-31 00:00:00', TIMESTAMP_NTZ'2000-01-01 00:00:00')) AS d")
+    assert within_period(df, "d", "1996-01-01", "2000-01-01").count() == 2

@@ -40,3 +40,9 @@ def test_scan_reads_only_needed_columns(spark):
 def test_pair_self_join_shuffles_once(spark):
     plan = plan_text(QUERIES["a04_institution_pairs"](spark, SF_SMALL), mode="simple")
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+
+
+def test_period_cut_reaches_the_scan(spark):
+    plan = plan_text(QUERIES["a60_period_filings"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)" in plan
+    assert "LessThan(o_orderdate,2000-01-01T00:00)" in plan

@@ -111,6 +111,17 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[st
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+def enrich(df: DataFrame, details: DataFrame, key: str, detail_key: str,
+           order_by: Sequence[str]) -> DataFrame:
+    """Attach one detail row per key (the first in ``order_by``) with a left join.
+
+    The detail side is de-duplicated on its key first, so the join can never
+    multiply the probe rows.
+    """
+    one = first_per_key(details, detail_key, order_by)
+    return df.join(one, df[key] == one[detail_key], "left").drop(one[detail_key])
+
+
 def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
               chunk: int = 1 << 16) -> DataFrame:
     """Fill NULLs in ``col`` with the last non-NULL value before them.

@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def within_period(df: DataFrame, date_col: str, start: str, end: str) -> DataFrame:
+    """Rows dated in [start, end) (ISO dates); a plain range predicate that
+    Parquet min/max statistics can prune on."""
+    c = F.col(date_col)
+    return df.where((c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end).cast("timestamp_ntz")))
+
+
 def first_filings(df: DataFrame, family: str = "family_id", filing_date: str = "filing_date",
                   by: Sequence[str] = ()) -> DataFrame:
     """Families by the year of their earliest filing (supply-side count).

@@ -41,6 +41,30 @@ def merge_variants(hits: DataFrame, term: str = "term", strip: str = ".,") -> Da
     return hits.withColumn(term, tx.strip_trailing(term, strip))
 
 
+def variant_map(dictionary: DataFrame, term: str = "term", strip: str = ".,") -> DataFrame:
+    """Variant -> canonical pairs inside one dictionary: a term whose stripped
+    form (trailing punctuation removed) is itself a term maps onto it."""
+    d = dictionary.select(F.col(term).alias("variant")).distinct()
+    c = dictionary.select(F.col(term).alias("canonical")).distinct()
+    v = d.withColumn("_stripped", tx.strip_trailing("variant", strip))
+    return (v.join(c, (v["_stripped"] == c["canonical"]) & (v["variant"] != c["canonical"]))
+            .select("variant", "canonical"))
+
+
+def canonicalize(hits: DataFrame, variants: DataFrame, term: str = "term",
+                 variant: str = "variant", canonical: str = "canonical") -> DataFrame:
+    """Replace variant terms by their canonical form through a variant map
+    (left join, broadcast after its size check); other terms are kept."""
+    m = bounded_broadcast(variants.select(F.col(variant).alias("_v"), F.col(canonical).alias("_c")))
+    j = hits.join(m, hits[term] == m["_v"], "left")
+    return j.withColumn(term, F.coalesce(F.col("_c"), F.col(term))).drop("_v", "_c")
+
+
+def is_phrase(term: str = "term"):
+    """True for multi-word terms (at least one blank)."""
+    return F.regexp_count(F.col(term), F.lit(" ")) > 0
+
+
 def _tagged(dict_a: DataFrame, dict_b: DataFrame, term: str) -> DataFrame:
     a = dict_a.select(F.col(term).alias("_term"), F.lit(True).alias("_a"), F.lit(False).alias("_b"))
     b = dict_b.select(F.col(term).alias("_term"), F.lit(False).alias("_a"), F.lit(True).alias("_b"))

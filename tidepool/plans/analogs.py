@@ -530,3 +530,53 @@ def a59(t: Tables) -> DataFrame:
     grams = text.unigrams(t.documents, "text", keep=["doc_id"], stop_words=text.english_stop_words(),
                           pattern=r"\s", drop_empty=False, trim=True)
     return grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+
+
+# The filing period kept by the date-range cut.
+PERIOD = ("1996-01-01", "2000-01-01")
+
+
+@query("a60_period_filings")
+def a60(t: Tables) -> DataFrame:
+    """Families by first-filing year, filings dated 1996-1999 only."""
+    from tidepool.operators.patents import first_filings, within_period
+    return first_filings(within_period(fx.patents(t), "filing_date", *PERIOD))
+
+
+@query("a61_variant_map_counts")
+def a61(t: Tables) -> DataFrame:
+    """Dictionary hits with variants folded through a variant map, recounted."""
+    from tidepool.operators import terms
+    d = fx.dict_a(t)
+    hits = terms.canonicalize(_hits_a(t), terms.variant_map(d))
+    return terms.term_counts(hits, "term")
+
+
+def _bench_bigrams(t: Tables) -> DataFrame:
+    from tidepool.operators import text
+    return text.ngrams(t.benchmark, 2, "text", keep=[]).select(F.col("ngram").alias("term")).distinct()
+
+
+@query("a62_phrase_hits")
+def a62(t: Tables) -> DataFrame:
+    """Page words and two-word phrases matched against one dictionary of words
+    and phrases; counts split into single words and phrases."""
+    from tidepool.operators import terms, text
+    dictionary = fx.dict_a(t).select("term").unionByName(_bench_bigrams(t)).distinct()
+    web = fx.web(t)
+    words = text.unigrams(web, "text", keep=["page_id"], stop_words=fx.WEB_STOP_WORDS, out="w")
+    pairs = text.ngrams(web, 2, "text", keep=["page_id"], out="w")
+    hits = terms.term_hits(words.unionByName(pairs), dictionary)
+    kind = F.when(terms.is_phrase("term"), F.lit("phrase")).otherwise(F.lit("word"))
+    return hits.groupBy(kind.alias("kind")).agg(F.countDistinct("term").alias("terms"),
+                                               F.countDistinct("page_id").alias("pages"),
+                                               F.count(F.lit(1)).alias("occurrences"))
+
+
+@query("a63_enrich_listings")
+def a63(t: Tables) -> DataFrame:
+    """Listings enriched with their first order line (by order, line number)."""
+    from tidepool.operators.clean import enrich
+    details = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return enrich(fx.listings(t).select("asin", "title"), details, "asin", "l_partkey",
+                  ["l_orderkey", "l_linenumber"])

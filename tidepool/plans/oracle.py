@@ -468,3 +468,43 @@ ORACLE.update({
             WHERE w NOT IN ({_english_in_list()})
             GROUP BY 1"""),
 })
+
+_HITS_TERMS = """
+        hits AS (SELECT t.page_id, d.term FROM tokens t JOIN dict_a d ON t.w = d.term),
+        vmap AS (SELECT a.term AS variant, b.term AS canonical FROM dict_a a JOIN dict_a b
+                   ON regexp_replace(a.term, '[.,]+$', '') = b.term AND a.term <> b.term)"""
+_PHRASES = """
+        bw AS (SELECT list_filter(string_split(lower(text), ' '), lambda x: x <> '') AS ws FROM benchmark),
+        bbi AS (SELECT DISTINCT ws[i] || ' ' || ws[i + 1] AS term
+                FROM (SELECT ws, unnest(range(1, len(ws))) AS i FROM bw)),
+        dict AS (SELECT term FROM dict_a UNION SELECT term FROM bbi),
+        pw AS (SELECT page_id, string_split(lower(text), ' ') AS ws FROM web),
+        pbi AS (SELECT page_id, ws[i] || ' ' || ws[i + 1] AS w
+                FROM (SELECT page_id, ws, unnest(range(1, len(ws))) AS i FROM pw)),
+        units AS (SELECT page_id, w FROM tokens UNION ALL SELECT page_id, w FROM pbi),
+        hits AS (SELECT u.page_id, d.term FROM units u JOIN dict d ON u.w = d.term)"""
+
+ORACLE.update({
+    "a60_period_filings": _q(
+        """SELECT CAST(year(first_filing) AS INT) AS first_year, count(*) AS families FROM (
+               SELECT family_id, min(filing_date) AS first_filing FROM patents
+               WHERE filing_date >= TIMESTAMP '1996-01-01' AND filing_date < TIMESTAMP '2000-01-01'
+               GROUP BY family_id)
+           GROUP BY 1""", "patents"),
+    "a61_variant_map_counts": _q(
+        """SELECT coalesce(v.canonical, h.term) AS term, count(DISTINCT h.page_id) AS pages,
+                  count(*) AS occurrences
+           FROM hits h LEFT JOIN vmap v ON h.term = v.variant GROUP BY 1""",
+        "tokens", "dict_a", extra=_HITS_TERMS),
+    "a62_phrase_hits": _q(
+        """SELECT CASE WHEN regexp_matches(term, ' ') THEN 'phrase' ELSE 'word' END AS kind,
+                  count(DISTINCT term) AS terms, count(DISTINCT page_id) AS pages, count(*) AS occurrences
+           FROM hits GROUP BY 1""", "tokens", "dict_a", extra=_PHRASES),
+    "a63_enrich_listings": _q(
+        """SELECT l.asin, l.title, d.l_orderkey, d.l_linenumber, d.l_quantity
+           FROM listings l LEFT JOIN (
+               SELECT l_partkey, l_orderkey, l_linenumber, l_quantity FROM (
+                   SELECT l_partkey, l_orderkey, l_linenumber, l_quantity,
+                          row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS rn
+                   FROM lineitem) WHERE rn = 1) d ON l.asin = d.l_partkey""", "listings"),
+})
