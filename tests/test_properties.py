@@ -95,3 +95,26 @@ def test_rescale_bounds_and_flat(spark):
     assert got[0] == 5.0 and got[-1] == 100.0
     flat = spark.createDataFrame([(3,), (3,)], "v int")
     assert {r.symbol_size for r in net.rescale(flat, "v", (4.0, 80.0)).collect()} == {42.0}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(coords, coords), min_size=3, max_size=6),
+       st.lists(st.tuples(coords, coords), min_size=3, max_size=6),
+       st.lists(st.tuples(coords, coords), min_size=1, max_size=25))
+def test_point_in_polygons_both_plans(spark, ring1, ring2, pts):
+    import tidepool.operators.places as places
+    edges = [(1, *ring1[i], *ring1[(i + 1) % len(ring1)]) for i in range(len(ring1))]
+    edges += [(2, *ring2[i], *ring2[(i + 1) % len(ring2)]) for i in range(len(ring2))]
+    e = spark.createDataFrame(edges, "poly_id int, x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "vec_id long, x double, y double")
+    want = {i: _inside(x, y, [r[1:] for r in edges if r[0] == 1]) or _inside(x, y, [r[1:] for r in edges if r[0] == 2])
+            for i, (x, y) in enumerate(pts)}
+    got = {r.vec_id: r.inside for r in classify_points(p, e, band=0.2).collect()}
+    assert got == want
+    original = places.bounded_broadcast
+    places.bounded_broadcast = lambda df, **kw: df   # force the row-join plan
+    try:
+        rows = {r.vec_id: r.inside for r in places.classify_points(p, e, band=0.2).collect()}
+    finally:
+        places.bounded_broadcast = original
+    assert rows == want

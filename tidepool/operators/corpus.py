@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.functions.joins import bounded_broadcast
+
 
 def citation_expand(cites: DataFrame, seeds: DataFrame, citing: str = "citing", cited: str = "cited",
                     seed: str = "work", out: str = "work") -> DataFrame:
     """Seeds, the works they reference, and the works citing them (one hop)."""
-    s = seeds.select(F.col(seed).alias("_s")).distinct()
+    s = bounded_broadcast(seeds.select(F.col(seed).alias("_s")).distinct())
     refs = cites.join(s, cites[citing] == s["_s"], "left_semi").select(F.col(cited).alias(out))
     citing_seeds = cites.join(s, cites[cited] == s["_s"], "left_semi").select(F.col(citing).alias(out))
     return s.select(F.col("_s").alias(out)).unionByName(refs).unionByName(citing_seeds).distinct()

@@ -51,6 +51,7 @@ def applicant_domain_hits(tokens: DataFrame, dictionary: DataFrame, pages: DataF
     """
     hosts = ((pages if pages is not None else tokens).groupBy(host).agg(F.countDistinct(page).alias("_pages"))
              .where(F.col("_pages") >= min_pages).select(F.col(host).alias("_h")))
+    hosts = bounded_broadcast(hosts)
     t = tokens.join(hosts, tokens[host] == hosts["_h"], "left_semi")
     d = bounded_broadcast(dictionary.select(F.col(term).alias("_term")).distinct())
     hits = t.join(d, t[token] == d["_term"])

@@ -47,26 +47,47 @@ def classify_points(points: DataFrame, edges: DataFrame, point_id: str = "vec_id
     """Label each point inside/outside the polygons by ray casting.
 
     A ray from the point towards +x crosses an edge when the edge spans the
-    point's y and meets the ray right of the point; an odd count means inside.
-    Edges are cut into horizontal bands of height ``band`` and points are
-    equi-joined to their band, so each point meets only edges that can cross
-    its ray (no nested-loop join over all edges). The banded edges are
-    broadcast only after a size check.
+    point's y and meets the ray right of the point; an odd count for some
+    polygon means inside. Edges are cut into horizontal bands of height
+    ``band``; each point only meets the edges of its own band.
+
+    Preferred plan (map-only): one row per band holding, per polygon, the
+    list of its edges in that band. That table is bounded by the polygons, not
+    by the points; when its checked size allows it is broadcast, each point
+    joins exactly one band row, and the crossing parity is computed inside the
+    row. Points are never shuffled or multiplied. If the band table is too
+    large, the edges stay rows: points are equi-joined to them on the band
+    (AQE splits a hot band) and crossings are counted per point and polygon.
     """
     h = float(band)
     e = (edges.where(F.col("y1") != F.col("y2"))
          .withColumn("_band", F.explode(F.sequence(
              F.floor(F.least("y1", "y2") / h).cast("bigint"),
-             F.floor(F.greatest("y1", "y2") / h).cast("bigint")))))
-    e = bounded_broadcast(e.select(poly, "x1", "y1", "x2", "y2", "_band"))
+             F.floor(F.greatest("y1", "y2") / h).cast("bigint"))))
+         .select(poly, "x1", "y1", "x2", "y2", "_band"))
     p = points.withColumn("_band", F.floor(F.col(y) / h).cast("bigint"))
-    crosses = (((F.col("y1") > F.col(y)) != (F.col("y2") > F.col(y)))
-               & (F.col(x) < (F.col("x2") - F.col("x1")) * (F.col(y) - F.col("y1"))
-                  / (F.col("y2") - F.col("y1")) + F.col("x1")))
-    j = p.join(e, "_band", "left").withColumn("_hit", F.when(crosses, F.col(poly)))
-    per_poly = j.groupBy(point_id, x, y, "_hit").agg(F.count(F.lit(1)).alias("_n"))
-    inside = per_poly.groupBy(point_id, x, y).agg(
-        F.coalesce(F.bool_or(F.col("_hit").isNotNull() & (F.col("_n") % 2 == 1)), F.lit(False))
-        .alias("inside"))
+
+    def crosses(x1, y1, x2, y2):
+        return (((y1 > F.col(y)) != (y2 > F.col(y)))
+                & (F.col(x) < (x2 - x1) * (F.col(y) - y1) / (y2 - y1) + x1))
+
+    per_poly = (e.groupBy("_band", poly)
+                .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges")))
+    bands = per_poly.groupBy("_band").agg(F.collect_list(F.struct(poly, "_edges")).alias("_polys"))
+    checked = bounded_broadcast(bands)
+    if checked is not bands:
+        j = p.join(checked, "_band", "left")
+        odd = F.exists("_polys", lambda q: F.aggregate(
+            q["_edges"], F.lit(0),
+            lambda acc, ed: acc + F.when(crosses(ed["x1"], ed["y1"], ed["x2"], ed["y2"]), 1).otherwise(0))
+            % 2 == 1)
+        inside = j.select(point_id, x, y, F.coalesce(odd, F.lit(False)).alias("inside"))
+    else:
+        j = p.join(e, "_band", "left").withColumn(
+            "_hit", F.when(crosses(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), F.col(poly)))
+        counted = j.groupBy(point_id, x, y, "_hit").agg(F.count(F.lit(1)).alias("_n"))
+        inside = counted.groupBy(point_id, x, y).agg(
+            F.coalesce(F.bool_or(F.col("_hit").isNotNull() & (F.col("_n") % 2 == 1)), F.lit(False))
+            .alias("inside"))
     return inside.withColumn("place", F.when(F.col("inside"), F.lit(inside_label))
                              .otherwise(F.lit(outside_label)))
