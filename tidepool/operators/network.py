@@ -42,8 +42,13 @@ def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = Fal
     if hot_items is None:
         pairs = _pair_join(e, e, ["_feat"], i1, i2)
     else:
-        sizes = e.groupBy("_feat").agg(F.count(F.lit(1)).alias("_k"))
-        # At most (links / hot_items) features can be hot: a bounded set.
+        # Hot features are found from raw link counts (a scan and a map-side
+        # combined count, no distinct): raw counts only over-estimate, and
+        # salting is exact for any feature it is applied to. At most
+        # (links / hot_items) features qualify, and the set is checked before
+        # it is broadcast.
+        sizes = (df.where(F.col(item).isNotNull() & F.col(feature).isNotNull())
+                 .groupBy(F.col(feature).alias("_feat")).agg(F.count(F.lit(1)).alias("_k")))
         hot = bounded_broadcast(sizes.where(F.col("_k") > hot_items).select(
             "_feat", F.ceil(F.col("_k") / F.lit(hot_items)).cast("int").alias("_s")))
         cold_e = e.join(hot, "_feat", "left_anti")
