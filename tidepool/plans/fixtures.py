@@ -40,6 +40,20 @@ class Tables:
         return self._frames[name]
 
 
+def _per_tables(fn):
+    """Build each derived input once per ``Tables`` (one plan, one size check)."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(t: Tables) -> DataFrame:
+        key = f"fx:{fn.__name__}"
+        if key not in t._frames:
+            t._frames[key] = fn(t)
+        return t._frames[key]
+    return wrapper
+
+
+@_per_tables
 def authorships(t: Tables) -> DataFrame:
     """One row per (work, institution) link.
 
@@ -61,10 +75,12 @@ def authorships(t: Tables) -> DataFrame:
                     F.col("s_suppkey").alias("institution_id")))
 
 
+@_per_tables
 def inst(t: Tables) -> DataFrame:
     return disambiguate_names(authorships(t), "display_name", "country_code")
 
 
+@_per_tables
 def grants(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey")
     pa = t.part.select("p_partkey", "p_brand")
@@ -72,11 +88,13 @@ def grants(t: Tables) -> DataFrame:
             .select(F.col("l_orderkey").alias("id"), F.col("p_brand").alias("funder")).distinct())
 
 
+@_per_tables
 def web(t: Tables) -> DataFrame:
     return t.pages.select("page_id", "url", tx.url_host("url").alias("host"),
                           tx.strip_tags("html").alias("text"))
 
 
+@_per_tables
 def tokens(t: Tables) -> DataFrame:
     toks = tx.remove_stop_words(tx.tokenize("text"), WEB_STOP_WORDS)
     return web(t).select("page_id", "url", "host", F.explode(toks).alias("w"))
@@ -86,6 +104,7 @@ def _bench_words(t: Tables) -> DataFrame:
     return t.benchmark.select(F.explode(F.split(F.lower("text"), " ")).alias("w"))
 
 
+@_per_tables
 def dict_a(t: Tables) -> DataFrame:
     return (_bench_words(t).where(F.length("w").between(5, 7))
             .select(F.col("w").alias("term"),
@@ -94,19 +113,23 @@ def dict_a(t: Tables) -> DataFrame:
             .distinct())
 
 
+@_per_tables
 def dict_b(t: Tables) -> DataFrame:
     return _bench_words(t).where(F.length("w").between(8, 9)).select(F.col("w").alias("term")).distinct()
 
 
+@_per_tables
 def dtok(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.explode(tx.tokenize("text")).alias("w"))
 
 
+@_per_tables
 def sents(t: Tables) -> DataFrame:
     return (t.documents.select("doc_id", F.posexplode(tx.split_sentences("text")).alias("sentno", "s"))
             .where(F.trim("s") != ""))
 
 
+@_per_tables
 def criteria(t: Tables) -> DataFrame:
     d = t.documents.select("doc_id", "lang", "n_chars", "source")
     lb = t.labels.select("doc_id", "quality", "toxic")
@@ -120,6 +143,7 @@ def criteria(t: Tables) -> DataFrame:
     )
 
 
+@_per_tables
 def patents(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -133,6 +157,7 @@ def patents(t: Tables) -> DataFrame:
                     F.year("o_orderdate").alias("pub_year")))
 
 
+@_per_tables
 def occurrences(t: Tables) -> DataFrame:
     li = t.lineitem
     outside = (F.when(F.col("l_partkey") % 4 == 0, F.lit(True))
@@ -143,6 +168,7 @@ def occurrences(t: Tables) -> DataFrame:
                      outside.alias("outside_eez"))
 
 
+@_per_tables
 def points(t: Tables) -> DataFrame:
     e = t.embeddings
     return e.select("vec_id",
@@ -150,6 +176,7 @@ def points(t: Tables) -> DataFrame:
                     F.round(F.col("embedding")[1].cast("double"), 6).alias("y"))
 
 
+@_per_tables
 def poly(t: Tables) -> DataFrame:
     """The fixture polygon (a triangle) as edge rows; a fixed literal."""
     # Triangle edges (poly_id, x1, y1, x2, y2).
@@ -157,6 +184,7 @@ def poly(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(rows, "poly_id int, x1 double, y1 double, x2 double, y2 double")
 
 
+@_per_tables
 def embedding_polygons(t: Tables) -> DataFrame:
     """Each embedding as a polygon: vertex i = (e[2i], e[2i+1]), vertices in
     angle order around the origin (a star-shaped ring), as edge rows.
@@ -179,12 +207,14 @@ def embedding_polygons(t: Tables) -> DataFrame:
     return rings.select("poly_id", F.inline(edges))
 
 
+@_per_tables
 def cites(t: Tables) -> DataFrame:
     return (t.lineitem.where(F.col("l_orderkey") != F.col("l_partkey"))
             .select(F.col("l_orderkey").alias("citing"), F.col("l_partkey").alias("cited"))
             .distinct())
 
 
+@_per_tables
 def listings(t: Tables) -> DataFrame:
     term = (F.when(F.col("p_partkey") % 3 == 0, F.lit("blue ring"))
             .when(F.col("p_partkey") % 3 == 1, F.lit("old bolt")).otherwise(F.lit("hot gear")))
@@ -192,6 +222,7 @@ def listings(t: Tables) -> DataFrame:
                          F.col("p_type").alias("category"), term.alias("search_term"))
 
 
+@_per_tables
 def seq(t: Tables) -> DataFrame:
     return t.events.select("event_id", "user_id",
                            F.when(F.col("event_id") % 5 == 0, F.col("event_type")).alias("label"))
