@@ -101,3 +101,15 @@ def test_within_period_is_half_open(spark):
     df = spark.sql("SELECT explode(array(TIMESTAMP_NTZ'1995-12-31 23:59:59', TIMESTAMP_NTZ'1996-01-01 00:00:00', "
                    "TIMESTAMP_NTZ'1999-12-31 00:00:00', TIMESTAMP_NTZ'2000-01-01 00:00:00')) AS d")
     assert within_period(df, "d", "1996-01-01", "2000-01-01").count() == 2
+
+
+def test_approximate_distinct_counts_close(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(20000).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("v"))
+    exact = {r.name: r.works for r in net.distinct_counts(df, "k", "v").collect()}
+    approx = {r.name: r.works for r in net.distinct_counts(df, "k", "v", approx_rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.08 * exact[k] for k in exact)
+    g = df.select(F.col("k").alias("ngram"), F.col("v").alias("page_id"))
+    assert {r.ngram: r.n for r in text.ngram_counts(g, approx_rsd=0.02).collect()} == \
+        {r.ngram: r.n for r in text.ngram_counts(g).collect()}

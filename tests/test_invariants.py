@@ -79,3 +79,10 @@ def test_exclusion_only_removes(spark, name):
     full = {r.ngram: r.n for r in q(spark, "a15_unigrams").collect()}
     part = {r.ngram: r.n for r in q(spark, name).collect()}
     assert all(full[k] >= v for k, v in part.items())
+
+
+def test_regroup_after_overcounts(spark):
+    before = {r.funder: r.works for r in q(spark, "a02_recode_group_works").collect()}
+    after = {r.name: r.works for r in q(spark, "a64_funder_table_regroup_after").collect()}
+    assert after["GROUP"] >= before["GROUP"]
+    assert {k: v for k, v in after.items() if k != "GROUP"} == {k: v for k, v in before.items() if k != "GROUP"}

@@ -104,9 +104,17 @@ def weighted_degree(edges: DataFrame, src: str, dst: str, weight: str,
 
 
 def distinct_counts(df: DataFrame, key: str, id_col: str, name: str = "name",
-                    out: str = "works") -> DataFrame:
-    """Exact distinct ``id_col`` per ``key`` (two-level aggregate, map-side dedupe)."""
-    return df.groupBy(F.col(key).alias(name)).agg(F.countDistinct(id_col).alias(out))
+                    out: str = "works", approx_rsd: float | None = None) -> DataFrame:
+    """Distinct ``id_col`` per ``key``.
+
+    Exact by default (two-level aggregate, de-duplicated map-side on
+    (key, id) first). With ``approx_rsd`` a HyperLogLog++ sketch per key is
+    used instead: one shuffle of fixed-size sketches, for web-scale counts
+    where a small relative error is acceptable.
+    """
+    agg = (F.countDistinct(id_col) if approx_rsd is None
+           else F.approx_count_distinct(id_col, rsd=approx_rsd))
+    return df.groupBy(F.col(key).alias(name)).agg(agg.alias(out))
 
 
 def entity_table(degree: DataFrame, works: DataFrame, attrs: DataFrame,

@@ -78,14 +78,18 @@ def ngrams(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ("ur
     return staged.select(*keep, F.explode(tx.ngram_array("_toks", n)).alias(out))
 
 
-def ngram_counts(grams: DataFrame, ngram: str = "ngram", doc: str = "page_id") -> DataFrame:
+def ngram_counts(grams: DataFrame, ngram: str = "ngram", doc: str = "page_id",
+                 approx_rsd: float | None = None) -> DataFrame:
     """Occurrences and pages per n-gram, in one grouped pass.
 
     Pages is an exact distinct count: Spark de-duplicates (ngram, doc) with a
     map-side partial aggregate first, so a hot n-gram is not one big group.
+    ``approx_rsd`` switches pages to a HyperLogLog++ estimate (billions of
+    n-grams, fixed-size sketches instead of (ngram, doc) pairs).
     """
-    return grams.groupBy(ngram).agg(F.count(F.lit(1)).alias("n"),
-                                    F.countDistinct(doc).alias("pages"))
+    pages = (F.countDistinct(doc) if approx_rsd is None
+             else F.approx_count_distinct(doc, rsd=approx_rsd))
+    return grams.groupBy(ngram).agg(F.count(F.lit(1)).alias("n"), pages.alias("pages"))
 
 
 def host_counts(pages: DataFrame, host: str = "host", page: str = "page_id") -> DataFrame:

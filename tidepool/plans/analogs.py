@@ -580,3 +580,21 @@ def a63(t: Tables) -> DataFrame:
     details = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
     return enrich(fx.listings(t).select("asin", "title"), details, "asin", "l_partkey",
                   ["l_orderkey", "l_linenumber"])
+
+
+# The analog funder group (stands in for the EU funder list).
+FUNDER_GROUP = ("Brand#1", "Brand#2", "Brand#3")
+
+
+@query("a64_funder_table_regroup_after")
+def a64(t: Tables) -> DataFrame:
+    """Funder table with the group formed after counting (the reference's order):
+    per-funder collaborations and works are summed into the group, so shared
+    works are counted once per member (quirk Q3; compare a02)."""
+    from tidepool.operators.clean import recode_group
+    from tidepool.operators.rank import sum_numeric
+    g = fx.grants(t)
+    deg = net.weighted_degree(_pairs(g, "funder", "id"), "item1", "item2", "n")
+    works = net.distinct_counts(g, "funder", "id", "name", "works")
+    table = recode_group(deg.join(works, "name"), "name", FUNDER_GROUP, "GROUP")
+    return sum_numeric(table, "name")

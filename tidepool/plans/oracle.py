@@ -508,3 +508,15 @@ ORACLE.update({
                           row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS rn
                    FROM lineitem) WHERE rn = 1) d ON l.asin = d.l_partkey""", "listings"),
 })
+
+ORACLE.update({
+    "a64_funder_table_regroup_after": _q(
+        """SELECT CASE WHEN d.name IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'GROUP' ELSE d.name END AS name,
+                  CAST(sum(d.total_collaborations) AS BIGINT) AS total_collaborations,
+                  CAST(sum(w.works) AS BIGINT) AS works
+           FROM (SELECT name, CAST(sum(n) AS BIGINT) AS total_collaborations FROM (
+                     SELECT item1 AS name, n FROM pairs UNION ALL SELECT item2, n FROM pairs)
+                 GROUP BY name) d
+           JOIN (SELECT funder AS name, count(DISTINCT id) AS works FROM grants GROUP BY funder) w USING (name)
+           GROUP BY 1""", "grants", extra=_pairs("grants", "funder", "id")),
+})
