@@ -598,3 +598,20 @@ def a64(t: Tables) -> DataFrame:
     works = net.distinct_counts(g, "funder", "id", "name", "works")
     table = recode_group(deg.join(works, "name"), "name", FUNDER_GROUP, "GROUP")
     return sum_numeric(table, "name")
+
+
+@query("a65_country_nodes")
+def a65(t: Tables) -> DataFrame:
+    """Country nodes: weighted degree of country pairs, sized 5-100 over all
+    countries *before* the median threshold (the reference's order, quirk Q5),
+    labelled with their region through the crosswalk."""
+    from tidepool.operators.clean import crosswalk
+    deg = net.weighted_degree(_pairs(fx.authorships(t), "country_code", "id"), "item1", "item2", "n")
+    sized = net.rescale(deg, "total_collaborations", (5.0, 100.0))
+    cut = deg.select(F.percentile("total_collaborations", 0.5)).scalar()
+    kept = sized.where(F.col("total_collaborations") >= cut)
+    n = t.nation.select("n_name", "n_regionkey")
+    labelled = crosswalk(kept.join(n, kept.name == n.n_name, "left"), "n_regionkey", t.region,
+                         "r_regionkey", "r_name", out="category")
+    return labelled.select("name", "category", "total_collaborations",
+                           F.round("symbol_size", 6).alias("symbol_size"))

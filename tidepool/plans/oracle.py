@@ -520,3 +520,18 @@ ORACLE.update({
            JOIN (SELECT funder AS name, count(DISTINCT id) AS works FROM grants GROUP BY funder) w USING (name)
            GROUP BY 1""", "grants", extra=_pairs("grants", "funder", "id")),
 })
+
+ORACLE.update({
+    "a65_country_nodes": _q(
+        """SELECT d.name, coalesce(r_name, 'Unclassified') AS category, d.total_collaborations,
+                  round(d.symbol_size, 6) AS symbol_size
+           FROM (SELECT name, total_collaborations,
+                        CASE WHEN max(total_collaborations) OVER () = min(total_collaborations) OVER () THEN 52.5
+                             ELSE 5 + (total_collaborations - min(total_collaborations) OVER ()) * 95.0
+                                  / (max(total_collaborations) OVER () - min(total_collaborations) OVER ()) END
+                            AS symbol_size
+                 FROM degree) d
+           LEFT JOIN nation ON d.name = n_name LEFT JOIN region ON n_regionkey = r_regionkey
+           WHERE d.total_collaborations >= (SELECT quantile_cont(total_collaborations, 0.5) FROM degree)""",
+        "authorships", extra=_pairs("authorships", "country_code", "id") + "," + _INST_DEGREE),
+})
