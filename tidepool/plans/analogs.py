@@ -606,7 +606,11 @@ def a65(t: Tables) -> DataFrame:
     countries *before* the median threshold (the reference's order, quirk Q5),
     labelled with their region through the crosswalk."""
     from tidepool.operators.clean import crosswalk
-    deg = net.weighted_degree(_pairs(fx.authorships(t), "country_code", "id"), "item1", "item2", "n")
+    from tidepool.session import materialize
+    # One row per country, read by two scalar subqueries and the result:
+    # written once to the checkpoint folder.
+    deg = materialize(net.weighted_degree(_pairs(fx.authorships(t), "country_code", "id"),
+                                          "item1", "item2", "n"))
     sized = net.rescale(deg, "total_collaborations", (5.0, 100.0))
     cut = deg.select(F.percentile("total_collaborations", 0.5)).scalar()
     kept = sized.where(F.col("total_collaborations") >= cut)
