@@ -113,3 +113,13 @@ def test_approximate_distinct_counts_close(spark):
     g = df.select(F.col("k").alias("ngram"), F.col("v").alias("page_id"))
     assert {r.ngram: r.n for r in text.ngram_counts(g, approx_rsd=0.02).collect()} == \
         {r.ngram: r.n for r in text.ngram_counts(g).collect()}
+
+
+def test_survey_operator_names(spark):
+    from tidepool.operators import rank, terms
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 3)], "k string, id int")
+    assert {r.name: r.works for r in rank.distinct_works(df, "k", "id").collect()} == {"a": 2, "b": 1}
+    toks = spark.createDataFrame([(1, "sea"), (1, "reef"), (2, "sea")], "page_id int, w string")
+    da = spark.createDataFrame([("sea",)], "term string")
+    db = spark.createDataFrame([("reef",)], "term string")
+    assert [r.page_id for r in terms.cooccurring_pages(toks, da, db).collect()] == [1]

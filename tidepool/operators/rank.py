@@ -97,3 +97,10 @@ def add_total_row(df: DataFrame, label_col: str, label: str = "Total") -> DataFr
             if f.name != label_col and isinstance(f.dataType, T.NumericType)]
     total = df.agg(*sums).withColumn(label_col, F.lit(label))
     return df.unionByName(total, allowMissingColumns=True)
+
+
+def distinct_works(df: DataFrame, key: str, id_col: str, name: str = "name", out: str = "works",
+                   approx_rsd: float | None = None) -> DataFrame:
+    """Distinct works per entity (the survey's name for ``network.distinct_counts``)."""
+    from tidepool.operators.network import distinct_counts
+    return distinct_counts(df, key, id_col, name, out, approx_rsd)

@@ -119,3 +119,9 @@ def term_density(tokens: DataFrame, dictionary: DataFrame, doc: str = "doc_id",
     j = tokens.join(d, tokens[token] == d["_term"], "left")
     agg = j.groupBy(doc).agg(F.count(F.lit(1)).alias("tokens"), F.count("_term").alias("hits"))
     return agg.withColumn("density", F.round(F.col("hits") / F.col("tokens"), 6))
+
+
+def cooccurring_pages(tokens: DataFrame, dict_a: DataFrame, dict_b: DataFrame, page: str = "page_id",
+                      token: str = "w", term: str = "term") -> DataFrame:
+    """Pages with a hit in each of two dictionaries (``cooccurring_docs`` keyed by page)."""
+    return cooccurring_docs(tokens, dict_a, dict_b, page, token, term)
