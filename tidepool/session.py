@@ -27,18 +27,44 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Starting point on a large cluster (~100 TB inputs, ~1000 executors); the
+# deployment may override any of these.
+# * Scans: 256 MB splits -> ~400k scan tasks for 100 TB.
+# * Shuffles: AQE starts from 40k partitions and coalesces to ~256 MB each,
+#   so a 2-3 TB shuffle (e.g. 77 bn bigram rows) lands at ~100 MB per task
+#   and small shuffles collapse; parallelismFirst off so the advisory size
+#   is honoured on a busy cluster.
+# * Skew: a partition is split when > 4x the median and > 512 MB.
+# * Broadcast: checked sides are at most 256 MB (functions.joins), built on
+#   the driver, hence the result-size and timeout settings.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.driver.maxResultSize": "4g",
+    "spark.sql.broadcastTimeout": "1800",
+}
+
+
 def get_session(app: str = "tidepool", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                conf: dict[str, str] | None = None) -> SparkSession:
+                conf: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
     """Build (or reuse) a session with the defaults above.
 
     ``master`` and ``shuffle_partitions`` are only for local runs; on a
-    cluster they come from the submit configuration.
+    cluster they come from the submit configuration, and ``profile="cluster"``
+    adds ``CLUSTER_CONF``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if profile == "cluster" else {})}
+    for k, v in {**base, **(conf or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
