@@ -29,18 +29,19 @@ DEFAULT_CONF: dict[str, str] = {
 
 # Starting point on a large cluster (~100 TB inputs, ~1000 executors); the
 # deployment may override any of these.
-# * Scans: 256 MB splits -> ~400k scan tasks for 100 TB.
-# * Shuffles: AQE starts from 40k partitions and coalesces to ~256 MB each,
-#   so a 2-3 TB shuffle (e.g. 77 bn bigram rows) lands at ~100 MB per task
-#   and small shuffles collapse; parallelismFirst off so the advisory size
-#   is honoured on a busy cluster.
+# * Scans: 512 MB splits -> ~200k scan tasks for 100 TB.
+# * Shuffles: AQE starts from 16k partitions and coalesces to ~256 MB each,
+#   so a 2-3 TB shuffle (e.g. 77 bn bigram rows) lands at ~150 MB per task
+#   and small shuffles collapse; 200k mappers x 16k reducers keeps the block
+#   count manageable. parallelismFirst is off so the advisory size is
+#   honoured on a busy cluster.
 # * Skew: a partition is split when > 4x the median and > 512 MB.
 # * Broadcast: checked sides are at most 256 MB (functions.joins), built on
 #   the driver, hence the result-size and timeout settings.
 CLUSTER_CONF: dict[str, str] = {
-    "spark.sql.files.maxPartitionBytes": "256MB",
-    "spark.sql.shuffle.partitions": "40000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
