@@ -123,3 +123,10 @@ def test_survey_operator_names(spark):
     da = spark.createDataFrame([("sea",)], "term string")
     db = spark.createDataFrame([("reef",)], "term string")
     assert [r.page_id for r in terms.cooccurring_pages(toks, da, db).collect()] == [1]
+
+
+def test_crosswalk_rejects_duplicated_lookup(spark):
+    codes = spark.createDataFrame([("FR",)], "cc string")
+    lk = spark.createDataFrame([("FR", "France"), ("FR", "Francia")], "code string, economy string")
+    with pytest.raises(ValueError):
+        crosswalk(codes, "cc", lk, "code", "economy")

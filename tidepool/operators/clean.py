@@ -69,15 +69,18 @@ def recode_group(df: DataFrame, cols: str | Sequence[str], members: Iterable[str
 
 def crosswalk(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, label: str,
               out: str = "label", fixes: Mapping[str, str] | None = None,
-              treat_missing: Iterable[str] = (), default: str = "Unclassified") -> DataFrame:
+              treat_missing: Iterable[str] = (), default: str = "Unclassified",
+              check_unique: bool = True) -> DataFrame:
     """Code -> label through a lookup table, with per-code fixes and a default.
 
     ``fixes`` maps a code straight to a label (overrides the lookup);
     labels in ``treat_missing`` count as missing; missing becomes ``default``.
-    The lookup key must be unique (a duplicated key would multiply rows),
-    which is checked when the lookup is small enough to broadcast.
+    The lookup key must be unique: a duplicated key would multiply rows (the
+    reference's silent over-count), so it fails loudly (``check_unique``).
     """
     lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(label).alias("_lbl"))
+    if check_unique:
+        assert_unique(lk, "_lk")
     lk = bounded_broadcast(lk)
     joined = df.join(lk, df[key] == lk["_lk"], "left")
     lbl = F.col("_lbl")
