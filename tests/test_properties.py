@@ -10,7 +10,7 @@ from tidepool.operators import network as net
 from tidepool.operators.clean import fill_down, first_per_key
 from tidepool.operators.places import classify_points
 
-SETTINGS = settings(max_examples=8, deadline=None,
+SETTINGS = settings(max_examples=10, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 names = st.sampled_from(["a", "b", "b-c", "c", "d-", "e", None])
@@ -45,11 +45,11 @@ def test_salted_cooccurrence_equals_plain(spark, rows, hot):
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from("xyz"))),
                 min_size=1, max_size=60),
-       st.sampled_from([1, 3, 7, 1000]))
-def test_fill_down_matches_sequential_scan(spark, rows, chunk):
-    data = [(i, u, v) for i, (u, v) in enumerate(rows)]
+       st.sampled_from([1, 2, 3, 7, 1000]), st.sampled_from([0, 1, 2]), st.sampled_from([1, 97]))
+def test_fill_down_matches_sequential_scan(spark, rows, chunk, levels, stride):
+    data = [(i * stride, u, v) for i, (u, v) in enumerate(rows)]   # stride: sparse ids
     df = spark.createDataFrame(data, "seq long, grp int, v string")
-    got = {r.seq: r.v for r in fill_down(df, "v", "grp", "seq", chunk=chunk).collect()}
+    got = {r.seq: r.v for r in fill_down(df, "v", "grp", "seq", chunk=chunk, levels=levels).collect()}
     last = {}
     want = {}
     for i, u, v in data:

@@ -126,7 +126,7 @@ def enrich(df: DataFrame, details: DataFrame, key: str, detail_key: str,
 
 
 def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
-              chunk: int = 1 << 16) -> DataFrame:
+              chunk: int = 1 << 16, levels: int = 2) -> DataFrame:
     """Fill NULLs in ``col`` with the last non-NULL value before them.
 
     Order is given by a numeric sequence column ``order_by`` (Spark rows have no
@@ -134,21 +134,22 @@ def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
     (group, order_by // chunk) blocks, so a group holding a third of all rows is
     spread over many tasks.
 
-    1. per block: last non-NULL value and its position (a grouped aggregate);
-    2. per block: carry-in = latest of those over earlier blocks of the group
-       (a window over the block summary, ``chunk`` times smaller than the data);
+    1. per block: last non-NULL value (a grouped aggregate);
+    2. per block: carry-in = last of those over earlier blocks of the group,
+       computed the same way one level up (blocks of ``chunk`` blocks), for
+       ``levels`` levels; only the top level is one window per group, over
+       (id range / chunk ** (levels + 1)) rows, so sparse ids cannot make a
+       hot group's window large;
     3. per block: running last non-NULL inside the block, else the carry-in.
+    Every other window partition holds at most ``chunk`` rows.
     """
-    blk = F.floor(F.col(order_by) / F.lit(chunk)).cast("bigint")
-    rows = df.withColumn("_blk", blk)
+    rows = df.withColumn("_blk", F.floor(F.col(order_by) / F.lit(chunk)).cast("bigint"))
     # One row per block; ``_last`` is NULL for blocks without a value (max_by
     # skips rows whose ordering is NULL), and those still get a carry below.
     blocks = (rows.groupBy(partition_by, "_blk")
               .agg(F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.col(order_by)))
                    .alias("_last")))
-    earlier = W.partitionBy(partition_by).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
-    carry = blocks.select(partition_by, "_blk",
-                          F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    carry = _carry_in(blocks, "_last", partition_by, "_blk", chunk, levels)
     inside = W.partitionBy(partition_by, "_blk").orderBy(order_by) \
         .rowsBetween(W.unboundedPreceding, 0)
     filled = rows.join(carry, [partition_by, "_blk"], "left").withColumn(
@@ -156,6 +157,23 @@ def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
     return filled.drop("_blk", "_carry")
 
 
+def _carry_in(t: DataFrame, value: str, part: str, pos: str, chunk: int, levels: int) -> DataFrame:
+    """For each row of ``t`` (one per (part, pos)): the last non-NULL ``value``
+    at an earlier ``pos`` of the same part, as ``_carry``."""
+    if levels <= 0:
+        w = W.partitionBy(part).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
+        return t.select(part, pos, F.last(value, ignorenulls=True).over(w).alias("_carry"))
+    up = f"{pos}_up"
+    tt = t.withColumn(up, F.floor(F.col(pos) / F.lit(chunk)).cast("bigint"))
+    grouped = (tt.groupBy(part, up)
+               .agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(pos))).alias("_v")))
+    higher = _carry_in(grouped, "_v", part, up, chunk, levels - 1).withColumnRenamed("_carry", "_hc")
+    w = W.partitionBy(part, up).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
+    local = tt.select(part, pos, up, F.last(value, ignorenulls=True).over(w).alias("_local"))
+    return (local.join(higher, [part, up], "left")
+            .select(part, pos, F.coalesce("_local", "_hc").alias("_carry")))
+
+
 def exclude_terms(df: DataFrame, col: str, stop: DataFrame | Iterable[str],
                   stop_col: str = "term") -> DataFrame:
     """Drop rows whose ``col`` is on a stop list (generic words, persons, noise)."""
