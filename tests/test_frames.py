@@ -38,3 +38,13 @@ def test_compile_places_prefers_fuller_rows(spark):
     assert got == {1: ("Atlantic Ocean", 10.0), 2: ("Pacific", 5.0), 3: ("Arctic", 80.0)}
     twice = compile_places([a, a], "place_id")
     assert sorted(twice.collect()) == sorted(compile_places([a], "place_id").collect())
+
+
+def test_compare_groups_equals_compare_corpora(spark):
+    from tidepool.operators.corpus import compare_corpora, compare_groups
+    df = spark.createDataFrame([("en", "sea"), ("en", "reef"), ("de", "sea"), ("de", "meer"), ("fr", "mer"),
+                                ("en", "sea")], "lang string, w string")
+    a = {tuple(r) for r in compare_groups(df, "w", "lang", "en", "de").collect()}
+    b = {tuple(r) for r in compare_corpora(df.where("lang = 'en'"), df.where("lang = 'de'"), "w",
+                                           names=("en", "de")).collect()}
+    assert a == b == {("both", 1), ("en_only", 1), ("de_only", 1)}

@@ -34,3 +34,15 @@ def compare_corpora(a: DataFrame, b: DataFrame, key: str, names: tuple[str, str]
     membership = (F.when(F.col("_a") & F.col("_b"), F.lit("both"))
                   .when(F.col("_a"), F.lit(f"{names[0]}_only")).otherwise(F.lit(f"{names[1]}_only")))
     return flags.groupBy(membership.alias("membership")).agg(F.count(F.lit(1)).alias("terms"))
+
+
+def compare_groups(df: DataFrame, key: str, group: str, a: str, b: str) -> DataFrame:
+    """``compare_corpora`` for two groups of one frame (e.g. two languages):
+    one grouped pass of per-key presence flags, partially aggregated map-side,
+    then the membership counts."""
+    d = df.where(F.col(group).isin(a, b))
+    flags = d.groupBy(F.col(key).alias("_k")).agg(F.bool_or(F.col(group) == a).alias("_a"),
+                                                 F.bool_or(F.col(group) == b).alias("_b"))
+    membership = (F.when(F.col("_a") & F.col("_b"), F.lit("both"))
+                  .when(F.col("_a"), F.lit(f"{a}_only")).otherwise(F.lit(f"{b}_only")))
+    return flags.groupBy(membership.alias("membership")).agg(F.count(F.lit(1)).alias("terms"))

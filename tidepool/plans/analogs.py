@@ -392,11 +392,10 @@ def a43(t: Tables) -> DataFrame:
 @query("a44_compare_corpora")
 def a44(t: Tables) -> DataFrame:
     """Vocabulary of English vs German documents: both, only one."""
-    from tidepool.operators.corpus import compare_corpora
-    d = fx.dtok(t).join(t.documents.select("doc_id", "lang").where(F.col("lang").isin("en", "de")),
-                        "doc_id")
-    return compare_corpora(d.where(F.col("lang") == "en"), d.where(F.col("lang") == "de"), "w",
-                           names=("en", "de"))
+    from tidepool.functions import text as tx
+    from tidepool.operators.corpus import compare_groups
+    toks = t.documents.select("lang", F.explode(tx.tokenize("text")).alias("w"))
+    return compare_groups(toks, "w", "lang", "en", "de")
 
 
 # ---- listings --------------------------------------------------------------------
