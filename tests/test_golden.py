@@ -1,7 +1,6 @@
 """Golden micro-fixture: hand-checked expected values for the network slice."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidepool.operators import network as net
 from tidepool.operators.clean import disambiguate_names
