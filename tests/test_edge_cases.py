@@ -130,3 +130,10 @@ def test_crosswalk_rejects_duplicated_lookup(spark):
     lk = spark.createDataFrame([("FR", "France"), ("FR", "Francia")], "code string, economy string")
     with pytest.raises(ValueError):
         crosswalk(codes, "cc", lk, "code", "economy")
+
+
+def test_count_ratio_rounds_ties_half_up_exactly(spark):
+    from tidepool.functions.scalars import count_ratio
+    df = spark.createDataFrame([(41, 640), (1, 3), (2, 3), (0, 5), (7, 0), (1, 8000000)], "n long, d long")
+    got = [r.q for r in df.select(count_ratio("n", "d").alias("q")).collect()]
+    assert got == [0.064063, 0.333333, 0.666667, 0.0, None, 0.0]

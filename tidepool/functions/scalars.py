@@ -39,3 +39,24 @@ def unordered_pair(a: str | Column, b: str | Column) -> Column:
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
     return F.struct(F.least(ca, cb).alias("lo"), F.greatest(ca, cb).alias("hi"))
+
+
+def count_ratio(num: str | Column, den: str | Column, digits: int = 6) -> Column:
+    """``num / den`` for non-negative counts, rounded half-up to ``digits``
+    places exactly (integer arithmetic), as a double; NULL when ``den`` is 0.
+
+    Rounding the floating quotient instead would depend on how an engine
+    rounds binary doubles at ties such as 41/640 = 0.0640625.
+    """
+    n = (F.col(num) if isinstance(num, str) else num).cast("bigint")
+    d = (F.col(den) if isinstance(den, str) else den).cast("bigint")
+    scale = 10 ** digits
+    num_expr = n * F.lit(2 * scale) + d
+    den_expr = d * F.lit(2)
+    quotient = F.when(d > 0, _int_div(num_expr, den_expr))
+    return quotient.cast("double") / F.lit(float(scale))
+
+
+def _int_div(a: Column, b: Column) -> Column:
+    """Integral division of two non-negative bigints."""
+    return ((a - F.pmod(a, b)) / b).cast("bigint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tidepool.functions.scalars import count_ratio
 
 
 def _present(other: DataFrame, key: str) -> DataFrame:
@@ -18,13 +19,13 @@ def field_coverage(df: DataFrame, other: DataFrame, key: str, by: str, out: str
     """
     j = df.join(_present(other, key), df[key] == F.col("_key"), "left")
     agg = j.groupBy(by).agg(F.count(F.lit(1)).alias("documents"), F.count("_hit").alias("labelled"))
-    return agg.withColumn(out, F.round(F.col("labelled") / F.col("documents"), 6))
+    return agg.withColumn(out, count_ratio("labelled", "documents"))
 
 
 def column_coverage(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: non-missing rows over all rows (one aggregate)."""
     return df.agg(F.count(F.lit(1)).alias("rows"),
-                  *[F.round(F.count(c) / F.count(F.lit(1)), 6).alias(c) for c in cols])
+                  *[count_ratio(F.count(c), F.count(F.lit(1))).alias(c) for c in cols])
 
 
 def match_report(df: DataFrame, other: DataFrame, key: str, by: str) -> DataFrame:

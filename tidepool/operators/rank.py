@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tidepool.functions.scalars import count_ratio
 
 
 def frequency(df: DataFrame, col: str | Sequence[str], out: str = "n") -> DataFrame:
@@ -29,7 +30,7 @@ def outcome_share(df: DataFrame, flag: str, out: str = "share") -> DataFrame:
     """Rows per outcome value and its share of all rows (denominator as a scalar subquery)."""
     total = df.select(F.count(F.lit(1))).scalar()
     per = df.groupBy(flag).agg(F.count(F.lit(1)).alias("n"))
-    return per.withColumn(out, F.round(F.col("n") / total, 6))
+    return per.withColumn(out, count_ratio(F.col("n"), total))
 
 
 def membership_share(df: DataFrame, group: str, id_col: str, out: str = "share") -> DataFrame:
@@ -41,7 +42,7 @@ def membership_share(df: DataFrame, group: str, id_col: str, out: str = "share")
     d = df.where(F.col(group).isNotNull())
     total = d.select(F.countDistinct(id_col)).scalar()
     per = d.groupBy(group).agg(F.countDistinct(id_col).alias("works"))
-    return per.withColumn(out, F.round(F.col("works") / total, 6))
+    return per.withColumn(out, count_ratio(F.col("works"), total))
 
 
 def region_rollup(df: DataFrame, levels: Sequence[str], id_col: str, out: str = "works") -> DataFrame:

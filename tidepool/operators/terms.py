@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import text as tx
 from tidepool.functions.joins import bounded_broadcast
+from tidepool.functions.scalars import count_ratio
 
 
 def term_hits(tokens: DataFrame, dictionary: DataFrame, token: str = "w",
@@ -118,7 +119,7 @@ def term_density(tokens: DataFrame, dictionary: DataFrame, doc: str = "doc_id",
     d = bounded_broadcast(dictionary.select(F.col(term).alias("_term")).distinct())
     j = tokens.join(d, tokens[token] == d["_term"], "left")
     agg = j.groupBy(doc).agg(F.count(F.lit(1)).alias("tokens"), F.count("_term").alias("hits"))
-    return agg.withColumn("density", F.round(F.col("hits") / F.col("tokens"), 6))
+    return agg.withColumn("density", count_ratio("hits", "tokens"))
 
 
 def cooccurring_pages(tokens: DataFrame, dict_a: DataFrame, dict_b: DataFrame, page: str = "page_id",

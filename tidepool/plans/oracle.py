@@ -260,7 +260,7 @@ ORACLE.update({
         "dtok", "dict_a", "dict_b"),
     "a24_term_density": _q(
         """SELECT doc_id, count(*) AS tokens, count(d.term) AS hits,
-                  round(count(d.term) / count(*), 6) AS density
+                  CAST((count(d.term) * 2000000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000 AS density
            FROM dtok LEFT JOIN dict_a d ON dtok.w = d.term GROUP BY doc_id""",
         "dtok", "dict_a"),
 })
@@ -320,8 +320,10 @@ ORACLE.update({
            SELECT 'Total', count(*), count(*) FROM scored""", "criteria", extra=_SCORE),
     "a27_membership_share": _q(
         """SELECT region, count(DISTINCT id) AS works,
-                  round(count(DISTINCT id) / (SELECT count(DISTINCT id) FROM authorships
-                                              WHERE region IS NOT NULL), 6) AS share
+                  CAST((count(DISTINCT id) * 2000000 + (SELECT count(DISTINCT id) FROM authorships
+                                                         WHERE region IS NOT NULL))
+                       // (2 * (SELECT count(DISTINCT id) FROM authorships WHERE region IS NOT NULL))
+                       AS DOUBLE) / 1000000 AS share
            FROM authorships WHERE region IS NOT NULL GROUP BY region""", "authorships"),
     "a28_region_rollup": _q(
         """SELECT region, country_code, CAST(GROUPING(region, country_code) AS INT) AS level,
@@ -329,7 +331,7 @@ ORACLE.update({
            FROM authorships GROUP BY ROLLUP (region, country_code)""", "authorships"),
     "a29_field_coverage": _q(
         """SELECT d.source, count(*) AS documents, count(l.doc_id) AS labelled,
-                  round(count(l.doc_id) / count(*), 6) AS coverage
+                  CAST((count(l.doc_id) * 2000000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000 AS coverage
            FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)
            GROUP BY d.source"""),
     "a30_match_report": _q(
@@ -440,8 +442,8 @@ ORACLE.update({
                  FROM orders GROUP BY 1, 2)
            WHERE year < 2000 GROUP BY status"""),
     "a52_column_coverage": _q(
-        """SELECT count(*) AS rows, round(count(l.quality) / count(*), 6) AS quality,
-                  round(count(l.toxic) / count(*), 6) AS toxic
+        """SELECT count(*) AS rows, CAST((count(l.quality) * 2000000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000 AS quality,
+                  CAST((count(l.toxic) * 2000000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000 AS toxic
            FROM documents d LEFT JOIN labels l USING (doc_id)"""),
     "a53_family_size": _q(
         "SELECT family_id, count(DISTINCT pub_id) AS members FROM patents GROUP BY family_id",
@@ -459,7 +461,7 @@ ORACLE.update({
            UNION ALL SELECT 'Total', count(*) FROM part"""),
     "a58_outcome_share": _q(
         """SELECT quality, count(*) AS n,
-                  round(count(*) / (SELECT count(*) FROM labels), 6) AS share
+                  CAST((count(*) * 2000000 + (SELECT count(*) FROM labels)) // (2 * (SELECT count(*) FROM labels)) AS DOUBLE) / 1000000 AS share
            FROM labels GROUP BY quality"""),
     "a59_reference_unigrams": _q(
         f"""SELECT trim(w) AS ngram, count(*) AS n FROM (
