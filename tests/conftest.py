@@ -6,7 +6,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+# Scale of the differential check (the driver's gate runs sf0.01).
+SF_CHECK = os.environ.get("TIDEPOOL_CHECK_SF", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
