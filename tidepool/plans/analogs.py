@@ -47,7 +47,11 @@ def _inst_works(t: Tables) -> DataFrame:
 
 
 def _inst_country(t: Tables) -> DataFrame:
-    return fx.inst(t).select(F.col("display_name").alias("name"), "country_code").distinct()
+    # After disambiguation a name has exactly one country; grouping by name
+    # (not distinct on both) leaves the table hash-partitioned by name like the
+    # degree and works aggregates, so the entity-table joins need no shuffle.
+    return (fx.inst(t).groupBy(F.col("display_name").alias("name"))
+            .agg(F.min("country_code").alias("country_code")))
 
 
 def _inst_nodes(t: Tables) -> DataFrame:

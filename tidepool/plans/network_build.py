@@ -37,7 +37,9 @@ def build_network(links: DataFrame, out_dir: str, item: str = "display_name", fe
 
     degree = net.weighted_degree(pairs, "item1", "item2", "n")
     works = net.distinct_counts(named, item, feature, "name", "works")
-    attrs = named.select(F.col(item).alias("name"), F.col(category).alias("category")).distinct()
+    # One category per (disambiguated) name; grouped by name so the three
+    # name-keyed tables share one partitioning and join without a shuffle.
+    attrs = named.groupBy(F.col(item).alias("name")).agg(F.min(category).alias("category"))
     io.write_table(net.entity_table(degree, works, attrs), paths["entities"])
     entities = spark.read.parquet(paths["entities"])
 
