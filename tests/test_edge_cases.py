@@ -137,3 +137,13 @@ def test_count_ratio_rounds_ties_half_up_exactly(spark):
     df = spark.createDataFrame([(41, 640), (1, 3), (2, 3), (0, 5), (7, 0), (1, 8000000)], "n long, d long")
     got = [r.q for r in df.select(count_ratio("n", "d").alias("q")).collect()]
     assert got == [0.064063, 0.333333, 0.666667, 0.0, None, 0.0]
+
+
+def test_rescale_rounds_exactly(spark):
+    df = spark.createDataFrame([(0,), (1,), (128,)], "v long")
+    got = sorted(r.symbol_size for r in net.rescale(df, "v", (5.0, 100.0), digits=6).collect())
+    assert got == [5.0, 5.742188, 100.0]            # 5 + 95/128 = 5.7421875, a tie
+    flat = spark.createDataFrame([(3,), (3,)], "v long")
+    assert {r.symbol_size for r in net.rescale(flat, "v", digits=6).collect()} == {52.5}
+    dbl = spark.createDataFrame([(0.0,), (0.5,), (2.0,)], "v double")
+    assert sorted(r.symbol_size for r in net.rescale(dbl, "v", digits=6).collect()) == [5.0, 28.75, 100.0]

@@ -4,24 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Uninomial / binomial: first blank-delimited word, then the next one.
 FIRST_WORD = r"^([^ ]+)"
 SECOND_WORD = r"^[^ ]+ +([^ ]+)"
 
 
-def rescale_column(df: DataFrame, col: str, lo: float, hi: float) -> Column:
+def rescale_column(df: DataFrame, col: str, lo: float, hi: float, digits: int | None = None) -> Column:
     """Linear map of ``col`` onto [lo, hi] using the table's min and max.
 
     min/max come from one scalar subquery over ``df`` (Spark merges both into a
     single aggregate job): no cross join and no un-partitioned window. When
-    max = min every value maps to the midpoint.
+    max = min every value maps to the midpoint. With ``digits`` the result is
+    rounded half-up; for an integral column and integral bounds the value is
+    the exact fraction (lo*(mx-mn) + (hi-lo)*(v-mn)) / (mx-mn), rounded in
+    integer arithmetic, so ties do not depend on binary doubles.
     """
     mn = df.select(F.min(col)).scalar()
     mx = df.select(F.max(col)).scalar()
+    mid = F.lit((lo + hi) / 2.0)
+    integral = (isinstance(df.schema[col].dataType, T.IntegralType)
+                and float(lo).is_integer() and float(hi).is_integer())
+    if digits is not None and integral:
+        span = (mx - mn).cast("bigint")
+        num = F.lit(int(lo)) * span + F.lit(int(hi - lo)) * (F.col(col) - mn).cast("bigint")
+        return F.when(mx == mn, mid).otherwise(count_ratio(num, span, digits))
     span = (mx - mn).cast("double")
     scaled = F.lit(float(lo)) + (F.col(col) - mn).cast("double") * F.lit(float(hi - lo)) / span
-    return F.when(mx == mn, F.lit((lo + hi) / 2.0)).otherwise(scaled)
+    value = F.when(mx == mn, mid).otherwise(scaled)
+    return F.round(value, digits) if digits is not None else value
 
 
 def genus(name: str | Column) -> Column:

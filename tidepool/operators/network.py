@@ -128,14 +128,15 @@ def entity_table(degree: DataFrame, works: DataFrame, attrs: DataFrame,
 
 
 def rescale(df: DataFrame, col: str, to: tuple[float, float] = (5.0, 100.0),
-            out: str = "symbol_size") -> DataFrame:
-    """Add ``out`` = ``col`` linearly mapped onto ``to`` (midpoint when flat)."""
-    return df.withColumn(out, rescale_column(df, col, to[0], to[1]))
+            out: str = "symbol_size", digits: int | None = None) -> DataFrame:
+    """Add ``out`` = ``col`` linearly mapped onto ``to`` (midpoint when flat),
+    optionally rounded half-up to ``digits`` places (exactly for integers)."""
+    return df.withColumn(out, rescale_column(df, col, to[0], to[1], digits))
 
 
 def graph_nodes(entities: DataFrame, name: str, category: str, value: str,
                 threshold: float | str = "median", to: tuple[float, float] = (5.0, 100.0),
-                label_above: float = 16.0) -> DataFrame:
+                label_above: float = 16.0, digits: int | None = None) -> DataFrame:
     """Nodes above a size threshold, sized onto ``to``, with a label flag.
 
     ``threshold`` is a number (keep value >= threshold) or ``"median"`` (exact
@@ -150,7 +151,7 @@ def graph_nodes(entities: DataFrame, name: str, category: str, value: str,
     else:
         cut = F.lit(threshold)
     kept = ents.where(F.col("value") >= cut)
-    sized = rescale(kept, "value", to, "symbol_size")
+    sized = rescale(kept, "value", to, "symbol_size", digits)
     return sized.withColumn("show_label", F.col("symbol_size") > F.lit(label_above))
 
 

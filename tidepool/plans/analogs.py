@@ -56,7 +56,7 @@ def _inst_country(t: Tables) -> DataFrame:
 
 def _inst_nodes(t: Tables) -> DataFrame:
     ents = _inst_works(t).join(_inst_country(t), "name")
-    return net.graph_nodes(ents, "name", "country_code", "works", threshold="median")
+    return net.graph_nodes(ents, "name", "country_code", "works", threshold="median", digits=6)
 
 
 @query("a01_disambiguate_names")
@@ -127,14 +127,13 @@ def a09(t: Tables) -> DataFrame:
 @query("a10_rescale")
 def a10(t: Tables) -> DataFrame:
     """Works rescaled onto 5-100."""
-    r = net.rescale(_inst_works(t), "works", (5.0, 100.0))
-    return r.withColumn("symbol_size", F.round("symbol_size", 6))
+    return net.rescale(_inst_works(t), "works", (5.0, 100.0), digits=6)
 
 
 @query("a11_graph_nodes")
 def a11(t: Tables) -> DataFrame:
     """Graph nodes: institutions with works >= median, sized 5-100."""
-    return _inst_nodes(t).withColumn("symbol_size", F.round("symbol_size", 6))
+    return _inst_nodes(t)
 
 
 @query("a12_graph_links")
@@ -614,11 +613,10 @@ def a65(t: Tables) -> DataFrame:
     # written once to the checkpoint folder.
     deg = materialize(net.weighted_degree(_pairs(fx.authorships(t), "country_code", "id"),
                                           "item1", "item2", "n"))
-    sized = net.rescale(deg, "total_collaborations", (5.0, 100.0))
+    sized = net.rescale(deg, "total_collaborations", (5.0, 100.0), digits=6)
     cut = deg.select(F.percentile("total_collaborations", 0.5)).scalar()
     kept = sized.where(F.col("total_collaborations") >= cut)
     n = t.nation.select("n_name", "n_regionkey")
     labelled = crosswalk(kept.join(n, kept.name == n.n_name, "left"), "n_regionkey", t.region,
                          "r_regionkey", "r_name", out="category")
-    return labelled.select("name", "category", "total_collaborations",
-                           F.round("symbol_size", 6).alias("symbol_size"))
+    return labelled.select("name", "category", "total_collaborations", "symbol_size")

@@ -127,6 +127,15 @@ def _pairs(source: str, item: str, feature: str) -> str:
                   GROUP BY a.item, b.item)"""
 
 
+def _rescale_sql(v: str, lo: int = 5, hi: int = 100) -> str:
+    """Exact half-up rounding to 6 places of lo + (hi-lo)*(v-mn)/(mx-mn)."""
+    mn, mx = f"min({v}) OVER ()", f"max({v}) OVER ()"
+    span = f"({mx} - {mn})"
+    num = f"({lo} * {span} + {hi - lo} * ({v} - {mn}))"
+    return (f"CASE WHEN {mx} = {mn} THEN {(lo + hi) / 2} "
+            f"ELSE CAST(({num} * 2000000 + {span}) // (2 * {span}) AS DOUBLE) / 1000000 END")
+
+
 _INST_LINKS = _pairs("inst", "display_name", "id")
 _INST_WORKS = """
         works AS (SELECT display_name AS name, count(DISTINCT id) AS works
@@ -140,10 +149,7 @@ _INST_NODES = """
         med AS (SELECT quantile_cont(works, 0.5) AS m FROM works),
         kept AS (SELECT w.name, c.country_code AS category, w.works AS value
                  FROM works w JOIN country c USING (name) WHERE w.works >= (SELECT m FROM med)),
-        nodes AS (SELECT name, category, value,
-                         CASE WHEN max(value) OVER () = min(value) OVER () THEN 52.5
-                              ELSE 5 + (value - min(value) OVER ()) * 95.0
-                                       / (max(value) OVER () - min(value) OVER ()) END AS symbol_size
+        nodes AS (SELECT name, category, value, """ + _rescale_sql("value") + """ AS symbol_size
                   FROM kept)"""
 
 
@@ -190,15 +196,10 @@ ORACLE: dict[str, str] = {
            JOIN (SELECT DISTINCT display_name AS name, country_code FROM inst) c USING (name)""",
         "inst", extra=_INST_LINKS + "," + _INST_DEGREE + "," + _INST_WORKS),
     "a10_rescale": _q(
-        """SELECT name, works,
-                  round(CASE WHEN max(works) OVER () = min(works) OVER () THEN 52.5
-                             ELSE 5 + (works - min(works) OVER ()) * 95.0
-                                      / (max(works) OVER () - min(works) OVER ()) END, 6)
-                      AS symbol_size
-           FROM works""", "inst", extra=_INST_WORKS),
+        "SELECT name, works, " + _rescale_sql("works") + " AS symbol_size FROM works",
+        "inst", extra=_INST_WORKS),
     "a11_graph_nodes": _q(
-        """SELECT name, category, value, round(symbol_size, 6) AS symbol_size,
-                  symbol_size > 16 AS show_label FROM nodes""",
+        """SELECT name, category, value, symbol_size, symbol_size > 16 AS show_label FROM nodes""",
         "inst", extra=_INST_WORKS + "," + _INST_NODES),
     "a12_graph_links": _q(
         """SELECT DISTINCT item1 AS source, item2 AS target FROM pairs
@@ -526,11 +527,8 @@ ORACLE.update({
 ORACLE.update({
     "a65_country_nodes": _q(
         """SELECT d.name, coalesce(r_name, 'Unclassified') AS category, d.total_collaborations,
-                  round(d.symbol_size, 6) AS symbol_size
-           FROM (SELECT name, total_collaborations,
-                        CASE WHEN max(total_collaborations) OVER () = min(total_collaborations) OVER () THEN 52.5
-                             ELSE 5 + (total_collaborations - min(total_collaborations) OVER ()) * 95.0
-                                  / (max(total_collaborations) OVER () - min(total_collaborations) OVER ()) END
+                  d.symbol_size
+           FROM (SELECT name, total_collaborations, """ + _rescale_sql("total_collaborations") + """
                             AS symbol_size
                  FROM degree) d
            LEFT JOIN nation ON d.name = n_name LEFT JOIN region ON n_regionkey = r_regionkey
