@@ -86,3 +86,8 @@ def test_regroup_after_overcounts(spark):
     after = {r.name: r.works for r in q(spark, "a64_funder_table_regroup_after").collect()}
     assert after["GROUP"] >= before["GROUP"]
     assert {k: v for k, v in after.items() if k != "GROUP"} == {k: v for k, v in before.items() if k != "GROUP"}
+
+
+def test_rescale_spans_bounds(spark):
+    r = q(spark, "a10_rescale").agg(F.min("symbol_size"), F.max("symbol_size")).first()
+    assert (r[0], r[1]) == (5.0, 100.0)
