@@ -1,0 +1 @@
+"""Fixtures, registered analog queries, their DuckDB oracle, and end-to-end jobs."""
