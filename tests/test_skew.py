@@ -70,3 +70,12 @@ def test_hot_name_disambiguation(spark):
     got = Counter(r.name for r in disambiguate_names(df, "name", "cc").collect())
     assert got["Big Lab (FR)"] == 150 and got["Big Lab (JP)"] == 150
     assert sum(v for k, v in got.items() if k.startswith("Lab")) == 600
+
+
+def test_fill_down_levels_follow_id_range(spark):
+    from tidepool.operators.clean import _levels_for
+    dense = spark.range(1000).withColumnRenamed("id", "seq")
+    sparse = spark.range(1000).selectExpr("id * 1000003 AS seq")
+    assert _levels_for(dense, "seq", 16) == 1          # 999 // 16 = 62 blocks >= 16 -> one level up
+    assert _levels_for(dense, "seq", 1 << 16) == 0
+    assert _levels_for(sparse, "seq", 16) >= 3

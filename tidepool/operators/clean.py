@@ -126,7 +126,7 @@ def enrich(df: DataFrame, details: DataFrame, key: str, detail_key: str,
 
 
 def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
-              chunk: int = 1 << 16, levels: int = 2) -> DataFrame:
+              chunk: int = 1 << 16, levels: int | None = None) -> DataFrame:
     """Fill NULLs in ``col`` with the last non-NULL value before them.
 
     Order is given by a numeric sequence column ``order_by`` (Spark rows have no
@@ -142,7 +142,13 @@ def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
        hot group's window large;
     3. per block: running last non-NULL inside the block, else the carry-in.
     Every other window partition holds at most ``chunk`` rows.
+
+    ``levels=None`` derives the level count from the id range (one aggregate
+    over the ordering column): just enough levels for the top-level window to
+    hold at most ``chunk`` rows per group.
     """
+    if levels is None:
+        levels = _levels_for(df, order_by, chunk)
     rows = df.withColumn("_blk", F.floor(F.col(order_by) / F.lit(chunk)).cast("bigint"))
     # One row per block; ``_last`` is NULL for blocks without a value (max_by
     # skips rows whose ordering is NULL), and those still get a carry below.
@@ -157,6 +163,15 @@ def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
     return filled.drop("_blk", "_carry")
 
 
+def _levels_for(df: DataFrame, order_by: str, chunk: int) -> int:
+    r = df.agg((F.max(order_by) - F.min(order_by)).alias("span")).first()["span"]
+    span, levels = (int(r) if r is not None else 0) // chunk, 0
+    while span >= chunk:
+        span //= chunk
+        levels += 1
+    return levels
+
+
 def _carry_in(t: DataFrame, value: str, part: str, pos: str, chunk: int, levels: int) -> DataFrame:
     """For each row of ``t`` (one per (part, pos)): the last non-NULL ``value``
     at an earlier ``pos`` of the same part, as ``_carry``."""
