@@ -97,3 +97,14 @@ def test_parquet_partitioned_write(spark, scratch):
     assert {d for d in os.listdir(out) if d.startswith("lang=")} == {"lang=de", "lang=en"}
     back = io.read_table(spark, out).where("lang = 'en'")
     assert sorted(r.v for r in back.collect()) == [1, 3]
+
+
+def test_language_partitions_are_pruned(spark, scratch):
+    from tidepool.plans.verify import plan_text
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    out = os.path.join(scratch, "docs_by_lang")
+    io.write_table(docs, out, partition_by=["lang"])
+    en = io.read_table(spark, out).where("lang = 'en'").select("doc_id")
+    plan = plan_text(en)
+    assert "PartitionFilters: [isnotnull(lang" in plan and "(lang#" in plan and "= en)" in plan
+    assert en.count() == docs.where("lang = 'en'").count()
