@@ -91,3 +91,12 @@ def test_regroup_after_overcounts(spark):
 def test_rescale_spans_bounds(spark):
     r = q(spark, "a10_rescale").agg(F.min("symbol_size"), F.max("symbol_size")).first()
     assert (r[0], r[1]) == (5.0, 100.0)
+
+
+def test_nested_three_way_counts_equal_distinct(spark):
+    from tidepool.operators.patents import three_way_counts
+    from tidepool.plans import fixtures as fx
+    p = fx.patents(fx.Tables(spark, SF_SMALL))
+    a = sorted(tuple(r) for r in three_way_counts(p).collect())
+    b = sorted(tuple(r) for r in three_way_counts(p, nested=True).collect())
+    assert a == b
