@@ -147,3 +147,10 @@ def test_rescale_rounds_exactly(spark):
     assert {r.symbol_size for r in net.rescale(flat, "v", digits=6).collect()} == {52.5}
     dbl = spark.createDataFrame([(0.0,), (0.5,), (2.0,)], "v double")
     assert sorted(r.symbol_size for r in net.rescale(dbl, "v", digits=6).collect()) == [5.0, 28.75, 100.0]
+
+
+def test_graph_nodes_approximate_median(spark):
+    ents = spark.range(1, 1001).selectExpr("CAST(id AS STRING) AS name", "'c' AS category", "id AS works")
+    exact = net.graph_nodes(ents, "name", "category", "works", threshold="median").count()
+    approx = net.graph_nodes(ents, "name", "category", "works", threshold="median_approx").count()
+    assert exact == 500 and abs(approx - exact) <= 5

@@ -139,8 +139,10 @@ def graph_nodes(entities: DataFrame, name: str, category: str, value: str,
                 label_above: float = 16.0, digits: int | None = None) -> DataFrame:
     """Nodes above a size threshold, sized onto ``to``, with a label flag.
 
-    ``threshold`` is a number (keep value >= threshold) or ``"median"`` (exact
-    median of ``value`` over all entities, as one scalar subquery).
+    ``threshold`` is a number (keep value >= threshold), ``"median"`` (exact
+    median of ``value`` over all entities, as one scalar subquery) or
+    ``"median_approx"`` (``percentile_approx``, a fixed-size sketch for very
+    large entity tables).
     """
     # One row per entity, read by the median, the min/max and the result:
     # written once to the checkpoint folder instead of recomputed three times.
@@ -148,6 +150,8 @@ def graph_nodes(entities: DataFrame, name: str, category: str, value: str,
                                        F.col(value).alias("value")))
     if threshold == "median":
         cut = ents.select(F.percentile("value", 0.5)).scalar()
+    elif threshold == "median_approx":
+        cut = ents.select(F.percentile_approx("value", 0.5, 10000)).scalar()
     else:
         cut = F.lit(threshold)
     kept = ents.where(F.col("value") >= cut)
