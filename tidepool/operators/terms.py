@@ -126,3 +126,24 @@ def cooccurring_pages(tokens: DataFrame, dict_a: DataFrame, dict_b: DataFrame, p
                       token: str = "w", term: str = "term") -> DataFrame:
     """Pages with a hit in each of two dictionaries (``cooccurring_docs`` keyed by page)."""
     return cooccurring_docs(tokens, dict_a, dict_b, page, token, term)
+
+
+def sentence_hits(sentences: DataFrame, dictionary: DataFrame, doc: str = "doc_id",
+                  sentence: str = "sentence", term: str = "term") -> DataFrame:
+    """Dictionary hits inside sentences: (doc, sentence, term, ...) rows.
+
+    Sentences are expected de-duplicated within their document; each is
+    tokenised in place (lower-cased, split on blanks) and its tokens matched
+    against the checked dictionary, so sentence text is never shuffled for
+    the match.
+    """
+    toks = sentences.select(doc, sentence, F.explode(tx.tokenize(sentence)).alias("_tok"))
+    d = bounded_broadcast(dictionary)
+    return toks.join(d, toks["_tok"] == d[term]).drop("_tok")
+
+
+def sentence_label_counts(hits: DataFrame, label: str = "label", doc: str = "doc_id",
+                          sentence: str = "sentence") -> DataFrame:
+    """Sentences and documents with at least one hit, per dictionary label."""
+    return hits.groupBy(label).agg(F.countDistinct(doc, sentence).alias("sentences"),
+                                   F.countDistinct(doc).alias("documents"))

@@ -620,3 +620,12 @@ def a65(t: Tables) -> DataFrame:
     labelled = crosswalk(kept.join(n, kept.name == n.n_name, "left"), "n_regionkey", t.region,
                          "r_regionkey", "r_name", out="category")
     return labelled.select("name", "category", "total_collaborations", "symbol_size")
+
+
+@query("a66_sentence_hits")
+def a66(t: Tables) -> DataFrame:
+    """Sentences (distinct within a document) and documents naming a dictionary
+    term, per label."""
+    from tidepool.operators import terms, text
+    sents = text.dedupe_sentences(text.sentences(t.documents, "text", "doc_id"))
+    return terms.sentence_label_counts(terms.sentence_hits(sents, fx.dict_a(t)))

@@ -535,3 +535,13 @@ ORACLE.update({
            WHERE d.total_collaborations >= (SELECT quantile_cont(total_collaborations, 0.5) FROM degree)""",
         "authorships", extra=_pairs("authorships", "country_code", "id") + "," + _INST_DEGREE),
 })
+
+ORACLE.update({
+    "a66_sentence_hits": _q(
+        """SELECT d.label, count(DISTINCT {'d': u.doc_id, 's': u.s}) AS sentences,
+                  count(DISTINCT u.doc_id) AS documents
+           FROM (SELECT doc_id, s, unnest(string_split(lower(s), ' ')) AS w
+                 FROM (SELECT DISTINCT doc_id, s FROM sents)) u
+           JOIN dict_a d ON u.w = d.term
+           GROUP BY d.label""", "sents", "dict_a"),
+})
