@@ -629,3 +629,60 @@ def a66(t: Tables) -> DataFrame:
     from tidepool.operators import terms, text
     sents = text.dedupe_sentences(text.sentences(t.documents, "text", "doc_id"))
     return terms.sentence_label_counts(terms.sentence_hits(sents, fx.dict_a(t)))
+
+
+@query("a67_compile_places")
+def a67(t: Tables) -> DataFrame:
+    """Two nation gazetteers (supplier side: counts only; customer side: name
+    and counts) compiled into one row per place, the fuller row winning."""
+    from tidepool.operators.places import compile_places
+    sup = t.supplier.groupBy(F.col("s_nationkey").alias("place_id")).agg(
+        F.count(F.lit(1)).alias("suppliers"))
+    n = t.nation.select("n_nationkey", "n_name")
+    cus = (t.customer.join(n, t.customer.c_nationkey == n.n_nationkey)
+           .groupBy(F.col("c_nationkey").alias("place_id"), F.col("n_name").alias("name"))
+           .agg(F.count(F.lit(1)).alias("customers")))
+    return compile_places([sup, cus], "place_id").select("place_id", "suppliers", "name", "customers")
+
+
+@query("a68_separate_urls")
+def a68(t: Tables) -> DataFrame:
+    """Page URLs separated into scheme and remainder; pages per scheme."""
+    from tidepool.operators.frames import separate
+    from tidepool.operators.rank import frequency
+    parts = separate(t.pages.select("page_id", "url"), "url", ["scheme", "rest"], "://")
+    return frequency(parts, "scheme")
+
+
+@query("a69_missing_values")
+def a69(t: Tables) -> DataFrame:
+    """Event labels with missing ones filled, counted; plus rows kept when
+    missing labels are dropped instead."""
+    from tidepool.operators.frames import drop_missing, fill_missing
+    from tidepool.operators.rank import frequency
+    s = fx.seq(t)
+    filled = frequency(fill_missing(s, {"label": "none"}), "label")
+    kept = drop_missing(s, ["label"]).agg(F.count(F.lit(1)).alias("kept"))
+    return filled.unionByName(kept.select(F.lit("(kept after drop)").alias("label"),
+                                          F.col("kept").alias("n")))
+
+
+@query("a70_reshape_parts")
+def a70(t: Tables) -> DataFrame:
+    """Part columns renamed by position, price moved to the front, first
+    three columns kept."""
+    from tidepool.operators.frames import relocate, rename_all, select_positions
+    p = t.part.select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    renamed = rename_all(p, ["id", "title", "brand", "price"])
+    return select_positions(relocate(renamed, ["price"]), 3)
+
+
+@query("a71_graph_document_sizes")
+def a71(t: Tables) -> DataFrame:
+    """Element counts of the assembled graph document (nodes, links, categories)."""
+    from tidepool.sources.io import graph_document
+    nodes = _inst_nodes(t)
+    doc = graph_document(nodes, net.graph_links(_inst_links(t), nodes), net.graph_categories(nodes))
+    return doc.select(F.size("nodes").cast("bigint").alias("nodes"),
+                      F.size("links").cast("bigint").alias("links"),
+                      F.size("categories").cast("bigint").alias("categories"))

@@ -545,3 +545,34 @@ ORACLE.update({
            JOIN dict_a d ON u.w = d.term
            GROUP BY d.label""", "sents", "dict_a"),
 })
+
+ORACLE.update({
+    "a67_compile_places": _q(
+        """SELECT place_id, suppliers, name, customers FROM (
+               SELECT *, row_number() OVER (PARTITION BY place_id
+                          ORDER BY filled DESC, src, suppliers DESC NULLS LAST, name DESC NULLS LAST,
+                                   customers DESC NULLS LAST) AS rn
+               FROM (SELECT s_nationkey AS place_id, count(*) AS suppliers, NULL::VARCHAR AS name,
+                            NULL::BIGINT AS customers, 1 AS filled, 0 AS src
+                     FROM supplier GROUP BY s_nationkey
+                     UNION ALL
+                     SELECT c_nationkey, NULL::BIGINT, n_name, count(*), 2, 1
+                     FROM customer JOIN nation ON c_nationkey = n_nationkey
+                     GROUP BY c_nationkey, n_name))
+           WHERE rn = 1"""),
+    "a68_separate_urls": _q(
+        "SELECT split_part(url, '://', 1) AS scheme, count(*) AS n FROM pages GROUP BY 1"),
+    "a69_missing_values": _q(
+        """SELECT coalesce(label, 'none') AS label, count(*) AS n FROM seq GROUP BY 1
+           UNION ALL
+           SELECT '(kept after drop)', count(*) FROM seq WHERE label IS NOT NULL""", "seq"),
+    "a70_reshape_parts": _q(
+        "SELECT p_retailprice AS price, p_partkey AS id, p_name AS title FROM part"),
+    "a71_graph_document_sizes": _q(
+        """SELECT (SELECT count(*) FROM nodes) AS nodes,
+                  (SELECT count(*) FROM (SELECT DISTINCT item1, item2 FROM pairs
+                                         WHERE item1 IN (SELECT name FROM nodes)
+                                           AND item2 IN (SELECT name FROM nodes))) AS links,
+                  (SELECT count(DISTINCT category) FROM nodes) AS categories""",
+        "inst", extra=_INST_LINKS + "," + _INST_WORKS + "," + _INST_NODES),
+})
