@@ -138,27 +138,37 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         raise ValueError(f"unknown format {fmt!r}")
 
 
+_NODE_T = "struct<name:string,category:string,value:double,symbolSize:double>"
+_LINK_T = "struct<source:string,target:string>"
+_CAT_T = "struct<name:string>"
+
+
 def graph_document(nodes: DataFrame, links: DataFrame, categories: DataFrame) -> DataFrame:
     """One-row frame holding the ``{nodes, links, categories}`` document.
 
-    The three parts are aggregated separately (one row each) and joined 1x1 on
-    a constant key; callers must have thresholded the graph first.
+    The three element sets are unioned, each element in its own column (the
+    others NULL), and gathered by one aggregate: ``collect_list`` skips
+    NULLs, so no join between the parts is needed. Callers must have
+    thresholded the graph first.
     """
+    def none(t: str):
+        return F.lit(None).cast(t)
+
     n = nodes.select(F.struct(
         F.col("name").cast("string").alias("name"),
         F.col("category").cast("string").alias("category"),
         F.col("value").cast("double").alias("value"),
         F.col("symbol_size").cast("double").alias("symbolSize"),
-    ).alias("e")).agg(F.collect_list("e").alias("nodes"))
-    lk = links.select(F.struct(
+    ).alias("_n"), none(_LINK_T).alias("_l"), none(_CAT_T).alias("_c"))
+    lk = links.select(none(_NODE_T).alias("_n"), F.struct(
         F.col("source").cast("string").alias("source"),
         F.col("target").cast("string").alias("target"),
-    ).alias("e")).agg(F.collect_list("e").alias("links"))
-    c = categories.select(F.struct(F.col("name").cast("string").alias("name")).alias("e")) \
-        .agg(F.collect_list("e").alias("categories"))
-    key = F.lit(1).alias("_k")
-    return (n.select(key, "nodes").join(lk.select(key, "links"), "_k")
-            .join(c.select(key, "categories"), "_k").drop("_k"))
+    ).alias("_l"), none(_CAT_T).alias("_c"))
+    c = categories.select(none(_NODE_T).alias("_n"), none(_LINK_T).alias("_l"),
+                          F.struct(F.col("name").cast("string").alias("name")).alias("_c"))
+    return n.unionByName(lk).unionByName(c).agg(
+        F.collect_list("_n").alias("nodes"), F.collect_list("_l").alias("links"),
+        F.collect_list("_c").alias("categories"))
 
 
 def write_graph_document(nodes: DataFrame, links: DataFrame, categories: DataFrame, path: str,
