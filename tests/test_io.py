@@ -114,9 +114,9 @@ def test_read_parquet_spreads_only_single_row_group_files(spark):
     from tidepool.plans.verify import plan_text
     big = io.read_parquet(spark, "/root/testdata/sf0.1/lineitem.parquet", spread_to=8)
     assert io.parquet_row_groups("/root/testdata/sf0.1/lineitem.parquet") == 1
-    assert "Exchange hashpartitioning(l_orderkey" in plan_text(big)
+    assert "Exchange hashpartitioning(l_orderkey" in plan_text(big, "simple")
     small = io.read_parquet(spark, "/root/testdata/sf0.1/nation.parquet", spread_to=8)
-    assert "Exchange" not in plan_text(small)
+    assert "Exchange" not in plan_text(small, "simple")
     many = io.read_parquet(spark, "/root/testdata/sf0.1/lineitem.parquet", spread_to=1)
-    assert "Exchange" not in plan_text(many)
+    assert "Exchange" not in plan_text(many, "simple")
     assert io.parquet_row_groups("s3://bucket/table") is None
