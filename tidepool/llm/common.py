@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepool.session import ensure_checkpoint_dir
@@ -42,3 +47,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with ``number``, its rows' places (from 0) in ``order``.
+
+    Rows are dealt out by range and written, counted by range, and numbered
+    within their range from the sum of the counts before it. Only the counts,
+    one for each range, meet in one task.
+    """
+    ranges = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "numbered")
+    counts = ranges.groupBy("_range").count()
+    before = counts.select("_range", (F.sum("count").over(W.orderBy("_range")) - F.col("count")).alias("_before"))
+    at = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return (ranges.withColumn("_at", at).join(before, "_range")
+            .withColumn("number", F.col("_before") + F.col("_at") - 1).drop("_range", "_before", "_at"))
+
+
+def slices(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``most`` bytes of text column ``text``, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // most
+    starts = np.r_[0, np.flatnonzero(np.diff(part)) + 1] if len(part) else np.zeros(0, dtype=np.int64)
+    for a, b in zip(starts.tolist(), [*starts.tolist()[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)

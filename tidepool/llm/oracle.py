@@ -2,6 +2,31 @@
 
 from __future__ import annotations
 
+#: Words of a text as a list.
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+LINES = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, text IS NULL AS no_text, {_WORDS.format('text')} AS w FROM documents),
+l AS (SELECT r, source, line, len({_WORDS.format('line')}) AS n FROM (SELECT r, source, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE len({_WORDS.format('line')}) > 0),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l GROUP BY r),
+g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+twice AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+rep AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, range(5) AS o(j) GROUP BY r),
+norm AS (SELECT r, source, n, lower(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM l),
+one AS (SELECT min(r) AS r, source FROM d GROUP BY source, t, no_text),
+hosts AS (SELECT source, count(*) AS n FROM one GROUP BY source),
+freq AS (SELECT norm.source, h FROM norm SEMI JOIN one ON norm.r = one.r JOIN hosts ON norm.source IS NOT DISTINCT FROM hosts.source
+         GROUP BY norm.source, h, hosts.n HAVING count(DISTINCT norm.r) > 20 AND count(DISTINCT norm.r) > 0.05 * hosts.n),
+lost AS (SELECT r, sum(norm.n) AS n FROM norm JOIN freq ON norm.h = freq.h AND norm.source IS NOT DISTINCT FROM freq.source GROUP BY r),
+b AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+      length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+      coalesce(rep.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_frequent_words
+      FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN lost USING (r))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT base_failed AND n_words - n_frequent_words >= 10 AND n_words - n_frequent_words >= 0.33 * n_words AS kept FROM b
+"""
+
 TOPK = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
@@ -31,4 +56,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
-ORACLE = {"op3_topk": TOPK, "op4_chat": CHAT}
+ORACLE = {"op1_lines": LINES, "op3_topk": TOPK, "op4_chat": CHAT}

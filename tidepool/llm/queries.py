@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import chat, topk
+from tidepool.llm import chat, lines, mixing, packing, topk
 from tidepool.llm.common import table
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and cross-document line frequency over all documents."""
+    return lines.line_rules(table(spark, sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every fiftieth vector."""
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -29,4 +35,14 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
-QUERIES = {f.__name__: f for f in (op3_topk, op4_chat)}
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights of their sources."""
+    return mixing.pareto_mix(table(spark, sf_dir, "documents"))
+
+
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lines, op3_topk, op4_chat, op5_mix, op10_pack)}
