@@ -4,8 +4,8 @@ Native DataFrame functions only. Each source gets a target in words. Whole
 copies that its target certainly holds go to every document; of the rest, an
 unequal-probability sample of fixed size in words is drawn: documents are
 ranked by random odds divided by inclusion odds, and taken in rank order while
-they fit in the words left; the rest of these goes to the one document, below
-its most copies, whose size is nearest to it.
+they fit in the words left; while the rest of these is over ``slack`` of the
+target, it goes to the document, below its most copies, whose size is nearest.
 Inclusion probabilities grow with size ** size_power and add up to the words
 left; documents whose probability reaches 1 are certain, too.
 
@@ -73,7 +73,7 @@ def _inclusion(docs: DataFrame, targets: DataFrame, power: float) -> DataFrame:
 
 
 def pareto_mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
-               weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, size_power: float = 0.5, seed: int = 0) -> DataFrame:
+               weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, size_power: float = 0.5, slack: float = 0.001, seed: int = 0) -> DataFrame:
     """One row per row of ``df``: id, size, source, source_size, target, copies and ``taken`` words."""
     docs = written(df.select(F.col(id_col).alias("id"), F.col(source).alias("source"),
                              F.size(words(F.col(text))).cast("long").alias("size"),
@@ -95,15 +95,22 @@ def pareto_mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source
     drawn = drawn.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
     drawn = drawn.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")) & (F.col("part") == F.col("q")), "left")
     fits = F.coalesce((F.col("before") + F.col("ahead") + F.col("size") <= F.col("left")) & (F.col("size") > 0), F.lit(False))
-    drawn = written(drawn.withColumn("fits", fits).select("id", "source", "size", "row", "source_size", "target", "whole", "left", "rank", "fits"), "mix-drawn")
+    copies = (F.col("whole") + fits.cast("int")).cast("long")
+    drawn = written(drawn.select("id", "source", "size", "row", "source_size", "target", "rank", copies.alias("copies")), "mix-drawn")
+    while picked := _nearest(drawn, most, slack):
+        more = drawn.join(picked, "row", "left")
+        drawn = written(more.withColumn("copies", F.col("copies") + F.coalesce("extra", F.lit(0))).drop("extra"), "mix-drawn")
+    return drawn.select(F.col("id").alias(id_col), "size", F.col("source").alias(source), "source_size", "target",
+                        "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
 
-    # What a source has left after the documents that fit goes to the one nearest to it in size.
-    rest = drawn.groupBy("source").agg((F.first("left") - F.coalesce(F.sum(F.when(F.col("fits"), F.col("size"))), F.lit(0))).alias("rest"))
-    rest = rest.withColumnRenamed("source", "of")
+def _nearest(drawn: DataFrame, most: float, slack: float) -> DataFrame | None:
+    """(row, extra): in each source that is short of its target by over ``slack`` of it, the document whose further copy comes nearest."""
+    rest = drawn.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("rest"), F.first("target").alias("goal"))
+    rest = rest.filter(F.col("rest") > slack * F.col("goal")).withColumnRenamed("source", "of")
     off = F.abs(F.col("size") - F.col("rest"))
-    last = (drawn.filter(F.col("whole") + F.col("fits").cast("int") + 1 <= most).join(rest, F.col("source").eqNullSafe(F.col("of")))
-            .filter(off < F.col("rest")).groupBy("of").agg(F.min(F.struct(off, "fits", "rank", "id", "row"))["row"].alias("row")))
-    drawn = drawn.join(last.select("row", F.lit(1).alias("extra")), "row", "left")
-    copies = (F.col("whole") + F.col("fits").cast("int") + F.coalesce("extra", F.lit(0))).cast("long")
-    return drawn.select(F.col("id").alias(id_col), "size", F.col("source").alias(source), "source_size", "target",
-                        copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    above = F.col("size") > F.col("rest") + slack * F.col("goal")  # only where no document fits
+    picked = written(drawn.filter((F.col("copies") + 1 <= most) & (F.col("size") > 0)).join(rest, F.col("source").eqNullSafe(F.col("of")))
+                     .filter(off < F.col("rest")).groupBy("of").agg(F.min(F.struct(above, off, "copies", "rank", "id", "row"))["row"].alias("row"))
+                     .select("row", F.lit(1).alias("extra")), "mix-nearest")
+    return picked if picked.limit(1).count() else None
