@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import chat, lines, mixing, packing, topk
+from tidepool.llm import chat, langid, lines, mixing, packing, secret_scan, topk
 from tidepool.llm.common import table
 
 
@@ -40,9 +40,28 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.pareto_mix(table(spark, sf_dir, "documents"))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict(asked, langid.train(langid.learnable(docs))).drop("text")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents by patterns and Markov models."""
+    docs = table(spark, sf_dir, "documents")
+    out = secret_scan.scan_secrets(docs.select("doc_id", "text"), secret_scan.train_models(docs))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                      F.sha2(secret_scan.told(F.col("base")), 256).alias("base_sha256"), secret_scan.told(F.col("spans")).alias("spans"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lines, op3_topk, op4_chat, op5_mix, op10_pack)}
+QUERIES = {f.__name__: f for f in (op1_lines, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op10_pack)}
