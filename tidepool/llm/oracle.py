@@ -56,4 +56,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
-ORACLE = {"op1_lines": LINES, "op3_topk": TOPK, "op4_chat": CHAT}
+DEBRUIJN = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS w FROM documents),
+g AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+twice AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS (SELECT r, list(DISTINCT i + j) AS gone FROM twice, range(35) AS o(j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone.gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN gone.gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone.gone, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+"""
+
+ORACLE = {"op2_debruijn": DEBRUIJN, "op1_lines": LINES, "op3_topk": TOPK, "op4_chat": CHAT}

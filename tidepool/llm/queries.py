@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import chat, langid, lines, mixing, packing, secret_scan, topk
+from tidepool.llm import chat, debruijn, langid, lines, mixing, packing, secret_scan, topk
 from tidepool.llm.common import table
 
 
@@ -15,6 +15,12 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 35-word windows that repeat."""
+    out = debruijn.drop_repeated_words(table(spark, sf_dir, "documents"), digest=True)
+    return out.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every fiftieth vector."""
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -64,4 +70,4 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lines, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op10_pack)}
+QUERIES = {f.__name__: f for f in (op1_lines, op2_debruijn, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op10_pack)}
