@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import chat, debruijn, langid, lines, mixing, packing, pfp, secret_scan, topk
+from tidepool.llm import chat, debruijn, jaccard, langid, lines, mixing, packing, pfp, secret_scan, topk
 from tidepool.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(secret_scan.told(F.col("base")), 256).alias("base_sha256"), secret_scan.told(F.col("spans")).alias("spans"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by the Jaccard similarity of their 4-word shingles."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op9_pfp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 400-byte strings that repeat."""
     return pfp.drop_repeated_bytes(table(spark, sf_dir, "documents"), digest=True).drop("kept")
@@ -75,4 +80,4 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lines, op2_debruijn, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op9_pfp, op10_pack)}
+QUERIES = {f.__name__: f for f in (op1_lines, op2_debruijn, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op8_jaccard, op9_pfp, op10_pack)}
