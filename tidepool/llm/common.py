@@ -71,3 +71,10 @@ def slices(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa
     starts = np.r_[0, np.flatnonzero(np.diff(part)) + 1] if len(part) else np.zeros(0, dtype=np.int64)
     for a, b in zip(starts.tolist(), [*starts.tolist()[1:], batch.num_rows]):
         yield batch.slice(a, b - a)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, like ``name``."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name

@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepool.llm import hashing
-from tidepool.llm.common import slices, written
+from tidepool.llm.common import bare, fresh, slices, written
 from tidepool.llm.graphs import components
 from tidepool.llm.repeats import SLICE, documents
 
@@ -202,16 +202,15 @@ def _left_over(shared: DataFrame, parts: DataFrame, known: DataFrame, percent: i
         F.col("cls1").alias("x"), F.col("cls").alias("y"))
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``df``: id, n_shingles and component_id, the smallest id that links lead to."""
-    docs = documents(df, id_col, text)
+def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, h, n, component_id, place): the component of every row of (id, h, text), and the place that stands for it."""
     counts = np.zeros(1 << BITS, dtype=np.int64)
     for r in docs.select("text").mapInArrow(lambda it: _counts(it, size), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["bucket"]] = r["n"]  # a table of 2**BITS counts
-    frequent = df.sparkSession.sparkContext.broadcast(counts)
+    frequent = docs.sparkSession.sparkContext.broadcast(counts)
     sets = written(docs.mapInArrow(lambda it: _sets(it, frequent, size, percent), SETS), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min(F.struct("id", "h")).alias("place"), F.min("id").alias("doc"), *(F.first(c).alias(c) for c in ("need", "head", "prefix")))
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("place"), F.min("id").alias("doc"), *(F.first(c).alias(c) for c in ("need", "head", "prefix")))
     classes = written(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
     lists = classes.select("cls", "n", "need", "head", F.size("prefix").alias("whole"), F.posexplode("prefix").alias("pos", "token"))
@@ -219,7 +218,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     shared = written(lists.join(tokens, "token"), "shared")
     lone = shared.groupBy("cls").agg(((F.first("whole") - F.count("*")) / F.first("n")).alias("own"))
     shared = written(shared.drop("whole").join(lone, "cls"), "shared")
-    place = classes.join(lone, "cls", "left_semi").select("cls", "place.*").withColumnRenamed("id", "of").withColumnRenamed("h", "oh")
+    place = classes.join(lone, "cls", "left_semi").select("cls", F.col("place.id").alias("of"), F.col("place.h").alias("oh"))
     texts = docs.join(place, docs["id"].eqNullSafe(F.col("of")) & (docs["h"] == F.col("oh")))
     texts = written(texts.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
 
@@ -232,7 +231,25 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     left = _verify(_left_over(shared, _parts(found, classes), known, percent), texts, size, 101)
     parts = written(_parts(found.unionAll(links(left)), classes), "parts")
     of = classes.join(parts, "cls")
-    names = of.groupBy("part").agg(F.min("doc").alias("component_id"))
-    named = of.join(names, "part").select("s1", "s2", "n", "component_id")
-    return sets.join(named, ["s1", "s2", "n"], "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(
-        F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    names = of.groupBy("part").agg(F.min("doc").alias("component_id"), F.min("place").alias("first"))
+    named = of.join(names, "part").select("s1", "s2", "n", "component_id", "first")
+    return sets.join(named, ["s1", "s2", "n"], "left")
+
+
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of ``df``: id, n_shingles and component_id, the smallest id that links lead to."""
+    return _joined(documents(df, id_col, text), size, percent).select(
+        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """``df`` with one row of each component, that of its smallest id; rows without words all stay."""
+    found = _joined(documents(df, id_col, text), size, percent)
+    stays = found.filter(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("n") > 0))
+    stays = stays.select(F.col("id").alias("of"), F.col("h").alias("oh")).distinct()
+    key, hashed = fresh(df, "key"), fresh(df, "hashed")
+    rows = df.withColumns({key: F.col(id_col).cast("long"), hashed: F.xxhash64(F.col(text))})
+    wordy = F.length(bare(F.col(text))) > 0
+    kept = rows.filter(wordy).join(stays, F.col(key).eqNullSafe(F.col("of")) & (F.col(hashed) == F.col("oh")), "left_semi")
+    return kept.dropDuplicates([key, hashed]).unionByName(rows.filter(~wordy)).drop(key, hashed)

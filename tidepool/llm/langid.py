@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidepool.llm.common import slices
 
@@ -171,20 +172,20 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     return LanguageModel(langs, (w * idf[None, :] / warm).astype(np.float32))
 
 
-def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``; the other columns pass through unchanged."""
+def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+    """``df`` with the language and its score; columns of these names are replaced, the others pass through."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # 2**16 floats for each of at most max_langs languages
+    kept = df.drop(lang_out, score_out)
+    at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
             for part in slices(batch, at):
                 if part.num_rows:
                     langs, scores = shared.value.predict(part.column(at).to_pylist())
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs), pa.array(scores)], [*part.schema.names, "lang_pred", "score"])
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs), pa.array(scores)], [*part.schema.names, lang_out, score_out])
 
-    kept = df.drop("lang_pred", "score")
-    return kept.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept.schema.fields)}, lang_pred string, score double")
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(lang_out, StringType()), StructField(score_out, DoubleType())]))
 
 
 def held_out(id_col: Column) -> Column:

@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.llm.common import fresh
+
 #: Fixed patterns, in the order of their kinds; the last number is the least length of the group.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = (("assign", ASSIGN, 1, 8), ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]{32,}", 0, 32))
@@ -108,7 +110,10 @@ def ratio(token: Column, table: list[float]) -> Column:
 
 def scan_secrets(df: DataFrame, table: list[float], text: str = "text", least: int = 16, total: float = 20.0,
                  per_char: float = 0.6) -> DataFrame:
-    """``df`` with ``base`` and ``spans``: arrays of (start, kind, end), the kind a place in ``KINDS``."""
+    """``df`` with ``base`` and ``spans``: arrays of (start, kind, end), the kind a place in ``KINDS``.
+
+    Columns of these names are replaced.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
     base = F.sort_array(F.concat(*[spans_of(t, p, k, g, n) for k, (_, p, g, n) in enumerate(BASE)]))
 
@@ -116,9 +121,10 @@ def scan_secrets(df: DataFrame, table: list[float], text: str = "text", least: i
         return F.transform(F.array(ratio(token, table)), lambda r: (r >= total) & (r >= per_char * F.length(token)))[0]
 
     found = spans_of(t, TOKEN + f"{{{least},}}", len(KINDS) - 1, 0, least, random)
-    out = df.withColumn("base", base).withColumn("_found", found)
-    fresh = F.filter("_found", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return out.withColumn("spans", F.when(F.size("_found") == 0, F.col("base")).otherwise(F.sort_array(F.concat("base", fresh)))).drop("_found")
+    hidden = fresh(df, "found")
+    out = df.withColumn("base", base).withColumn(hidden, found)
+    added = F.filter(hidden, lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    return out.withColumn("spans", F.when(F.size(hidden) == 0, F.col("base")).otherwise(F.sort_array(F.concat("base", added)))).drop(hidden)
 
 
 def told(spans: Column) -> Column:
@@ -132,9 +138,9 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
+        clear = s["start"] >= a["at"]
         piece = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(fresh, piece).otherwise(a["out"]).alias("out"))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(clear, piece).otherwise(a["out"]).alias("out"))
 
     done = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
     return F.when(F.size(spans) == 0, text).otherwise(done)
