@@ -24,13 +24,17 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
+    x *= U(0xBF58476D1CE4E5B9)
     x ^= x >> U(27)
     x *= U(0x94D049BB133111EB)
     x ^= x >> U(31)
     return x
 
 
+#: A hash of each byte.
+BYTE_HASHES = mix(np.arange(1, 257, dtype=U))
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes of all texts, offsets of the texts among them); NULL is empty."""
     texts = texts.fill_null("")
@@ -60,9 +64,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A hash of each word's bytes."""
     if not len(starts):
         return np.zeros(0, dtype=U)
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.r_[starts, len(data)]))[: len(data)] if starts[0] == 0 else None
-    if place is None:
-        place = np.arange(len(data)) - np.r_[np.zeros(starts[0], dtype=np.int64), np.repeat(starts, np.diff(np.r_[starts, len(data)]))]
+    place = np.arange(len(data)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(data)]))
     value = (data.astype(U) + U(1)) * powers(int(place.max()) + 1)[place]
     value[blank(data)] = 0
     return mix(np.add.reduceat(value, starts) + (ends - starts).astype(U))
@@ -71,7 +73,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def prefix_sums(symbols: np.ndarray) -> np.ndarray:
     """Sums of symbol * base**place before each place; a span's hash comes from two of them."""
     out = np.zeros(len(symbols) + 1, dtype=U)
-    np.cumsum(symbols * powers(len(symbols)), out=out[1:])
+    np.cumsum(symbols * powers(len(symbols)), dtype=U, out=out[1:])
     return out
 
 

@@ -44,16 +44,16 @@ def _phrases(batches: Iterator[pa.RecordBatch], unit: repeats.Unit) -> Iterator[
     for batch in batches:
         for part in slices(batch, 2, repeats.SLICE):
             symbols, offsets, data = unit.read(part.column(2))
-            _, first, _, leader, _, _ = repeats.paths(symbols, offsets, unit)
+            values = repeats.kmer_values(hashing.prefix_sums(symbols), unit.kmer) >> hashing.U(repeats.PLACE_BITS)
             lists = part.column(3)
             text = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
             start, n, a, count = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
             at = offsets[text] + start
-            trigger = leader[np.searchsorted(first, at)] - at
+            trigger = np.fromiter((values[x:x + unit.span - unit.kmer + 1].argmin() for x in at.tolist()), np.int32, len(at))
             own, whole = pa.array(text), data.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(own), part.column(1).take(own), pa.array(start), pa.array(n), pa.array(a), pa.array(count),
-                 pa.array(trigger.astype(np.int32)), pa.array([whole[x:x + k + unit.span - 1] for x, k in zip(at.tolist(), n.tolist())], pa.binary())],
+                 pa.array(trigger), pa.array([whole[x:x + k + unit.span - 1] for x, k in zip(at.tolist(), n.tolist())], pa.binary())],
                 [x.split()[0] for x in PHRASES.split(", ")])
 
 
@@ -89,30 +89,35 @@ def extensions(rank: np.ndarray, common: np.ndarray, sizes: np.ndarray) -> np.nd
 
 def _shared(bucket: pd.DataFrame, span: int) -> pd.DataFrame:
     """Places (id, h, start, n bytes) that phrases with an equal trigger share."""
-    out = []
-    for _, group in bucket.groupby("a", sort=False):
-        group = group.drop_duplicates(["id", "h", "start"])
-        if len(group) < 2:
+    bucket = bucket.drop_duplicates(["id", "h", "start", "a"]).sort_values("a", kind="stable", ignore_index=True)
+    a, trigger, whole = bucket["a"].to_numpy(), bucket["trigger"].to_numpy().astype(np.int64), bucket["bytes"].tolist()
+    place, rows, starts, sizes = bucket["start"].to_numpy().astype(np.int64) + trigger, [], [], []
+    edges = np.r_[0, np.flatnonzero(np.diff(a)) + 1, len(a)]
+    for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if y - x < 2:
             continue
-        trigger, whole = group["trigger"].to_numpy().astype(np.int64), group["bytes"].tolist()
-        before = [bytes(b[:t])[::-1] for b, t in zip(whole, trigger.tolist())]
-        after = [bytes(b[t:]) for b, t in zip(whole, trigger.tolist())]
-        left = extensions(*neighbours(before), np.array([len(x) for x in before]))
-        right = extensions(*neighbours(after), np.array([len(x) for x in after]))
-        i, j = np.nonzero((left + right >= span) & ~np.eye(len(group), dtype=bool))
-        if len(i):
-            place = group["start"].to_numpy().astype(np.int64) + trigger
-            cover = np.unique(np.stack([i, place[i] - left[i, j], left[i, j] + right[i, j]]), axis=1)
-            own = group.iloc[cover[0]]
-            out.append(pd.DataFrame({"id": own["id"].to_numpy(), "h": own["h"].to_numpy(), "start": cover[1], "n": cover[2]}))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"id": [], "h": [], "start": [], "n": []})
+        before = [bytes(b[:t])[::-1] for b, t in zip(whole[x:y], trigger[x:y].tolist())]
+        after = [bytes(b[t:]) for b, t in zip(whole[x:y], trigger[x:y].tolist())]
+        left = extensions(*neighbours(before), np.array([len(b) for b in before]))
+        right = extensions(*neighbours(after), np.array([len(b) for b in after]))
+        reach = left + right
+        reach[np.arange(y - x), np.arange(y - x)] = 0
+        i, j = np.nonzero(reach >= span)
+        rows.append(x + i)
+        starts.append(place[x + i] - left[i, j])
+        sizes.append(reach[i, j])
+    if not rows:
+        return pd.DataFrame({"id": [], "h": [], "start": [], "n": []})
+    own = bucket.iloc[np.concatenate(rows)]
+    out = pd.DataFrame({"id": own["id"].to_numpy(), "h": own["h"].to_numpy(), "start": np.concatenate(starts), "n": np.concatenate(sizes)})
+    return out.drop_duplicates()
 
 
 def _spread(batches: Iterator[pa.RecordBatch], unit: repeats.Unit) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 7, repeats.SLICE // 8):
             data, offsets = hashing.text_bytes(part.column(7).cast(pa.binary()).view(pa.string()))
-            sums = hashing.prefix_sums(hashing.mix(data.astype(hashing.U) + hashing.U(1)))
+            sums = hashing.prefix_sums(hashing.BYTE_HASHES[data])
             start, n, a, count = (part.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
             yield repeats.window_rows(part.column(0), part.column(1), start, n, a, count, offsets[:-1], sums, unit)
 

@@ -30,6 +30,7 @@ from tidepool.llm import hashing
 from tidepool.llm.common import slices, written
 
 SLICE = 2 << 20
+PLACE_BITS = 24
 PLACES = "id long, h long, start int, n int, a long, c long"
 WINDOWS = "id long, h long, start int, key long, count long"
 
@@ -46,7 +47,7 @@ class Unit:
         """(symbol hashes of all texts, offsets of the texts among them, bytes of all texts)."""
         data, offsets = hashing.text_bytes(texts)
         if self.symbol == "byte":
-            return hashing.mix(data.astype(hashing.U) + hashing.U(1)), offsets, data
+            return hashing.BYTE_HASHES[data], offsets, data
         starts, ends, offsets = hashing.word_spans(data, offsets)
         return hashing.word_hashes(data, starts, ends), offsets, data
 
@@ -57,37 +58,62 @@ def documents(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(whole).alias("h"), whole.alias("text"))
 
 
-def paths(symbols: np.ndarray, offsets: np.ndarray, unit: Unit) -> tuple[np.ndarray, ...]:
-    """(text, start, windows, place of the leader, leader hash, hash of the path) of every path."""
-    count = len(symbols) - unit.span + 1
-    if count < 1:
-        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.int64, hashing.U, hashing.U))
-    sums = hashing.prefix_sums(symbols)
-    at = np.arange(len(symbols) - unit.kmer + 1)
-    value, place = hashing.span_hashes(sums, at, at + unit.kmer), at
-    have, wide = 1, unit.span - unit.kmer + 1
-    while have < wide:  # least values of ever wider windows, with the first place that has them
+def kmer_values(sums: np.ndarray, kmer: int) -> np.ndarray:
+    """Hashes of all k-mers, from the symbols' prefix sums."""
+    x = sums[kmer:] - sums[:-kmer]
+    x *= hashing.powers(len(x), inverse=True)
+    x += hashing.U(kmer)
+    return hashing.mix(x)
+
+
+def leaders(values: np.ndarray, wide: int) -> np.ndarray:
+    """The place of the least of the ``wide`` values from each place on, the first if several are least.
+
+    Only the upper 40 bits of the values count, so that a value and its place
+    fit into one number wherever fewer than 2**24 places are looked at.
+    """
+    low = hashing.U(PLACE_BITS)
+    if len(values) < 1 << PLACE_BITS:
+        packed = (values >> low << low) | np.arange(len(values), dtype=hashing.U)
+        return (hashing.sliding_minima(packed, wide) & hashing.U((1 << PLACE_BITS) - 1)).astype(np.int64)
+    value, place, have = values >> low, np.arange(len(values)), 1
+    while have < wide:
         step = min(have, wide - have)
         left = value[:-step] <= value[step:]
         place = np.where(left, place[:-step], place[step:])
         value = np.where(left, value[:-step], value[step:])
         have += step
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:count]
-    inside = np.arange(count) <= offsets[1:][text] - unit.span
-    begins = np.r_[True, (place[1:] != place[:-1]) | (text[1:] != text[:-1]) | ~inside[:-1]]
-    start = np.flatnonzero(begins & inside)
+    return place
+
+
+def paths(symbols: np.ndarray, offsets: np.ndarray, unit: Unit) -> tuple[np.ndarray, ...]:
+    """(text, start, windows, leader hash, hash of the path) of every path."""
+    count = len(symbols) - unit.span + 1
+    if count < 1:
+        return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, hashing.U, hashing.U))
+    sums = hashing.prefix_sums(symbols)
+    values = kmer_values(sums, unit.kmer)
+    place = leaders(values, unit.span - unit.kmer + 1)
+    # Windows that do not cross texts, and among them those with which a path begins.
+    inside = np.ones(count, dtype=bool)
+    for end in offsets[1:-1].tolist():
+        inside[max(0, end - unit.span + 1):end] = False
+    begins = inside.copy()
+    begins[1:] &= (place[1:] != place[:-1]) | ~inside[:-1]
+    begins[offsets[:-1][offsets[:-1] < count]] |= inside[offsets[:-1][offsets[:-1] < count]]
+    start = np.flatnonzero(begins)
     if not len(start):
         return paths(symbols[:0], offsets[:1], unit)
-    last = np.minimum(np.r_[start[1:], count] - 1, offsets[1:][text[start]] - unit.span)
-    return (text[start], start, last - start + 1, place[start], value[start],
-            hashing.span_hashes(sums, start, last + unit.span))
+    text = np.searchsorted(offsets, start, side="right") - 1
+    last = np.minimum(np.r_[start[1:], count] - 1, offsets[1:][text] - unit.span)
+    return text, start, last - start + 1, values[place[start]], hashing.span_hashes(sums, start, last + unit.span)
 
 
 def _paths(batches: Iterator[pa.RecordBatch], unit: Unit) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 2, SLICE):
             symbols, offsets, _ = unit.read(part.column(2))
-            text, start, n, _, a, c = paths(symbols, offsets, unit)
+            text, start, n, a, c = paths(symbols, offsets, unit)
             at = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(at), part.column(1).take(at), pa.array((start - offsets[text]).astype(np.int32)),
