@@ -37,10 +37,11 @@ def test_text_shorter_than_n(spark):
 
 
 def test_url_hosts(spark):
-    df = spark.createDataFrame([("http://www.a.org:8080/x",), ("https://b.net?q=1",), ("not a url",), (None,)],
+    df = spark.createDataFrame([("http://www.a.org:8080/x",), ("https://b.net?q=1",), ("not a url",), (None,),
+                                ("HTTP://A.org/x",), ("http://user:pw@h.org/",), ("ftp+x://u@k.de#f",)],
                                "url string")
     got = [r.h for r in df.select(tx.url_host("url").alias("h")).collect()]
-    assert got == ["www.a.org", "b.net", "", None]
+    assert got == ["www.a.org", "b.net", None, None, "A.org", "h.org", "k.de"]
     parsed = [r.h for r in df.select(tx.url_host("url", exact_regex=False).alias("h")).collect()]
     assert parsed[0] == "www.a.org" and parsed[2] is None
 
@@ -154,3 +155,80 @@ def test_graph_nodes_approximate_median(spark):
     exact = net.graph_nodes(ents, "name", "category", "works", threshold="median").count()
     approx = net.graph_nodes(ents, "name", "category", "works", threshold="median_approx").count()
     assert exact == 500 and abs(approx - exact) <= 5
+
+
+def test_fill_down_is_the_same_for_any_block_size(spark):
+    from tidepool.operators.clean import fill_down
+    rows = [(g, k, "v%d" % k if k % 7 == 0 else None) for g in ("a", None, "b") for k in range(3, 60)]
+    df = spark.createDataFrame(rows, "g string, k long, v string")
+    want = None
+    for chunk in (2, 5, 1 << 16):
+        got = sorted(map(tuple, fill_down(df, "v", "g", "k", chunk=chunk).select("g", "k", "v").collect()), key=repr)
+        want = want or got
+        assert got == want
+    assert (None, 59, "v56") in want and ("a", 6, None) in want
+
+
+def test_ratios_are_exact_for_large_counts(spark):
+    import random
+    from fractions import Fraction
+
+    from tidepool.functions.scalars import count_ratio, rescale_column
+    r = random.Random(4)
+    rows = [(r.randint(0, 10**18), r.randint(1, 10**18)) for _ in range(300)] + [(41, 640), (5 * 10**12, 5 * 10**12), (1, 0)]
+    df = spark.createDataFrame(rows, "n long, d long")
+
+    def half_up(x):
+        return float(int(x * 10**6 + Fraction(1, 2))) / 1e6
+
+    got = [x[0] for x in df.select(count_ratio("n", "d")).collect()]
+    assert got == [half_up(Fraction(n, d)) if d else None for n, d in rows]
+    values = [0, 60_000_000_000, 77_000_000_000, 10**18]
+    v = spark.createDataFrame([(x,) for x in values], "v long")
+    got = sorted(x[0] for x in v.select(rescale_column(v, "v", 5, 100, 6)).collect())
+    assert got == [half_up(5 + 95 * Fraction(x, 10**18)) for x in values]
+
+
+def test_tokens_with_empty_ones_are_the_ml_tokenizers(spark):
+    from pyspark.ml.feature import Tokenizer
+    df = spark.createDataFrame([(x,) for x in ("a b  ", "", "  ", " a", "a", "a  b", "A\tb\n\n")], "t string")
+    want = [list(r["o"]) for r in Tokenizer(inputCol="t", outputCol="o").transform(df).collect()]
+    assert [list(r[0]) for r in df.select(tx.tokenize("t", r"\s", drop_empty=False)).collect()] == want
+
+
+def test_first_per_key_sorts_missing_last(spark):
+    from tidepool.operators.clean import first_per_key
+    df = spark.createDataFrame([("a", None, "x"), ("a", 2, "y"), ("a", 3, "z"), ("b", None, "only")], "k string, o int, v string")
+    assert sorted(map(tuple, first_per_key(df, "k", ["o"]).collect()), key=repr) == [("a", 2, "y"), ("b", None, "only")]
+
+
+def test_centroids_of_flat_places(spark):
+    from tidepool.operators.places import centroid
+    edges = [("flat", 0.0, 0.0, 2.0, 0.0), ("flat", 2.0, 0.0, 0.0, 0.0), ("point", 3.0, 4.0, 3.0, 4.0), ("line", 0.0, 0.0, 0.0, 2.0),
+             ("line", 0.0, 2.0, 6.0, 2.0), ("box", 0.0, 0.0, 2.0, 0.0), ("box", 2.0, 0.0, 2.0, 2.0), ("box", 2.0, 2.0, 0.0, 2.0), ("box", 0.0, 2.0, 0.0, 0.0)]
+    got = {r["poly_id"]: (r["area"], r["cx"], r["cy"]) for r in centroid(spark.createDataFrame(
+        edges, "poly_id string, x1 double, y1 double, x2 double, y2 double")).collect()}
+    assert got == {"flat": (0.0, 1.0, 0.0), "point": (0.0, 3.0, 4.0), "line": (0.0, 2.25, 1.75), "box": (4.0, 1.0, 1.0)}
+
+
+def test_an_unset_shared_folder_is_an_error_off_one_machine():
+    import pytest
+
+    from tidepool.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -74,5 +74,6 @@ def test_directed_pairs_are_symmetric(mini):
 def test_fixture_triangle_centroid(spark):
     from tidepool.operators.places import centroid
     from tidepool.plans import fixtures as fx
-    r = centroid(fx.poly(fx.Tables(spark, "/root/testdata/sf0.001"))).first()
+    rows = [(1, -0.2, -0.2, 0.2, -0.2), (1, 0.2, -0.2, 0.0, 0.25), (1, 0.0, 0.25, -0.2, -0.2)]
+    r = centroid(spark.createDataFrame(rows, "poly_id int, x1 double, y1 double, x2 double, y2 double")).first()
     assert (r.poly_id, r.area, r.cx, r.cy) == (1, 0.09, 0.0, -0.05)

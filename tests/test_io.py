@@ -36,7 +36,7 @@ def test_text_scan_needs_schema(spark):
 def test_csv_round_trip_writes_na(spark, scratch):
     df = spark.createDataFrame([("a", None), ("b", 2)], "k string, v int")
     out = os.path.join(scratch, "out")
-    io.write_table(df, out, "csv")
+    io.write_table(df, out, "csv", na_string="NA")
     back = io.read_table(spark, out, "csv", "k string, v string", na_strings=io.REFERENCE_NA)
     assert {r.k: r.v for r in back.collect()} == {"a": None, "b": "2"}
 
@@ -64,21 +64,10 @@ def test_graph_document_round_trip(spark, scratch):
     cats = net.graph_categories(nodes)
     out = os.path.join(scratch, "graph")
     io.write_graph_document(nodes, links, cats, out)
-    n, lk, c = io.read_graph_document(spark, out)
-    assert sorted(r.name for r in n.collect()) == ["A", "B"]
+    n, lk, c = io.read_graph_parts(spark, out)
+    assert sorted((r.name, r.category, r.value, r.symbolSize) for r in n.collect()) == [("A", "FR", 10.0, 100.0), ("B", "JP", 5.0, 5.0)]
     assert [(r.source, r.target) for r in lk.collect()] == [("A", "B")]
     assert sorted(r.name for r in c.collect()) == ["FR", "JP"]
-    text = "".join(open(os.path.join(out, f)).read() for f in os.listdir(out) if f.startswith("part"))
-    assert '"symbolSize"' in text and "\n" in text.strip()
-
-
-def test_graph_document_size_guard(spark, scratch):
-    nodes = spark.range(20).select(F.col("id").cast("string").alias("name"), F.lit("x").alias("category"),
-                                   F.col("id").alias("value"), F.lit(1.0).alias("symbol_size"))
-    links = spark.createDataFrame([], "source string, target string")
-    with pytest.raises(ValueError):
-        io.write_graph_document(nodes, links, net.graph_categories(nodes), os.path.join(scratch, "g"),
-                                max_elements=10)
 
 
 def test_graph_document_rejects_missing_part(spark, scratch):
@@ -110,13 +99,39 @@ def test_language_partitions_are_pruned(spark, scratch):
     assert en.count() == docs.where("lang = 'en'").count()
 
 
-def test_read_parquet_spreads_only_single_row_group_files(spark):
-    from tidepool.plans.verify import plan_text
-    big = io.read_parquet(spark, "/root/testdata/sf0.1/lineitem.parquet", spread_to=8)
-    assert io.parquet_row_groups("/root/testdata/sf0.1/lineitem.parquet") == 1
-    assert "Exchange hashpartitioning(l_orderkey" in plan_text(big, "simple")
-    small = io.read_parquet(spark, "/root/testdata/sf0.1/nation.parquet", spread_to=8)
-    assert "Exchange" not in plan_text(small, "simple")
-    many = io.read_parquet(spark, "/root/testdata/sf0.1/lineitem.parquet", spread_to=1)
-    assert "Exchange" not in plan_text(many, "simple")
-    assert io.parquet_row_groups("s3://bucket/table") is None
+def test_csv_keeps_quotes_line_ends_na_and_empty_texts(spark, scratch):
+    rows = [('x "y", z', 3, "NA"), ("two\nlines", None, None), ("", 1, "back\\slash"), (None, 2, '"')]
+    df = spark.createDataFrame(rows, "a string, n int, b string")
+    out = os.path.join(scratch, "quoted")
+    io.write_table(df, out, fmt="csv")
+    back = io.read_table(spark, out, "csv", "a string, n int, b string", multi_line=True, na_strings=())
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+    with pytest.raises(Exception, match="NA mark"):
+        io.write_table(df, os.path.join(scratch, "marked"), fmt="csv", na_string="NA")
+
+
+def test_csv_header_and_bad_records(spark, scratch):
+    path = os.path.join(scratch, "swapped.csv")
+    with open(path, "w") as f:
+        f.write("b,a\n1,2\n")
+    with pytest.raises(Exception):
+        io.read_table(spark, path, "csv", "a int, b int").collect()
+    path = os.path.join(scratch, "bad.csv")
+    with open(path, "w") as f:
+        f.write("a,b\n1,x\nno,y\n")
+    with pytest.raises(Exception):
+        io.read_table(spark, path, "csv", "a int, b string").collect()
+    got = io.read_table(spark, path, "csv", "a int, b string", bad_records="bad").collect()
+    assert sorted((r["a"] or 0, r["bad"]) for r in got) == [(0, "no,y"), (1, None)]
+    path = os.path.join(scratch, "bad.json")
+    with open(path, "w") as f:
+        f.write('{"url": "u", "text": "t"}\n{"url": oops\n')
+    got = io.read_table(spark, path, "json", io.CORPUS_SCHEMA, bad_records="bad").collect()
+    assert sorted(r["bad"] or "" for r in got) == ["", '{"url": oops']
+
+
+def test_literal_tables_are_bounded(spark, monkeypatch):
+    from tidepool.functions import joins
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_ROWS", 2)
+    with pytest.raises(ValueError):
+        joins.literal_table(spark, [("a",), ("b",), ("c",)], "x string")

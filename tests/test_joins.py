@@ -24,6 +24,11 @@ def test_row_bound_refuses(spark):
 
 
 def test_byte_bound_refuses(spark):
-    side = _probe(spark)
-    assert bounded_broadcast(side, max_bytes=1000) is side
-    assert bounded_broadcast(side, max_bytes=10 << 20) is not side
+    side = bounded_broadcast(_probe(spark), max_bytes=1000)
+    assert "ResolvedHint" not in plan_text(side, "extended") and side.count() == 1000
+    assert "ResolvedHint" in plan_text(bounded_broadcast(_probe(spark), max_bytes=10 << 20), "extended")
+
+
+def test_checked_sides_leave_nothing_cached(spark):
+    bounded_broadcast(_probe(spark)).count()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()

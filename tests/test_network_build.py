@@ -14,7 +14,7 @@ from .conftest import SF_SMALL
 def test_build_network_outputs(spark):
     out = tempfile.mkdtemp(prefix="tidepool-net-", dir="/tmp")
     paths = build_network(fx.authorships(fx.Tables(spark, SF_SMALL)), out)
-    nodes, links, cats = io.read_graph_document(spark, paths["graph"])
+    nodes, links, cats = io.read_graph_parts(spark, paths["graph"])
     want_nodes = {r.name for r in QUERIES["a11_graph_nodes"](spark, SF_SMALL).collect()}
     want_links = {(r.source, r.target) for r in QUERIES["a12_graph_links"](spark, SF_SMALL).collect()}
     assert {r.name for r in nodes.collect()} == want_nodes

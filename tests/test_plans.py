@@ -43,9 +43,13 @@ def test_dictionary_match_is_broadcast(spark, name):
     assert "BroadcastHashJoin" in plan
 
 
-def test_seed_filter_reaches_the_scan(spark):
+def test_seed_filter_reaches_the_scan(spark, monkeypatch):
+    from tidepool.operators import corpus
+    written = []
+    monkeypatch.setattr(corpus, "materialize", lambda df, keep=corpus.materialize: (written.append(plan_text(df)), keep(df))[1])
     plan = plan_text(QUERIES["a42_citation_expand"](spark, SF_SMALL))
-    assert "EqualTo(o_orderpriority,1-URGENT)" in plan
+    assert "EqualTo(o_orderpriority,1-URGENT)" in written[0]
+    assert plan.count("lineitem.parquet") == 1  # the edges are read once
 
 
 def test_scan_reads_only_needed_columns(spark):
@@ -56,8 +60,30 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_pair_self_join_shuffles_once(spark):
-    plan = plan_text(QUERIES["a04_institution_pairs"](spark, SF_SMALL), mode="simple")
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+    """Both sides of the pair join read one exchange by feature (the final plan, after it ran)."""
+    from tidepool.operators import network as net
+    df = spark.createDataFrame([(f"i{k % 40}", k // 3) for k in range(600)], "item string, feature long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = net.cooccurrence(df, "item", "feature")
+        pairs.collect()
+        plan = plan_text(pairs, mode="simple").split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(_feat") - plan.count("ReusedExchange") <= 1, plan
+    assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("name", ["a01_disambiguate_names", "a04_institution_pairs", "a07_weighted_degree", "a09_entity_table",
+                                  "a11_graph_nodes", "a12_graph_links", "a14_ego_network", "a71_graph_elements"])
+def test_the_largest_table_is_read_once(spark, name, monkeypatch):
+    """Reads of lineitem: one while the links are written, none in the plan that is returned."""
+    from tidepool.plans import fixtures
+    written = []
+    monkeypatch.setattr(fixtures, "materialize", lambda df, keep=fixtures.materialize: (written.append(plan_text(df)), keep(df))[1])
+    plan = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert "lineitem" not in plan
+    assert sum("lineitem" in p for p in written) == 1
 
 
 def test_period_cut_reaches_the_scan(spark):

@@ -5,7 +5,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from tidepool.operators import terms, text
+from tidepool.functions import text as tx
+from tidepool.operators import terms
 from tidepool.plans import fixtures as fx
 from tidepool.plans.web_terms import build_web_terms
 from tidepool.sources import io
@@ -22,7 +23,8 @@ def test_web_terms_job(spark):
     paths = build_web_terms(io.read_corpus(spark, src), dictionary, os.path.join(out, "job"),
                             stop_words=fx.WEB_STOP_WORDS, ngram_sizes=(1,), top=5)
     got = {r.term: (r.pages, r.occurrences) for r in spark.read.parquet(paths["term_counts"]).collect()}
-    toks = text.unigrams(fx.web(t), "text", keep=["url"], stop_words=fx.WEB_STOP_WORDS, out="w")
+    words = tx.remove_stop_words(tx.plain_words("text"), fx.WEB_STOP_WORDS)
+    toks = fx.web(t).select("url", F.explode(words).alias("w"))
     want = {r.term: (r.pages, r.occurrences)
             for r in terms.term_counts(terms.term_hits(toks, dictionary), "term", doc="url").collect()}
     assert got == want and got

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.session import materialize
+
 # A side is broadcast only when it is proven to hold at most this many rows
 # and at most this many (estimated) bytes.
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -33,25 +34,22 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` if it is proven small, else leave it as is.
-
-    One bounded job (over at most ``max_rows + 1`` rows) counts the rows and
-    sums an estimate of their size; the side is broadcast only when both are
-    within bounds. Beyond them the join stays a shuffle join and AQE chooses
-    the strategy from runtime sizes. The side is persisted first so the rows
-    measured are the rows broadcast (computed once); lost cache blocks are
-    recomputed from lineage, unlike localCheckpoint. It is released again when
-    too large.
+    """``df`` written once, and broadcast if it is proven small.
+
+    The side is written to the shared folder, so the rows measured are the rows
+    joined and are computed once; one parallel aggregate counts them and sums
+    an estimate of their size. Beyond the bounds the join stays a shuffle join
+    and AQE chooses the strategy from runtime sizes. Results are the same. It
+    runs two jobs and keeps nothing in executor memory or on their disks.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    probe = kept.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                         F.coalesce(F.sum(_row_bytes(kept)), F.lit(0)).alias("b")).first()
-    if probe["n"] <= max_rows and probe["b"] <= max_bytes:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    side = materialize(df)
+    size = side.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(side)), F.lit(0)).alias("b")).first()
+    return F.broadcast(side) if size["n"] <= max_rows and size["b"] <= max_bytes else side
 
 
 def literal_table(spark, rows, schema) -> DataFrame:
-    """Small constant table (stop lists, recode maps). Fixed size, so broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """Small constant table (stop lists, recode maps), broadcast; too many rows are an error."""
+    rows = list(rows)
+    if len(rows) > DEFAULT_BROADCAST_ROWS:
+        raise ValueError(f"{len(rows)} rows are no literal table; write and join them instead")
+    return F.broadcast(spark.createDataFrame(rows, schema))

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 # Uninomial / binomial: first blank-delimited word, then the next one.
 FIRST_WORD = r"^([^ ]+)"
+# Wide enough for a count times any scale used here.
+WHOLE = "decimal(25,0)"
 SECOND_WORD = r"^[^ ]+ +([^ ]+)"
 
 
@@ -27,8 +29,8 @@ def rescale_column(df: DataFrame, col: str, lo: float, hi: float, digits: int |
     integral = (isinstance(df.schema[col].dataType, T.IntegralType)
                 and float(lo).is_integer() and float(hi).is_integer())
     if digits is not None and integral:
-        span = (mx - mn).cast("bigint")
-        num = F.lit(int(lo)) * span + F.lit(int(hi - lo)) * (F.col(col) - mn).cast("bigint")
+        span = mx.cast(WHOLE) - mn.cast(WHOLE)
+        num = F.lit(int(lo)) * span + F.lit(int(hi - lo)) * (F.col(col).cast(WHOLE) - mn.cast(WHOLE))
         return F.when(mx == mn, mid).otherwise(count_ratio(num, span, digits))
     span = (mx - mn).cast("double")
     scaled = F.lit(float(lo)) + (F.col(col) - mn).cast("double") * F.lit(float(hi - lo)) / span
@@ -55,20 +57,14 @@ def unordered_pair(a: str | Column, b: str | Column) -> Column:
 
 def count_ratio(num: str | Column, den: str | Column, digits: int = 6) -> Column:
     """``num / den`` for non-negative counts, rounded half-up to ``digits``
-    places exactly (integer arithmetic), as a double; NULL when ``den`` is 0.
+    places exactly (whole decimals, up to 10**25), as a double; NULL when ``den`` is 0.
 
     Rounding the floating quotient instead would depend on how an engine
     rounds binary doubles at ties such as 41/640 = 0.0640625.
     """
-    n = (F.col(num) if isinstance(num, str) else num).cast("bigint")
-    d = (F.col(den) if isinstance(den, str) else den).cast("bigint")
-    scale = 10 ** digits
-    num_expr = n * F.lit(2 * scale) + d
-    den_expr = d * F.lit(2)
-    quotient = F.when(d > 0, _int_div(num_expr, den_expr))
-    return quotient.cast("double") / F.lit(float(scale))
-
-
-def _int_div(a: Column, b: Column) -> Column:
-    """Integral division of two non-negative bigints."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    n = (F.col(num) if isinstance(num, str) else num).cast(WHOLE)
+    d = (F.col(den) if isinstance(den, str) else den).cast(WHOLE)
+    scale = F.lit(10 ** digits).cast("decimal(10,0)")
+    # ``div`` divides the decimals as whole numbers; half the divisor more rounds half-up.
+    quotient = F.call_function("div", (2 * n * scale + d).cast("decimal(38,0)"), (2 * d).cast("decimal(38,0)"))
+    return F.when(d > 0, quotient).cast("double") / F.lit(float(10 ** digits))

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 # Fixed values.
 # Sentence boundary: a run of . ! ? followed by spaces, or a run of newlines.
 SENTENCE_SPLIT = r"[.!?]+[ ]+|\n+"
-# Host part of an absolute URL (scheme, then everything up to / : ? #).
-HOST_PATTERN = r"^[a-z]+://([^/:?#]+)"
+# Host part of an absolute URL: scheme in any case, user information left out, then up to / : ? #.
+HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/:?#@]+)"
 TAG_PATTERN = r"<[^>]*>"
+# Signs at the edges of a word: anything but letters and digits.
+EDGE_SIGNS = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 BLANK_RUN = r"[ \t\r\n]+"
 
 
@@ -25,14 +27,14 @@ def _c(col: str | Column) -> Column:
 
 
 def url_host(url: str | Column, exact_regex: bool = True) -> Column:
-    """Host of a URL, sub-domain kept (``www.`` stays).
+    """Host of a URL, sub-domain kept (``www.`` stays); NULL where there is none.
 
     ``exact_regex`` uses the portable pattern above; otherwise Spark's URL
     parser (``try_parse_url``), which yields NULL rather than failing on
     malformed input.
     """
     if exact_regex:
-        return F.regexp_extract(_c(url), HOST_PATTERN, 1)
+        return F.nullif(F.regexp_extract(_c(url), HOST_PATTERN, 2), F.lit(""))
     return F.try_parse_url(_c(url), F.lit("HOST"))
 
 
@@ -48,16 +50,18 @@ def tokenize(text: str | Column, pattern: str = " ", lower: bool = True,
 
     With ``pattern="\\s"`` and ``drop_empty=False`` this is the ML
     ``Tokenizer`` rule (lower-case, split on each white-space character,
-    doubled blanks give empty tokens).
+    doubled blanks give empty tokens, those at the end are left out).
     """
     t = _c(text)
     if lower:
         t = F.lower(t)
     arr = F.split(t, pattern)
     if drop_empty:
-        arr = F.filter(arr, lambda x: x != F.lit(""))
-    return arr
-
+        return F.filter(arr, lambda x: x != F.lit(""))
+    # Java's split leaves out empty pieces at the end, but an empty text is one empty piece.
+    solid = F.regexp_replace(t, f"(?:{pattern})+$", "")
+    none = F.array().cast("array<string>")
+    return F.when((F.length(t) > 0) & (F.length(solid) == 0), none).otherwise(F.split(solid, pattern))
 
 def remove_stop_words(tokens: str | Column, stop_words: Iterable[str]) -> Column:
     """Drop stop words from a token array, keeping order and duplicates."""
@@ -77,6 +81,20 @@ def ngram_array(tokens: str | Column, n: int) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
+def plain_words(text: str | Column) -> Column:
+    """Lower-case words without the signs at their edges; what is only signs is left out."""
+    words = F.transform(tokenize(text, pattern=BLANK_RUN), lambda x: F.regexp_replace(x, EDGE_SIGNS, ""))
+    return F.filter(words, lambda x: x != F.lit(""))
+
+
+def words_and_phrases(words: str | Column, n: int = 2) -> Column:
+    """The words of a ready word array and its phrases of 2 to ``n`` words, in one array."""
+    out = _c(words)
+    for k in range(2, n + 1):
+        out = F.concat(out, ngram_array(words, k))
+    return out
+
+
 def split_sentences(text: str | Column, pattern: str = SENTENCE_SPLIT) -> Column:
     """Array of sentences (separators removed)."""
     return F.split(_c(text), pattern)

@@ -102,7 +102,8 @@ def assert_unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Keep one whole row per key: the one smallest in ``order_by`` (then all columns).
+    """Keep one whole row per key: the one smallest in ``order_by`` (then all
+    columns); missing values sort last.
 
     Done as a ``min(struct(...))`` aggregate, which is partially aggregated
     map-side, instead of a ``row_number`` window over the whole key group.
@@ -110,7 +111,8 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[st
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
     ordered = list(order_by) + [c for c in rest if c not in order_by]
-    packed = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_r")
+    fields = [f for c in ordered for f in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    packed = F.min(F.struct(*fields)).alias("_r")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
@@ -158,7 +160,10 @@ def fill_down(df: DataFrame, col: str, partition_by: str, order_by: str,
     carry = _carry_in(blocks, "_last", partition_by, "_blk", chunk, levels)
     inside = W.partitionBy(partition_by, "_blk").orderBy(order_by) \
         .rowsBetween(W.unboundedPreceding, 0)
-    filled = rows.join(carry, [partition_by, "_blk"], "left").withColumn(
+    # A NULL group is a group: the joins on it are null-safe.
+    c = carry.select(F.col(partition_by).alias("_g"), F.col("_blk").alias("_b"), "_carry")
+    met = rows.join(c, rows[partition_by].eqNullSafe(c["_g"]) & rows["_blk"].eqNullSafe(c["_b"]), "left").drop("_g", "_b")
+    filled = met.withColumn(
         col, F.coalesce(F.last(col, ignorenulls=True).over(inside), F.col("_carry")))
     return filled.drop("_blk", "_carry")
 
@@ -185,7 +190,8 @@ def _carry_in(t: DataFrame, value: str, part: str, pos: str, chunk: int, levels:
     higher = _carry_in(grouped, "_v", part, up, chunk, levels - 1).withColumnRenamed("_carry", "_hc")
     w = W.partitionBy(part, up).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
     local = tt.select(part, pos, up, F.last(value, ignorenulls=True).over(w).alias("_local"))
-    return (local.join(higher, [part, up], "left")
+    hi = higher.select(F.col(part).alias("_g"), F.col(up).alias("_u"), "_hc")
+    return (local.join(hi, local[part].eqNullSafe(hi["_g"]) & local[up].eqNullSafe(hi["_u"]), "left")
             .select(part, pos, F.coalesce("_local", "_hc").alias("_carry")))
 
 

@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.joins import bounded_broadcast
+from tidepool.session import materialize
 
 
 def citation_expand(cites: DataFrame, seeds: DataFrame, citing: str = "citing", cited: str = "cited",
                     seed: str = "work", out: str = "work") -> DataFrame:
-    """Seeds, the works they reference, and the works citing them (one hop)."""
-    s = bounded_broadcast(seeds.select(F.col(seed).alias("_s")).distinct())
-    refs = cites.join(s, cites[citing] == s["_s"], "left_semi").select(F.col(cited).alias(out))
-    citing_seeds = cites.join(s, cites[cited] == s["_s"], "left_semi").select(F.col(citing).alias(out))
-    return s.select(F.col("_s").alias(out)).unionByName(refs).unionByName(citing_seeds).distinct()
+    """Seeds, the works they reference, and the works citing them (one hop).
+
+    The edges need not be distinct: they are filtered first, in one pass that
+    tells which end of an edge is a seed, and the works are made distinct once.
+    """
+    s = materialize(seeds.select(F.col(seed).alias("_s")).distinct())
+    a, b = s.select(F.col("_s").alias("_a")), s.select(F.col("_s").alias("_b"))
+    met = (cites.select(F.col(citing).alias("_from"), F.col(cited).alias("_to"))
+           .join(a, F.col("_from") == F.col("_a"), "left").join(b, F.col("_to") == F.col("_b"), "left")
+           .where(F.col("_a").isNotNull() | F.col("_b").isNotNull()))
+    ends = met.select(F.explode(F.array(F.when(F.col("_a").isNotNull(), F.col("_to")),
+                                        F.when(F.col("_b").isNotNull(), F.col("_from")))).alias(out)).where(F.col(out).isNotNull())
+    return s.select(F.col("_s").alias(out)).unionByName(ends).distinct()
 
 
 def citations_received(cites: DataFrame, cited: str = "cited", out: str = "citations") -> DataFrame:

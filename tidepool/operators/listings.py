@@ -56,3 +56,31 @@ def applicant_domain_hits(tokens: DataFrame, dictionary: DataFrame, pages: DataF
     d = bounded_broadcast(dictionary.select(F.col(term).alias("_term")).distinct())
     hits = t.join(d, t[token] == d["_term"])
     return hits.groupBy(host, F.col("_term").alias("term")).agg(F.countDistinct(page).alias("pages"))
+
+
+def applicant_species_pages(applicants: DataFrame, species: DataFrame, pages: DataFrame, found: DataFrame, min_pages: int = 3,
+                            applicant: str = "applicant", host: str = "host", page: str = "page_id", token: str = "w",
+                            term: str = "term") -> DataFrame:
+    """(applicant, host, term, pages): pages on an applicant's domain that name a species of the applicant's own patents.
+
+    ``applicants`` (applicant, host) and ``species`` (applicant, term) are link
+    tables, ``found`` the words and phrases of pages with their host. Only
+    hosts with at least ``min_pages`` pages count. Pages are cut down to the
+    terms of any applicant and the hosts of any applicant before the three are
+    joined, and counted per (host, term) first: applicants with one domain
+    share that count.
+    """
+    hosts = (pages.groupBy(host).agg(F.countDistinct(page).alias("_pages")).where(F.col("_pages") >= min_pages)
+             .join(applicants.select(host).distinct(), host, "left_semi").select(F.col(host).alias("_h")))
+    known = bounded_broadcast(species.select(F.col(term).alias("_term")).distinct())
+    hits = found.join(known, found[token] == known["_term"]).join(bounded_broadcast(hosts), F.col(host) == F.col("_h"), "left_semi")
+    counted = hits.groupBy(host, F.col("_term").alias(term)).agg(F.countDistinct(page).alias("pages"))
+    own = applicants.select(applicant, host).distinct().join(counted, host)
+    return own.join(species.select(applicant, term).distinct(), [applicant, term], "left_semi").select(applicant, host, term, "pages")
+
+
+def search_term_match(title: str, term: str, common_name: str):
+    """Whether a title shares a word with the search term or with the common name."""
+    words = tx.plain_words(title)
+    named = F.coalesce(F.arrays_overlap(words, tx.plain_words(common_name)), F.lit(False))
+    return F.coalesce(F.arrays_overlap(words, tx.plain_words(term)), F.lit(False)) | named

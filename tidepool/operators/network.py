@@ -1,7 +1,8 @@
 """Collaboration networks: pairs, degree, entity tables, graph parts.
 
-All operators are ``DataFrame -> DataFrame`` and lazy, for use with
-``df.transform(partial(op, ...))``.
+All operators are ``DataFrame -> DataFrame``, for use with
+``df.transform(partial(op, ...))``. They are lazy but for the tables that
+``materialize`` and ``bounded_broadcast`` write while the plan is built.
 """
 
 from __future__ import annotations
@@ -30,26 +31,22 @@ def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = Fal
     sides of an equi self-join on ``feature``; the count is partially
     aggregated before its shuffle. A feature shared by very many items is a
     skewed join key. AQE's skew-join splits such a partition on both sides;
-    with ``hot_items`` set, features holding more items than that are also
-    salted explicitly: a hot feature with k items gets s = ceil(k / hot_items)
-    buckets, its items are hashed into them, and the join key becomes
-    (feature, bucket of item1, bucket of item2). Its k*k/2 pairs are then
-    emitted by s*s tasks of about ``hot_items`` items a side, each pair in
-    exactly one block. No pair is dropped or capped.
+    with ``hot_items`` set, the distinct links are written once, and features
+    holding more items than that are also salted explicitly: a hot feature
+    with k items gets s = ceil(k / hot_items) buckets, its items are hashed
+    into them, and the join key becomes (feature, bucket of item1, bucket of
+    item2). Its k*k/2 pairs are then emitted by s*s tasks of about
+    ``hot_items`` items a side, each pair in exactly one block. No pair is
+    dropped or capped, and the input is read once.
     """
     i1, i2, n = out
     e = links(df, item, feature)
     if hot_items is None:
         pairs = _pair_join(e, e, ["_feat"], i1, i2)
     else:
-        # Hot features are found from raw link counts (a scan and a map-side
-        # combined count, no distinct): raw counts only over-estimate, and
-        # salting is exact for any feature it is applied to. At most
-        # (links / hot_items) features qualify, and the set is checked before
-        # it is broadcast.
-        sizes = (df.where(F.col(item).isNotNull() & F.col(feature).isNotNull())
-                 .groupBy(F.col(feature).alias("_feat")).agg(F.count(F.lit(1)).alias("_k")))
-        hot = bounded_broadcast(sizes.where(F.col("_k") > hot_items).select(
+        e = materialize(e)
+        sizes = e.groupBy("_feat").agg(F.count(F.lit(1)).alias("_k"))
+        hot = materialize(sizes.where(F.col("_k") > hot_items).select(
             "_feat", F.ceil(F.col("_k") / F.lit(hot_items)).cast("int").alias("_s")))
         cold_e = e.join(hot, "_feat", "left_anti")
         hot_e = e.join(hot, "_feat").withColumn("_b", F.pmod(F.xxhash64("_item"), F.col("_s")).cast("int"))
@@ -186,3 +183,29 @@ def ego_network(edges: DataFrame, node: str, src: str = "item1", dst: str = "ite
     if weight:
         cols.append(F.col(weight))
     return edges.where((F.col(src) == node) | (F.col(dst) == node)).select(*cols)
+
+
+def ego_pairs(df: DataFrame, item: str, feature: str, node: str) -> DataFrame:
+    """``ego_network`` of the co-occurrence graph, straight from the links.
+
+    Only the features of ``node`` are looked at, and their items are counted:
+    no pair of two other items is ever formed.
+    """
+    e = links(df, item, feature)
+    own = e.where(F.col("_item") == node).select("_feat")
+    near = e.join(own, "_feat", "left_semi").where(F.col("_item") != node)
+    return near.groupBy("_item").agg(F.count(F.lit(1)).alias("n")).select(
+        F.least("_item", F.lit(node)).alias("source"), F.greatest("_item", F.lit(node)).alias("target"), "n")
+
+
+def graph_elements(nodes: DataFrame, edges: DataFrame, categories: DataFrame) -> DataFrame:
+    """All elements of a graph as rows: kind, name, category, value, symbol_size, source, target."""
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    n = nodes.select(F.lit("node").alias("kind"), F.col("name").cast("string").alias("name"), F.col("category").cast("string").alias("category"),
+                     F.col("value").cast("double").alias("value"), F.col("symbol_size").cast("double").alias("symbol_size"),
+                     none.alias("source"), none.alias("target"))
+    e = edges.select(F.lit("link").alias("kind"), none.alias("name"), none.alias("category"), number.alias("value"),
+                     number.alias("symbol_size"), F.col("source").cast("string").alias("source"), F.col("target").cast("string").alias("target"))
+    c = categories.select(F.lit("category").alias("kind"), F.col("name").cast("string").alias("name"), none.alias("category"),
+                          number.alias("value"), number.alias("symbol_size"), none.alias("source"), none.alias("target"))
+    return n.unionByName(e).unionByName(c)

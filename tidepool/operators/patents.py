@@ -19,11 +19,15 @@ def first_filings(df: DataFrame, family: str = "family_id", filing_date: str = "
                   by: Sequence[str] = ()) -> DataFrame:
     """Families by the year of their earliest filing (supply-side count).
 
-    ``by`` columns must be constant within a family (e.g. applicant country).
+    The earliest date is the family's own, whatever ``by``: with ``by`` (e.g.
+    applicant, technology area, country) a family counts once in each of its
+    groups, always in the year of its first filing.
     """
-    first = df.groupBy(family, *by).agg(F.min(filing_date).alias("_first"))
-    return first.groupBy(F.year("_first").alias("first_year"), *by).agg(
-        F.count(F.lit(1)).alias("families"))
+    first = df.groupBy(family).agg(F.min(filing_date).alias("_first"))
+    if by:
+        groups = df.select(F.col(family).alias("_family"), *by).distinct()
+        first = first.join(groups, first[family].eqNullSafe(groups["_family"]))
+    return first.groupBy(F.year("_first").alias("first_year"), *by).agg(F.count(F.lit(1)).alias("families"))
 
 
 def family_members(df: DataFrame, year: str = "pub_year", country: str = "country",
@@ -71,6 +75,6 @@ def claims_vs_text(df: DataFrame, by: str = "country", pub: str = "pub_id", sect
     d = df
     if exclude_col and exclude:
         d = d.where(~F.col(exclude_col).isin(*exclude) | F.col(exclude_col).isNull())
-    return d.groupBy(by).agg(
-        F.countDistinct(F.when(F.col(section) == claims, F.col(pub))).alias("in_claims"),
-        F.countDistinct(pub).alias("anywhere"))
+    per = d.groupBy(by, pub).agg(F.max((F.col(section) == claims).cast("int")).alias("_in"))
+    return per.where(F.col(pub).isNotNull()).groupBy(by).agg(F.sum(F.coalesce("_in", F.lit(0))).cast("bigint").alias("in_claims"),
+                                                             F.count(F.lit(1)).alias("anywhere"))

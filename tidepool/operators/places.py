@@ -32,13 +32,28 @@ def compile_places(sources: Sequence[DataFrame], key: str) -> DataFrame:
 
 
 def centroid(edges: DataFrame, poly: str = "poly_id") -> DataFrame:
-    """Area and area-weighted centroid of each closed polygon (shoelace sums)."""
+    """Area and centroid of each place from its edges.
+
+    Closed rings with an area: area-weighted (shoelace sums). Lines, that is
+    edges whose ends do not meet again, and flat rings: length-weighted, area
+    0. Points (edges of length 0): the plain mean.
+    """
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
-    return edges.groupBy(poly).agg(
-        F.round(F.sum(cross) / 2, 6).alias("area"),
-        F.round(F.sum((F.col("x1") + F.col("x2")) * cross) / (3 * F.sum(cross)), 6).alias("cx"),
-        F.round(F.sum((F.col("y1") + F.col("y2")) * cross) / (3 * F.sum(cross)), 6).alias("cy"),
-    )
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    # A ring's edges begin and end at the same places: a sum over hashes of the places tells.
+    open_ = F.sum(F.xxhash64("x1", "y1").cast("decimal(20,0)") - F.xxhash64("x2", "y2").cast("decimal(20,0)")) != 0
+    sums = edges.groupBy(poly).agg(
+        F.sum(cross).alias("_c"), F.sum(length).alias("_l"), F.count(F.lit(1)).alias("_n"), open_.alias("_open"),
+        *[F.sum((F.col(f"{a}1") + F.col(f"{a}2")) * w).alias(f"_{a}{k}")
+          for a in "xy" for k, w in (("c", cross), ("l", length), ("n", F.lit(1.0)))])
+    flat = F.col("_open") | (F.round(F.col("_c") / 2, 6) == 0)
+
+    def mean(a: str):
+        line = F.when(F.col("_l") > 0, F.try_divide(f"_{a}l", 2 * F.col("_l"))).otherwise(F.col(f"_{a}n") / (2 * F.col("_n")))
+        return F.when(flat, line).otherwise(F.try_divide(f"_{a}c", 3 * F.col("_c")))
+
+    return sums.select(poly, F.when(flat, F.lit(0.0)).otherwise(F.round(F.col("_c") / 2, 6)).alias("area"),
+                       F.round(mean("x"), 6).alias("cx"), F.round(mean("y"), 6).alias("cy"))
 
 
 def classify_points(points: DataFrame, edges: DataFrame, point_id: str = "vec_id", x: str = "x",
@@ -51,13 +66,13 @@ def classify_points(points: DataFrame, edges: DataFrame, point_id: str = "vec_id
     polygon means inside. Edges are cut into horizontal bands of height
     ``band``; each point only meets the edges of its own band.
 
-    Preferred plan (map-only): one row per band holding, per polygon, the
-    list of its edges in that band. That table is bounded by the polygons, not
-    by the points; when its checked size allows it is broadcast, each point
-    joins exactly one band row, and the crossing parity is computed inside the
-    row. Points are never shuffled or multiplied. If the band table is too
-    large, the edges stay rows: points are equi-joined to them on the band
-    (AQE splits a hot band) and crossings are counted per point and polygon.
+    One row per band holds, per polygon, its edges in that band and their
+    largest x; a point joins the row of its band, skips the polygons that lie
+    left of it, and the crossing parity is computed inside the row, so points
+    are never regrouped and equal points stay rows of their own. The band
+    table is bounded by the polygons, not by the points. It is broadcast where
+    its measured size allows (points are not shuffled then) and joined by a
+    shuffle otherwise, with the same result; AQE splits a hot band.
     """
     h = float(band)
     e = (edges.where(F.col("y1") != F.col("y2"))
@@ -71,23 +86,13 @@ def classify_points(points: DataFrame, edges: DataFrame, point_id: str = "vec_id
         return (((y1 > F.col(y)) != (y2 > F.col(y)))
                 & (F.col(x) < (x2 - x1) * (F.col(y) - y1) / (y2 - y1) + x1))
 
-    per_poly = (e.groupBy("_band", poly)
-                .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges")))
-    bands = per_poly.groupBy("_band").agg(F.collect_list(F.struct(poly, "_edges")).alias("_polys"))
-    checked = bounded_broadcast(bands)
-    if checked is not bands:
-        j = p.join(checked, "_band", "left")
-        odd = F.exists("_polys", lambda q: F.aggregate(
-            q["_edges"], F.lit(0),
-            lambda acc, ed: acc + F.when(crosses(ed["x1"], ed["y1"], ed["x2"], ed["y2"]), 1).otherwise(0))
-            % 2 == 1)
-        inside = j.select(point_id, x, y, F.coalesce(odd, F.lit(False)).alias("inside"))
-    else:
-        j = p.join(e, "_band", "left").withColumn(
-            "_hit", F.when(crosses(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")), F.col(poly)))
-        counted = j.groupBy(point_id, x, y, "_hit").agg(F.count(F.lit(1)).alias("_n"))
-        inside = counted.groupBy(point_id, x, y).agg(
-            F.coalesce(F.bool_or(F.col("_hit").isNotNull() & (F.col("_n") % 2 == 1)), F.lit(False))
-            .alias("inside"))
+    per_poly = e.groupBy("_band", poly).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"),
+                                            F.max(F.greatest("x1", "x2")).alias("_right"))
+    bands = per_poly.groupBy("_band").agg(F.collect_list(F.struct("_right", "_edges")).alias("_polys"))
+    j = p.join(bounded_broadcast(bands), "_band", "left")
+    odd = F.exists("_polys", lambda q: (q["_right"] >= F.col(x)) & (F.aggregate(
+        q["_edges"], F.lit(0),
+        lambda acc, ed: acc + F.when(crosses(ed["x1"], ed["y1"], ed["x2"], ed["y2"]), 1).otherwise(0)) % 2 == 1))
+    inside = j.select(point_id, x, y, F.coalesce(odd, F.lit(False)).alias("inside"))
     return inside.withColumn("place", F.when(F.col("inside"), F.lit(inside_label))
                              .otherwise(F.lit(outside_label)))

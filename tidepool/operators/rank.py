@@ -49,12 +49,21 @@ def membership_share(df: DataFrame, group: str, id_col: str, out: str = "share")
 def region_rollup(df: DataFrame, levels: Sequence[str], id_col: str, out: str = "works") -> DataFrame:
     """Distinct ids at every level of a hierarchy (e.g. region > country) plus a total.
 
-    Distinct counts cannot be summed up the levels, so each grouping set
-    counts its own distinct ids (``rollup`` expands rows, then de-duplicates).
-    ``level`` is the grouping id (0 = finest).
+    Distinct counts cannot be summed up the levels: the links are made distinct
+    at the finest level first, and each level is counted from the distinct
+    links of the level below it. ``level`` is the grouping id (0 = finest).
     """
-    return df.rollup(*levels).agg(F.grouping_id().cast("int").alias("level"),
-                                  F.countDistinct(id_col).alias(out))
+    keys = list(levels)
+    links, parts = df.select(*keys, id_col).distinct(), []
+    for k in range(len(keys), -1, -1):
+        at = links if k == len(keys) else links.select(*keys[:k], id_col).distinct()
+        level = F.lit((1 << (len(keys) - k)) - 1).alias("level")
+        counted = at.groupBy(*keys[:k]).agg(F.count(id_col).alias(out)) if k else at.agg(F.count(id_col).alias(out))
+        parts.append(counted.select(*[F.col(c) if c in keys[:k] else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in keys], level, out))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def year_trend(df: DataFrame, date_col: str, split: str | None = None, year: str = "year",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidepool.session import materialize
+
 
 def weighted_score(df: DataFrame, weights: Mapping[str, int | float], out: str = "total",
                    keep: tuple[str, ...] = ()) -> DataFrame:
@@ -32,11 +34,11 @@ def level_distribution(scored: DataFrame, level: str = "total", total_label: str
     distinct level, bounded by the number of possible scores), never over the
     scored rows themselves.
     """
-    per = scored.groupBy(level).agg(F.count(F.lit(1)).alias("documents"))
+    per = materialize(scored.groupBy(level).agg(F.count(F.lit(1)).alias("documents")))
     down = W.orderBy(F.col(level).desc()).rowsBetween(W.unboundedPreceding, 0)
     levels = per.select(F.col(level).cast("string").alias("level"), "documents",
                         F.sum("documents").over(down).cast("bigint").alias("at_least"))
-    total = scored.agg(F.count(F.lit(1)).alias("documents")).select(
+    total = per.agg(F.coalesce(F.sum("documents"), F.lit(0)).cast("bigint").alias("documents")).select(
         F.lit(total_label).alias("level"), "documents", F.col("documents").alias("at_least"))
     return levels.unionByName(total)
 

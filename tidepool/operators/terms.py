@@ -7,12 +7,15 @@ token side is never shuffled before the match when the dictionary broadcasts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions import text as tx
 from tidepool.functions.joins import bounded_broadcast
 from tidepool.functions.scalars import count_ratio
+from tidepool.operators import text
 
 
 def term_hits(tokens: DataFrame, dictionary: DataFrame, token: str = "w",
@@ -128,22 +131,56 @@ def cooccurring_pages(tokens: DataFrame, dict_a: DataFrame, dict_b: DataFrame, p
     return cooccurring_docs(tokens, dict_a, dict_b, page, token, term)
 
 
-def sentence_hits(sentences: DataFrame, dictionary: DataFrame, doc: str = "doc_id",
-                  sentence: str = "sentence", term: str = "term") -> DataFrame:
-    """Dictionary hits inside sentences: (doc, sentence, term, ...) rows.
+def sentence_hits(sentences: DataFrame, dictionary: DataFrame, doc: str = "doc_id", sentno: str = "sentno",
+                  sentence: str = "sentence", term: str = "term", n: int = 2) -> DataFrame:
+    """Dictionary words and phrases inside sentences: (doc, sentno, term, ...) rows.
 
-    Sentences are expected de-duplicated within their document; each is
-    tokenised in place (lower-cased, split on blanks) and its tokens matched
-    against the checked dictionary, so sentence text is never shuffled for
-    the match.
+    Words and phrases of up to ``n`` words come from one word array of the
+    sentence, without the signs at the words' edges, and are matched against
+    the checked dictionary; the sentence's text is never shuffled, its number is.
     """
-    toks = sentences.select(doc, sentence, F.explode(tx.tokenize(sentence)).alias("_tok"))
+    found = text.units(sentences, sentence, keep=[doc, sentno], n=n, out="_unit")
     d = bounded_broadcast(dictionary)
-    return toks.join(d, toks["_tok"] == d[term]).drop("_tok")
+    return found.join(d, found["_unit"] == d[term]).drop("_unit")
 
 
 def sentence_label_counts(hits: DataFrame, label: str = "label", doc: str = "doc_id",
-                          sentence: str = "sentence") -> DataFrame:
+                          sentno: str = "sentno") -> DataFrame:
     """Sentences and documents with at least one hit, per dictionary label."""
-    return hits.groupBy(label).agg(F.countDistinct(doc, sentence).alias("sentences"),
-                                   F.countDistinct(doc).alias("documents"))
+    per = hits.select(label, doc, sentno).distinct().groupBy(label, doc).agg(F.count(F.lit(1)).alias("_n"))
+    return per.groupBy(label).agg(F.sum("_n").cast("bigint").alias("sentences"), F.count(F.lit(1)).alias("documents"))
+
+
+def cooccurring_sentences(sentences: DataFrame, dict_a: DataFrame, dict_b: DataFrame, doc: str = "doc_id",
+                          sentno: str = "sentno", sentence: str = "sentence", term: str = "term") -> DataFrame:
+    """(doc, sentno) of the sentences that hold a word or phrase of each of two dictionaries."""
+    hits = sentence_hits(sentences, _tagged(dict_a, dict_b, term).withColumnRenamed("_term", term), doc, sentno, sentence, term)
+    flags = hits.groupBy(doc, sentno).agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
+    return flags.where("_a AND _b").select(doc, sentno)
+
+
+def funnel_stages(found: DataFrame, stages: Sequence[tuple[str, str, DataFrame]], doc: str = "doc_id", token: str = "w",
+                  term: str = "term", first: str = "documents") -> DataFrame:
+    """Narrowing funnel with any number of stages: (stage_no, stage, documents).
+
+    A stage is (name, kind, dictionary): ``any`` keeps the documents with one
+    of its terms, ``none`` those without (an exclusion list). Dictionaries of a
+    category are theirs to filter. All of them are one table of terms with a
+    flag per stage, matched once against the units ``found``; a document is
+    one row of flags, counted in one aggregate.
+    """
+    tagged = None
+    for k, (_, kind, dictionary) in enumerate(stages):
+        if kind not in ("any", "none"):
+            raise ValueError(f"unknown kind of stage {kind!r}")
+        one = dictionary.select(F.col(term).alias("_term"), F.lit(1 << k).cast("bigint").alias("_bit")).distinct()
+        tagged = one if tagged is None else tagged.unionByName(one)
+    d = bounded_broadcast(tagged.groupBy("_term").agg(F.bit_or("_bit").alias("_bits")))
+    flags = found.join(d, found[token] == d["_term"], "left").groupBy(doc).agg(F.coalesce(F.bit_or("_bits"), F.lit(0)).alias("_bits"))
+    passed, counts = F.lit(True), [F.count(F.lit(1)).alias("_s0")]
+    for k, (_, kind, _) in enumerate(stages):
+        passed = passed & (F.col("_bits").bitwiseAND(1 << k) != 0 if kind == "any" else F.col("_bits").bitwiseAND(1 << k) == 0)
+        counts.append(F.count_if(passed).alias(f"_s{k + 1}"))
+    rows = [F.struct(F.lit(k + 1).alias("stage_no"), F.lit(name).alias("stage"), F.col(f"_s{k}").alias("documents"))
+            for k, name in enumerate([first, *(s[0] for s in stages)])]
+    return flags.agg(*counts).select(F.inline(F.array(*rows)))

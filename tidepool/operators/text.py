@@ -93,8 +93,8 @@ def ngram_counts(grams: DataFrame, ngram: str = "ngram", doc: str = "page_id",
 
 
 def host_counts(pages: DataFrame, host: str = "host", page: str = "page_id") -> DataFrame:
-    """Distinct pages per host."""
-    return pages.groupBy(host).agg(F.countDistinct(page).alias("pages"))
+    """Distinct pages per host; URLs without a host are left out."""
+    return pages.where(F.col(host).isNotNull()).groupBy(host).agg(F.countDistinct(page).alias("pages"))
 
 
 def sentences(df: DataFrame, text: str = "text", doc: str = "doc_id",
@@ -111,3 +111,25 @@ def sentences(df: DataFrame, text: str = "text", doc: str = "doc_id",
 def dedupe_sentences(sents: DataFrame, doc: str = "doc_id", sentence: str = "sentence") -> DataFrame:
     """Distinct sentences within a document; repeats across documents are kept."""
     return sents.select(doc, sentence).distinct()
+
+
+def distinct_sentences(df: DataFrame, text: str = "text", doc: str = "doc_id",
+                       pattern: str = tx.SENTENCE_SPLIT) -> DataFrame:
+    """(doc, sentno, sentence): the distinct non-blank sentences of each row.
+
+    The de-duplication is a matter of one row, so no sentence is shuffled.
+    """
+    kept = F.filter(F.array_distinct(tx.split_sentences(text, pattern)), lambda x: F.trim(x) != "")
+    return df.select(doc, F.posexplode(kept).alias("sentno", "sentence"))
+
+
+def units(df: DataFrame, text: str = "text", keep: Sequence[str] = ("url",), n: int = 2, out: str = "w",
+          distinct: bool = True) -> DataFrame:
+    """One row per word and per phrase of up to ``n`` words, from one word array per text.
+
+    Words are without the signs at their edges. With ``distinct`` a unit is one
+    row however often the text has it.
+    """
+    staged = df.select(*keep, tx.plain_words(text).alias("_words"))
+    found = tx.words_and_phrases("_words", n)
+    return staged.select(*keep, F.explode(F.array_distinct(found) if distinct else found).alias(out))

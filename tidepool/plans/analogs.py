@@ -151,7 +151,7 @@ def a13(t: Tables) -> DataFrame:
 @query("a14_ego_network")
 def a14(t: Tables) -> DataFrame:
     """Country edges touching NATION_12."""
-    return net.ego_network(_pairs(fx.authorships(t), "country_code", "id"), "NATION_12")
+    return net.ego_pairs(fx.authorships(t), "country_code", "id", "NATION_12")
 
 
 # ---- web text and dictionaries ----------------------------------------------
@@ -187,7 +187,7 @@ def a17(t: Tables) -> DataFrame:
 def a18(t: Tables) -> DataFrame:
     """Sentences, distinct within each document."""
     from tidepool.operators import text
-    return text.dedupe_sentences(text.sentences(t.documents, "text", "doc_id"))
+    return text.distinct_sentences(t.documents, "text", "doc_id").select("doc_id", "sentence")
 
 
 @query("a19_term_counts")
@@ -348,7 +348,7 @@ def a37(t: Tables) -> DataFrame:
 def a38(t: Tables) -> DataFrame:
     """Families, applications, publications per country."""
     from tidepool.operators.patents import three_way_counts
-    return three_way_counts(fx.patents(t))
+    return three_way_counts(fx.patents(t), nested=True)
 
 
 @query("a39_claims_vs_text")
@@ -363,9 +363,9 @@ def a39(t: Tables) -> DataFrame:
 
 @query("a40_classify_points")
 def a40(t: Tables) -> DataFrame:
-    """Points inside (EEZ) or outside (ABNJ) the polygon."""
+    """Points inside (EEZ) or outside (ABNJ) the star-shaped polygons of all embeddings."""
     from tidepool.operators.places import classify_points
-    return classify_points(fx.points(t), fx.poly(t))
+    return classify_points(fx.points(t), fx.embedding_polygons(t))
 
 
 @query("a41_centroid")
@@ -382,7 +382,7 @@ def a42(t: Tables) -> DataFrame:
     """Seeds (urgent orders) plus the works they cite and the works citing them."""
     from tidepool.operators.corpus import citation_expand
     seeds = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_orderkey").alias("work"))
-    return citation_expand(fx.cites(t), seeds)
+    return citation_expand(fx.citing_lines(t), seeds)
 
 
 @query("a43_citations_received")
@@ -427,7 +427,8 @@ def a46(t: Tables) -> DataFrame:
 def a47(t: Tables) -> DataFrame:
     """Labels filled down per user in event order."""
     from tidepool.operators.clean import fill_down
-    return fill_down(fx.seq(t), "label", "user_id", "event_id").select("event_id", "user_id", "label")
+    # Small blocks, so that carries cross them at the test scales.
+    return fill_down(fx.seq(t), "label", "user_id", "event_id", chunk=64).select("event_id", "user_id", "label")
 
 
 @query("a48_sum_numeric")
@@ -627,7 +628,7 @@ def a66(t: Tables) -> DataFrame:
     """Sentences (distinct within a document) and documents naming a dictionary
     term, per label."""
     from tidepool.operators import terms, text
-    sents = text.dedupe_sentences(text.sentences(t.documents, "text", "doc_id"))
+    sents = text.distinct_sentences(t.documents, "text", "doc_id")
     return terms.sentence_label_counts(terms.sentence_hits(sents, fx.dict_a(t)))
 
 
@@ -677,12 +678,77 @@ def a70(t: Tables) -> DataFrame:
     return select_positions(relocate(renamed, ["price"]), 3)
 
 
-@query("a71_graph_document_sizes")
+@query("a71_graph_elements")
 def a71(t: Tables) -> DataFrame:
-    """Element counts of the assembled graph document (nodes, links, categories)."""
-    from tidepool.sources.io import graph_document
+    """All elements of the institution graph: nodes, links and categories by value."""
     nodes = _inst_nodes(t)
-    doc = graph_document(nodes, net.graph_links(_inst_links(t), nodes), net.graph_categories(nodes))
-    return doc.select(F.size("nodes").cast("bigint").alias("nodes"),
-                      F.size("links").cast("bigint").alias("links"),
-                      F.size("categories").cast("bigint").alias("categories"))
+    return net.graph_elements(nodes, net.graph_links(_inst_links(t), nodes), net.graph_categories(nodes))
+
+
+@query("a72_first_filings_by_country")
+def a72(t: Tables) -> DataFrame:
+    """Families by first-filing year and country of their publications; the year is the family's own."""
+    from tidepool.operators.patents import first_filings
+    return first_filings(fx.patents(t), by=["country", "section"])
+
+
+@query("a73_sentence_phrases")
+def a73(t: Tables) -> DataFrame:
+    """Sentences and documents that name a dictionary word, and a two-word term, of the benchmark texts."""
+    from tidepool.operators import terms, text
+    words = fx.bench_units(t).select("term", F.when(terms.is_phrase("term"), "phrase").otherwise("word").alias("label"))
+    return terms.sentence_label_counts(terms.sentence_hits(text.distinct_sentences(t.documents), words))
+
+
+@query("a74_cooccurring_sentences")
+def a74(t: Tables) -> DataFrame:
+    """Sentences with a term of each of two dictionaries, per document."""
+    from tidepool.operators import terms, text
+    both = terms.cooccurring_sentences(text.distinct_sentences(t.documents), fx.dict_a(t), fx.dict_b(t))
+    return both.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"))
+
+
+@query("a75_applicant_species_pages")
+def a75(t: Tables) -> DataFrame:
+    """Terms of applicants' patents on the pages of their domains: applicants, domains and pages per term."""
+    from tidepool.operators import listings, text
+    web = fx.web(t)
+    found = text.units(web, "text", keep=["page_id", "host"])
+    hits = listings.applicant_species_pages(fx.applicant_domains(t), fx.applicant_species(t), web, found, min_pages=3)
+    return hits.groupBy("term").agg(F.countDistinct("applicant").alias("applicants"), F.countDistinct("host").alias("domains"),
+                                    F.max("pages").alias("most_pages"))
+
+
+@query("a76_funnel_stages")
+def a76(t: Tables) -> DataFrame:
+    """Funnel over documents: common terms, then the second dictionary, then without an exclusion list."""
+    from tidepool.operators import terms
+    common = fx.dict_a(t).where("label = 'COMMON'").select("term")
+    excluded = fx.dict_a(t).where("label = 'TAXONOMIC' AND length(term) = 5").select("term")
+    return terms.funnel_stages(fx.dtok(t), [("common", "any", common), ("product", "any", fx.dict_b(t)), ("excluded", "none", excluded)])
+
+
+@query("a77_taxa_country_fields")
+def a77(t: Tables) -> DataFrame:
+    """Per taxon: marine only, ABNJ, and ABNJ only with no country-like field on any record."""
+    from tidepool.operators.taxa import classify_taxa
+    marks = t.lineitem.select(F.col("l_partkey").alias("taxon"), (F.col("l_returnflag") == "R").alias("nonmarine"),
+                              (F.col("l_partkey") % 2 == 0).alias("outside_eez"),
+                              F.when(F.col("l_linenumber") == 7, F.col("l_returnflag")).alias("country"),
+                              F.when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "N"), F.col("l_linestatus")).alias("state"))
+    return classify_taxa(marks, country_like=["country", "state"])
+
+
+@query("a78_unmatched_documents")
+def a78(t: Tables) -> DataFrame:
+    """Documents without a label."""
+    from tidepool.operators.quality import unmatched
+    return unmatched(t.documents.select("doc_id", "lang"), t.labels, "doc_id")
+
+
+@query("a79_listing_names")
+def a79(t: Tables) -> DataFrame:
+    """Listings whose title shares a word with the search term or with the common name."""
+    from tidepool.operators.listings import search_term_match
+    named = fx.listings(t).withColumn("common_name", F.when(F.col("asin") % 2 == 0, F.lit("Widget, large")))
+    return named.where(search_term_match("title", "search_term", "common_name")).select("asin", "title")

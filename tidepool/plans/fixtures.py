@@ -11,32 +11,25 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import text as tx
 from tidepool.operators.clean import disambiguate_names
-from tidepool.sources.io import read_parquet
+from tidepool.session import materialize
 
 # The analog stop list for web tokens.
 WEB_STOP_WORDS = ("the", "and", "of", "to", "a", "in", "is", "that")
 
 
 class Tables:
-    """Lazy readers for the parquet tables of one folder (one scan object each).
-
-    Test files are written as a single row group, which one task must read
-    alone; ``read_parquet`` spreads such files over the cores by their key.
-    Inputs with many row groups are scanned as they are.
-    """
+    """Lazy readers for the parquet tables of one folder (one scan object each)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
-        self._spread = spark.sparkContext.defaultParallelism
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._frames:
-            self._frames[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet",
-                                              spread_to=self._spread)
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._frames[name]
 
 
@@ -55,17 +48,13 @@ def _per_tables(fn):
 
 @_per_tables
 def authorships(t: Tables) -> DataFrame:
-    """One row per (work, institution) link.
-
-    Unlike the oracle CTE this keeps duplicate links (one per line item):
-    every consumer counts distinct ids or de-duplicates its own keys, so the
-    results are the same and a full shuffle of the largest table is saved.
-    """
-    li = t.lineitem.select("l_orderkey", "l_suppkey")
+    """One row per (work, institution) link, written once: the largest table is
+    read once, and pair sizes, pairs, works and countries come from the links."""
+    li = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
     su = t.supplier.select("s_suppkey", "s_nationkey")
     na = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     re = t.region.select("r_regionkey", "r_name")
-    return (li.join(su, li.l_suppkey == su.s_suppkey)
+    return materialize(li.join(su, li.l_suppkey == su.s_suppkey)
             .join(na, su.s_nationkey == na.n_nationkey)
             .join(re, na.n_regionkey == re.r_regionkey)
             .select(F.col("l_orderkey").alias("id"),
@@ -84,8 +73,8 @@ def inst(t: Tables) -> DataFrame:
 def grants(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_partkey")
     pa = t.part.select("p_partkey", "p_brand")
-    return (li.join(pa, li.l_partkey == pa.p_partkey)
-            .select(F.col("l_orderkey").alias("id"), F.col("p_brand").alias("funder")).distinct())
+    return materialize(li.join(pa, li.l_partkey == pa.p_partkey)
+                       .select(F.col("l_orderkey").alias("id"), F.col("p_brand").alias("funder")).distinct())
 
 
 @_per_tables
@@ -176,14 +165,6 @@ def points(t: Tables) -> DataFrame:
                     F.round(F.col("embedding")[1].cast("double"), 6).alias("y"))
 
 
-@_per_tables
-def poly(t: Tables) -> DataFrame:
-    """The fixture polygon (a triangle) as edge rows; a fixed literal."""
-    # Triangle edges (poly_id, x1, y1, x2, y2).
-    rows = [(1, -0.2, -0.2, 0.2, -0.2), (1, 0.2, -0.2, 0.0, 0.25), (1, 0.0, 0.25, -0.2, -0.2)]
-    return t.spark.createDataFrame(rows, "poly_id int, x1 double, y1 double, x2 double, y2 double")
-
-
 @_per_tables
 def embedding_polygons(t: Tables) -> DataFrame:
     """Each embedding as a polygon: vertex i = (e[2i], e[2i+1]), vertices in
@@ -208,10 +189,15 @@ def embedding_polygons(t: Tables) -> DataFrame:
 
 
 @_per_tables
-def cites(t: Tables) -> DataFrame:
+def citing_lines(t: Tables) -> DataFrame:
+    """Citations as they come, one for each line."""
     return (t.lineitem.where(F.col("l_orderkey") != F.col("l_partkey"))
-            .select(F.col("l_orderkey").alias("citing"), F.col("l_partkey").alias("cited"))
-            .distinct())
+            .select(F.col("l_orderkey").alias("citing"), F.col("l_partkey").alias("cited")))
+
+
+@_per_tables
+def cites(t: Tables) -> DataFrame:
+    return citing_lines(t).distinct()
 
 
 @_per_tables
@@ -226,3 +212,26 @@ def listings(t: Tables) -> DataFrame:
 def seq(t: Tables) -> DataFrame:
     return t.events.select("event_id", "user_id",
                            F.when(F.col("event_id") % 5 == 0, F.col("event_type")).alias("label"))
+
+
+@_per_tables
+def bench_units(t: Tables) -> DataFrame:
+    """Distinct words and two-word phrases of the benchmark texts."""
+    from tidepool.operators import text
+    return text.units(t.benchmark, "text", keep=["item_id"], out="term").select("term").distinct()
+
+
+@_per_tables
+def applicant_domains(t: Tables) -> DataFrame:
+    """(applicant, host): machinery customers, and hosts whose length has the customer number's remainder by 7."""
+    c = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_custkey").alias("applicant"), (F.col("c_custkey") % 7).alias("_m"))
+    h = web(t).select("host").distinct().withColumn("_m", (F.length("host") % 7).cast("bigint"))
+    return c.join(h, "_m").select("applicant", "host")
+
+
+@_per_tables
+def applicant_species(t: Tables) -> DataFrame:
+    """(applicant, term): dictionary terms whose length is 5 more than an order number's remainder by 3."""
+    o = t.orders.select(F.col("o_custkey").alias("applicant"), (F.col("o_orderkey") % 3 + 5).alias("_n")).distinct()
+    d = dict_a(t).select("term", F.length("term").cast("bigint").alias("_n"))
+    return o.join(d, "_n").select("applicant", "term")

@@ -28,7 +28,7 @@ CTES: dict[str, str] = {
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "web": """
         SELECT page_id, url,
-               regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host,
+               nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/:?#@]+)', 2), '') AS host,
                trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'),
                                    '[ \t\r\n]+', ' ', 'g')) AS text
         FROM pages""",
@@ -76,9 +76,6 @@ CTES: dict[str, str] = {
         SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 6) AS x,
                round(CAST(embedding[2] AS DOUBLE), 6) AS y
         FROM embeddings""",
-    "poly": """
-        SELECT * FROM (VALUES (1, -0.2, -0.2, 0.2, -0.2), (1, 0.2, -0.2, 0.0, 0.25),
-                              (1, 0.0, 0.25, -0.2, -0.2)) t(poly_id, x1, y1, x2, y2)""",
     "cites": """
         SELECT DISTINCT l_orderkey AS citing, l_partkey AS cited
         FROM lineitem WHERE l_orderkey <> l_partkey""",
@@ -230,7 +227,7 @@ ORACLE.update({
         "SELECT bigram AS ngram, count(*) AS n, count(DISTINCT page_id) AS pages FROM bigrams GROUP BY bigram",
         "web", extra=_BIGRAMS),
     "a17_host_counts": _q(
-        "SELECT host, count(DISTINCT page_id) AS pages FROM web GROUP BY host", "web"),
+        "SELECT host, count(DISTINCT page_id) AS pages FROM web WHERE host IS NOT NULL GROUP BY host", "web"),
     "a18_dedupe_sentences": _q(
         "SELECT DISTINCT doc_id, s AS sentence FROM sents", "sents"),
     "a19_term_counts": _q(
@@ -275,12 +272,6 @@ _TAXA = """
         taxa AS (SELECT taxon, NOT bool_or(nonmarine) AS marine_only, bool_or(outside_eez) AS abnj,
                         bool_and(outside_eez) AS abnj_only, count(*) AS occurrences
                  FROM occurrences GROUP BY taxon)"""
-_CROSSINGS = """
-        crossings AS (SELECT p.vec_id, count(e.poly_id) AS n
-                      FROM points p LEFT JOIN poly e
-                        ON (e.y1 > p.y) <> (e.y2 > p.y)
-                       AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
-                      GROUP BY p.vec_id)"""
 _SEEDS = """
         seeds AS (SELECT DISTINCT o_orderkey AS work FROM orders WHERE o_orderpriority = '1-URGENT'),
         expanded AS (SELECT work FROM seeds
@@ -296,6 +287,12 @@ _EPOLY = """
         epoly AS (SELECT poly_id, ring[i + 1].x AS x1, ring[i + 1].y AS y1,
                          ring[(i + 1) % len(ring) + 1].x AS x2, ring[(i + 1) % len(ring) + 1].y AS y2
                   FROM (SELECT poly_id, ring, unnest(range(len(ring))) AS i FROM rings))"""
+_INSIDE = """
+        crossings AS (SELECT p.vec_id, e.poly_id, count(*) AS n FROM points p JOIN epoly e
+                        ON (e.y1 > p.y) <> (e.y2 > p.y)
+                       AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
+                      GROUP BY p.vec_id, e.poly_id),
+        inside AS (SELECT vec_id, bool_or(n % 2 = 1) AS inside FROM crossings GROUP BY vec_id)"""
 _VOCAB = """
         vocab AS (SELECT DISTINCT d.lang, t.w FROM dtok t JOIN documents d USING (doc_id)
                   WHERE d.lang IN ('en', 'de')),
@@ -307,7 +304,7 @@ _LISTINGS = """
         anyw AS (SELECT * FROM kept WHERE list_has_any(words, string_split(search_term, ' '))),
         phrase AS (SELECT * FROM anyw WHERE contains(' ' || title || ' ', ' ' || search_term || ' '))"""
 _TOP_HOSTS = """
-        host_pages AS (SELECT host, count(DISTINCT page_id) AS pages FROM web GROUP BY host),
+        host_pages AS (SELECT host, count(DISTINCT page_id) AS pages FROM web WHERE host IS NOT NULL GROUP BY host),
         top_hosts AS (SELECT host FROM host_pages ORDER BY pages DESC, host LIMIT 3)"""
 
 ORACLE.update({
@@ -380,10 +377,10 @@ ORACLE.update({
            FROM patents WHERE applicant_kind <> 'HOUSEHOLD' GROUP BY country""", "patents"),
     # ---- places --------------------------------------------------------------
     "a40_classify_points": _q(
-        """SELECT p.vec_id, p.x, p.y, c.n % 2 = 1 AS inside,
-                  CASE WHEN c.n % 2 = 1 THEN 'EEZ' ELSE 'ABNJ' END AS place
-           FROM points p JOIN crossings c USING (vec_id)""",
-        "points", "poly", extra=_CROSSINGS),
+        """SELECT p.vec_id, p.x, p.y, coalesce(i.inside, false) AS inside,
+                  CASE WHEN i.inside THEN 'EEZ' ELSE 'ABNJ' END AS place
+           FROM points p LEFT JOIN inside i USING (vec_id)""",
+        "points", extra=_EPOLY + "," + _INSIDE),
     "a41_centroid": _q(
         """SELECT poly_id, round(sum(x1 * y2 - x2 * y1) / 2, 6) AS area,
                   round(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 6) AS cx,
@@ -466,12 +463,29 @@ ORACLE.update({
            FROM labels GROUP BY quality"""),
     "a59_reference_unigrams": _q(
         f"""SELECT trim(w) AS ngram, count(*) AS n FROM (
-                SELECT unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS w
-                FROM documents)
+                SELECT unnest(regexp_split_to_array(solid, '[ \\t\\n\\x0B\\f\\r]')) AS w
+                FROM (SELECT lower(text) AS t, regexp_replace(lower(text), '[ \\t\\n\\x0B\\f\\r]+$', '') AS solid FROM documents)
+                WHERE solid <> '' OR t = '')
             WHERE w NOT IN ({_english_in_list()})
             GROUP BY 1"""),
 })
 
+
+
+def _units(name: str, columns: str, source: str, text: str) -> str:
+    """A CTE of the distinct words, without signs at their edges, and two-word phrases of a text."""
+    keep = "".join(c.strip() + ", " for c in columns.split(",") if c.strip() != "w")
+    words = (f"list_filter(list_transform(regexp_split_to_array(lower({text}), '[ \\t\\r\\n]+'), "
+             "lambda x: regexp_replace(x, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')), lambda x: x <> '')")
+    return f"""
+        {name}_w AS (SELECT {keep}{words} AS ws FROM {source}),
+        {name} AS (SELECT DISTINCT {keep}w FROM (
+                     SELECT {keep}unnest(ws) AS w FROM {name}_w
+                     UNION ALL SELECT {keep}ws[i] || ' ' || ws[i + 1] AS w
+                     FROM (SELECT {keep}ws, unnest(range(1, len(ws))) AS i FROM {name}_w)))"""
+
+
+_SENTENCE_UNITS = "ds AS (SELECT DISTINCT doc_id, s FROM sents)," + _units("su", "doc_id, s, w", "ds", "s")
 _HITS_TERMS = """
         hits AS (SELECT t.page_id, d.term FROM tokens t JOIN dict_a d ON t.w = d.term),
         vmap AS (SELECT a.term AS variant, b.term AS canonical FROM dict_a a JOIN dict_a b
@@ -540,10 +554,36 @@ ORACLE.update({
     "a66_sentence_hits": _q(
         """SELECT d.label, count(DISTINCT {'d': u.doc_id, 's': u.s}) AS sentences,
                   count(DISTINCT u.doc_id) AS documents
-           FROM (SELECT doc_id, s, unnest(string_split(lower(s), ' ')) AS w
-                 FROM (SELECT DISTINCT doc_id, s FROM sents)) u
-           JOIN dict_a d ON u.w = d.term
-           GROUP BY d.label""", "sents", "dict_a"),
+           FROM su u JOIN dict_a d ON u.w = d.term GROUP BY d.label""", "sents", "dict_a", extra=_SENTENCE_UNITS),
+    "a73_sentence_phrases": _q(
+        """SELECT CASE WHEN contains(u.w, ' ') THEN 'phrase' ELSE 'word' END AS label,
+                  count(DISTINCT {'d': u.doc_id, 's': u.s}) AS sentences, count(DISTINCT u.doc_id) AS documents
+           FROM su u JOIN bu ON u.w = bu.w GROUP BY 1""", "sents", extra=_SENTENCE_UNITS + "," + _units("bu", "w", "benchmark", "text")),
+    "a74_cooccurring_sentences": _q(
+        """SELECT doc_id, count(*) AS sentences FROM (
+               SELECT DISTINCT doc_id, s FROM su WHERE w IN (SELECT term FROM dict_a)
+               INTERSECT SELECT DISTINCT doc_id, s FROM su WHERE w IN (SELECT term FROM dict_b))
+           GROUP BY doc_id""", "sents", "dict_a", "dict_b", extra=_SENTENCE_UNITS),
+    "a75_applicant_species_pages": _q(
+        """SELECT term, count(DISTINCT applicant) AS applicants, count(DISTINCT host) AS domains, max(pages) AS most_pages FROM (
+               SELECT a.applicant, u.host, u.w AS term, count(DISTINCT u.page_id) AS pages
+               FROM applicants a JOIN pu u ON a.host = u.host JOIN species sp ON sp.applicant = a.applicant AND sp.term = u.w
+               WHERE u.host IN (SELECT host FROM web GROUP BY host HAVING count(DISTINCT page_id) >= 3)
+               GROUP BY 1, 2, 3)
+           GROUP BY term""", "web", "dict_a",
+        extra=_units("pu", "page_id, host, w", "web", "text") + """,
+        applicants AS (SELECT c_custkey AS applicant, host FROM customer JOIN (SELECT DISTINCT host FROM web)
+                         ON c_custkey % 7 = length(host) % 7 WHERE c_mktsegment = 'MACHINERY'),
+        species AS (SELECT DISTINCT o_custkey AS applicant, term FROM orders JOIN dict_a ON o_orderkey % 3 + 5 = length(term))"""),
+    "a76_funnel_stages": _q(
+        """SELECT 1 AS stage_no, 'documents' AS stage, count(*) AS documents FROM f
+           UNION ALL SELECT 2, 'common', count(*) FROM f WHERE a
+           UNION ALL SELECT 3, 'product', count(*) FROM f WHERE a AND b
+           UNION ALL SELECT 4, 'excluded', count(*) FROM f WHERE a AND b AND NOT c""", "dtok", "dict_a", "dict_b",
+        extra="""f AS (SELECT doc_id, bool_or(w IN (SELECT term FROM dict_a WHERE label = 'COMMON')) AS a,
+                       bool_or(w IN (SELECT term FROM dict_b)) AS b,
+                       bool_or(w IN (SELECT term FROM dict_a WHERE label = 'TAXONOMIC' AND length(term) = 5)) AS c
+                       FROM dtok GROUP BY doc_id)"""),
 })
 
 ORACLE.update({
@@ -568,11 +608,26 @@ ORACLE.update({
            SELECT '(kept after drop)', count(*) FROM seq WHERE label IS NOT NULL""", "seq"),
     "a70_reshape_parts": _q(
         "SELECT p_retailprice AS price, p_partkey AS id, p_name AS title FROM part"),
-    "a71_graph_document_sizes": _q(
-        """SELECT (SELECT count(*) FROM nodes) AS nodes,
-                  (SELECT count(*) FROM (SELECT DISTINCT item1, item2 FROM pairs
-                                         WHERE item1 IN (SELECT name FROM nodes)
-                                           AND item2 IN (SELECT name FROM nodes))) AS links,
-                  (SELECT count(DISTINCT category) FROM nodes) AS categories""",
+    "a71_graph_elements": _q(
+        """SELECT 'node' AS kind, name, category, CAST(value AS DOUBLE) AS value, symbol_size, NULL AS source, NULL AS target FROM nodes
+           UNION ALL SELECT 'link', NULL, NULL, NULL, NULL, item1, item2 FROM (
+               SELECT DISTINCT item1, item2 FROM pairs
+               WHERE item1 IN (SELECT name FROM nodes) AND item2 IN (SELECT name FROM nodes))
+           UNION ALL SELECT 'category', category, NULL, NULL, NULL, NULL, NULL FROM (SELECT DISTINCT category FROM nodes)""",
         "inst", extra=_INST_LINKS + "," + _INST_WORKS + "," + _INST_NODES),
+    "a72_first_filings_by_country": _q(
+        """SELECT f.first_year, g.country, g.section, count(*) AS families
+           FROM (SELECT family_id, CAST(year(min(filing_date)) AS INTEGER) AS first_year FROM patents GROUP BY family_id) f
+           JOIN (SELECT DISTINCT family_id, country, section FROM patents) g USING (family_id)
+           GROUP BY 1, 2, 3""", "patents"),
+    "a77_taxa_country_fields": _q(
+        """SELECT l_partkey AS taxon, NOT bool_or(l_returnflag = 'R') AS marine_only, bool_or(l_partkey % 2 = 0) AS abnj,
+                  bool_and(l_partkey % 2 = 0) AND NOT bool_or((l_linenumber = 7 AND l_returnflag IS NOT NULL)
+                    OR (l_linenumber = 6 AND l_returnflag = 'N' AND l_linestatus IS NOT NULL)) AS abnj_only,
+                  count(*) AS occurrences FROM lineitem GROUP BY l_partkey"""),
+    "a78_unmatched_documents": _q("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"),
+    "a79_listing_names": _q(
+        """SELECT asin, title FROM listings
+           WHERE list_has_any(string_split(lower(title), ' '), string_split(search_term, ' '))
+              OR (asin % 2 = 0 AND list_has_any(string_split(lower(title), ' '), ['widget', 'large']))""", "listings"),
 })

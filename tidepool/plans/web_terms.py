@@ -4,7 +4,7 @@ corpus {url, text} -> tokens (stop words removed) and bigrams -> dictionary
 matches -> hit table (written, read back) -> pages and occurrences per term
 and per label -> top-k CSV report.
 
-The corpus is scanned once per n; dictionary matches are broadcast joins
+The corpus is scanned and split into words once; dictionary matches are broadcast joins
 after a size check, so tokens are never shuffled before the match; the hit
 table (much smaller than the tokens) is written once and every summary reads
 it instead of re-tokenising the corpus.
@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.functions import text as tx
 from tidepool.operators import terms, text
 from tidepool.sources import io
 
@@ -33,15 +34,13 @@ def build_web_terms(corpus: DataFrame, dictionary: DataFrame, out_dir: str,
     stop = list(stop_words) if stop_words is not None else text.english_stop_words()
     if "label" not in dictionary.columns:
         dictionary = dictionary.withColumn("label", F.lit(None).cast("string"))
-    units = []
+    # One word array per page; words but stop words, and phrases of the whole array.
+    staged = corpus.select(url, tx.plain_words("text").alias("_words"))
+    found = F.array().cast("array<string>")
     for n in ngram_sizes:
-        if n == 1:
-            units.append(text.unigrams(corpus, "text", keep=[url], stop_words=stop, out="w"))
-        else:
-            units.append(text.ngrams(corpus, n, "text", keep=[url], out="w"))
-    tokens = units[0]
-    for u in units[1:]:
-        tokens = tokens.unionByName(u)
+        part = tx.ngram_array("_words", n) if n > 1 else tx.remove_stop_words("_words", stop)
+        found = F.concat(found, part)
+    tokens = staged.select(url, F.explode(found).alias("w"))
     hits = terms.term_hits(tokens, dictionary.select("term", "label").distinct())
     io.write_table(hits.select(url, "term", "label"), paths["hits"])
     hits = spark.read.parquet(paths["hits"])

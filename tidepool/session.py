@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,8 +23,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Checkpoint files are removed once their DataFrame is garbage collected.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -76,16 +75,20 @@ def get_session(app: str = "tidepool", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment (a shared file system
-    every executor can reach). Only when it is unset, as in local tests, a
-    fresh scratch folder is created and registered.
+    On a cluster the deployment sets it (a file system every executor can
+    reach), and an unset one is an error: a folder of the driver's machine
+    would not be seen by the executors. Only a local session gets a fresh
+    scratch folder, as in tests.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
         current = tempfile.mkdtemp(prefix="tidepool-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
@@ -94,12 +97,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Used where one small intermediate (an entity table, a summary) feeds
-    several scalar subqueries and the main plan, so it is computed once. The
-    files live in ``spark.checkpoint.dir`` (reliable storage), so a lost
-    executor does not lose them.
+    Used where one intermediate feeds several parts of a plan, so that it is
+    computed once and its size is known to the planner. It runs a job. The
+    files are reliable storage, so a lost executor does not lose them; they lie
+    under the application's id, which a deployment clears when it has ended.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 # "NA" as missing, which silently turns the ISO code of Namibia into NULL.
 # We keep Namibia by default; pass REFERENCE_NA to reproduce the old reading.
 DEFAULT_NA: tuple[str, ...] = ("",)
+# What a quoted empty field is read as, until it becomes an empty text.
+QUOTED_EMPTY = "\x00"
 REFERENCE_NA: tuple[str, ...] = ("", "NA")
 
 CORPUS_SCHEMA = T.StructType([
@@ -42,11 +44,16 @@ GRAPH_SCHEMA = T.StructType([
 
 def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
                schema: T.StructType | str | None = None, sep: str = ",",
-               na_strings: Sequence[str] = DEFAULT_NA, header: bool = True) -> DataFrame:
+               na_strings: Sequence[str] = DEFAULT_NA, header: bool = True,
+               multi_line: bool = False, bad_records: str | None = None) -> DataFrame:
     """Lazy scan of CSV / delimited text / JSON lines / Parquet.
 
-    For text formats ``schema`` is required (header names must line up with
-    it); every string in ``na_strings`` reads back as NULL.
+    For text formats ``schema`` is required. CSV headers are checked against
+    it (another name or order is an error), a doubled quote inside quotes is
+    one quote, and ``multi_line`` allows line ends inside quotes. Nothing
+    between two separators is NULL, and so is every string in ``na_strings``;
+    without ``""`` among them a quoted empty text is an empty text. A record that does not fit the schema fails the job, or, with
+    ``bad_records``, its text goes to that column and the rest is NULL.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "parquet":
@@ -57,52 +64,22 @@ def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
     if schema is None:
         raise ValueError(f"{fmt} scans need an explicit schema")
     if fmt in ("csv", "delim"):
-        df = (spark.read.schema(schema).option("header", header).option("sep", sep)
-              .option("mode", "PERMISSIVE").csv(paths))
+        df = (_text_reader(spark, schema, bad_records).option("header", header).option("sep", sep).option("quote", '"')
+              .option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False)
+              .option("emptyValue", "" if "" in na_strings else QUOTED_EMPTY).csv(paths))
         return _null_out(df, na_strings)
     if fmt == "json":
-        return spark.read.schema(schema).json(paths)
+        return _text_reader(spark, schema, bad_records).option("multiLine", multi_line).json(paths)
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def parquet_row_groups(path: str) -> int | None:
-    """Row groups of a local Parquet file or folder (None when not local)."""
-    import glob
-    import os
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in local or not os.path.exists(local):
-        return None
-    try:
-        import pyarrow.parquet as pq
-    except ImportError:
-        return None
-    files = [local] if os.path.isfile(local) else glob.glob(os.path.join(local, "**", "*.parquet"),
-                                                            recursive=True)
-    return sum(pq.ParquetFile(f).metadata.num_row_groups for f in files) if files else None
-
-
-def read_parquet(spark: SparkSession, path: str, spread_to: int = 0, spread_key: str | None = None,
-                 spread_min_bytes: int = 4 << 20) -> DataFrame:
-    """Parquet scan that can spread a file stored as too few row groups.
-
-    A Parquet row group is never split between tasks, so a large file written
-    as a single row group is read by one task however many cores there are.
-    When ``spread_to`` is set and the (local) file has fewer row groups than
-    that, the scan is hash-partitioned on ``spread_key`` into ``spread_to``
-    parts. Well-laid-out inputs (many row groups, remote storage) are left
-    alone and never pay the extra shuffle.
-    """
-    df = spark.read.parquet(path)
-    if spread_to <= 1:
-        return df
-    import os
-    local = path[len("file:"):] if path.startswith("file:") else path
-    size = os.path.getsize(local) if os.path.isfile(local) else 0
-    groups = parquet_row_groups(path)
-    if groups is None or groups >= spread_to or size < spread_min_bytes:
-        return df
-    key = spread_key or df.columns[0]
-    return df.repartition(spread_to, key)
+def _text_reader(spark: SparkSession, schema: T.StructType | str, bad_records: str | None):
+    if bad_records is None:
+        return spark.read.schema(schema).option("mode", "FAILFAST")
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    whole = T.StructType([*schema.fields, T.StructField(bad_records, T.StringType())])
+    return spark.read.schema(whole).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_records)
 
 
 def read_corpus(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -113,84 +90,67 @@ def read_corpus(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def _null_out(df: DataFrame, na_strings: Sequence[str]) -> DataFrame:
     """Map every spelling in ``na_strings`` to NULL in the string columns."""
     extra = [s for s in na_strings if s != ""]
-    if not extra:
+    if not extra and "" in na_strings:
         return df
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
-            c = F.when(c.isin(*extra), F.lit(None)).otherwise(c).alias(f.name)
+            c = F.when(c.isin(*extra), F.lit(None)).when(c == QUOTED_EMPTY, F.lit("")).otherwise(c).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                na_string: str = "NA", partition_by: Sequence[str] = ()) -> None:
-    """Write Parquet or CSV (header; NULL written as ``na_string``)."""
+                na_string: str = "", partition_by: Sequence[str] = ()) -> None:
+    """Write Parquet or CSV (header; doubled quotes inside quotes).
+
+    NULL is written as ``na_string``, by default as nothing, and an empty text
+    as two quotes, so that both come back from ``read_table`` with no
+    ``na_strings``. With another ``na_string`` a text that equals it could not be told from NULL, so such a
+    text fails the job.
+    """
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":
-        w.option("header", True).option("nullValue", na_string).option("emptyValue", '""').csv(path)
+        if na_string:
+            df = df.select([F.when(F.col(f"`{f.name}`") == na_string, F.raise_error(F.lit(f"a text equals the NA mark {na_string}")).cast("string"))
+                            .otherwise(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+                            for f in df.schema.fields])
+            w = df.write.mode(mode)
+            w = w.partitionBy(*partition_by) if partition_by else w
+        (w.option("header", True).option("nullValue", na_string).option("emptyValue", '""').option("quote", '"')
+         .option("escape", '"').csv(path))
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
 
-_NODE_T = "struct<name:string,category:string,value:double,symbolSize:double>"
-_LINK_T = "struct<source:string,target:string>"
-_CAT_T = "struct<name:string>"
+def write_graph_document(nodes: DataFrame, links: DataFrame, categories: DataFrame, path: str) -> None:
+    """Write a graph as JSON lines in ``nodes``, ``links`` and ``categories`` under ``path``.
 
+    Every part is written in parallel, whatever its size.
+    """
+    parts = {
+        "nodes": nodes.select(F.col("name").cast("string").alias("name"), F.col("category").cast("string").alias("category"),
+                              F.col("value").cast("double").alias("value"), F.col("symbol_size").cast("double").alias("symbolSize")),
+        "links": links.select(F.col("source").cast("string").alias("source"), F.col("target").cast("string").alias("target")),
+        "categories": categories.select(F.col("name").cast("string").alias("name")),
+    }
+    for name, part in parts.items():
+        part.write.mode("overwrite").json(f"{path.rstrip('/')}/{name}")
 
-def graph_document(nodes: DataFrame, links: DataFrame, categories: DataFrame) -> DataFrame:
-    """One-row frame holding the ``{nodes, links, categories}`` document.
 
-    The three element sets are unioned, each element in its own column (the
-    others NULL), and gathered by one aggregate: ``collect_list`` skips
-    NULLs, so no join between the parts is needed. Callers must have
-    thresholded the graph first.
-    """
-    def none(t: str):
-        return F.lit(None).cast(t)
-
-    n = nodes.select(F.struct(
-        F.col("name").cast("string").alias("name"),
-        F.col("category").cast("string").alias("category"),
-        F.col("value").cast("double").alias("value"),
-        F.col("symbol_size").cast("double").alias("symbolSize"),
-    ).alias("_n"), none(_LINK_T).alias("_l"), none(_CAT_T).alias("_c"))
-    lk = links.select(none(_NODE_T).alias("_n"), F.struct(
-        F.col("source").cast("string").alias("source"),
-        F.col("target").cast("string").alias("target"),
-    ).alias("_l"), none(_CAT_T).alias("_c"))
-    c = categories.select(none(_NODE_T).alias("_n"), none(_LINK_T).alias("_l"),
-                          F.struct(F.col("name").cast("string").alias("name")).alias("_c"))
-    return n.unionByName(lk).unionByName(c).agg(
-        F.collect_list("_n").alias("nodes"), F.collect_list("_l").alias("links"),
-        F.collect_list("_c").alias("categories"))
-
-
-def write_graph_document(nodes: DataFrame, links: DataFrame, categories: DataFrame, path: str,
-                         max_elements: int = 1_000_000, pretty: bool = True) -> None:
-    """Write the graph document as one pretty-printed JSON text file.
-
-    The document is a display artefact built after thresholding, so it must
-    stay small: the element count is checked (a bounded count, not a collect)
-    and the write refuses graphs above ``max_elements``.
-    """
-    total = (nodes.limit(max_elements + 1).count() + links.limit(max_elements + 1).count())
-    if total > max_elements:
-        raise ValueError(f"graph too large for one document ({total} > {max_elements}); "
-                         "threshold nodes first or write nodes/links as tables")
-    doc = graph_document(nodes, links, categories)
-    opts = {"pretty": "true"} if pretty else {}
-    (doc.select(F.to_json(F.struct("nodes", "links", "categories"), opts).alias("value"))
-        .coalesce(1).write.mode("overwrite").text(path))
+def read_graph_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, links, categories) of a graph that ``write_graph_document`` wrote."""
+    return tuple(spark.read.schema(GRAPH_SCHEMA[name].dataType.elementType).json(f"{path.rstrip('/')}/{name}")
+                 for name in ("nodes", "links", "categories"))
 
 
 def read_graph_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Read a graph document back as (nodes, links, categories) frames.
+    """Read a graph from one foreign JSON document as (nodes, links, categories) frames.
 
     A document missing any of the three arrays is rejected (the chart code in
     the reference guards the same way).
