@@ -30,6 +30,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from tidepool.llm.common import slices
 
 BITS = 16
+SLICE = 1 << 20
 SCALE = 100.0  # a term frequency is SCALE * count / n-grams of the text
 _TABLES: list[np.ndarray] = []
 
@@ -65,7 +66,7 @@ def _grams(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.nd
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, docs = np.zeros(1 << BITS, dtype=np.int64), 0
     for batch in batches:
-        for part in slices(batch, 0):
+        for part in slices(batch, 0, SLICE):
             grams, starts, _ = _grams(part.column(0).to_pylist())
             for a, b in zip(starts, [*starts[1:], len(grams[0])]):
                 seen = np.zeros(1 << BITS, dtype=bool)
@@ -80,7 +81,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, features, frequencies) of sampled texts."""
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, SLICE):
             grams, starts, _ = _grams(part.column(1).to_pylist())
             rows = [np.unique(np.concatenate([g[a:b] for g in grams]), return_counts=True) for a, b in zip(starts, [*starts[1:], len(grams[0])])]
             yield pa.RecordBatch.from_arrays([
@@ -153,19 +154,25 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
         raise ValueError(f"more than {max_langs} languages")
     if not counted:
         return LanguageModel([], np.zeros((0, 1 << BITS), dtype=np.float32))
-    frequency = {r["feature"]: r["docs"] for r in rows.select("text").mapInArrow(_document_counts, "feature long, docs long")
-                 .groupBy("feature").agg(F.sum("docs").alias("docs")).collect()}  # at most one row for each feature
-    docs = np.array([frequency.get(i, 0) for i in range(1 << BITS)], dtype=np.float64)
-    idf = np.log((1.0 + frequency[-1]) / (1.0 + docs)) + 1.0
+    found = rows.select("text").mapInArrow(_document_counts, "feature long, docs long").groupBy("feature").agg(F.sum("docs").alias("docs"))
+    found = found.toArrow()  # at most one row for each feature; the number of documents stands at feature -1
+    docs = np.zeros(1 + (1 << BITS))
+    docs[found["feature"].to_numpy()] = found["docs"].to_numpy()
+    idf = np.log((1.0 + docs[-1]) / (1.0 + docs[:-1])) + 1.0
 
     share = F.lit(0.0)
     for r in counted:
         share = F.when(F.col("lang") == r["lang"], min(1.0, sample_rows / len(counted) / r["count"])).otherwise(share)
     sampled = rows.filter(F.shiftrightunsigned("h", 11) / float(2**53) < share).groupBy("h", "t").agg(F.min("lang").alias("lang"), F.min("text").alias("text"))
-    got = sampled.select("lang", "text", "h").mapInArrow(_features, "lang string, h long, at array<int>, tf array<float>").collect()
-    langs = sorted({r["lang"] for r in got})
-    got.sort(key=lambda r: (r["h"], r["lang"], len(r["at"])))
-    made = [(langs.index(r["lang"]), np.array(r["at"]), np.array(r["tf"], dtype=np.float64) * idf[r["at"]]) for r in got]
+    got = sampled.select("lang", "text", "h").mapInArrow(_features, "lang string, h long, at array<int>, tf array<float>")
+    got = got.toArrow().combine_chunks()  # arrays, about sample_rows of them
+    named = got["lang"].to_pylist()
+    langs, made = sorted(set(named)), []
+    if named:
+        at, tf = got["at"].chunk(0), got["tf"].chunk(0)
+        ends, at, tf = at.offsets.to_numpy(), at.values.to_numpy(), tf.values.to_numpy()
+        order = sorted(range(len(named)), key=lambda i: (got["h"][i].as_py(), named[i], ends[i + 1] - ends[i]))
+        made = [(langs.index(named[i]), a := at[ends[i]:ends[i + 1]], idf[a] * tf[ends[i]:ends[i + 1]]) for i in order]
     held = [x for i, x in enumerate(made) if i % 100 < 100 * calibrate]
     w = train_ftrl([x for i, x in enumerate(made) if i % 100 >= 100 * calibrate] or made, len(langs), 1 << BITS)
     warm = temperature(np.stack([w[:, at] @ x for _, at, x in held]), np.array([k for k, _, _ in held])) if held else 1.0
@@ -180,7 +187,7 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, SLICE):
                 if part.num_rows:
                     langs, scores = shared.value.predict(part.column(at).to_pylist())
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs), pa.array(scores)], [*part.schema.names, lang_out, score_out])
