@@ -223,15 +223,17 @@ def bench_units(t: Tables) -> DataFrame:
 
 @_per_tables
 def applicant_domains(t: Tables) -> DataFrame:
-    """(applicant, host): machinery customers, and hosts whose length has the customer number's remainder by 7."""
-    c = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_custkey").alias("applicant"), (F.col("c_custkey") % 7).alias("_m"))
-    h = web(t).select("host").distinct().withColumn("_m", (F.length("host") % 7).cast("bigint"))
-    return c.join(h, "_m").select("applicant", "host")
+    """(applicant, host): machinery customers, and hosts whose length has their nation's number by 25 and their own by 7."""
+    c = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(
+        F.col("c_custkey").alias("applicant"), (F.col("c_custkey") % 7).alias("_m"), F.col("c_nationkey").cast("bigint").alias("_n"))
+    h = web(t).select("host").distinct().withColumns({"_m": (F.length("host") % 7).cast("bigint"), "_n": (F.length("host") % 25).cast("bigint")})
+    return c.join(h, ["_m", "_n"]).select("applicant", "host")
 
 
 @_per_tables
 def applicant_species(t: Tables) -> DataFrame:
-    """(applicant, term): dictionary terms whose length is 5 more than an order number's remainder by 3."""
-    o = t.orders.select(F.col("o_custkey").alias("applicant"), (F.col("o_orderkey") % 3 + 5).alias("_n")).distinct()
+    """(applicant, term): for machinery customers, dictionary terms whose length is 5 more than an order number's remainder by 3."""
+    own = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_custkey").alias("applicant"))
+    o = t.orders.select(F.col("o_custkey").alias("applicant"), (F.col("o_orderkey") % 3 + 5).alias("_n")).distinct().join(own, "applicant")
     d = dict_a(t).select("term", F.length("term").cast("bigint").alias("_n"))
     return o.join(d, "_n").select("applicant", "term")

@@ -573,7 +573,7 @@ ORACLE.update({
            GROUP BY term""", "web", "dict_a",
         extra=_units("pu", "page_id, host, w", "web", "text") + """,
         applicants AS (SELECT c_custkey AS applicant, host FROM customer JOIN (SELECT DISTINCT host FROM web)
-                         ON c_custkey % 7 = length(host) % 7 WHERE c_mktsegment = 'MACHINERY'),
+                         ON c_custkey % 7 = length(host) % 7 AND c_nationkey = length(host) % 25 WHERE c_mktsegment = 'MACHINERY'),
         species AS (SELECT DISTINCT o_custkey AS applicant, term FROM orders JOIN dict_a ON o_orderkey % 3 + 5 = length(term))"""),
     "a76_funnel_stages": _q(
         """SELECT 1 AS stage_no, 'documents' AS stage, count(*) AS documents FROM f
