@@ -46,7 +46,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, when all that is still to come reads tables written after them."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def numbered(df: DataFrame, *order: Column) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepool.llm import hashing
-from tidepool.llm.common import bare, fresh, slices, written
+from tidepool.llm.common import bare, free, fresh, slices, written
 from tidepool.llm.graphs import components
 from tidepool.llm.repeats import SLICE, documents
 
@@ -165,10 +165,15 @@ def _by_difference(known: DataFrame, parts: DataFrame, percent: int) -> DataFram
     # The rarest come first: those that no other set has, then the rest in their order.
     length = F.size("differ") - F.col("least") + 1 - (F.size("differ") - F.size("common"))
     heads = own.join(listed, ["x", "lead"]).withColumn("length", length).filter("length > 0")
-    heads = written(heads.select("x", "lead", "part", "linked", F.explode(F.slice("common", F.lit(1), F.col("length"))["token"]).alias("token")), "difference-heads")
+    heads = written(heads.select("x", "lead", "part", "linked", "nx", d.alias("d"), F.size("common").alias("c"), F.posexplode(
+        F.slice("common", F.lit(1), F.col("length"))["token"]).alias("at", "token")), "difference-heads")
     a, b = heads.alias("a"), heads.alias("b")
-    pairs = a.join(b, ["lead", "token"]).filter((F.col("a.part") != F.col("b.part")) & ~F.col("a.linked") & (
-        F.col("b.linked") | (F.col("a.x") < F.col("b.x")))).select("lead", F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct()
+    sides = (F.col("a.part") != F.col("b.part")) & ~F.col("a.linked") & (F.col("b.linked") | (F.col("a.x") < F.col("b.x")))
+    # So many differences are shared if the two link; at most this one and what stands before and behind it in both orders are.
+    wanted = (F.col("a.d") + F.col("b.d") - slack * (F.col("a.nx") + F.col("b.nx"))) / 2 - 1e-6
+    room = F.least("a.at", "b.at") + 1 + F.least(F.col("a.c") - F.col("a.at"), F.col("b.c") - F.col("b.at")) - 1
+    pairs = a.join(b, ["lead", "token"]).filter(sides & (room >= wanted)).select(
+        "lead", F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct()
     sets = own.select("lead", "x", "nx", "differ")
     full = pairs.join(sets.select("lead", "x", F.col("nx").alias("n1"), F.col("differ").alias("d1")), ["lead", "x"]).join(
         sets.select("lead", F.col("x").alias("y"), F.col("nx").alias("n2"), F.col("differ").alias("d2")), ["lead", "y"])
@@ -195,11 +200,10 @@ def _left_over(shared: DataFrame, parts: DataFrame, known: DataFrame, percent: i
     # What is shared: this and what stands before and behind it in both orders.
     room = 1 + F.least("pos1", "pos") + F.least(F.col("n1") - F.col("pos1"), F.col("n") - F.col("pos")) - 1
     enough = room * (100 + percent) >= percent * (F.col("n1") + F.col("n"))
-    pairs = rows.join(few, "token").filter(join & fits & inside & enough)
-    pairs = pairs.groupBy("cls1", "cls").agg(F.count("*").alias("shared"), F.first("need1").alias("need1"), F.first("need").alias("need"),
-                                             F.first("leads1").alias("leads1"), F.first("leads").alias("leads"))
-    return pairs.filter((F.col("shared") >= F.least("need1", "need")) & ~F.arrays_overlap("leads1", "leads")).select(
-        F.col("cls1").alias("x"), F.col("cls").alias("y"))
+    apart = ~F.arrays_overlap("leads1", "leads")  # others are decided by their differences from a common leader
+    pairs = rows.join(few, "token").filter(join & fits & apart & inside & enough)
+    pairs = pairs.groupBy("cls1", "cls").agg(F.count("*").alias("shared"), F.first("need1").alias("need1"), F.first("need").alias("need"))
+    return pairs.filter(F.col("shared") >= F.least("need1", "need")).select(F.col("cls1").alias("x"), F.col("cls").alias("y"))
 
 
 def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -211,13 +215,20 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sets = written(docs.mapInArrow(lambda it: _sets(it, frequent, size, percent), SETS), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("place"), F.min("id").alias("doc"), *(F.first(c).alias(c) for c in ("need", "head", "prefix")))
-    classes = written(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    whole = written(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    # Prefixes are the larger part of both tables; what follows needs them once.
+    classes, names = written(whole.drop("need", "head", "prefix"), "classes"), written(sets.select("id", "h", "n", "s1", "s2"), "names")
+    free(sets)
 
-    lists = classes.select("cls", "n", "need", "head", F.size("prefix").alias("whole"), F.posexplode("prefix").alias("pos", "token"))
+    lists = whole.select("cls", "n", "need", "head", F.size("prefix").alias("whole"), F.posexplode("prefix").alias("pos", "token"))
     tokens = written(lists.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1").select("token"), "tokens")
-    shared = written(lists.join(tokens, "token"), "shared")
+    first = written(lists.join(tokens, "token"), "shared")
+    free(whole, tokens)
+    shared = first
     lone = shared.groupBy("cls").agg(((F.first("whole") - F.count("*")) / F.first("n")).alias("own"))
     shared = written(shared.drop("whole").join(lone, "cls"), "shared")
+    free(first)
+    lone = shared.select("cls").distinct()
     place = classes.join(lone, "cls", "left_semi").select("cls", F.col("place.id").alias("of"), F.col("place.h").alias("oh"))
     texts = docs.join(place, docs["id"].eqNullSafe(F.col("of")) & (docs["h"] == F.col("oh")))
     texts = written(texts.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
@@ -231,9 +242,9 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     left = _verify(_left_over(shared, _parts(found, classes), known, percent), texts, size, 101)
     parts = written(_parts(found.unionAll(links(left)), classes), "parts")
     of = classes.join(parts, "cls")
-    names = of.groupBy("part").agg(F.min("doc").alias("component_id"), F.min("place").alias("first"))
-    named = of.join(names, "part").select("s1", "s2", "n", "component_id", "first")
-    return sets.join(named, ["s1", "s2", "n"], "left")
+    parts_of = of.groupBy("part").agg(F.min("doc").alias("component_id"), F.min("place").alias("first"))
+    named = of.join(parts_of, "part").select("s1", "s2", "n", "component_id", "first")
+    return names.join(named, ["s1", "s2", "n"], "left")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -247,9 +258,10 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text: str = "text", size:
     """``df`` with one row of each component, that of its smallest id; rows without words all stay."""
     found = _joined(documents(df, id_col, text), size, percent)
     stays = found.filter(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("n") > 0))
-    stays = stays.select(F.col("id").alias("of"), F.col("h").alias("oh")).distinct()
+    # Two hashes, never NULL, stand for the id and the text, so that one shuffle of the texts serves the join and the repeated rows.
     key, hashed = fresh(df, "key"), fresh(df, "hashed")
-    rows = df.withColumns({key: F.col(id_col).cast("long"), hashed: F.xxhash64(F.col(text))})
+    stays = stays.select(F.xxhash64("id", "h").alias(key), F.col("h").alias(hashed)).distinct()
+    rows = df.withColumn(hashed, F.xxhash64(F.col(text))).withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.col(hashed)))
     wordy = F.length(bare(F.col(text))) > 0
-    kept = rows.filter(wordy).join(stays, F.col(key).eqNullSafe(F.col("of")) & (F.col(hashed) == F.col("oh")), "left_semi")
+    kept = rows.filter(wordy).join(stays, [key, hashed], "left_semi")
     return kept.dropDuplicates([key, hashed]).unionByName(rows.filter(~wordy)).drop(key, hashed)
