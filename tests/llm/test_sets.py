@@ -1,6 +1,7 @@
 """Operators whose results are held against brute force: repeats of words and bytes, Jaccard components."""
 
 import hashlib
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -143,6 +144,20 @@ def test_components_match_brute_force(spark, size, percent):
     assert rows_of(jaccard.jaccard_components(clashing(df), size=size, percent=percent)) == plain_components(rows, size, percent)
 
 
+def test_left_over_pairs_in_any_class_order(spark):
+    """Two sets that share four lists, which two other components lead by number in some of them only."""
+    shared, parts, want = [], [], []
+    for case, order in enumerate(itertools.permutations(range(5))):
+        a, b, c, q, r = (10 * case + k for k in order)
+        shared += [(10 * case + t, x, 100, 4, 12, 8 + t) for t in range(4) for x in (a, b, q if t < 2 else r)]
+        parts += [(a, a), (b, min(b, c)), (c, min(b, c)), (q, q), (r, r)]
+        want.append((min(a, b), max(a, b)))
+    shared = spark.createDataFrame(shared, "token long, cls long, n int, need int, head int, pos int")
+    known = spark.createDataFrame([], "x long, y long, differ array<long>")
+    got = jaccard._left_over(shared, spark.createDataFrame(parts, "cls long, part long"), known, 85)
+    assert sorted(tuple(sorted(r)) for r in got.collect()) == want
+
+
 def test_one_of_each_component_stays(spark):
     rows = [(*r, "en", "a", 1) for r in families()]
     got = jaccard.one_of_each(frame(spark, rows), size=4, percent=85).collect()

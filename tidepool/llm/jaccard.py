@@ -202,8 +202,10 @@ def _left_over(shared: DataFrame, parts: DataFrame, known: DataFrame, percent: i
     enough = room * (100 + percent) >= percent * (F.col("n1") + F.col("n"))
     apart = ~F.arrays_overlap("leads1", "leads")  # others are decided by their differences from a common leader
     pairs = rows.join(few, "token").filter(join & fits & apart & inside & enough)
-    pairs = pairs.groupBy("cls1", "cls").agg(F.count("*").alias("shared"), F.first("need1").alias("need1"), F.first("need").alias("need"))
-    return pairs.filter(F.col("shared") >= F.least("need1", "need")).select(F.col("cls1").alias("x"), F.col("cls").alias("y"))
+    # Which side comes first differs from list to list, so that a pair is named by its smaller class.
+    pairs = pairs.select(F.least("cls1", "cls").alias("x"), F.greatest("cls1", "cls").alias("y"), F.least("need1", "need").alias("need"))
+    pairs = pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("need").alias("need"))
+    return pairs.filter(F.col("shared") >= F.col("need")).select("x", "y")
 
 
 def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
