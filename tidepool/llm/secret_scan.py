@@ -4,7 +4,8 @@ Native DataFrame functions only. The patterns find assignments to secret
 names, access keys and long hexadecimal strings. Of the other long tokens, a
 character Markov model of random strings and one of ordinary identifiers are
 compared; a token whose log-likelihood ratio is high enough, in total and per
-character, is a span, too. Both models are trained from labelled samples: the
+character, is a span, too, unless a pattern's span covers it whole; spans of
+the two kinds may overlap. Both models are trained from labelled samples: the
 values that the patterns find and strings drawn from hashes are random, the
 other tokens of the sampled documents are ordinary. The sample is bounded by
 ``sample_docs`` (documents with the smallest hashes); the models are two tables
@@ -123,7 +124,7 @@ def scan_secrets(df: DataFrame, table: list[float], text: str = "text", least: i
     found = spans_of(t, TOKEN + f"{{{least},}}", len(KINDS) - 1, 0, least, random)
     hidden = fresh(df, "found")
     out = df.withColumn("base", base).withColumn(hidden, found)
-    added = F.filter(hidden, lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    added = F.filter(hidden, lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
     return out.withColumn("spans", F.when(F.size(hidden) == 0, F.col("base")).otherwise(F.sort_array(F.concat("base", added)))).drop(hidden)
 
 
