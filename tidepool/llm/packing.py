@@ -1,13 +1,13 @@
-"""Hierarchical packing of documents into token windows of several tiers.
+"""Best-fit packing of documents into token windows of one size.
 
 Tasks tokenise whole texts, add the end id, and cut a document only where it is
 longer than a window: whole windows are sequences of their own, the rest of it
-goes to the tier of its length (4096, 2048, 1024, 512, ... tokens). The pieces,
+is a piece like any other. A piece's ``tier`` is a label, the smallest power of
+two that it fits in; no window has another size and no tier is packed alone. The pieces,
 without their ids, are written and dealt by hash to packing groups of about
-``group_windows`` windows. In a group each tier is packed from the longest
-down: a piece goes into the window whose gap it leaves the smallest, so the
-gaps of long windows are filled from the shorter tiers, and a piece that fits
-nowhere opens a window. The windows of a group are dealt to step groups in turn
+``group_windows`` windows. A group is packed from the longest piece down: a
+piece goes into the window whose gap it leaves the smallest, and a piece that
+fits nowhere opens a window. The windows of a group are dealt to step groups in turn
 and back again by their attention cost (sum of squared piece lengths), which
 keeps the steps of a group level.
 
@@ -86,7 +86,7 @@ def best_fit(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _pack(key: tuple, pieces: pd.DataFrame, window: int, steps: int) -> pd.DataFrame:
-    # The smallest power of two that a piece fits in is its tier; longest tiers first.
+    # Longest pieces first.
     pieces = pieces.sort_values(["length", "doc_id", "start", "number"], ascending=[False, True, True, True], ignore_index=True)
     length = pieces["length"].to_numpy()
     where, offset, filled = best_fit(length, window)
