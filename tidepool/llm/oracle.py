@@ -66,4 +66,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone.gone),
 FROM d LEFT JOIN gone USING (r)
 """
 
-ORACLE = {"op2_debruijn": DEBRUIJN, "op1_lines": LINES, "op3_topk": TOPK, "op4_chat": CHAT}
+#: CRC-32 of a text's bytes, its table made by rule.
+INTERLEAVE = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS crc),
+d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 16 AS size,
+      list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: (instr('0123456789ABCDEF', x[1]) - 1) * 16 + instr('0123456789ABCDEF', x[2]) - 1) AS b
+      FROM documents),
+c AS (SELECT r, doc_id, source, size, xor(4294967295, list_reduce(list_concat([4294967295], b), lambda s, x: xor(s // 256, crc[xor(s % 256, x) + 1]))) AS text_crc32,
+      md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM d, crc),
+f AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, size, text_crc32, r) AS pos,
+      count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY CAST(2 * pos - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), h, doc_id NULLS FIRST, size, text_crc32, source NULLS FIRST, r) - 1 AS number FROM f)
+SELECT doc_id, source, size, text_crc32, 'rows' AS law, CAST(number * 40 // total AS INTEGER) AS shard,
+       number - ((number * 40 // total) * total + 39) // 40 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p
+"""
+
+COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) AS s(k))),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+inner_ AS (SELECT DISTINCT c.lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a FROM c, range(2, 5) AS s(m), range(1, 5) AS t(i) WHERE m < k AND i + m - 1 <= k),
+free AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inner_ x WHERE x.lang = c.lang AND x.phrase = c.phrase AND x.a >= c.a)),
+cut AS (SELECT free.lang, free.phrase, a, j, l.f AS l, r.f AS r, n, CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+        FROM free JOIN range(1, 5) AS s(j) ON j < free.k JOIN n USING (lang)
+        JOIN f l ON l.lang = free.lang AND l.phrase = array_to_string(w[1:j], ' ') JOIN f r ON r.lang = free.lang AND r.phrase = array_to_string(w[j + 1:free.k], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op2_debruijn": DEBRUIJN, "op1_lines": LINES, "op3_topk": TOPK, "op4_chat": CHAT, "op11_interleave": INTERLEAVE,
+          "op13_collocations": COLLOCATIONS}

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import chat, debruijn, jaccard, langid, lines, mixing, packing, pfp, secret_scan, topk
+from tidepool.llm import (chat, collocations, debruijn, jaccard, langid, lines, mixing, packing, pfp, secret_scan, sharding, topk,
+                          whitening)
 from tidepool.llm.common import table
 
 
@@ -80,4 +81,32 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lines, op2_debruijn, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op8_jaccard, op9_pfp, op10_pack)}
+def op11_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal counts, each with the mixture of the sources."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    out = sharding.interleave(docs, shards=40, seed=0, order=("doc_id", "size", "text_crc32"))
+    return out.select("doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the 16 strongest components of the distinct ones, whitened."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, components=16)
+    white = whitening.transform(vectors, model)
+    explained = F.array(*[F.lit(e) for e in model.explained]) if model and model.explained else F.array().cast("array<double>")
+    return (white.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation",
+                    "whitened", F.get(explained, F.col("at")).alias("explained"),
+                    F.lit(model.identity_error if model else 0.0).alias("identity_error")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of 2 to 5 words over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lines, op2_debruijn, op3_topk, op4_chat, op5_mix, op6_langid, op7_secrets, op8_jaccard, op9_pfp,
+                                   op10_pack, op11_interleave, op12_whiten, op13_collocations)}
