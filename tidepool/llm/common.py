@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -51,6 +52,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and the shuffle files of what has been written so far go.
+
+    Executors keep a shuffle's files until the driver's JVM collects what stands
+    for it, which on a quiet heap may be long after the result is written; so it
+    is told to collect now. For operators whose steps shuffle as much as they
+    read.
+    """
+    table = written(df, name)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return table
+
+
 def free(*tables: DataFrame) -> None:
     """Delete tables that ``written`` made, when all that is still to come reads tables written after them."""
     for table in tables:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import written
+from tidepool.llm.common import free, settled, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = written(_down(large), "large-star")
         least = large.groupBy("x").agg(F.min("y").alias("m")).withColumnRenamed("x", "k")
         small = large.join(least, F.col("x") == F.col("k"))
-        now = written(_down(small.select(F.col("y").alias("x"), F.col("m").alias("y")).unionAll(least.select("k", "m"))), "small-star")
+        before, now = now, settled(_down(small.select(F.col("y").alias("x"), F.col("m").alias("y")).unionAll(least.select("k", "m"))), "small-star")
+        free(before, large)
         if size == (size := _mark(now)):
             break
     return now.select(F.col("x").alias("node"), F.col("y").alias("component")).unionAll(now.select("y", "y")).distinct()

@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepool.llm import hashing
-from tidepool.llm.common import bare, free, fresh, slices, written
+from tidepool.llm.common import bare, free, fresh, settled, slices
 from tidepool.llm.graphs import components
 from tidepool.llm.repeats import SLICE, documents
 
@@ -128,7 +128,7 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, near: int) -> Iterat
 def _verify(pairs: DataFrame, texts: DataFrame, size: int, near: int) -> DataFrame:
     left = pairs.join(texts.select(F.col("cls").alias("x"), F.col("text").alias("tx")), "x")
     both = left.join(texts.select(F.col("cls").alias("y"), F.col("text").alias("ty")), "y").select("x", "y", "tx", "ty")
-    return written(both.mapInArrow(lambda it: _verified(it, size, near), PAIRS), "verified")
+    return settled(both.mapInArrow(lambda it: _verified(it, size, near), PAIRS), "verified")
 
 
 def similar(both: Column, nx: Column, ny: Column, percent: int) -> Column:
@@ -160,13 +160,14 @@ def _by_difference(known: DataFrame, parts: DataFrame, percent: int) -> DataFram
     least = F.when(F.col("linked"), d + slack * (F.col("ny") - F.col("nx"))).otherwise(d - slack * (F.col("nx") + F.col("ny")))
     own = own.withColumn("least", F.greatest(F.lit(1), F.ceil(least / 2 - 1e-6)).cast("int"))
     spread = own.select("x", "lead", F.explode("differ").alias("token"))
-    often = written(spread.groupBy("lead", "token").agg(F.count("*").alias("often")).filter("often > 1"), "differences")
+    often = settled(spread.groupBy("lead", "token").agg(F.count("*").alias("often")).filter("often > 1"), "differences")
     listed = spread.join(often, ["lead", "token"]).groupBy("x", "lead").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("common"))
     # The rarest come first: those that no other set has, then the rest in their order.
     length = F.size("differ") - F.col("least") + 1 - (F.size("differ") - F.size("common"))
     heads = own.join(listed, ["x", "lead"]).withColumn("length", length).filter("length > 0")
-    heads = written(heads.select("x", "lead", "part", "linked", "nx", d.alias("d"), F.size("common").alias("c"), F.posexplode(
+    heads = settled(heads.select("x", "lead", "part", "linked", "nx", d.alias("d"), F.size("common").alias("c"), F.posexplode(
         F.slice("common", F.lit(1), F.col("length"))["token"]).alias("at", "token")), "difference-heads")
+    free(often)
     a, b = heads.alias("a"), heads.alias("b")
     sides = (F.col("a.part") != F.col("b.part")) & ~F.col("a.linked") & (F.col("b.linked") | (F.col("a.x") < F.col("b.x")))
     # So many differences are shared if the two link; at most this one and what stands before and behind it in both orders are.
@@ -179,7 +180,9 @@ def _by_difference(known: DataFrame, parts: DataFrame, percent: int) -> DataFram
         sets.select("lead", F.col("x").alias("y"), F.col("nx").alias("n2"), F.col("differ").alias("d2")), ["lead", "y"])
     apart = F.size("d1") + F.size("d2") - 2 * F.size(F.array_intersect("d1", "d2"))
     both = ((F.col("n1") + F.col("n2") - apart) / 2).cast("int")
-    return written(full.filter(similar(both, F.col("n1"), F.col("n2"), percent)).select("x", "y"), "links")
+    links = settled(full.filter(similar(both, F.col("n1"), F.col("n2"), percent)).select("x", "y"), "links")
+    free(heads)
+    return links
 
 
 def _left_over(shared: DataFrame, parts: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -187,10 +190,10 @@ def _left_over(shared: DataFrame, parts: DataFrame, known: DataFrame, percent: i
     with_lead = known.filter("differ is not null").select("x", "y").unionAll(known.select(F.col("y").alias("x"), "y")).distinct()
     leads = with_lead.groupBy("x").agg(F.collect_set("y").alias("leads")).withColumnRenamed("x", "cls")
     rows = shared.join(parts, "cls").join(leads, "cls", "left").withColumn("leads", F.coalesce("leads", F.array().cast("array<long>")))
-    rows = written(rows, "lists")
+    rows = settled(rows, "lists")
     sizes = rows.groupBy("token", "part").agg(F.count("*").alias("size"))
     main = sizes.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("size", "part"))["part"].alias("main"))
-    main = written(main.filter("parts > 1").drop("parts"), "mixed-lists")
+    main = settled(main.filter("parts > 1").drop("parts"), "mixed-lists")
     rows = rows.join(main, "token")
     few = rows.filter("part <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("cls", "n", "need", "head", "pos", "part", "leads")))
     order = F.struct("n1", "cls1") < F.struct("n", "cls")
@@ -214,35 +217,36 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     for r in docs.select("text").mapInArrow(lambda it: _counts(it, size), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["bucket"]] = r["n"]  # a table of 2**BITS counts
     frequent = docs.sparkSession.sparkContext.broadcast(counts)
-    sets = written(docs.mapInArrow(lambda it: _sets(it, frequent, size, percent), SETS), "sets")
+    sets = settled(docs.mapInArrow(lambda it: _sets(it, frequent, size, percent), SETS), "sets")
     classes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("place"), F.min("id").alias("doc"), *(F.first(c).alias(c) for c in ("need", "head", "prefix")))
-    whole = written(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    whole = settled(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     # Prefixes are the larger part of both tables; what follows needs them once.
-    classes, names = written(whole.drop("need", "head", "prefix"), "classes"), written(sets.select("id", "h", "n", "s1", "s2"), "names")
+    classes, names = settled(whole.drop("need", "head", "prefix"), "classes"), settled(sets.select("id", "h", "n", "s1", "s2"), "names")
     free(sets)
 
     lists = whole.select("cls", "n", "need", "head", F.size("prefix").alias("whole"), F.posexplode("prefix").alias("pos", "token"))
-    tokens = written(lists.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1").select("token"), "tokens")
-    first = written(lists.join(tokens, "token"), "shared")
+    tokens = settled(lists.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1").select("token"), "tokens")
+    first = settled(lists.join(tokens, "token"), "shared")
     free(whole, tokens)
     shared = first
     lone = shared.groupBy("cls").agg(((F.first("whole") - F.count("*")) / F.first("n")).alias("own"))
-    shared = written(shared.drop("whole").join(lone, "cls"), "shared")
+    shared = settled(shared.drop("whole").join(lone, "cls"), "shared")
     free(first)
     lone = shared.select("cls").distinct()
     place = classes.join(lone, "cls", "left_semi").select("cls", F.col("place.id").alias("of"), F.col("place.h").alias("oh"))
     texts = docs.join(place, docs["id"].eqNullSafe(F.col("of")) & (docs["h"] == F.col("oh")))
-    texts = written(texts.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
+    texts = settled(texts.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
 
     def links(verified: DataFrame) -> DataFrame:
         return verified.filter(similar(F.col("both"), F.col("nx"), F.col("ny"), percent)).select("x", "y")
 
     known = _verify(_leaders(shared, percent), texts, size, percent // 2)
     found = links(known)
-    found = found.unionAll(_by_difference(known, _parts(found, classes), percent))
-    left = _verify(_left_over(shared, _parts(found, classes), known, percent), texts, size, 101)
-    parts = written(_parts(found.unionAll(links(left)), classes), "parts")
+    found = found.unionAll(_by_difference(known, settled(_parts(found, classes), "parts"), percent))
+    left = _verify(_left_over(shared, settled(_parts(found, classes), "parts"), known, percent), texts, size, 101)
+    free(shared, texts)
+    parts = settled(_parts(found.unionAll(links(left)), classes), "parts")
     of = classes.join(parts, "cls")
     parts_of = of.groupBy("part").agg(F.min("doc").alias("component_id"), F.min("place").alias("first"))
     named = of.join(parts_of, "part").select("s1", "s2", "n", "component_id", "first")
