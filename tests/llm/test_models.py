@@ -170,3 +170,49 @@ def test_run_gives_the_last_stage(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     from tests.conftest import SF_SMALL
     assert corpus_pipeline.run(spark, SF_SMALL).columns[:4] == ["doc_id", "start", "length", "ids_crc32"]
+
+
+def _words_of(language, r):
+    """Words of letters that a language prefers."""
+    letters = [chr(0x4E00 + 8 * language + k) for k in range(8)]
+    return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(12))
+
+
+@pytest.mark.parametrize("languages,rows,block", [(5, 200, 2), (5, 200, 64), (600, 600, 256)])
+def test_any_number_of_languages_is_learned(spark, languages, rows, block):
+    r = random.Random(2)
+    docs = [(i, _words_of(i % languages, r), f"l{i % languages}") for i in range(rows)]
+    model = langid.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"), sample_rows=rows, block_langs=block, calibrate=0.0 if languages == rows else 0.2)
+    assert len(model.langs) > 0.6 * languages and all(b.rows <= block + 1 for b in model.blocks)
+    asked = [(i, _words_of(i % languages, r), model.langs.count(f"l{i % languages}")) for i in range(min(rows, 400))]
+    got = langid.predict(spark.createDataFrame(asked, "doc_id long, text string, known int").filter("known = 1"), model).collect()
+    right = np.mean([x["lang_pred"] == f"l{x['doc_id'] % languages}" for x in got])
+    assert right > 0.9 and all(0 <= x["score"] <= 1 for x in got)
+
+
+def test_training_is_plain_ftrl():
+    """One step after the other, feature by feature, as the rule is written."""
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(3)), np.sort(rng.choice(12, size=5, replace=False)), rng.random(5) + 0.1) for _ in range(40)]
+    alpha, beta, l1, l2 = 0.2, 1.0, 0.02, 0.02
+    z, n = [[0.0] * 12 for _ in range(3)], [[0.0] * 12 for _ in range(3)]
+
+    def weight(c, j):
+        if abs(z[c][j]) <= l1:
+            return 0.0
+        return -(z[c][j] - (l1 if z[c][j] > 0 else -l1)) / ((beta + n[c][j] ** 0.5) / alpha + l2)
+
+    for _ in range(2):
+        for k, at, x in rows:
+            w = [[weight(c, j) for j in at] for c in range(3)]
+            s = [sum(a * b for a, b in zip(w[c], x)) for c in range(3)]
+            e = [np.exp(v - max(s)) for v in s]
+            for c in range(3):
+                error = e[c] / sum(e) - (c == k)
+                for i, j in enumerate(at):
+                    g = error * x[i]
+                    sigma = ((n[c][j] + g * g) ** 0.5 - n[c][j] ** 0.5) / alpha
+                    z[c][j] += g - sigma * w[c][i]
+                    n[c][j] += g * g
+    want = [[weight(c, j) for j in range(12)] for c in range(3)]
+    np.testing.assert_allclose(langid.train_ftrl(rows, 3, 12, epochs=2), want, rtol=1e-9, atol=1e-12)

@@ -12,8 +12,9 @@ one look-up for each n-gram, whole texts at any length.
 
 Defined results: a text that is NULL or holds no letter is ``und`` with score
 0; a NULL id is neither held out nor learned from; without a labelled document
-every text is ``und``; repeated rows count once in the sample and are rows of
-the result; an empty table gives no rows; only the named columns are used.
+every text is ``und``; languages beyond a block's number are learned in several
+blocks, those without a row in the sample not at all; repeated rows count once in
+the sample and are rows of the result; an empty table gives no rows; only the named columns are used.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidepool.llm.common import slices
+from tidepool.llm.common import slices, written
 
 BITS = 16
 SLICE = 1 << 20
@@ -90,21 +91,69 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass
-class LanguageModel:
-    """Languages, and per feature and language the weight times the inverse document frequency over the temperature."""
+class Block:
+    """Some languages, and after them one that stands for all others where there are more blocks than this.
+
+    Weights (times the inverse document frequency, over the temperature) are
+    kept as places and values of those that are not 0.
+    """
 
     langs: list[str]
-    weights: np.ndarray
+    rows: int
+    at: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, langs: list[str], weights: np.ndarray) -> Block:
+        at = np.flatnonzero(weights)
+        return cls(langs, len(weights), at.astype(np.uint32), weights.ravel()[at].astype(np.float32))
+
+    def weights(self) -> np.ndarray:
+        table = np.zeros(self.rows << BITS, dtype=np.float32)
+        table[self.at] = self.value
+        return table.reshape(self.rows, 1 << BITS)
+
+
+@dataclass
+class LanguageModel:
+    """Blocks of languages; a text has the language with the highest share in its own block."""
+
+    blocks: list[Block]
+    _dense: np.ndarray | None = None
+
+    @property
+    def langs(self) -> list[str]:
+        return [x for b in self.blocks for x in b.langs]
+
+    @property
+    def weights(self) -> np.ndarray:
+        """All weights as one table; for looking at small models."""
+        return np.concatenate([b.weights() for b in self.blocks]) if self.blocks else np.zeros((0, 1 << BITS), dtype=np.float32)
+
+    def __getstate__(self):
+        return {"blocks": self.blocks, "_dense": None}
+
+    def _table(self, block: Block) -> np.ndarray:
+        if len(self.blocks) > 1:
+            return block.weights()  # one table at a time
+        if self._dense is None:
+            self._dense = block.weights()
+        return self._dense
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        if not self.langs:
+        if not self.blocks:
             return ["und"] * len(texts), np.zeros(len(texts))
         grams, starts, letters = _grams(texts)
-        logits = np.stack([sum(np.add.reduceat(w[g], starts, dtype=np.float64) for g in grams) for w in self.weights])
-        logits *= SCALE / (3.0 * np.diff(np.r_[starts, len(grams[0])]))
-        p = np.exp(logits - logits.max(axis=0))
-        best, score = p.argmax(axis=0), p.max(axis=0) / p.sum(axis=0)
-        return [self.langs[k] if n else "und" for k, n in zip(best, letters)], np.where(letters > 0, score, 0.0)
+        scale = SCALE / (3.0 * np.diff(np.r_[starts, len(grams[0])]))
+        best, score = np.full(len(texts), "und", dtype=object), np.full(len(texts), -1.0)
+        for block in self.blocks:
+            logits = np.stack([sum(np.add.reduceat(w[g], starts, dtype=np.float64) for g in grams) for w in self._table(block)]) * scale
+            p = np.exp(logits - logits.max(axis=0))
+            own = p[:len(block.langs)]
+            k, share = own.argmax(axis=0), own.max(axis=0) / p.sum(axis=0)
+            ahead = share > score  # ties stay with the block before
+            best[ahead], score[ahead] = np.array(block.langs, dtype=object)[k[ahead]], share[ahead]
+        return [x if n else "und" for x, n in zip(best, letters)], np.where(letters > 0, score, 0.0)
 
 
 def train_ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int, features: int, epochs: int = 4, alpha: float = 0.2,
@@ -145,25 +194,33 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 2000,
-          max_langs: int = 512, calibrate: float = 0.2) -> LanguageModel:
-    """Learn from the rows of ``df`` that have a text and a language."""
+          block_langs: int = 64, calibrate: float = 0.2) -> LanguageModel:
+    """Learn from the rows of ``df`` that have a text and a language.
+
+    The sample holds about ``sample_rows`` rows whatever the number of
+    languages; with more languages than that some have no row in it and are not
+    learned. More than ``block_langs`` languages are learned in blocks, each
+    with one class more for the sampled rows of all other blocks, so that the
+    driver's tables and a task's have at most ``block_langs`` + 1 classes.
+    """
     rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.lit("sample"), F.col(id_col)).alias("h"),
                      F.xxhash64(text).alias("t")).filter("text is not null and lang is not null")
-    counted = rows.groupBy("lang").count().orderBy("lang").limit(max_langs + 1).collect()
-    if len(counted) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    if not counted:
-        return LanguageModel([], np.zeros((0, 1 << BITS), dtype=np.float32))
+    counted = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")  # stays a table: labels may be anything
+    several, = counted.agg(F.count("*")).first()
+    if not several:
+        return LanguageModel([])
     found = rows.select("text").mapInArrow(_document_counts, "feature long, docs long").groupBy("feature").agg(F.sum("docs").alias("docs"))
     found = found.toArrow()  # at most one row for each feature; the number of documents stands at feature -1
     docs = np.zeros(1 + (1 << BITS))
     docs[found["feature"].to_numpy()] = found["docs"].to_numpy()
     idf = np.log((1.0 + docs[-1]) / (1.0 + docs[:-1])) + 1.0
 
-    share = F.lit(0.0)
-    for r in counted:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, sample_rows / len(counted) / r["count"])).otherwise(share)
-    sampled = rows.filter(F.shiftrightunsigned("h", 11) / float(2**53) < share).groupBy("h", "t").agg(F.min("lang").alias("lang"), F.min("text").alias("text"))
+    # Rows that no share could take are left before the join; the largest share is that of the rarest language.
+    share = counted.select(F.col("lang").alias("of"), F.least(F.lit(1.0), F.lit(sample_rows / several) / F.col("n")).alias("share"))
+    most, = share.agg(F.max("share")).first()
+    place = F.shiftrightunsigned("h", 11) / float(2**53)
+    sampled = (rows.filter(place < most).join(share, F.col("lang") == F.col("of")).filter(place < F.col("share"))
+               .groupBy("h", "t").agg(F.min("lang").alias("lang"), F.min("text").alias("text")))
     got = sampled.select("lang", "text", "h").mapInArrow(_features, "lang string, h long, at array<int>, tf array<float>")
     got = got.toArrow().combine_chunks()  # arrays, about sample_rows of them
     named = got["lang"].to_pylist()
@@ -172,16 +229,27 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
         at, tf = got["at"].chunk(0), got["tf"].chunk(0)
         ends, at, tf = at.offsets.to_numpy(), at.values.to_numpy(), tf.values.to_numpy()
         order = sorted(range(len(named)), key=lambda i: (got["h"][i].as_py(), named[i], ends[i + 1] - ends[i]))
-        made = [(langs.index(named[i]), a := at[ends[i]:ends[i + 1]], idf[a] * tf[ends[i]:ends[i + 1]]) for i in order]
+        number = {x: k for k, x in enumerate(langs)}
+        made = [(number[named[i]], a := at[ends[i]:ends[i + 1]], idf[a] * tf[ends[i]:ends[i + 1]]) for i in order]
     held = [x for i, x in enumerate(made) if i % 100 < 100 * calibrate]
-    w = train_ftrl([x for i, x in enumerate(made) if i % 100 >= 100 * calibrate] or made, len(langs), 1 << BITS)
-    warm = temperature(np.stack([w[:, at] @ x for _, at, x in held]), np.array([k for k, _, _ in held])) if held else 1.0
-    return LanguageModel(langs, (w * idf[None, :] / warm).astype(np.float32))
+    learn = [x for i, x in enumerate(made) if i % 100 >= 100 * calibrate] or made
+    blocks = []
+    for first in range(0, len(langs), block_langs):
+        own = langs[first:first + block_langs]
+        classes = len(own) + (len(own) < len(langs))
+
+        def inside(k: int) -> int:
+            return k - first if 0 <= k - first < len(own) else len(own)
+
+        w = train_ftrl([(inside(k), a, x) for k, a, x in learn], classes, 1 << BITS)
+        warm = temperature(np.stack([w[:, a] @ x for _, a, x in held]), np.array([inside(k) for k, _, _ in held])) if held else 1.0
+        blocks.append(Block.of(own, w * idf[None, :] / warm))
+    return LanguageModel(blocks)
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
     """``df`` with the language and its score; columns of these names are replaced, the others pass through."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # 2**16 floats for each of at most max_langs languages
+    shared = df.sparkSession.sparkContext.broadcast(model)  # the weights that are not 0, of at most sample_rows languages
     kept = df.drop(lang_out, score_out)
     at = kept.columns.index(text)
 
