@@ -3,8 +3,9 @@
 Native DataFrame functions only. Row-local rules count words, symbols,
 repeated lines and repeated five-word windows. Across documents, normalised
 lines (lower case, runs of blanks as one) are hashed, the documents of a host
-that hold a line are counted, lines above the limit are taken out, and a
-document that has too little left is rejected.
+that hold a line are counted, lines above a limit are taken out (an absolute
+number on any host, a share on small ones), and a document that has too little
+left is rejected.
 
 The line counts are aggregated before they are shuffled, by (host, line), so a
 host or a line with a third of all rows is no task's alone. Documents of a
@@ -65,11 +66,12 @@ def base_rules(df: DataFrame, text: str = "text", words_col: str = "w", lines_co
 
 
 def line_rules(df: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
-               min_docs: int = 20, share: float = 0.05, min_left: int = 10, min_left_share: float = 0.33) -> DataFrame:
+               min_docs: int = 20, share: float = 0.05, most_docs: int = 1000, min_left: int = 10, min_left_share: float = 0.33) -> DataFrame:
     """One row per row of ``df``: the base counts, ``n_frequent_words`` (in removed lines) and ``kept``.
 
-    A line is removed from the documents of a host if more than ``min_docs``
-    and more than ``share`` of the host's distinct documents hold it. A
+    A line is removed from the documents of a host if more than ``most_docs``
+    of the host's distinct documents hold it, whatever the host's size, or, on
+    smaller hosts, more than ``min_docs`` and more than ``share`` of them. A
     document is depleted if fewer than ``min_left`` words, or less than
     ``min_left_share`` of its words, are left.
     """
@@ -87,7 +89,7 @@ def line_rules(df: DataFrame, id_col: str = "doc_id", text: str = "text", host:
             .select("host", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
             .groupBy("host", "h").agg(F.count("*").alias("docs")).filter(F.col("docs") > min_docs))
     frequent = (seen.withColumnRenamed("host", "of").join(hosts, F.col("of").eqNullSafe(F.col("host")))
-                .filter(F.col("docs") > share * F.col("host_docs")).select("of", F.col("h").alias("line")))
+                .filter((F.col("docs") > share * F.col("host_docs")) | (F.col("docs") > most_docs)).select("of", F.col("h").alias("line")))
     held = base.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     lost = (held.join(frequent, (F.col("h") == F.col("line")) & F.col("host").eqNullSafe(F.col("of")))
             .groupBy("row").agg(F.sum("n").alias("n_frequent_words")))

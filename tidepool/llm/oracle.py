@@ -17,7 +17,7 @@ norm AS (SELECT r, source, n, lower(regexp_replace(regexp_replace(line, '^[\x20\
 one AS (SELECT min(r) AS r, source FROM d GROUP BY source, t, no_text),
 hosts AS (SELECT source, count(*) AS n FROM one GROUP BY source),
 freq AS (SELECT norm.source, h FROM norm SEMI JOIN one ON norm.r = one.r JOIN hosts ON norm.source IS NOT DISTINCT FROM hosts.source
-         GROUP BY norm.source, h, hosts.n HAVING count(DISTINCT norm.r) > 20 AND count(DISTINCT norm.r) > 0.05 * hosts.n),
+         GROUP BY norm.source, h, hosts.n HAVING count(DISTINCT norm.r) > 1000 OR (count(DISTINCT norm.r) > 20 AND count(DISTINCT norm.r) > 0.05 * hosts.n)),
 lost AS (SELECT r, sum(norm.n) AS n FROM norm JOIN freq ON norm.h = freq.h AND norm.source IS NOT DISTINCT FROM freq.source GROUP BY r),
 b AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
       length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
