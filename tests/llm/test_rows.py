@@ -48,6 +48,16 @@ def test_line_rules_of_nothing(spark):
     assert lines.line_rules(frame(spark, [])).count() == 0
 
 
+def test_a_line_in_many_documents_goes_on_a_hot_host_too(spark):
+    boiler, own = "the same notice stands at the end of many pages here", "this page has words of its own number {} and some more of them to be kept"
+    rows = [(i, own.format(i) + ("\n" + boiler if i < 60 else ""), "en", "hot", 0) for i in range(3000)]
+    rows += [(9000 + i, own.format(i) + ("\n" + boiler if i < 10 else ""), "en", "small", 0) for i in range(100)]
+    gone = lambda **kw: {r["doc_id"] for r in lines.line_rules(frame(spark, rows), **kw).filter("n_frequent_words > 0").collect()}
+    assert gone(most_docs=50) == set(range(60))             # 60 of 3,000 documents: above the number, below the share
+    assert gone(most_docs=60) == set()                      # neither above the number nor the share
+    assert gone(most_docs=1000, min_docs=5) == set(range(9000, 9010))  # a tenth of a small host: above the share
+
+
 def plain_top_k(rows, k, scale):
     vecs = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     asked = {}
@@ -173,16 +183,17 @@ def test_packing_places_every_id_once(spark):
             part = np.array(ids[at:at + 256], dtype="<u4")
             want[doc, at, len(part), zlib.crc32(part.tobytes()), len(ids)] += 1
     assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got) == want
-    by = defaultdict(list)
+    by, size = defaultdict(list), {}
     for r in got:
         by[r["sequence_id"]].append((r["offset"], r["length"]))
-    for pieces in by.values():
+        assert size.setdefault(r["sequence_id"], r["tier"]) == r["tier"]
+    for sequence, pieces in by.items():
         at = 0
         for offset, length in sorted(pieces):
             assert offset == at
             at += length
-        assert at <= 256
-    assert sum(r["length"] for r in got) > 0.95 * 256 * len(by)
+        assert at == size[sequence] if size[sequence] < 256 else at <= 256  # a short window is full
+    assert sum(r["length"] for r in got) > 0.95 * sum(size.values())
     assert packing.pack_documents(frame(spark, []), TOKENIZER).count() == 0
 
 
@@ -195,3 +206,32 @@ def test_steps_of_a_group_are_level(spark):
     assert len(windows) == 4 and max(map(len, windows.values())) - min(map(len, windows.values())) <= 1
 
 
+
+
+def test_tiers_take_their_pieces_and_short_ones_fill_long_gaps():
+    lengths = np.array([4096, 3000, 2048, 1100, 1000, 1000, 600, 424, 400, 96, 40, 24])
+    where, offset, size, held = packing.pack_tiers(lengths, 4096, (512, 1024, 2048))
+    windows = defaultdict(list)
+    for i in range(len(lengths)):
+        windows[where[i]].append((int(offset[i]), int(lengths[i])))
+    found = sorted((int(size[w]), sorted(p)) for w, p in windows.items())
+    # 2048, 600 + 424 = 1024 and (not 400 + 112, but) nothing at 512; 3000's gap takes 1000 + 96; what is left shares a long window.
+    assert (2048, [(0, 2048)]) in found and (1024, [(0, 600), (600, 424)]) in found and (4096, [(0, 4096)]) in found
+    assert (4096, [(0, 3000), (3000, 1000), (4000, 96)]) in found or (4096, [(0, 3000), (3000, 1000), (4000, 40), (4040, 24)]) in found or any(
+        n == 4096 and p[0] == (0, 3000) and sum(x for _, x in p) > 4050 for n, p in found)
+    for n, p in found:
+        assert sum(x for _, x in p) == n or n == 4096
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tiers_leave_little_padding(seed):
+    r = np.random.default_rng(seed)
+    lengths = np.sort(np.minimum(4096, np.maximum(1, r.lognormal(6.5, 1.1, size=4000).astype(int))))[::-1].copy()
+    where, offset, size, held = packing.pack_tiers(lengths, 4096, (512, 1024, 2048))
+    assert np.array_equal(np.bincount(where, weights=lengths).astype(int), held) and (held <= size).all()
+    assert set(size.tolist()) == {512, 1024, 2048, 4096} and (held[size < 4096] == size[size < 4096]).all()
+    assert held.sum() >= 0.99 * size.sum()
+    for w in range(0, len(size), 50):
+        own = np.flatnonzero(where == w)
+        own = own[np.argsort(offset[own])]
+        assert offset[own].tolist() == np.r_[0, np.cumsum(lengths[own])[:-1]].tolist()
