@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept; what it returns is written as Parquet and read again by the next one.
 All but the last return the columns of their input.
+
+Defined results, for each stage: an empty table gives an empty one; further
+columns pass through, whatever their names; a NULL ``lang`` is filled in by the
+first stage, where no language can be learned no document is in one. NULL and
+empty texts have no language and go in the first stage; a stage that is given
+them keeps them (near duplicates: all of them), without a secret, with size 0 in
+the mix, so they are not taken. Repeated rows are near duplicates of each other,
+rows of their own to every other stage. Ties go to the smallest id.
 """
 
 from __future__ import annotations
@@ -15,11 +23,17 @@ from tidepool.llm import jaccard, langid, mixing, packing, secret_scan
 from tidepool.llm.common import fresh, table, written
 
 
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.35) -> DataFrame:
-    """Documents in a learned language; those without letters or with a score below ``least`` go. A missing ``lang`` is filled in."""
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str, margin: float = 2 / 15) -> DataFrame:
+    """Documents in a learned language; those without letters or with too low a score go. A missing ``lang`` is filled in.
+
+    With k languages learned, no best score is below 1 / k; a score has to
+    be above that by ``margin`` of the way to 1 (0.35 with four languages).
+    """
     pred, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
-    told = langid.predict(docs, langid.train(langid.learnable(docs)), lang_out=pred, score_out=score)
-    kept = told.filter((F.col(pred) != "und") & (F.col(score) >= least))
+    model = langid.train(langid.learnable(docs))
+    chance = 1 / max(1, len(model.langs))
+    told = langid.predict(docs, model, lang_out=pred, score_out=score)
+    kept = told.filter((F.col(pred) != "und") & (F.col(score) >= chance + margin * (1 - chance) - 1e-9))
     return kept.withColumn("lang", F.coalesce("lang", pred)).select(docs.columns)
 
 
