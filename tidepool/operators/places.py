@@ -8,9 +8,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepool.functions.joins import bounded_broadcast
+from tidepool.session import materialize
 
 
 def compile_places(sources: Sequence[DataFrame], key: str) -> DataFrame:
@@ -56,43 +58,109 @@ def centroid(edges: DataFrame, poly: str = "poly_id") -> DataFrame:
                        F.round(mean("x"), 6).alias("cx"), F.round(mean("y"), 6).alias("cy"))
 
 
+# Where in a cell its reference point lies: off any round number, so that no given edge passes through it.
+REFERENCE = 0.41421356237309515
+
+
+def _span(lo, hi):
+    """The whole numbers from ``lo`` to ``hi``; none where ``lo`` is above."""
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+
+
 def classify_points(points: DataFrame, edges: DataFrame, point_id: str = "vec_id", x: str = "x",
                     y: str = "y", poly: str = "poly_id", band: float = 0.1,
-                    inside_label: str = "EEZ", outside_label: str = "ABNJ") -> DataFrame:
-    """Label each point inside/outside the polygons by ray casting.
+                    inside_label: str = "EEZ", outside_label: str = "ABNJ",
+                    block: int = 16, most_edges: int = 64) -> DataFrame:
+    """Label each point inside/outside the polygons (closed rings of edges) by a grid of cells and ray casting.
 
     A ray from the point towards +x crosses an edge when the edge spans the
     point's y and meets the ray right of the point; an odd count for some
-    polygon means inside. Edges are cut into horizontal bands of height
-    ``band``; each point only meets the edges of its own band.
-
-    One row per band holds, per polygon, its edges in that band and their
-    largest x; a point joins the row of its band, skips the polygons that lie
-    left of it, and the crossing parity is computed inside the row, so points
-    are never regrouped and equal points stay rows of their own. The band
-    table is bounded by the polygons, not by the points. It is broadcast where
-    its measured size allows (points are not shuffled then) and joined by a
-    shuffle otherwise, with the same result; AQE splits a hot band.
+    polygon means inside.
+
+    The plane is cut into cells of width and height ``band``, on two levels:
+
+    * boundary cells: those that an edge passes through. A ray along the
+      middle of each row of cells tells whether the reference point of a
+      boundary cell lies inside, and whether the uncrossed cells between two
+      boundary cells do;
+    * inside cells: uncrossed cells within some polygon, kept as blocks of
+      ``block`` cells of a row where a whole block is inside, as cells else.
+
+    A point in an inside cell is inside, whatever the other polygons. Points
+    elsewhere meet only the edges in their own cell: the crossings on the way
+    from the point to the cell's reference point, along the row and then the
+    column, are added to what is known of that. Rows of the index hold at most
+    ``most_edges`` edges of one polygon in one cell; a polygon with more there
+    has more rows, whose crossings are added up. The index of edges is built for
+    cells with undecided points alone. Equal points are decided once and stay
+    rows of their own; points without coordinates are outside.
     """
     h = float(band)
-    e = (edges.where(F.col("y1") != F.col("y2"))
-         .withColumn("_band", F.explode(F.sequence(
-             F.floor(F.least("y1", "y2") / h).cast("bigint"),
-             F.floor(F.greatest("y1", "y2") / h).cast("bigint"))))
-         .select(poly, "x1", "y1", "x2", "y2", "_band"))
-    p = points.withColumn("_band", F.floor(F.col(y) / h).cast("bigint"))
-
-    def crosses(x1, y1, x2, y2):
-        return (((y1 > F.col(y)) != (y2 > F.col(y)))
-                & (F.col(x) < (x2 - x1) * (F.col(y) - y1) / (y2 - y1) + x1))
-
-    per_poly = e.groupBy("_band", poly).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"),
-                                            F.max(F.greatest("x1", "x2")).alias("_right"))
-    bands = per_poly.groupBy("_band").agg(F.collect_list(F.struct("_right", "_edges")).alias("_polys"))
-    j = p.join(bounded_broadcast(bands), "_band", "left")
-    odd = F.exists("_polys", lambda q: (q["_right"] >= F.col(x)) & (F.aggregate(
-        q["_edges"], F.lit(0),
-        lambda acc, ed: acc + F.when(crosses(ed["x1"], ed["y1"], ed["x2"], ed["y2"]), 1).otherwise(0)) % 2 == 1))
-    inside = j.select(point_id, x, y, F.coalesce(odd, F.lit(False)).alias("inside"))
+    cell = lambda v: F.floor(v / h).cast("bigint")
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    e = edges.select(F.col(poly).alias("_p"), *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]).dropna()
+    low, high = F.least(y1, y2), F.greatest(y1, y2)
+    pad = F.lit(1e-9) * (F.abs(x1) + F.abs(x2) + F.abs(y1) + F.abs(y2) + 1)
+    rows = e.withColumn("_pad", pad).withColumn("_r", F.explode(F.sequence(cell(low - F.col("_pad")), cell(high + F.col("_pad")))))
+    x_at = lambda v: F.try_divide((x2 - x1) * (v - y1), y2 - y1) + x1
+    ends = [x_at(F.greatest(low, F.col("_r") * h)), x_at(F.least(high, (F.col("_r") + 1) * h))]
+    left, right = F.least(x1, x2), F.greatest(x1, x2)
+    cells = rows.withColumn("_c", F.explode(F.sequence(
+        cell(F.coalesce(F.greatest(left, F.least(right, *ends)), left) - F.col("_pad")),
+        cell(F.coalesce(F.least(right, F.greatest(left, *ends)), right) + F.col("_pad"))))).drop("_pad")
+
+    # Along the middle of each row: crossings by cell, and those right of the cell's reference point.
+    middle = (F.col("_r") + REFERENCE) * h
+    met = rows.where((y1 > middle) != (y2 > middle)).withColumn("_x", x_at(middle)).withColumn("_c", cell(F.col("_x")))
+    marks = cells.select("_p", "_r", "_c", F.lit(0).alias("_n"), F.lit(0).alias("_m")).unionByName(
+        met.select("_p", "_r", "_c", F.lit(1).alias("_n"), (F.col("_x") > (F.col("_c") + REFERENCE) * h).cast("int").alias("_m")))
+    line = W.partitionBy("_p", "_r").orderBy(F.desc("_c"))
+    beyond = F.coalesce(F.sum("_n").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    grid = materialize(marks.groupBy("_p", "_r", "_c").agg(F.sum("_n").alias("_n"), F.sum("_m").alias("_m"))
+                       .select("_p", "_r", "_c", F.lag("_c").over(line).alias("_next"), beyond.alias("_beyond"),
+                               ((beyond + F.col("_m")) % 2).cast("int").alias("_odd")))
+
+    gap = grid.where((F.col("_next") - F.col("_c") > 1) & (F.col("_beyond") % 2 == 1)).select(
+        "_r", (F.col("_c") + 1).alias("_a"), (F.col("_next") - 1).alias("_z"))
+    gap = gap.withColumns({"_ba": F.ceil(F.col("_a") / block).cast("bigint"), "_bz": (F.floor((F.col("_z") + 1) / block) - 1).cast("bigint")})
+    whole = F.col("_ba") <= F.col("_bz")
+    single = F.when(whole, F.concat(_span(F.col("_a"), F.col("_ba") * block - 1), _span((F.col("_bz") + 1) * block, F.col("_z")))) \
+        .otherwise(_span(F.col("_a"), F.col("_z")))
+    inner = gap.select("_r", F.explode(F.concat(
+        F.transform(_span(F.col("_ba"), F.col("_bz")), lambda c: F.struct(F.lit(True).alias("_block"), c.alias("_at"))),
+        F.transform(single, lambda c: F.struct(F.lit(False).alias("_block"), c.alias("_at"))))).alias("_k"))
+    inner = bounded_broadcast(inner.select(F.col("_r").alias("_kr"), "_k._block", "_k._at").distinct())
+
+    spots = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna().distinct()
+    spots = spots.withColumns({"_r": cell(F.col("_y")), "_c": cell(F.col("_x"))})
+    one, many = inner.where("NOT _block"), inner.where("_block")
+    hit = [one.select(F.col("_kr").alias("_r"), F.col("_at").alias("_c"), F.lit(True).alias("_one")),
+           many.select(F.col("_kr").alias("_r"), F.col("_at").alias("_b"), F.lit(True).alias("_many"))]
+    known = materialize(spots.withColumn("_b", F.floor(F.col("_c") / block).cast("bigint"))
+                        .join(hit[0], ["_r", "_c"], "left").join(hit[1], ["_r", "_b"], "left")
+                        .select("_x", "_y", "_r", "_c", (F.col("_one").isNotNull() | F.col("_many").isNotNull()).alias("_in")))
+    open_ = known.where("NOT _in").drop("_in")
+
+    near = cells.join(bounded_broadcast(open_.select("_r", "_c").distinct()), ["_r", "_c"], "left_semi")
+    place = F.row_number().over(W.partitionBy("_p", "_r", "_c").orderBy("x1", "y1", "x2", "y2")) - 1
+    packs = (near.withColumn("_pack", F.floor(place / most_edges)).groupBy("_p", "_r", "_c", "_pack")
+             .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"))
+             .join(grid.select("_p", "_r", "_c", "_odd"), ["_p", "_r", "_c"])
+             .withColumn("_odd", F.when(F.col("_pack") == 0, F.col("_odd")).otherwise(0)))
+    rx, ry = (F.col("_c") + REFERENCE) * h, middle
+
+    def crosses(s):
+        at_x = (s["x2"] - s["x1"]) * (F.col("_y") - s["y1"]) / (s["y2"] - s["y1"]) + s["x1"]
+        at_y = (s["y2"] - s["y1"]) * (rx - s["x1"]) / (s["x2"] - s["x1"]) + s["y1"]
+        along = F.when((s["y1"] > F.col("_y")) != (s["y2"] > F.col("_y")), ((F.col("_x") < at_x) != (rx < at_x)).cast("int")).otherwise(0)
+        up = F.when((s["x1"] > rx) != (s["x2"] > rx), ((F.col("_y") < at_y) != (ry < at_y)).cast("int")).otherwise(0)
+        return along + up
+
+    cast = open_.join(packs, ["_r", "_c"]).select("_x", "_y", "_p", (F.col("_odd") + F.aggregate(
+        "_edges", F.lit(0), lambda acc, s: acc + crosses(s))).alias("_n"))
+    found = cast.groupBy("_x", "_y", "_p").agg(F.sum("_n").alias("_n")).where("_n % 2 = 1").select("_x", "_y").distinct()
+    spots_in = bounded_broadcast(known.where("_in").select("_x", "_y").unionByName(found).withColumn("_in", F.lit(True)))
+    j = points.join(spots_in, (F.col(x) == F.col("_x")) & (F.col(y) == F.col("_y")), "left")
+    inside = j.select(point_id, x, y, F.coalesce("_in", F.lit(False)).alias("inside"))
     return inside.withColumn("place", F.when(F.col("inside"), F.lit(inside_label))
                              .otherwise(F.lit(outside_label)))
