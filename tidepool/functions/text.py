@@ -17,8 +17,8 @@ SENTENCE_SPLIT = r"[.!?]+[ ]+|\n+"
 # Host part of an absolute URL: scheme in any case, user information left out, then up to / : ? #.
 HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/:?#@]+)"
 TAG_PATTERN = r"<[^>]*>"
-# Signs at the edges of a word: anything but letters and digits.
-EDGE_SIGNS = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+# A word without the signs at its edges: from its first letter or digit to its last one before a blank.
+PLAIN_WORD = r"[\p{L}\p{N}](?:[^ \t\r\n]*[\p{L}\p{N}])?"
 BLANK_RUN = r"[ \t\r\n]+"
 
 
@@ -83,8 +83,7 @@ def ngram_array(tokens: str | Column, n: int) -> Column:
 
 def plain_words(text: str | Column) -> Column:
     """Lower-case words without the signs at their edges; what is only signs is left out."""
-    words = F.transform(tokenize(text, pattern=BLANK_RUN), lambda x: F.regexp_replace(x, EDGE_SIGNS, ""))
-    return F.filter(words, lambda x: x != F.lit(""))
+    return F.regexp_extract_all(F.lower(_c(text)), F.lit(PLAIN_WORD), F.lit(0))
 
 
 def words_and_phrases(words: str | Column, n: int = 2) -> Column:

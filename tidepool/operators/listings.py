@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import text as tx
 from tidepool.functions.joins import bounded_broadcast
+from tidepool.operators.phrases import phrase_hits
+from tidepool.session import materialize
 
 
 def listing_stages(listings: DataFrame, stop_words: Iterable[str], title: str = "title",
@@ -58,25 +60,26 @@ def applicant_domain_hits(tokens: DataFrame, dictionary: DataFrame, pages: DataF
     return hits.groupBy(host, F.col("_term").alias("term")).agg(F.countDistinct(page).alias("pages"))
 
 
-def applicant_species_pages(applicants: DataFrame, species: DataFrame, pages: DataFrame, found: DataFrame, min_pages: int = 3,
-                            applicant: str = "applicant", host: str = "host", page: str = "page_id", token: str = "w",
+def applicant_species_pages(applicants: DataFrame, species: DataFrame, pages: DataFrame, min_pages: int = 3,
+                            applicant: str = "applicant", host: str = "host", page: str = "page_id", text: str = "text",
                             term: str = "term") -> DataFrame:
     """(applicant, host, term, pages): pages on an applicant's domain that name a species of the applicant's own patents.
 
     ``applicants`` (applicant, host) and ``species`` (applicant, term) are link
-    tables, ``found`` the words and phrases of pages with their host. Only
-    hosts with at least ``min_pages`` pages count. Pages are cut down to the
-    terms of any applicant and the hosts of any applicant before the three are
-    joined, and counted per (host, term) first: applicants with one domain
-    share that count.
+    tables, ``pages`` has a text and a host for each page. Only hosts with at
+    least ``min_pages`` pages count. Pages are cut down to the hosts of any
+    applicant before their text is read, terms of any applicant are found in
+    it, and pages are counted per (host, term) before applicants are joined:
+    applicants with one domain share that count.
     """
+    own = materialize(applicants.select(applicant, host).distinct())
+    named = materialize(species.select(applicant, term).distinct())
     hosts = (pages.groupBy(host).agg(F.countDistinct(page).alias("_pages")).where(F.col("_pages") >= min_pages)
-             .join(applicants.select(host).distinct(), host, "left_semi").select(F.col(host).alias("_h")))
-    known = bounded_broadcast(species.select(F.col(term).alias("_term")).distinct())
-    hits = found.join(known, found[token] == known["_term"]).join(bounded_broadcast(hosts), F.col(host) == F.col("_h"), "left_semi")
-    counted = hits.groupBy(host, F.col("_term").alias(term)).agg(F.countDistinct(page).alias("pages"))
-    own = applicants.select(applicant, host).distinct().join(counted, host)
-    return own.join(species.select(applicant, term).distinct(), [applicant, term], "left_semi").select(applicant, host, term, "pages")
+             .join(own.select(host).distinct(), host, "left_semi").select(F.col(host).alias("_h")))
+    near = pages.join(bounded_broadcast(hosts), F.col(host) == F.col("_h"), "left_semi")
+    hits = phrase_hits(near, named.select(term).distinct(), text, [host, page], term).select(host, page, term).distinct()
+    counted = materialize(hits.groupBy(host, term).agg(F.count(F.lit(1)).alias("pages")))
+    return own.join(counted, host).join(named, [applicant, term], "left_semi").select(applicant, host, term, "pages")
 
 
 def search_term_match(title: str, term: str, common_name: str):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.joins import bounded_broadcast
 from tidepool.functions.scalars import rescale_column, unordered_pair
+from tidepool.operators.select import exact_quantile
 from tidepool.session import materialize
 
 
@@ -137,16 +138,15 @@ def graph_nodes(entities: DataFrame, name: str, category: str, value: str,
     """Nodes above a size threshold, sized onto ``to``, with a label flag.
 
     ``threshold`` is a number (keep value >= threshold), ``"median"`` (exact
-    median of ``value`` over all entities, as one scalar subquery) or
-    ``"median_approx"`` (``percentile_approx``, a fixed-size sketch for very
-    large entity tables).
+    median of ``value`` over all entities, by ``exact_quantile``) or
+    ``"median_approx"`` (``percentile_approx``, a fixed-size sketch).
     """
     # One row per entity, read by the median, the min/max and the result:
     # written once to the checkpoint folder instead of recomputed three times.
     ents = materialize(entities.select(F.col(name).alias("name"), F.col(category).alias("category"),
                                        F.col(value).alias("value")))
     if threshold == "median":
-        cut = ents.select(F.percentile("value", 0.5)).scalar()
+        cut = F.lit(exact_quantile(ents, "value")).cast("double")
     elif threshold == "median_approx":
         cut = ents.select(F.percentile_approx("value", 0.5, 10000)).scalar()
     else:

@@ -76,9 +76,14 @@ def year_trend(df: DataFrame, date_col: str, split: str | None = None, year: str
 
 
 def trend_line(counts: DataFrame, year: str = "year", n: str = "n", by: Sequence[str] = (),
-               before: int | None = None) -> DataFrame:
-    """Least-squares line through yearly counts, skipping incomplete recent years."""
+               before: int | None = None, complete: str | None = None) -> DataFrame:
+    """Least-squares line through yearly counts, skipping incomplete recent years.
+
+    Those are the years from ``before`` on, or those that the flag ``complete``
+    of the counts denies (``lags.completeness`` tells).
+    """
     c = counts if before is None else counts.where(F.col(year) < before)
+    c = c if complete is None else c.where(F.col(complete))
     return c.groupBy(*by).agg(F.regr_slope(F.col(n).cast("double"), F.col(year).cast("double")).alias("slope"),
                               F.regr_intercept(F.col(n).cast("double"), F.col(year).cast("double"))
                               .alias("intercept"))

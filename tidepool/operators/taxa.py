@@ -41,6 +41,22 @@ def habitat_crosstab(taxa: DataFrame, by: str,
                                 *[F.count_if(F.col(f)).alias(f) for f in flags])
 
 
+def rank_habitats(occ: DataFrame, taxon: str = "taxon", rank: str = "rank",
+                  habitats: Sequence[str] = ("marine", "brackish", "freshwater", "terrestrial")) -> DataFrame:
+    """Taxa per rank, by habitat: one column each, and ``<first habitat>_only``.
+
+    A taxon has a habitat if any of its records does, and counts in each of
+    its columns; it is of the first habitat only if it has that and none of the
+    others. Two combined aggregates: records to taxa, taxa to ranks.
+    """
+    flags = occ.groupBy(rank, taxon).agg(*[F.coalesce(F.bool_or(h), F.lit(False)).alias(h) for h in habitats])
+    only = F.col(habitats[0])
+    for h in habitats[1:]:
+        only = only & ~F.col(h)
+    return flags.groupBy(rank).agg(F.count(F.lit(1)).alias("taxa"), *[F.count_if(h).alias(h) for h in habitats],
+                                   F.count_if(only).alias(f"{habitats[0]}_only"))
+
+
 def extract_binomial(df: DataFrame, name: str, out: tuple[str, str] = ("genus", "epithet")) -> DataFrame:
     """Split a raw name into its first word (genus) and second word (epithet)."""
     return df.withColumn(out[0], genus(name)).withColumn(out[1], epithet(name))

@@ -16,6 +16,7 @@ from tidepool.functions import text as tx
 from tidepool.functions.joins import bounded_broadcast
 from tidepool.functions.scalars import count_ratio
 from tidepool.operators import text
+from tidepool.session import materialize
 
 
 def term_hits(tokens: DataFrame, dictionary: DataFrame, token: str = "w",
@@ -64,6 +65,32 @@ def canonicalize(hits: DataFrame, variants: DataFrame, term: str = "term",
     return j.withColumn(term, F.coalesce(F.col("_c"), F.col(term))).drop("_v", "_c")
 
 
+# Plural endings and what stands for them in the singular, tried in this order; endings that are no plural.
+PLURALS = (("ies", "y"), ("ches", "ch"), ("shes", "sh"), ("sses", "ss"), ("xes", "x"), ("zes", "z"), ("s", ""))
+NO_PLURAL = ("ss", "us", "is")
+
+
+def singular_map(words: DataFrame, word: str = "w", least: int = 3) -> DataFrame:
+    """(variant, canonical): plurals whose singular is a word of the same corpus.
+
+    Each distinct word proposes, for every ending it has, the singular of at
+    least ``least`` letters; a proposal counts only if the corpus holds it, and
+    the first of ``PLURALS`` wins. Both sides of that join are the vocabulary,
+    made distinct map-side, never the corpus.
+    """
+    v = materialize(words.select(F.col(word).alias("variant")).where(F.col("variant").isNotNull()).distinct())
+    stem = lambda e: F.substring(F.col("variant"), F.lit(1), F.length("variant") - len(e))
+    tries = F.array(*[F.when(F.col("variant").endswith(e), F.struct(F.lit(k).alias("_k"), F.concat(stem(e), F.lit(to)).alias("canonical")))
+                      for k, (e, to) in enumerate(PLURALS)])
+    none = F.col("variant").endswith(NO_PLURAL[0])
+    for e in NO_PLURAL[1:]:
+        none = none | F.col("variant").endswith(e)
+    told = (v.where(~none).select("variant", F.explode(tries).alias("_t")).where(F.col("_t").isNotNull()).select("variant", "_t.*")
+            .where(F.length("canonical") >= least))
+    held = told.join(v.select(F.col("variant").alias("_v")), F.col("canonical") == F.col("_v"), "left_semi")
+    return held.groupBy("variant").agg(F.min(F.struct("_k", "canonical")).alias("_m")).select("variant", "_m.canonical")
+
+
 def is_phrase(term: str = "term"):
     """True for multi-word terms (at least one blank)."""
     return F.regexp_count(F.col(term), F.lit(" ")) > 0

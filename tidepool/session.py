@@ -96,6 +96,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, under the application's id, which a deployment clears when it has ended."""
+    return f"{ensure_checkpoint_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialize(df):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -105,6 +110,6 @@ def materialize(df):
     under the application's id, which a deployment clears when it has ended.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
