@@ -61,13 +61,19 @@ def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
         if schema is not None:
             reader = reader.schema(schema)
         return reader.parquet(*paths)
+    df = text_scan(spark, paths, fmt, schema, sep, header, multi_line, bad_records, "" in na_strings)
+    return df if fmt == "json" else df.select(na_columns(df, na_strings))
+
+
+def text_scan(spark: SparkSession, paths: str | Sequence[str], fmt: str, schema: T.StructType | str | None, sep: str = ",",
+              header: bool = True, multi_line: bool = False, bad_records: str | None = None, empty_is_na: bool = True) -> DataFrame:
+    """The scan below ``read_table``, before NA marks become NULL."""
     if schema is None:
         raise ValueError(f"{fmt} scans need an explicit schema")
     if fmt in ("csv", "delim"):
-        df = (_text_reader(spark, schema, bad_records).option("header", header).option("sep", sep).option("quote", '"')
-              .option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False)
-              .option("emptyValue", "" if "" in na_strings else QUOTED_EMPTY).csv(paths))
-        return _null_out(df, na_strings)
+        return (_text_reader(spark, schema, bad_records).option("header", header).option("sep", sep).option("quote", '"')
+                .option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False)
+                .option("emptyValue", "" if empty_is_na else QUOTED_EMPTY).csv(paths))
     if fmt == "json":
         return _text_reader(spark, schema, bad_records).option("multiLine", multi_line).json(paths)
     raise ValueError(f"unknown format {fmt!r}")
@@ -87,30 +93,32 @@ def read_corpus(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_table(spark, path, fmt="json", schema=CORPUS_SCHEMA)
 
 
-def _null_out(df: DataFrame, na_strings: Sequence[str]) -> DataFrame:
-    """Map every spelling in ``na_strings`` to NULL in the string columns."""
+def na_columns(df: DataFrame, na_strings: Sequence[str]) -> list:
+    """The columns of ``df``, with every spelling in ``na_strings`` as NULL in those of text."""
     extra = [s for s in na_strings if s != ""]
     if not extra and "" in na_strings:
-        return df
+        return [F.col(f"`{c}`") for c in df.columns]
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.StringType):
             c = F.when(c.isin(*extra), F.lit(None)).when(c == QUOTED_EMPTY, F.lit("")).otherwise(c).alias(f.name)
         cols.append(c)
-    return df.select(*cols)
+    return cols
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                na_string: str = "", partition_by: Sequence[str] = ()) -> None:
-    """Write Parquet or CSV (header; doubled quotes inside quotes).
+                na_string: str = "", partition_by: Sequence[str] = (), sep: str = ",") -> None:
+    """Write Parquet, CSV (header; doubled quotes inside quotes; ``sep`` between cells) or JSON lines.
 
     NULL is written as ``na_string``, by default as nothing, and an empty text
     as two quotes, so that both come back from ``read_table`` with no
     ``na_strings``. With another ``na_string`` a text that equals it could not be told from NULL, so such a
     text fails the job.
     """
-    w = df.write.mode(mode)
+    # Text keeps whole microseconds; the writer's own format would cut them to milliseconds.
+    times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    w = df.write.mode(mode).options(**({} if fmt == "parquet" else times))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "parquet":
@@ -120,10 +128,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
             df = df.select([F.when(F.col(f"`{f.name}`") == na_string, F.raise_error(F.lit(f"a text equals the NA mark {na_string}")).cast("string"))
                             .otherwise(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
                             for f in df.schema.fields])
-            w = df.write.mode(mode)
+            w = df.write.mode(mode).options(**times)
             w = w.partitionBy(*partition_by) if partition_by else w
-        (w.option("header", True).option("nullValue", na_string).option("emptyValue", '""').option("quote", '"')
+        (w.option("header", True).option("sep", sep).option("nullValue", na_string).option("emptyValue", '""').option("quote", '"')
          .option("escape", '"').csv(path))
+    elif fmt == "json":
+        w.json(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
