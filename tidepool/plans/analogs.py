@@ -609,13 +609,14 @@ def a65(t: Tables) -> DataFrame:
     countries *before* the median threshold (the reference's order, quirk Q5),
     labelled with their region through the crosswalk."""
     from tidepool.operators.clean import crosswalk
+    from tidepool.operators.select import exact_quantile
     from tidepool.session import materialize
     # One row per country, read by two scalar subqueries and the result:
     # written once to the checkpoint folder.
     deg = materialize(net.weighted_degree(_pairs(fx.authorships(t), "country_code", "id"),
                                           "item1", "item2", "n"))
     sized = net.rescale(deg, "total_collaborations", (5.0, 100.0), digits=6)
-    cut = deg.select(F.percentile("total_collaborations", 0.5)).scalar()
+    cut = F.lit(exact_quantile(deg, "total_collaborations")).cast("double")
     kept = sized.where(F.col("total_collaborations") >= cut)
     n = t.nation.select("n_name", "n_regionkey")
     labelled = crosswalk(kept.join(n, kept.name == n.n_name, "left"), "n_regionkey", t.region,
@@ -711,10 +712,8 @@ def a74(t: Tables) -> DataFrame:
 @query("a75_applicant_species_pages")
 def a75(t: Tables) -> DataFrame:
     """Terms of applicants' patents on the pages of their domains: applicants, domains and pages per term."""
-    from tidepool.operators import listings, text
-    web = fx.web(t)
-    found = text.units(web, "text", keep=["page_id", "host"])
-    hits = listings.applicant_species_pages(fx.applicant_domains(t), fx.applicant_species(t), web, found, min_pages=3)
+    from tidepool.operators import listings
+    hits = listings.applicant_species_pages(fx.applicant_domains(t), fx.applicant_species(t), fx.web(t), min_pages=3)
     return hits.groupBy("term").agg(F.countDistinct("applicant").alias("applicants"), F.countDistinct("host").alias("domains"),
                                     F.max("pages").alias("most_pages"))
 
@@ -752,3 +751,216 @@ def a79(t: Tables) -> DataFrame:
     from tidepool.operators.listings import search_term_match
     named = fx.listings(t).withColumn("common_name", F.when(F.col("asin") % 2 == 0, F.lit("Widget, large")))
     return named.where(search_term_match("title", "search_term", "common_name")).select("asin", "title")
+
+
+# ---- variants, phrases, lags, file order, types, hierarchies ------------------
+
+@query("a80_place_variants")
+def a80(t: Tables) -> DataFrame:
+    """One place id and one canonical name for all names that records share, directly or by a chain."""
+    from tidepool.operators.components import variant_classes
+    return variant_classes(fx.sentence_names(t), source=["doc_id"])
+
+
+@query("a81_phrases_of_any_length")
+def a81(t: Tables) -> DataFrame:
+    """Terms of one to six words in the sentences of all documents, leftmost and longest: sizes, occurrences, documents."""
+    from tidepool.operators import phrases, text
+    keep = ["doc_id", "sentno"]
+    hits = phrases.phrase_hits(text.sentences(t.documents), fx.bench_phrases(t), "sentence", keep)
+    taken = phrases.leftmost_longest(hits, keep)
+    return taken.groupBy("term", "size").agg(F.count(F.lit(1)).alias("occurrences"), F.countDistinct("doc_id").alias("documents"))
+
+
+def _reported(t: Tables) -> DataFrame:
+    o, li = t.orders.select("o_orderkey", "o_orderdate"), t.lineitem.select("l_orderkey", "l_shipdate")
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey"))
+
+
+def _cliff(t: Tables, least: float = 0.95) -> DataFrame:
+    from tidepool.operators import lags
+    counts = lags.lag_counts(_reported(t), "o_orderdate", "l_shipdate")
+    return lags.completeness(counts, last=LAST_SEEN_YEAR, least=least).withColumnRenamed("period", "year")
+
+
+@query("a82_data_cliff")
+def a82(t: Tables) -> DataFrame:
+    """How complete each order year is, from the years until shipment of older ones; late years are flagged."""
+    return _cliff(t)
+
+
+# The analog data are looked at as of the end of this year.
+LAST_SEEN_YEAR = 2000
+# The analog lags are long (years), so half-complete years have to do for the line.
+LINE_NEEDS = 0.5
+
+
+@query("a83_trend_of_complete_years")
+def a83(t: Tables) -> DataFrame:
+    """Least-squares lines through yearly orders per status, over the years that the data cliff's flag calls complete."""
+    from tidepool.operators.rank import trend_line, year_trend
+    flags = _cliff(t, least=LINE_NEEDS).select("year", "complete")
+    counts = year_trend(t.orders, "o_orderdate", split="o_orderstatus", split_as="status").join(F.broadcast(flags), "year")
+    line = trend_line(counts, "year", "n", by=["status"], complete="complete")
+    return line.select("status", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+
+
+@query("a84_file_order")
+def a84(t: Tables) -> DataFrame:
+    """Events written as text, read in blocks, numbered as in the files, and filled down in that order."""
+    from tidepool.operators.clean import fill_down
+    from tidepool.session import scratch_path
+    from tidepool.sources import io, order
+    path, s = scratch_path(t.spark), fx.seq(t)
+    io.write_table(s.repartitionByRange("event_id").sortWithinPartitions("event_id"), path, "csv")
+    rows = order.read_in_order(t.spark, path, "csv", s.schema)
+    filled = fill_down(rows.withColumn("whole", F.lit(0)), "label", "whole", "row_no")
+    return filled.select("row_no", "event_id", "user_id", "label")
+
+
+@query("a85_inferred_types")
+def a85(t: Tables) -> DataFrame:
+    """Each given table written as CSV, and the types inferred from all cells of its columns."""
+    from pyspark.sql import types as T
+
+    from tidepool.session import scratch_path
+    from tidepool.sources import infer, io
+    rows = []
+    for name in TABLES:
+        given = getattr(t, name)
+        flat = given.select(*[f.name for f in given.schema.fields if not isinstance(f.dataType, T.ArrayType)])
+        path = scratch_path(t.spark)
+        io.write_table(flat, path, "csv")
+        several = any(f.name in ("text", "html") for f in flat.schema.fields)
+        rows += [(name, f.name, f.dataType.simpleString()) for f in infer.infer_schema(t.spark, path, multi_line=several).fields]
+    return t.spark.createDataFrame(rows, "table_name string, column_name string, type string")
+
+
+# The given tables.
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
+
+
+@query("a86_plural_terms")
+def a86(t: Tables) -> DataFrame:
+    """Words merged with their plurals, where the corpus holds both: forms, documents, occurrences."""
+    from tidepool.operators import terms, text
+    words = text.units(t.documents, "text", keep=["doc_id"], n=1, distinct=False)
+    merged = terms.singular_map(words)
+    known = merged.select("variant", "canonical").unionByName(merged.select(F.col("canonical").alias("variant"), "canonical")).distinct()
+    hits = terms.term_hits(words, known, term="variant")
+    return hits.groupBy(F.col("canonical").alias("term")).agg(
+        F.countDistinct("variant").alias("forms"), F.countDistinct("doc_id").alias("documents"), F.count(F.lit(1)).alias("occurrences"))
+
+
+@query("a87_ancestor_counts")
+def a87(t: Tables) -> DataFrame:
+    """Parts as a hierarchy of places (a part's parent has a quarter of its number): orders of each, and of all below it."""
+    from tidepool.operators.hierarchy import ancestor_closure, rollup_counts
+    parents = t.part.select(F.col("p_partkey").alias("child"), F.floor(F.col("p_partkey") / 4).alias("parent"))
+    hits = t.lineitem.select(F.col("l_orderkey").alias("doc_id"), F.col("l_partkey").alias("term"))
+    return rollup_counts(hits, ancestor_closure(parents), out="orders")
+
+
+@query("a88_compare_works")
+def a88(t: Tables) -> DataFrame:
+    """Words of English and German documents, in both or one only, and the documents that hold such words."""
+    from tidepool.operators.corpus import compare_works
+    toks = fx.dtok(t).join(t.documents.select("doc_id", "lang"), "doc_id")
+    return compare_works(toks, "w", "lang", "doc_id", "en", "de")
+
+
+@query("a89_stored_sketches")
+def a89(t: Tables) -> DataFrame:
+    """Sketches of words and documents per language, stored per source and merged: sizes within their stated error of the exact ones."""
+    from tidepool.operators import corpus
+    from tidepool.session import scratch_path
+    from tidepool.sources import io
+    toks = fx.dtok(t).join(t.documents.select("doc_id", "lang", "source"), "doc_id")
+    path = scratch_path(t.spark)
+    by_snapshot = corpus.sketch_corpora(toks, "lang", {"terms": "w", "works": "doc_id"}, snapshot="source")
+    io.write_table(by_snapshot, path)
+    estimates = corpus.compare_sketches(corpus.merge_sketches(io.read_table(t.spark, path)), "en", "de")
+    links = toks.where(F.col("lang").isin("en", "de"))
+    sides = [links.groupBy(F.col(c).cast("string").alias("k")).agg(F.bool_or(F.col("lang") == "en").alias("a"), F.bool_or(F.col("lang") == "de").alias("b"))
+             .select(F.lit(kind).alias("kind"), "a", "b") for kind, c in (("terms", "w"), ("works", "doc_id"))]
+    flags = sides[0].unionByName(sides[1]).groupBy("kind").agg(
+        F.count_if(F.col("a") & F.col("b")).alias("both"), F.count_if(F.col("a") & ~F.col("b")).alias("en_only"),
+        F.count_if(~F.col("a") & F.col("b")).alias("de_only"), F.count(F.lit(1)).alias("either"))
+    exact = flags.unpivot("kind", ["both", "en_only", "de_only", "either"], "membership", "exact")
+    met = exact.join(estimates, ["kind", "membership"])
+    return met.select("kind", "membership", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= F.col("bound")).alias("within"))
+
+
+@query("a90_parsed_names")
+def a90(t: Tables) -> DataFrame:
+    """Raw names by the parts found in them: kind, marks, and how many names, genera, epithets, authorities and years."""
+    from tidepool.operators.names import parse_names
+    p = parse_names(fx.raw_names(t), "name").select("parsed.*")
+    return p.groupBy("kind", "hybrid", "qualifier", "rank", "moved").agg(
+        F.count(F.lit(1)).alias("names"), F.countDistinct("genus").alias("genera"), F.countDistinct("subgenus").alias("subgenera"),
+        F.countDistinct("epithet").alias("epithets"), F.countDistinct("infra").alias("infras"), F.countDistinct("authority").alias("authorities"),
+        F.countDistinct("year").alias("years"))
+
+
+@query("a91_rank_habitats")
+def a91(t: Tables) -> DataFrame:
+    """Taxa per rank in each of four habitats, and in the sea only."""
+    from tidepool.operators.taxa import rank_habitats
+    p = t.part.select("p_partkey", F.col("p_type").alias("rank"))
+    occ = t.lineitem.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_partkey").alias("taxon"), "rank", (F.col("l_returnflag") == "N").alias("marine"),
+        ((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")).alias("brackish"),
+        ((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "A")).alias("freshwater"), (F.col("l_quantity") > 49).alias("terrestrial"))
+    return rank_habitats(occ)
+
+
+# ---- readers and writers: whole tables there and back --------------------------
+
+def _there_and_back(t: Tables, df: DataFrame, fmt: str, *, partition_by=(), write=None, read=None) -> DataFrame:
+    from tidepool.session import scratch_path
+    from tidepool.sources import io
+    path = scratch_path(t.spark)
+    io.write_table(df, path, "csv" if fmt == "delim" else fmt, partition_by=partition_by, **(write or {}))
+    return io.read_table(t.spark, path, fmt, None if fmt == "parquet" else df.schema, **(read or {}))
+
+
+@query("a92_csv_round_trip")
+def a92(t: Tables) -> DataFrame:
+    """All documents as CSV and back: quotes, separators and line ends inside texts."""
+    back = _there_and_back(t, t.documents, "csv", read={"multi_line": True, "na_strings": ()})
+    return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
+
+
+@query("a93_delimited_round_trip")
+def a93(t: Tables) -> DataFrame:
+    """All events as text with semicolons and an NA mark, and back."""
+    events = t.events.withColumn("label", F.when(F.col("event_id") % 5 == 0, F.col("event_type")))
+    return _there_and_back(t, events, "delim", write={"sep": ";", "na_string": "NA"}, read={"sep": ";", "na_strings": ("NA",)})
+
+
+@query("a94_json_corpus_round_trip")
+def a94(t: Tables) -> DataFrame:
+    """All pages as JSON lines of address and text, read as a corpus."""
+    from tidepool.session import scratch_path
+    from tidepool.sources import io
+    path = scratch_path(t.spark)
+    io.write_table(t.pages.select("url", F.col("html").alias("text")), path, "json")
+    return io.read_corpus(t.spark, path).select("url", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("a95_partitioned_round_trip")
+def a95(t: Tables) -> DataFrame:
+    """All documents as Parquet by language, and back: rows and characters per language and source."""
+    back = _there_and_back(t, t.documents, "parquet", partition_by=["lang"])
+    return back.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("a96_graph_files")
+def a96(t: Tables) -> DataFrame:
+    """The institution graph written as files of nodes, links and categories, and read again."""
+    from tidepool.session import scratch_path
+    from tidepool.sources import io
+    nodes, path = _inst_nodes(t), scratch_path(t.spark)
+    io.write_graph_document(nodes, net.graph_links(_inst_links(t), nodes), net.graph_categories(nodes), path)
+    n, links, categories = io.read_graph_parts(t.spark, path)
+    return net.graph_elements(n.withColumnRenamed("symbolSize", "symbol_size"), links, categories)

@@ -223,11 +223,10 @@ def bench_units(t: Tables) -> DataFrame:
 
 @_per_tables
 def applicant_domains(t: Tables) -> DataFrame:
-    """(applicant, host): machinery customers, and hosts whose length has their nation's number by 25 and their own by 7."""
-    c = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(
-        F.col("c_custkey").alias("applicant"), (F.col("c_custkey") % 7).alias("_m"), F.col("c_nationkey").cast("bigint").alias("_n"))
-    h = web(t).select("host").distinct().withColumns({"_m": (F.length("host") % 7).cast("bigint"), "_n": (F.length("host") % 25).cast("bigint")})
-    return c.join(h, ["_m", "_n"]).select("applicant", "host")
+    """(applicant, host): machinery customers, and hosts whose length has their number's remainder by 7."""
+    c = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_custkey").alias("applicant"), (F.col("c_custkey") % 7).alias("_m"))
+    h = web(t).select("host").distinct().withColumn("_m", (F.length("host") % 7).cast("bigint"))
+    return c.join(h, "_m").select("applicant", "host")
 
 
 @_per_tables
@@ -237,3 +236,35 @@ def applicant_species(t: Tables) -> DataFrame:
     o = t.orders.select(F.col("o_custkey").alias("applicant"), (F.col("o_orderkey") % 3 + 5).alias("_n")).distinct().join(own, "applicant")
     d = dict_a(t).select("term", F.length("term").cast("bigint").alias("_n"))
     return o.join(d, "_n").select("applicant", "term")
+
+
+@_per_tables
+def bench_phrases(t: Tables) -> DataFrame:
+    """Terms of one to six words: the words of each benchmark text in turn, one, two, three and so on at a time."""
+    from tidepool.functions import text as tx
+    words = t.benchmark.select(tx.plain_words("text").alias("ws"))
+    each = words.select("ws", F.explode(F.sequence(F.lit(1), F.lit(6))).alias("k")).withColumn("a", (F.col("k") * (F.col("k") - 1) / 2 + 1).cast("int"))
+    return each.where(F.size("ws") >= F.col("a") + F.col("k") - 1).select(F.array_join(F.slice("ws", "a", "k"), " ").alias("term")).distinct()
+
+
+@_per_tables
+def sentence_names(t: Tables) -> DataFrame:
+    """(doc_id, name): the words of each document's first and last sentence, as two names of one record."""
+    said = F.filter(F.transform(tx.split_sentences("text"), lambda s: F.array_join(tx.plain_words(s), " ")), lambda s: s != "")
+    n = t.documents.select("doc_id", said.alias("said")).where(F.size("said") > 0)
+    return n.select("doc_id", F.explode(F.array(F.get("said", F.lit(0)), F.element_at("said", -1))).alias("name"))
+
+
+@_per_tables
+def raw_names(t: Tables) -> DataFrame:
+    """Raw scientific names: a part's two words in one of eight forms, and the first three words of each sentence."""
+    first, second = F.initcap(F.split_part("p_name", F.lit(" "), F.lit(1))), F.split_part("p_name", F.lit(" "), F.lit(2))
+    kind, year = F.lower("p_type"), (F.col("p_size") + 1750).cast("string")
+    author = F.regexp_replace("p_brand", "[^A-Za-z]", "")
+    forms = [F.concat_ws(" ", first, second), F.concat(first, F.lit(" "), second, F.lit(" ("), author, F.lit(", "), year, F.lit(")")),
+             F.concat(first, F.lit(" ("), F.initcap("p_type"), F.lit(") "), second, F.lit(" "), author, F.lit(", "), year),
+             F.concat(first, F.lit(" cf. "), second), F.concat(first, F.lit(" "), second, F.lit(" var. "), kind, F.lit(" "), author),
+             F.concat(F.lit("×"), first, F.lit(" "), second), F.concat(first, F.lit(" sp. "), year), F.col("p_name")]
+    made = F.element_at(F.array(*forms), (F.col("p_partkey") % 8 + 1).cast("int"))
+    words = F.filter(F.split("s", " "), lambda w: w != "")
+    return t.part.select(made.alias("name")).unionByName(sents(t).select(F.array_join(F.slice(words, 1, 3), " ").alias("name")))

@@ -8,6 +8,8 @@ side (counts BIGINT, doubles rounded to 6 places).
 
 from __future__ import annotations
 
+import re
+
 # Derived inputs, one CTE each. Names match tidepool.plans.fixtures.
 CTES: dict[str, str] = {
     "authorships": """
@@ -573,7 +575,7 @@ ORACLE.update({
            GROUP BY term""", "web", "dict_a",
         extra=_units("pu", "page_id, host, w", "web", "text") + """,
         applicants AS (SELECT c_custkey AS applicant, host FROM customer JOIN (SELECT DISTINCT host FROM web)
-                         ON c_custkey % 7 = length(host) % 7 AND c_nationkey = length(host) % 25 WHERE c_mktsegment = 'MACHINERY'),
+                         ON c_custkey % 7 = length(host) % 7 WHERE c_mktsegment = 'MACHINERY'),
         species AS (SELECT DISTINCT o_custkey AS applicant, term FROM orders JOIN dict_a ON o_orderkey % 3 + 5 = length(term))"""),
     "a76_funnel_stages": _q(
         """SELECT 1 AS stage_no, 'documents' AS stage, count(*) AS documents FROM f
@@ -631,3 +633,149 @@ ORACLE.update({
            WHERE list_has_any(string_split(lower(title), ' '), string_split(search_term, ' '))
               OR (asin % 2 = 0 AND list_has_any(string_split(lower(title), ' '), ['widget', 'large']))""", "listings"),
 })
+
+
+# ---- variants, phrases, lags, file order, types, hierarchies -------------------
+
+def _words(text: str) -> str:
+    """Lower-case words without the signs at their edges, as a list."""
+    return (f"list_filter(list_transform(regexp_split_to_array(lower({text}), '[ \\t\\r\\n]+'), "
+            "lambda x: regexp_replace(x, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')), lambda x: x <> '')")
+
+
+_LAGS = """
+        c AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS p, CAST(year(l_shipdate) - year(o_orderdate) AS INTEGER) AS lag, count(*) AS n
+              FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+              WHERE l_shipdate >= o_orderdate AND year(l_shipdate) <= 2000 GROUP BY 1, 2),
+        g AS (SELECT j, sum(n) AS al, coalesce(sum(n) FILTER (lag = j), 0) AS nw FROM c, range(0, (SELECT max(lag) + 1 FROM c)) AS r(j)
+              WHERE lag <= j AND p + j <= 2000 GROUP BY j),
+        y AS (SELECT p, CAST(sum(n) AS BIGINT) AS n, least(2000 - p, (SELECT max(lag) FROM c)) AS age FROM c GROUP BY p),
+        z AS (SELECT p, n, CASE WHEN (SELECT coalesce(bool_or(al = nw), false) FROM g WHERE j > age) THEN 0.0
+                     ELSE exp(coalesce((SELECT sum(ln(1.0 * (al - nw) / al)) FROM g WHERE j > age), 0.0)) END AS done FROM y),
+        cliff AS (SELECT p AS year, n, round(done, 6) AS completeness, CASE WHEN done > 0 THEN round(n / done, 6) END AS estimated,
+                         round(done, 6) >= 0.95 AS complete FROM z)"""
+
+ORACLE.update({
+    "a80_place_variants": _q(
+        """SELECT cc.name, cc.root AS place_id, b.canonical FROM cc JOIN (
+               SELECT root, arg_min(name, (-n, name)) AS canonical FROM (
+                   SELECT cc.root, cc.name, count(*) AS n FROM cc JOIN recs ON recs.name = cc.name GROUP BY 1, 2) GROUP BY root) b ON b.root = cc.root""",
+        extra=f"""
+        said AS (SELECT CAST(doc_id AS VARCHAR) AS id, list_filter(list_transform(regexp_split_to_array(text, '[.!?]+[ ]+|\n+'),
+                        lambda s: array_to_string({_words('s')}, ' ')), lambda s: s <> '') AS l FROM documents),
+        recs AS (SELECT id, l[1] AS name FROM said WHERE len(l) > 0 UNION SELECT id, l[-1] FROM said WHERE len(l) > 0),
+        cc AS (WITH RECURSIVE r(name, root) USING KEY (name) AS (
+                 SELECT name, min(id) FROM recs GROUP BY name
+                 UNION
+                 SELECT b.name, min(r.root) FROM r JOIN recs a ON a.name = r.name JOIN recs b ON b.id = a.id
+                 JOIN recurring.r AS old ON old.name = b.name WHERE r.root < old.root GROUP BY b.name)
+               SELECT name, root FROM r)"""),
+    "a81_phrases_of_any_length": _q(
+        """SELECT term, k AS size, count(*) AS occurrences, count(DISTINCT doc_id) AS documents FROM taken GROUP BY term, k""", "sents",
+        extra=f"""
+        bw AS (SELECT {_words('text')} AS ws FROM benchmark),
+        d AS (SELECT DISTINCT ws[a:a + k - 1] AS tw, ws[a] AS first, array_to_string(ws[a:a + k - 1], ' ') AS term, CAST(k AS INTEGER) AS k
+              FROM (SELECT ws, k, k * (k - 1) // 2 + 1 AS a FROM bw, range(1, 7) AS r(k)) WHERE len(ws) >= a + k - 1),
+        sw AS (SELECT row_number() OVER () AS rid, doc_id, {_words('s')} AS ws FROM sents),
+        m AS (SELECT rid, doc_id, i, d.term, d.k FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM sw) s
+              JOIN d ON s.ws[s.i] = d.first AND s.ws[s.i:s.i + d.k - 1] = d.tw),
+        best AS (SELECT rid, doc_id, i, max(k) AS k, arg_max(term, k) AS term FROM m GROUP BY rid, doc_id, i),
+        nxt AS (SELECT b.*, n.i AS after FROM best b ASOF LEFT JOIN best n ON b.rid = n.rid AND b.i + b.k <= n.i),
+        taken AS (WITH RECURSIVE t AS (
+                    SELECT * FROM nxt QUALIFY row_number() OVER (PARTITION BY rid ORDER BY i) = 1
+                    UNION ALL SELECT n.* FROM t JOIN nxt n ON n.rid = t.rid AND n.i = t.after)
+                  SELECT * FROM t)"""),
+    "a82_data_cliff": _q("SELECT * FROM cliff", extra=_LAGS),
+    "a83_trend_of_complete_years": _q(
+        """SELECT status, round(regr_slope(n, year), 6) AS slope, round(regr_intercept(n, year), 6) AS intercept
+           FROM (SELECT year(o_orderdate) AS year, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1, 2)
+           JOIN cliff USING (year) WHERE completeness >= 0.5 GROUP BY status""".replace("n, year)", "CAST(x.n AS DOUBLE), CAST(year AS DOUBLE))")
+        .replace("GROUP BY 1, 2)\n", "GROUP BY 1, 2) x\n"), extra=_LAGS),
+    "a84_file_order": _q(
+        """SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_no, event_id, user_id,
+                  last_value(label IGNORE NULLS) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label FROM seq""", "seq"),
+    "a85_inferred_types": """
+        SELECT table_name, column_name, CASE WHEN data_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') THEN 'bigint'
+                 WHEN data_type IN ('FLOAT', 'DOUBLE') THEN 'double' WHEN data_type = 'DATE' THEN 'date' WHEN data_type = 'TIMESTAMP' THEN 'timestamp_ntz'
+                 WHEN data_type = 'BOOLEAN' THEN 'boolean' ELSE 'string' END AS type
+        FROM information_schema.columns WHERE data_type NOT LIKE '%[]' AND table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders',
+          'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')""",
+    "a86_plural_terms": _q(
+        """SELECT canonical AS term, count(DISTINCT w) AS forms, count(DISTINCT doc_id) AS documents, count(*) AS occurrences
+           FROM u JOIN (SELECT variant, canonical FROM best UNION SELECT canonical, canonical FROM best) k ON u.w = k.variant GROUP BY 1""",
+        extra=f"""
+        u AS (SELECT doc_id, unnest({_words('text')}) AS w FROM documents),
+        v AS (SELECT DISTINCT w FROM u),
+        e AS (SELECT * FROM (VALUES (0, 'ies', 'y'), (1, 'ches', 'ch'), (2, 'shes', 'sh'), (3, 'sses', 'ss'), (4, 'xes', 'x'), (5, 'zes', 'z'), (6, 's', '')) t(k, e, x)),
+        tries AS (SELECT w AS variant, k, w[:len(w) - len(e)] || x AS canonical FROM v JOIN e ON ends_with(w, e)
+                  WHERE NOT (ends_with(w, 'ss') OR ends_with(w, 'us') OR ends_with(w, 'is'))),
+        best AS (SELECT variant, canonical FROM tries WHERE len(canonical) >= 3 AND canonical IN (SELECT w FROM v)
+                 QUALIFY row_number() OVER (PARTITION BY variant ORDER BY k) = 1)"""),
+    "a87_ancestor_counts": _q(
+        """SELECT coalesce(a.term, o.term) AS term, coalesce(own, 0) AS own, orders FROM
+             (SELECT anc AS term, count(DISTINCT l_orderkey) AS orders FROM lineitem JOIN up ON l_partkey = node GROUP BY 1) a
+             LEFT JOIN (SELECT l_partkey AS term, count(DISTINCT l_orderkey) AS own FROM lineitem GROUP BY 1) o ON a.term = o.term""",
+        extra="""
+        up AS (WITH RECURSIVE r AS (
+                 SELECT DISTINCT l_partkey AS node, l_partkey AS anc FROM lineitem
+                 UNION SELECT r.node, CAST(p_partkey // 4 AS BIGINT) FROM r JOIN part ON r.anc = p_partkey WHERE p_partkey <> p_partkey // 4)
+               SELECT * FROM r)"""),
+    "a88_compare_works": _q(
+        """SELECT membership, count(DISTINCT w) AS terms, count(DISTINCT doc_id) AS works FROM (
+               SELECT CASE WHEN in_en AND in_de THEN 'both' WHEN in_en THEN 'en_only' ELSE 'de_only' END AS membership, w, t.doc_id
+               FROM flags JOIN dtok t USING (w) JOIN documents d ON d.doc_id = t.doc_id WHERE d.lang IN ('en', 'de')) GROUP BY membership""", "dtok", extra=_VOCAB),
+    "a89_stored_sketches": _q(
+        """SELECT kind, membership, CAST(exact AS BIGINT) AS exact, true AS within FROM (
+             SELECT kind, unnest(['both', 'en_only', 'de_only', 'either']) AS membership,
+                    unnest([count(*) FILTER (a AND b), count(*) FILTER (a AND NOT b), count(*) FILTER (b AND NOT a), count(*)]) AS exact
+             FROM (SELECT 'terms' AS kind, in_en AS a, in_de AS b FROM flags
+                   UNION ALL SELECT 'works', bool_or(lang = 'en'), bool_or(lang = 'de') FROM documents
+                   WHERE lang IN ('en', 'de') AND doc_id IN (SELECT doc_id FROM dtok) GROUP BY doc_id) GROUP BY kind)""", "dtok", extra=_VOCAB),
+    "a90_parsed_names": _q(
+        """SELECT kind, hybrid, qualifier, rank, moved, count(*) AS names, count(DISTINCT genus) AS genera, count(DISTINCT subgenus) AS subgenera,
+                  count(DISTINCT epithet) AS epithets, count(DISTINCT infra) AS infras, count(DISTINCT authority) AS authorities, count(DISTINCT year) AS years
+           FROM parsed GROUP BY 1, 2, 3, 4, 5""", "sents",
+        extra=r"""
+        made AS (SELECT upper(split_part(p_name, ' ', 1)[1]) || split_part(p_name, ' ', 1)[2:] AS a, split_part(p_name, ' ', 2) AS b, lower(p_type) AS ty,
+                        upper(p_type[1]) || lower(p_type[2:]) AS ity, regexp_replace(p_brand, '[^A-Za-z]', '', 'g') AS au, CAST(p_size + 1750 AS VARCHAR) AS yr, p_partkey % 8 AS f, p_name FROM part),
+        raws AS (SELECT CASE f WHEN 0 THEN a || ' ' || b WHEN 1 THEN a || ' ' || b || ' (' || au || ', ' || yr || ')' WHEN 2 THEN a || ' (' || ity || ') ' || b || ' ' || au || ', ' || yr
+                        WHEN 3 THEN a || ' cf. ' || b WHEN 4 THEN a || ' ' || b || ' var. ' || ty || ' ' || au WHEN 5 THEN '× ' || a || ' ' || b WHEN 6 THEN a || ' sp. ' || yr ELSE p_name END AS name FROM made
+                 UNION ALL SELECT array_to_string(list_filter(string_split(s, ' '), lambda w: w <> '')[1:3], ' ') FROM sents),
+        norm AS (SELECT array_to_string(list_filter(regexp_split_to_array(replace(name, '×', '× '), '[ \t\r\n]+'), lambda w: w <> ''), ' ') AS name FROM raws),
+        w AS (SELECT name, string_split(name, ' ') AS w FROM norm),
+        h AS (SELECT w[1] IN ('×', 'x', 'X') AS hybrid, CASE WHEN w[1] IN ('×', 'x', 'X') THEN w[2:] ELSE w END AS w FROM w),
+        g AS (SELECT hybrid, w[1] AS genus, w[2:] AS w FROM h WHERE regexp_matches(w[1], '^\p{Lu}[\p{Ll}-]+$')),
+        s AS (SELECT hybrid, genus, CASE WHEN regexp_matches(w[1], '^\(\p{Lu}[\p{Ll}-]+\)$') THEN w[1][2:-2] END AS subgenus,
+                     CASE WHEN regexp_matches(w[1], '^\(\p{Lu}[\p{Ll}-]+\)$') THEN w[2:] ELSE w END AS w FROM g),
+        q AS (SELECT hybrid, genus, subgenus, CASE WHEN w[1] IN ('sp.', 'spp.', 'sp', 'spp', 'cf.', 'aff.', 'nr.') THEN w[1] END AS qualifier,
+                     CASE WHEN w[1] IN ('sp.', 'spp.', 'sp', 'spp', 'cf.', 'aff.', 'nr.') THEN w[2:] ELSE w END AS w FROM s),
+        e AS (SELECT * EXCLUDE (w), CASE WHEN low THEN w[1] END AS epithet, CASE WHEN low THEN w[2:] ELSE w END AS w
+              FROM (SELECT *, coalesce(NOT starts_with(qualifier, 'sp'), true) AND LOWER_WORD(w[1]) AS low FROM q)),
+        i AS (SELECT * EXCLUDE (w), CASE WHEN epithet IS NOT NULL AND w[1] IN ('subsp.', 'ssp.', 'var.', 'subvar.', 'f.', 'forma', 'subf.') THEN w[1] END AS rank,
+                     CASE WHEN epithet IS NOT NULL AND w[1] IN ('subsp.', 'ssp.', 'var.', 'subvar.', 'f.', 'forma', 'subf.') THEN w[2:] ELSE w END AS w FROM e),
+        j AS (SELECT * EXCLUDE (w), CASE WHEN epithet IS NOT NULL AND LOWER_WORD(w[1]) THEN w[1] END AS infra,
+                     CASE WHEN epithet IS NOT NULL AND LOWER_WORD(w[1]) THEN w[2:] ELSE w END AS w FROM i),
+        k AS (SELECT *, list_position(list_transform(w, lambda x: regexp_matches(x, '^\(?[12][0-9]{3}[a-z]?\)?,?$')), true) AS pos FROM j),
+        l AS (SELECT *, CASE WHEN pos IS NOT NULL THEN translate(w[pos], '(),', '') END AS year,
+                     array_to_string(CASE WHEN pos IS NOT NULL THEN w[:pos - 1] ELSE w END, ' ') AS au, pos IS NOT NULL AND pos < len(w) AS more FROM k),
+        whole AS (SELECT CASE WHEN qualifier IS NOT NULL THEN 'open' WHEN infra IS NOT NULL THEN 'trinomial' WHEN epithet IS NOT NULL THEN 'binomial' ELSE 'uninomial' END AS kind,
+                         hybrid, qualifier, rank, starts_with(au, '(') AS moved, genus, subgenus, epithet, infra,
+                         nullif(regexp_replace(translate(au, '()', ''), '[ ,]+$', ''), '') AS authority, year FROM l WHERE NOT more AND (rank IS NULL OR infra IS NOT NULL)),
+        parsed AS (SELECT * FROM whole UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+                   FROM range(0, (SELECT count(*) FROM norm) - (SELECT count(*) FROM whole)))"""),
+    "a91_rank_habitats": """
+        SELECT rank, count(*) AS taxa, count(*) FILTER (marine) AS marine, count(*) FILTER (brackish) AS brackish, count(*) FILTER (freshwater) AS freshwater,
+               count(*) FILTER (terrestrial) AS terrestrial, count(*) FILTER (marine AND NOT brackish AND NOT freshwater AND NOT terrestrial) AS marine_only
+        FROM (SELECT p_type AS rank, l_partkey, bool_or(l_returnflag = 'N') AS marine, bool_or(l_linenumber = 7 AND l_returnflag = 'R') AS brackish,
+                     bool_or(l_linenumber = 6 AND l_returnflag = 'A') AS freshwater, bool_or(l_quantity > 49) AS terrestrial
+              FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) GROUP BY rank""",
+    "a92_csv_round_trip": "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents",
+    "a93_delimited_round_trip": "SELECT *, CASE WHEN event_id % 5 = 0 THEN event_type END AS label FROM events",
+    "a94_json_corpus_round_trip": "SELECT url, md5(html) AS text_md5 FROM pages",
+    "a95_partitioned_round_trip": "SELECT lang, source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1, 2",
+})
+ORACLE["a90_parsed_names"] = re.sub(
+    r"LOWER_WORD\(([^()]*)\)",
+    r"(coalesce(regexp_matches(\1, '^[\\p{Ll}][\\p{Ll}-]+$') AND \1 NOT IN ('de', 'da', 'di', 'du', 'van', 'von', 'der', 'den', 'la', 'le', 'ex', 'et', 'in', "
+    r"'sp', 'spp', 'forma'), false))", ORACLE["a90_parsed_names"])
+ORACLE["a96_graph_files"] = ORACLE["a71_graph_elements"]
