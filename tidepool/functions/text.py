@@ -59,7 +59,8 @@ def tokenize(text: str | Column, pattern: str = " ", lower: bool = True,
     if drop_empty:
         return F.filter(arr, lambda x: x != F.lit(""))
     # Java's split leaves out empty pieces at the end, but an empty text is one empty piece.
-    solid = F.regexp_replace(t, f"(?:{pattern})+$", "")
+    # A trim finds the end in one step where the separator is any white space; a pattern has to look for it.
+    solid = F.rtrim(t, F.lit(" \t\n\x0b\f\r")) if pattern == r"\s" else F.regexp_replace(t, f"(?:{pattern})+$", "")
     none = F.array().cast("array<string>")
     return F.when((F.length(t) > 0) & (F.length(solid) == 0), none).otherwise(F.split(solid, pattern))
 

@@ -97,5 +97,36 @@ best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best QUALIFY rank <= 2000
 """
 
-ORACLE = {"op2_debruijn": DEBRUIJN, "op1_lines": LINES, "op3_topk": TOPK, "op4_chat": CHAT, "op11_interleave": INTERLEAVE,
-          "op13_collocations": COLLOCATIONS}
+JACCARD = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+       {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS s FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, CASE WHEN len(w) > 0 THEN 2 ELSE 1 END))) AS i FROM d)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+cc(r, root) USING KEY (r) AS (
+  SELECT r, doc_id FROM d
+  UNION
+  SELECT e.y, min(cc.root) FROM cc JOIN e ON e.x = cc.r JOIN recurring.cc AS old ON old.r = e.y WHERE cc.root < old.root GROUP BY e.y)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, cc.root AS component_id FROM d JOIN cc USING (r) LEFT JOIN n USING (r)
+"""
+
+BYTES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+g AS (SELECT r, i, md5_number(h[2 * i + 1:2 * i + 800]) AS g FROM (SELECT r, h, unnest(range(0, n - 399)) AS i FROM d)),
+twice AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1),
+cut AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 400, true) AS new FROM twice),
+part AS (SELECT r, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS k FROM cut),
+span AS (SELECT r, k, min(i) AS a, max(i) + 400 AS z FROM part GROUP BY r, k),
+gone AS (SELECT r, CAST(count(*) AS BIGINT) AS n_spans, CAST(sum(z - a) AS BIGINT) AS n_removed FROM span GROUP BY r),
+left_ AS (SELECT d.r, string_agg(h[2 * a + 1:2 * z], '' ORDER BY a) AS h FROM d JOIN (
+            SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS z FROM span
+            UNION ALL SELECT r, max(z), 1000000000000 FROM span GROUP BY r) x USING (r) GROUP BY d.r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN d.h ELSE coalesce(left_.h, '') END)) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN left_ USING (r)
+"""
+
+ORACLE = {"op1_lines": LINES, "op2_debruijn": DEBRUIJN, "op3_topk": TOPK, "op4_chat": CHAT, "op8_jaccard": JACCARD, "op9_pfp": BYTES,
+          "op11_interleave": INTERLEAVE, "op13_collocations": COLLOCATIONS}

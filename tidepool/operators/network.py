@@ -49,13 +49,16 @@ def cooccurrence(df: DataFrame, item: str, feature: str, *, directed: bool = Fal
         sizes = e.groupBy("_feat").agg(F.count(F.lit(1)).alias("_k"))
         hot = materialize(sizes.where(F.col("_k") > hot_items).select(
             "_feat", F.ceil(F.col("_k") / F.lit(hot_items)).cast("int").alias("_s")))
-        cold_e = e.join(hot, "_feat", "left_anti")
-        hot_e = e.join(hot, "_feat").withColumn("_b", F.pmod(F.xxhash64("_item"), F.col("_s")).cast("int"))
-        buckets = F.sequence(F.lit(0), F.col("_s") - 1)
-        left = hot_e.select("_item", "_feat", F.col("_b").alias("_bl"), F.explode(buckets).alias("_br"))
-        right = hot_e.select("_item", "_feat", F.explode(buckets).alias("_bl"), F.col("_b").alias("_br"))
-        pairs = _pair_join(cold_e, cold_e, ["_feat"], i1, i2).unionByName(
-            _pair_join(left, right, ["_feat", "_bl", "_br"], i1, i2))
+        if hot.isEmpty():  # nothing to salt: the plain self-join
+            pairs = _pair_join(e, e, ["_feat"], i1, i2)
+        else:
+            cold_e = e.join(hot, "_feat", "left_anti")
+            hot_e = e.join(hot, "_feat").withColumn("_b", F.pmod(F.xxhash64("_item"), F.col("_s")).cast("int"))
+            buckets = F.sequence(F.lit(0), F.col("_s") - 1)
+            left = hot_e.select("_item", "_feat", F.col("_b").alias("_bl"), F.explode(buckets).alias("_br"))
+            right = hot_e.select("_item", "_feat", F.explode(buckets).alias("_bl"), F.col("_b").alias("_br"))
+            pairs = _pair_join(cold_e, cold_e, ["_feat"], i1, i2).unionByName(
+                _pair_join(left, right, ["_feat", "_bl", "_br"], i1, i2))
     pairs = pairs.groupBy(i1, i2).agg(F.count(F.lit(1)).alias(n))
     if directed:
         pairs = pairs.unionByName(pairs.select(F.col(i2).alias(i1), F.col(i1).alias(i2), n))

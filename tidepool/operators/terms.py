@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidepool.functions import text as tx
 from tidepool.functions.joins import bounded_broadcast
 from tidepool.functions.scalars import count_ratio
-from tidepool.operators import text
+from tidepool.operators.phrases import phrase_hits
 from tidepool.session import materialize
 
 
@@ -159,16 +159,18 @@ def cooccurring_pages(tokens: DataFrame, dict_a: DataFrame, dict_b: DataFrame, p
 
 
 def sentence_hits(sentences: DataFrame, dictionary: DataFrame, doc: str = "doc_id", sentno: str = "sentno",
-                  sentence: str = "sentence", term: str = "term", n: int = 2) -> DataFrame:
-    """Dictionary words and phrases inside sentences: (doc, sentno, term, ...) rows.
+                  sentence: str = "sentence", term: str = "term") -> DataFrame:
+    """Dictionary words and phrases of any length inside sentences: (doc, sentno, term, ...), a row for each place.
 
-    Words and phrases of up to ``n`` words come from one word array of the
-    sentence, without the signs at the words' edges, and are matched against
-    the checked dictionary; the sentence's text is never shuffled, its number is.
+    Matching is ``phrases.phrase_hits``: an index by first word, no n-grams;
+    words are without the signs at their edges. The sentence's text is never
+    shuffled, its number is. The dictionary's other columns come along.
     """
-    found = text.units(sentences, sentence, keep=[doc, sentno], n=n, out="_unit")
-    d = bounded_broadcast(dictionary)
-    return found.join(d, found["_unit"] == d[term]).drop("_unit")
+    found = phrase_hits(sentences, dictionary, sentence, [doc, sentno], term).drop("at", "size")
+    if dictionary.columns == [term]:
+        return found
+    d = bounded_broadcast(dictionary.withColumnRenamed(term, "_term"))
+    return found.join(d, found[term] == d["_term"]).drop("_term")
 
 
 def sentence_label_counts(hits: DataFrame, label: str = "label", doc: str = "doc_id",

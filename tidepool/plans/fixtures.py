@@ -66,7 +66,8 @@ def authorships(t: Tables) -> DataFrame:
 
 @_per_tables
 def inst(t: Tables) -> DataFrame:
-    return disambiguate_names(authorships(t), "display_name", "country_code")
+    """The links with names unique per country, written once: works, countries and pairs come from them."""
+    return materialize(disambiguate_names(authorships(t), "display_name", "country_code"))
 
 
 @_per_tables
