@@ -16,7 +16,7 @@ work and no exactness. Only frequent phrases are ever made into text.
 
 Shuffles hold (fingerprint, count) for each level and (text, count) of frequent
 runs at the end. The places stay in their blocks; a driver holds bitmaps of at
-most ``MOST_BITS`` bits (16 MB) and no fingerprints.
+most ``bitmaps.MOST_BITS`` bits (16 MB) and no fingerprints.
 
 Stated cases. NULL texts are empty, NULL languages ``und``. Long texts are hashed
 in blocks cut between words. Repeated rows count as often as they are there. An
@@ -37,11 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidepool.llm.bitmaps import Bitmap, bitmap_of
 from tidepool.llm.common import slices, written
 from tidepool.llm.hashing import BYTE_HASHES, U, mix, prefix_sums, span_hashes, text_bytes
 
-#: Bound of a level's bitmap; a bitmap has 32 bits for each frequent run up to that.
-MOST_BITS = 1 << 27
 BLOCK = 1 << 21
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -52,31 +51,6 @@ _KIND[[9, 32]] = 1
 _KIND[[*b".,;:!?", 10, 11, 12, 13]] = 2
 
 
-class Bitmap:
-    """Whether a fingerprint may be among given ones."""
-
-    def __init__(self, bits: int, words: np.ndarray):
-        self.shift, self.words = U(65 - bits.bit_length()), words
-
-    def may_hold(self, prints: np.ndarray) -> np.ndarray:
-        at = prints >> self.shift
-        return (self.words[at >> U(6)] >> (at & U(63))) & U(1) == 1
-
-
-def _bitmap(frequent: DataFrame) -> Bitmap | None:
-    """The bitmap of a column of fingerprints, put together by words of 64 bits; None where there are none."""
-    n = frequent.count()
-    if not n:
-        return None
-    bits = max(1 << 12, min(MOST_BITS, 1 << (32 * n - 1).bit_length()))
-    at = F.shiftrightunsigned("print", 65 - bits.bit_length())
-    rows = (frequent.select(F.shiftright(at, 6).alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("bit"))
-            .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
-    words = np.zeros(bits >> 6, dtype=U)
-    words[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(U)
-    return Bitmap(bits, words)
-
-
 class _Block:
     """The words of a block: their texts, fingerprints, pieces and languages; the first ``seen`` words belong to the block before."""
 
@@ -199,7 +173,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, text:
     for k in range(1, longest + 1):
         counts = given.mapInArrow(lambda it, k=k, b=bitmaps[-1] if bitmaps else None: _count_prints(k, b, it), "print long, n long")
         frequent = written(counts.groupBy("print").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("print"), f"prints-{k}")
-        bitmap = _bitmap(frequent)
+        bitmap = bitmap_of(frequent)
         if bitmap is None:
             break
         bitmaps.append(spark.sparkContext.broadcast(bitmap))

@@ -41,6 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepool.llm import hashing
+from tidepool.llm.bitmaps import bitmap_of
 from tidepool.llm.common import bare, free, fresh, settled, slices
 from tidepool.llm.graphs import components
 from tidepool.llm.repeats import SLICE, documents
@@ -125,10 +126,34 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, near: int) -> Iterat
                                                   pa.array(differ, pa.list_(pa.int64()))], [v.split()[0] for v in PAIRS.split(", ")])
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, size: int, near: int) -> DataFrame:
+def _held(batches: Iterator[pa.RecordBatch], bitmap) -> Iterator[pa.RecordBatch]:
+    """The rows (print, id, h, text) whose print may be in the bitmap, without it."""
+    for batch in batches:
+        mask = bitmap.value.may_hold(batch.column(0).to_numpy().view(hashing.U))
+        yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(mask))
+
+
+def _texts(pairs: DataFrame, docs: DataFrame, place: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``pairs``: only their texts are shuffled, once each."""
+    ids = pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct()
+    need = settled(place.join(ids, "cls", "left_semi").withColumn("print", F.xxhash64("of", "oh")), "needed")
+    bitmap = bitmap_of(need.select("print"))
+    if bitmap is None:
+        return need.select("cls", F.lit("").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    some = docs.select(F.xxhash64("id", "h").alias("print"), "id", "h", "text").mapInArrow(lambda it: _held(it, shared), "id long, h long, text string")
+    met = some.join(need, some["id"].eqNullSafe(F.col("of")) & (some["h"] == F.col("oh")))
+    return settled(met.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, place: DataFrame, size: int, near: int) -> DataFrame:
+    pairs = settled(pairs, "pairs")
+    texts = _texts(pairs, docs, place)
     left = pairs.join(texts.select(F.col("cls").alias("x"), F.col("text").alias("tx")), "x")
     both = left.join(texts.select(F.col("cls").alias("y"), F.col("text").alias("ty")), "y").select("x", "y", "tx", "ty")
-    return settled(both.mapInArrow(lambda it: _verified(it, size, near), PAIRS), "verified")
+    verified = settled(both.mapInArrow(lambda it: _verified(it, size, near), PAIRS), "verified")
+    free(pairs)
+    return verified
 
 
 def similar(both: Column, nx: Column, ny: Column, percent: int) -> Column:
@@ -235,17 +260,15 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     free(first)
     lone = shared.select("cls").distinct()
     place = classes.join(lone, "cls", "left_semi").select("cls", F.col("place.id").alias("of"), F.col("place.h").alias("oh"))
-    texts = docs.join(place, docs["id"].eqNullSafe(F.col("of")) & (docs["h"] == F.col("oh")))
-    texts = settled(texts.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
 
     def links(verified: DataFrame) -> DataFrame:
         return verified.filter(similar(F.col("both"), F.col("nx"), F.col("ny"), percent)).select("x", "y")
 
-    known = _verify(_leaders(shared, percent), texts, size, percent // 2)
+    known = _verify(_leaders(shared, percent), docs, place, size, percent // 2)
     found = links(known)
     found = found.unionAll(_by_difference(known, settled(_parts(found, classes), "parts"), percent))
-    left = _verify(_left_over(shared, settled(_parts(found, classes), "parts"), known, percent), texts, size, 101)
-    free(shared, texts)
+    left = _verify(_left_over(shared, settled(_parts(found, classes), "parts"), known, percent), docs, place, size, 101)
+    free(shared)
     parts = settled(_parts(found.unionAll(links(left)), classes), "parts")
     of = classes.join(parts, "cls")
     parts_of = of.groupBy("part").agg(F.min("doc").alias("component_id"), F.min("place").alias("first"))
