@@ -78,8 +78,10 @@ def applicant_species_pages(applicants: DataFrame, species: DataFrame, pages: Da
              .join(own.select(host).distinct(), host, "left_semi").select(F.col(host).alias("_h")))
     near = pages.join(bounded_broadcast(hosts), F.col(host) == F.col("_h"), "left_semi")
     hits = phrase_hits(near, named.select(term).distinct(), text, [host, page], term).select(host, page, term).distinct()
-    counted = materialize(hits.groupBy(host, term).agg(F.count(F.lit(1)).alias("pages")))
-    return own.join(counted, host).join(named, [applicant, term], "left_semi").select(applicant, host, term, "pages")
+    counted = hits.groupBy(host, term).agg(F.count(F.lit(1)).alias("pages"))
+    # Each applicant's terms on each of its domains, kept where that domain has the term: the counts are the small side.
+    spread = named.repartition(applicant, term)  # many rows in few bytes: files alone would make few tasks
+    return spread.join(own, applicant).join(bounded_broadcast(counted), [host, term]).select(applicant, host, term, "pages")
 
 
 def search_term_match(title: str, term: str, common_name: str):

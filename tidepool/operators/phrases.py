@@ -1,8 +1,8 @@
 """Dictionary phrases of any length in texts, without exploding n-grams.
 
-A dictionary is indexed by each term's first word. A text gives one row for each
-of its words, with the few words after it; only rows whose word begins some term
-go on, and the term is then compared with them word by word.
+A dictionary is indexed by the word, or the two words, that each term begins
+with. Places of a text where some term begins go on, with the few words after
+them, and the rest of the term is then compared word by word.
 """
 
 from __future__ import annotations
@@ -17,12 +17,16 @@ from tidepool.functions import text as tx
 from tidepool.functions.joins import bounded_broadcast
 from tidepool.session import materialize
 
+# Words of a text that one row carries while it looks for terms.
+SEGMENT = 32
+
 
 def phrase_index(dictionary: DataFrame, term: str = "term") -> DataFrame:
-    """(term, _first, _rest, _size): distinct terms by their first word; terms are words with single blanks between."""
+    """(term, _key, _rest, _size): distinct terms by the word or two words that they begin with; terms are words with single blanks between."""
     words = F.split(F.col(term), " ")
     return (dictionary.select(F.col(term)).where(F.length(term) > 0).distinct()
-            .select(term, words[0].alias("_first"), F.slice(words, F.lit(2), F.size(words)).alias("_rest"), F.size(words).alias("_size")))
+            .select(term, F.array_join(F.slice(words, 1, 2), " ").alias("_key"), F.slice(words, F.lit(3), F.size(words)).alias("_rest"),
+                    F.size(words).alias("_size")))
 
 
 def phrase_hits(df: DataFrame, dictionary: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),
@@ -31,21 +35,27 @@ def phrase_hits(df: DataFrame, dictionary: DataFrame, text: str = "text", keep:
 
     Words of a text are lower-case and without the signs at their edges. All
     matches are given, also overlapping ones (``leftmost_longest`` chooses).
-    A text of w words makes w rows, whatever the lengths of the terms; they
-    meet the checked dictionary by broadcast, or by a shuffle on the first word
-    beyond its bound, which splits frequent words. After that there are only
-    as many rows as places where a term may begin.
+    A place looks up its word, and where there are longer terms its word and
+    the next, whatever the lengths of the terms: two words, as a frequent first
+    word may begin very many terms. Places meet the checked dictionary by
+    broadcast, or beyond its bound by a shuffle on those words, which splits
+    frequent ones; the rest of a term is compared word by word where its
+    beginning was found.
     """
     index = materialize(phrase_index(dictionary, term))
     longest = index.agg(F.max("_size")).first()[0] or 1
     staged = df.select(*keep, tx.plain_words(text).alias("_words"))
-    # A position holds the words that the longest term could still need, no more.
-    each = F.transform(F.sequence(F.lit(1), F.size("_words")), lambda i: F.struct(
-        (i - 1).alias("at"), F.element_at("_words", i).alias("_word"), F.slice("_words", i + 1, F.lit(longest - 1)).alias("_after")))
-    rows = staged.where(F.size("_words") > 0).select(*keep, F.inline(each))
-    met = rows.join(bounded_broadcast(index), F.col("_word") == F.col("_first"))
-    same = F.slice("_after", F.lit(1), F.size("_rest")) == F.col("_rest")
-    return met.where(same).select(*keep, term, "at", F.col("_size").alias("size"))
+    # Stretches of SEGMENT words and the few after them that a term may still need; a row never holds more of a text than that.
+    starts = F.sequence(F.lit(0), F.floor((F.size("_words") - 1) / SEGMENT).cast("int"))
+    parts = F.transform(starts, lambda k: F.struct((k * SEGMENT).alias("_base"), F.slice("_words", k * SEGMENT + 1, F.lit(SEGMENT + longest - 1)).alias("_seg")))
+    rows = staged.where(F.size("_words") > 0).select(*keep, F.inline(parts))
+    rows = rows.select(*keep, "_base", "_seg", F.posexplode(F.slice("_seg", 1, SEGMENT)).alias("_pos", "_word"))
+    if longest > 1:
+        pair = F.concat("_word", F.lit(" "), F.get("_seg", F.col("_pos") + 1))
+        rows = rows.select(*keep, "_base", "_seg", "_pos", F.explode(F.array("_word", pair)).alias("_word"))
+    met = rows.join(bounded_broadcast(index), F.col("_word") == F.col("_key"))
+    same = (F.col("_size") <= 2) | (F.slice("_seg", F.col("_pos") + 3, F.size("_rest")) == F.col("_rest"))
+    return met.where(same).select(*keep, term, (F.col("_base") + F.col("_pos")).alias("at"), F.col("_size").alias("size"))
 
 
 def leftmost_longest(hits: DataFrame, keep: Sequence[str] = ("doc_id",), term: str = "term") -> DataFrame:

@@ -100,6 +100,7 @@ def classify_points(points: DataFrame, edges: DataFrame, point_id: str = "vec_id
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     e = edges.select(F.col(poly).alias("_p"), *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]).dropna()
     low, high = F.least(y1, y2), F.greatest(y1, y2)
+    e = e.repartition(F.col("_p"), cell(low))  # an edge becomes many rows: by many tasks, also where few read the edges
     pad = F.lit(1e-9) * (F.abs(x1) + F.abs(x2) + F.abs(y1) + F.abs(y2) + 1)
     rows = e.withColumn("_pad", pad).withColumn("_r", F.explode(F.sequence(cell(low - F.col("_pad")), cell(high + F.col("_pad")))))
     x_at = lambda v: F.try_divide((x2 - x1) * (v - y1), y2 - y1) + x1
