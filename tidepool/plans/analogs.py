@@ -365,7 +365,7 @@ def a39(t: Tables) -> DataFrame:
 def a40(t: Tables) -> DataFrame:
     """Points inside (EEZ) or outside (ABNJ) the star-shaped polygons of all embeddings."""
     from tidepool.operators.places import classify_points
-    return classify_points(fx.points(t), fx.embedding_polygons(t), band=0.25)
+    return classify_points(fx.points(t), fx.embedding_polygons(t), band=0.04)
 
 
 @query("a41_centroid")
