@@ -6,7 +6,10 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tests.llm.util import WORD, awkward_docs, clashing, frame, rows_of
 from tidepool.llm import debruijn, graphs, hashing, jaccard, pfp, repeats
@@ -185,3 +188,23 @@ def test_connected_components_match_union_find(spark):
     got = graphs.components(spark.createDataFrame(edges, "x long, y long"))
     assert rows_of(got) == sorted(((x, top(x)) for x in above), key=repr)
     assert graphs.components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+@given(st.lists(st.lists(st.sampled_from("abcdefgh"), max_size=60), min_size=2, max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_marks_never_rule_out_what_is_shared(texts):
+    column = pa.array([" ".join(t) for t in texts])
+    sets, signs = jaccard.shingle_sets(column, 3), jaccard.marks(column, 3)
+    for s, a in zip(sets, signs):
+        assert jaccard.most_shared(len(s), len(s), a, a) == len(s)
+        for t, b in zip(sets, signs):
+            both = len(np.intersect1d(s, t))
+            assert both <= jaccard.most_shared(len(s), len(t), a, b) <= min(len(s), len(t))
+
+
+def test_marks_rule_out_texts_without_a_common_shingle():
+    column = pa.array([" ".join(f"{side}{i}" for i in range(n)) for side, n in (("a", 500), ("b", 500), ("b", 590))])
+    a, b, longer = jaccard.marks(column, 5)
+    assert jaccard.most_shared(496, 496, a, b) < 300
+    assert jaccard.most_shared(496, 586, a, longer) < 330
+    assert jaccard.most_shared(496, 586, b, longer) == 496

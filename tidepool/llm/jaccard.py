@@ -20,6 +20,8 @@ No group of similar documents is expanded into all its pairs:
    are generated from the prefixes and verified. In a list, only the sets
    outside its largest component look for partners.
 
+Before any text is shuffled for a pair, bits of the shingles of both sides (some
+two to four for each shingle) rule out most pairs that are far from similar.
 Every pair that could link two components is verified or excluded by a bound,
 so the components are exact; the links inside a component are not all listed.
 
@@ -126,33 +128,81 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, near: int) -> Iterat
                                                   pa.array(differ, pa.list_(pa.int64()))], [v.split()[0] for v in PAIRS.split(", ")])
 
 
-def _held(batches: Iterator[pa.RecordBatch], bitmap) -> Iterator[pa.RecordBatch]:
-    """The rows (print, id, h, text) whose print may be in the bitmap, without it."""
+def marks(texts: pa.Array, size: int) -> list[bytes]:
+    """A bit for each shingle of each text, in a power of two of bits, two to four times as many as shingles."""
+    out = []
+    for s in shingle_sets(texts, size):
+        bits = np.zeros(1 << max(6, (2 * len(s) - 1).bit_length()), dtype=bool)
+        bits[s & hashing.U(len(bits) - 1)] = True
+        out.append(np.packbits(bits).tobytes())
+    return out
+
+
+def most_shared(nx: int, ny: int, mx: bytes, my: bytes) -> int:
+    """As many shingles as two sets of nx and ny can share: a bit of one that the other lacks is at least one shingle that it lacks."""
+    a, b = np.frombuffer(mx, np.uint8), np.frombuffer(my, np.uint8)
+    short = min(len(a), len(b))
+    a, b = np.bitwise_or.reduce(a.reshape(-1, short)), np.bitwise_or.reduce(b.reshape(-1, short))
+    return min(nx - int(np.bitwise_count(a & ~b).sum()), ny - int(np.bitwise_count(b & ~a).sum()))
+
+
+def _held(batches: Iterator[pa.RecordBatch], bitmap, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows (print, id, h, text) whose print may be in the bitmap; with ``size``, the marks of their shingles instead of texts."""
     for batch in batches:
-        mask = bitmap.value.may_hold(batch.column(0).to_numpy().view(hashing.U))
-        yield pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(mask))
+        held = batch.filter(pa.array(bitmap.value.may_hold(batch.column(0).to_numpy().view(hashing.U))))
+        if not size:
+            yield held
+            continue
+        for part in slices(held, 3, SLICE):
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(marks(part.column(3), size), pa.binary())], ["print", "id", "h", "value"])
 
 
-def _texts(pairs: DataFrame, docs: DataFrame, place: DataFrame) -> DataFrame:
-    """(cls, text) of the classes in ``pairs``: only their texts are shuffled, once each."""
+def _of_classes(pairs: DataFrame, docs: DataFrame, place: DataFrame, size: int = 0) -> DataFrame:
+    """(cls, n, value) of the classes in ``pairs``, the text as value or, with ``size``, its marks: only theirs are shuffled, once each."""
     ids = pairs.select(F.col("x").alias("cls")).unionAll(pairs.select("y")).distinct()
     need = settled(place.join(ids, "cls", "left_semi").withColumn("print", F.xxhash64("of", "oh")), "needed")
+    kind = "binary" if size else "string"
     bitmap = bitmap_of(need.select("print"))
     if bitmap is None:
-        return need.select("cls", F.lit("").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    some = docs.select(F.xxhash64("id", "h").alias("print"), "id", "h", "text").mapInArrow(lambda it: _held(it, shared), "id long, h long, text string")
-    met = some.join(need, some["id"].eqNullSafe(F.col("of")) & (some["h"] == F.col("oh")))
-    return settled(met.groupBy("cls").agg(F.min("text").alias("text")), "set-texts")
-
-
-def _verify(pairs: DataFrame, docs: DataFrame, place: DataFrame, size: int, near: int) -> DataFrame:
-    pairs = settled(pairs, "pairs")
-    texts = _texts(pairs, docs, place)
-    left = pairs.join(texts.select(F.col("cls").alias("x"), F.col("text").alias("tx")), "x")
-    both = left.join(texts.select(F.col("cls").alias("y"), F.col("text").alias("ty")), "y").select("x", "y", "tx", "ty")
+        met = need.select("cls", "n", F.lit(None).cast(kind).alias("value"))
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+        some = docs.select(F.xxhash64("id", "h").alias("print"), "id", "h", F.col("text").alias("value")).mapInArrow(
+            lambda it: _held(it, shared, size), f"print long, id long, h long, value {kind}")
+        met = some.join(need, "print").filter(F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("oh")))
+        met = met.groupBy("print", "cls", "n").agg(F.min("value").alias("value")).drop("print")
+    met = settled(met, "set-marks" if size else "set-texts")
+    free(need)
+    return met
+
+
+def _sides(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """(x, y, nx, ny, vx, vy): the pairs with the sizes and values of both sides."""
+    def side(c: str) -> DataFrame:
+        return values.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("value").alias(f"v{c}"))
+    return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "vx", "vy")
+
+
+def _possible(batches: Iterator[pa.RecordBatch], near: int) -> Iterator[pa.RecordBatch]:
+    """The pairs whose marks do not rule out that they are ``near`` percent similar."""
+    for batch in batches:
+        x, y, nx, ny, vx, vy = (batch.column(k).to_pylist() for k in range(6))
+        most = [most_shared(*v) for v in zip(nx, ny, vx, vy)]
+        yield pa.RecordBatch.from_arrays(batch.columns[:2], ["x", "y"]).filter(
+            pa.array([100 * m >= near * (a + b - m) for m, a, b in zip(most, nx, ny)], pa.bool_()))
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, place: DataFrame, size: int, percent: int, near: int) -> DataFrame:
+    """What ``_verified`` says of the pairs that may be ``percent`` or ``near`` percent similar, whichever is less."""
+    least = min(percent, near)
+    listed = settled(pairs, "pairs")
+    signs = _of_classes(listed, docs, place, size)
+    pairs = settled(_sides(listed, signs).mapInArrow(lambda it: _possible(it, least), "x long, y long"), "possible")
+    free(listed, signs)
+    texts = _of_classes(pairs, docs, place)
+    both = _sides(pairs, texts).select("x", "y", "vx", "vy")
     verified = settled(both.mapInArrow(lambda it: _verified(it, size, near), PAIRS), "verified")
-    free(pairs)
+    free(pairs, texts)
     return verified
 
 
@@ -259,15 +309,15 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     shared = settled(shared.drop("whole").join(lone, "cls"), "shared")
     free(first)
     lone = shared.select("cls").distinct()
-    place = classes.join(lone, "cls", "left_semi").select("cls", F.col("place.id").alias("of"), F.col("place.h").alias("oh"))
+    place = classes.join(lone, "cls", "left_semi").select("cls", "n", F.col("place.id").alias("of"), F.col("place.h").alias("oh"))
 
     def links(verified: DataFrame) -> DataFrame:
         return verified.filter(similar(F.col("both"), F.col("nx"), F.col("ny"), percent)).select("x", "y")
 
-    known = _verify(_leaders(shared, percent), docs, place, size, percent // 2)
+    known = _verify(_leaders(shared, percent), docs, place, size, percent, percent // 2)
     found = links(known)
     found = found.unionAll(_by_difference(known, settled(_parts(found, classes), "parts"), percent))
-    left = _verify(_left_over(shared, settled(_parts(found, classes), "parts"), known, percent), docs, place, size, 101)
+    left = _verify(_left_over(shared, settled(_parts(found, classes), "parts"), known, percent), docs, place, size, percent, 101)
     free(shared)
     parts = settled(_parts(found.unionAll(links(left)), classes), "parts")
     of = classes.join(parts, "cls")
