@@ -1,6 +1,7 @@
 """Plan shape: what would hurt at scale must not appear."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.plans.analogs import QUERIES
 from tidepool.plans.verify import plan_text
@@ -92,3 +93,34 @@ def test_period_cut_reaches_the_scan(spark):
     plan = plan_text(QUERIES["a60_period_filings"](spark, SF_SMALL))
     assert "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)" in plan
     assert "LessThan(o_orderdate,2000-01-01T00:00)" in plan
+
+
+# ---- bounded tasks --------------------------------------------------------------
+
+def _documents(spark, folder):
+    """Documents with repeated and null keys and texts, as the tables of a folder."""
+    from tidepool.plans.fixtures import Tables
+    rows = [(1, "a b a", "en"), (1, "b c", "de"), (2, None, "en"), (None, "a", "en"), (3, " d  d ", None), (4, "", "de"), (5, "a B", "de"), (6, "z", "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    return Tables(spark, str(folder))
+
+
+def test_words_are_made_after_documents_have_met(spark, tmp_path):
+    """Neither a join nor a shuffle moves words, and distinct links of a document's words need no shuffle more."""
+    from tidepool.plans import fixtures as fx
+    t = _documents(spark, tmp_path)
+    toks = fx.dtok_with(t, "lang")
+    want = fx.dtok(t).join(t.documents.select("doc_id", "lang"), "doc_id")
+    assert toks.columns == want.columns and sorted(map(str, toks.collect())) == sorted(map(str, want.collect()))
+    plan = plan_text(toks.distinct(), mode="simple")
+    above = plan[:plan.index("Generate")]
+    assert "Join" not in above and "Exchange" not in above, plan
+
+
+def test_parts_grow_with_the_weight(spark):
+    from tidepool.session import dealt_by_weight
+    df = spark.range(1000).selectExpr("id % 100 AS k", "id")
+    few, many = spark.sparkContext.defaultParallelism, 50
+    assert dealt_by_weight(df, F.lit(2), 40, "k").rdd.getNumPartitions() == many
+    assert dealt_by_weight(df, F.lit(2), 10_000, "k").rdd.getNumPartitions() == few
+    assert dealt_by_weight(df.where("false"), F.lit(2), 40, "k").rdd.getNumPartitions() == few

@@ -875,7 +875,7 @@ def a89(t: Tables) -> DataFrame:
     from tidepool.operators import corpus
     from tidepool.session import scratch_path
     from tidepool.sources import io
-    toks = fx.dtok(t).join(t.documents.select("doc_id", "lang", "source"), "doc_id")
+    toks = fx.dtok_with(t, "lang", "source")
     path = scratch_path(t.spark)
     by_snapshot = corpus.sketch_corpora(toks, "lang", {"terms": "w", "works": "doc_id"}, snapshot="source")
     io.write_table(by_snapshot, path)

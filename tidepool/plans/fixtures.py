@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import text as tx
 from tidepool.operators.clean import disambiguate_names
-from tidepool.session import materialize
+from tidepool.session import dealt_by_weight, materialize
 
 # The analog stop list for web tokens.
 WEB_STOP_WORDS = ("the", "and", "of", "to", "a", "in", "is", "that")
@@ -113,6 +113,21 @@ def dtok(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.explode(tx.tokenize("text")).alias("w"))
 
 
+# Fixed value: bytes of text whose words one task makes.
+TEXT_BYTES = 16 << 20
+
+
+def dtok_with(t: Tables, *columns: str) -> DataFrame:
+    """``dtok`` joined with ``columns`` of the documents on doc_id.
+
+    Texts are joined before words are made of them, so that no words are
+    shuffled or sorted, and a task's share of text is bounded.
+    """
+    texts = dealt_by_weight(t.documents.select("doc_id", "text"), F.octet_length("text"), TEXT_BYTES, "doc_id")
+    met = texts.join(t.documents.select("doc_id", *columns), "doc_id")
+    return met.select("doc_id", F.explode(tx.tokenize("text")).alias("w"), *columns)
+
+
 @_per_tables
 def sents(t: Tables) -> DataFrame:
     return (t.documents.select("doc_id", F.posexplode(tx.split_sentences("text")).alias("sentno", "s"))
