@@ -124,3 +124,13 @@ def test_parts_grow_with_the_weight(spark):
     assert dealt_by_weight(df, F.lit(2), 40, "k").rdd.getNumPartitions() == many
     assert dealt_by_weight(df, F.lit(2), 10_000, "k").rdd.getNumPartitions() == few
     assert dealt_by_weight(df.where("false"), F.lit(2), 40, "k").rdd.getNumPartitions() == few
+
+
+def test_compared_works_make_links_distinct_where_they_lie(spark, tmp_path, monkeypatch):
+    from tidepool.operators import corpus
+    from tidepool.plans import fixtures as fx
+    plans, write = [], corpus.materialize
+    monkeypatch.setattr(corpus, "materialize", lambda df: plans.append(plan_text(df, mode="simple")) or write(df))
+    got = {r.membership: (r.terms, r.works) for r in corpus.compare_works(fx.dtok_with(_documents(spark, tmp_path), "lang"), "w", "lang", "doc_id", "en", "de").collect()}
+    assert got == {"both": (3, 2), "de_only": (1, 1)}
+    assert "Exchange" not in plans[0][:plans[0].index("Generate")], plans[0]

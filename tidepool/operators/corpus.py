@@ -60,7 +60,8 @@ def compare_works(df: DataFrame, key: str, group: str, work: str, a: str, b: str
     """(membership, terms, works): names in both corpora or one only, and the distinct works that hold such a name.
 
     A work with names of several parts counts in each. Flags per name are one
-    combined aggregate; links of (name, work) are made distinct map-side first.
+    combined aggregate; links of (name, work) are made distinct first, without a
+    shuffle where ``df`` is dealt by work.
     """
     links = materialize(df.where(F.col(group).isin(a, b)).select(F.col(key).alias("_k"), F.col(group).alias("_g"), F.col(work).alias("_w")).distinct())
     flags = links.groupBy("_k").agg(F.bool_or(F.col("_g") == a).alias("_a"), F.bool_or(F.col("_g") == b).alias("_b"))
