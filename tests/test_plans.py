@@ -134,3 +134,15 @@ def test_compared_works_make_links_distinct_where_they_lie(spark, tmp_path, monk
     got = {r.membership: (r.terms, r.works) for r in corpus.compare_works(fx.dtok_with(_documents(spark, tmp_path), "lang"), "w", "lang", "doc_id", "en", "de").collect()}
     assert got == {"both": (3, 2), "de_only": (1, 1)}
     assert "Exchange" not in plans[0][:plans[0].index("Generate")], plans[0]
+
+
+def test_multiplied_hits_are_not_shuffled(spark):
+    """A hit's ancestors travel as one list; rows for each are made and counted where a document's hits have met."""
+    from tidepool.operators import hierarchy
+    hits = spark.createDataFrame([(d, d % 16) for d in range(64)], "doc_id long, term long")
+    closure = spark.createDataFrame([(n, a) for n in range(16) for a in (n + 16, 99)], "node long, ancestor long")
+    df = hierarchy.rollup_counts(hits, closure)
+    above = (plan := plan_text(df, mode="simple"))[:plan.index("Generate")]
+    assert above.count("Exchange") == 1, plan  # of the counts per term
+    got = {r.term: (r.own, r.documents) for r in df.collect()}
+    assert got == {**{n: (4, 4) for n in range(16)}, **{n + 16: (0, 4) for n in range(16)}, 99: (0, 64)}

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.session import materialize
+from tidepool.session import dealt_by_weight, materialize
+
+# Fixed value: (document, term) rows, ancestors included, that one task makes distinct.
+ROWS = 1 << 20
 
 
 def ancestor_closure(parents: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
@@ -35,10 +38,15 @@ def rollup_counts(hits: DataFrame, closure: DataFrame, term: str = "term", doc:
     """(term, own, ``out``): distinct documents that name a term itself, and that name it or anything below it.
 
     Hits are made distinct before ancestors multiply them; a document counts
-    once on each level however many of a term's descendants it names.
+    once on each level however many of a term's descendants it names. A hit
+    carries its term's ancestors as one list until a document's hits have met in
+    one task, where terms are counted without a shuffle of the multiplied rows.
     """
-    own = hits.select(F.col(doc).alias("_d"), F.col(term).alias("_t")).where("_d IS NOT NULL AND _t IS NOT NULL").distinct()
-    up = own.join(closure, F.col("_t") == F.col("node")).select("_d", F.col("ancestor").alias("_t"))
-    tagged = own.withColumn("_own", F.lit(1)).unionByName(up.withColumn("_own", F.lit(0)))
-    per = tagged.groupBy("_t", "_d").agg(F.max("_own").alias("_own"))
-    return per.groupBy(F.col("_t").alias(term)).agg(F.sum("_own").cast("bigint").alias("own"), F.count(F.lit(1)).alias(out))
+    own = hits.select(F.col(doc).alias("_d"), F.col(term).alias("_t")).where("_d IS NOT NULL AND _t IS NOT NULL")
+    above = closure.where("ancestor IS NOT NULL").groupBy("node").agg(F.collect_set("ancestor").alias("_up"))
+    own = dealt_by_weight(own, F.lit(1), ROWS, "_d").distinct()
+    met = own.join(above, F.col("_t") == F.col("node"), "left")
+    listed = materialize(met.select("_d", F.concat(F.array("_t"), F.coalesce("_up", F.array())).alias("_ts")))
+    spread = dealt_by_weight(listed, F.size("_ts"), ROWS, "_d").select("_d", F.posexplode("_ts").alias("_level", "_t"))
+    per = spread.groupBy("_d", "_t").agg(F.min("_level").alias("_level"))
+    return per.groupBy(F.col("_t").alias(term)).agg(F.count_if(F.col("_level") == 0).alias("own"), F.count(F.lit(1)).alias(out))
