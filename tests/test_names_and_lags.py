@@ -147,6 +147,34 @@ def test_a_column_has_the_least_type_of_its_cells(spark, cells, want):
     assert infer.infer_types(df)["v"].dataType.simpleString() == want
 
 
+def test_cheap_tests_before_the_looks_change_no_kind(spark):
+    """Each cell's kind is the first look it fits, in the order of ``LOOKS``."""
+    cells = ["", " ", "1", "-1", "+", "1\n", "-", "--1", "123e-5", "123e-45", "1.2e-3-4", "0.0000-00-1", ".", ".5", "Infinity", "-Infinity", "+NaN", "NaN", "I", "T", "True\n", "Fx",
+             "2020-02-29", "2021-02-29", "2020-02-29\n", "2020-1-01", "2020-02-29T10:00", "2020-02-29 25:00", "2020-02-29 10:00:00.5+01:00", "2020-02-29x", "٣", "é020-02-29", "-020-02-29", "0x1", None]
+
+    def first_look(c):
+        kind = F.when(c.isNull(), 0)
+        for bit, look in infer.LOOKS:
+            ok = c.rlike(look)
+            if bit in (infer.DATE, infer.TIME, infer.ZONED):
+                ok = ok & F.try_to_timestamp(c if bit != infer.DATE else F.concat(c, F.lit(" 00:00:00"))).isNotNull()
+            kind = kind.when(ok, bit)
+        return kind.otherwise(infer.TEXT)
+
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = df.select("c", infer.cell_kind(F.col("c")).alias("got"), first_look(F.col("c")).alias("want")).collect()
+    assert [(r.c, r.got) for r in got] == [(r.c, r.want) for r in got]
+
+
+def test_cells_of_all_columns_are_judged_by_one_piece_of_code(spark, monkeypatch):
+    calls, kind = [], infer.cell_kind
+    monkeypatch.setattr(infer, "cell_kind", lambda c: calls.append(c) or kind(c))
+    df = spark.createDataFrame([tuple(["1", "x"] * 10), tuple([None, "2"] * 10)], ", ".join(f"c{i} string" for i in range(20)))
+    assert [f.dataType.simpleString() for f in infer.infer_types(df).fields] == ["bigint", "string"] * 10
+    assert len(calls) == 1
+    assert infer.infer_types(df.where("false")).simpleString().count("string") == 20
+
+
 def test_a_file_is_inferred_and_read_back(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5, 'a "b", c\nd', True, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5, 678900), "NA"),
                                 (None, None, "", None, None, None, "007")],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +22,31 @@ LOOKS = (
     (TIME, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?$"),
     (ZONED, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})$"),
 )
+# What a cell of any look but text begins with.
+BEGINS = tuple("+-.0123456789INTFtf")
 # The least type above a set of kinds: the first whose kinds hold them all.
 LATTICE = ((0, T.StringType()), (BOOLEAN, T.BooleanType()), (WHOLE, T.LongType()), (WHOLE | NUMBER, T.DoubleType()),
            (DATE, T.DateType()), (DATE | TIME, T.TimestampNTZType()), (ZONED, T.TimestampType()))
 
 
 def cell_kind(cell: Column) -> Column:
-    """The kind of one cell's text; 0 for a missing one."""
-    kind = F.when(cell.isNull(), 0)
-    for bit, look in LOOKS:
-        fits = cell.rlike(look)
+    """The kind of one cell's text; 0 for a missing one.
+
+    Cheap exact tests come first: what no look begins with is text, what has
+    the two dashes of a date in their places can only be a date or a time, and
+    what has not can be neither.
+    """
+    def looks(bit: int) -> Column:
+        fits = cell.rlike(dict(LOOKS)[bit])
         if bit in (DATE, TIME, ZONED):  # the 30th of February is text
             fits = fits & F.try_to_timestamp(cell if bit != DATE else F.concat(cell, F.lit(" 00:00:00"))).isNotNull()
-        kind = kind.when(fits, bit)
-    return kind.otherwise(TEXT)
+        return fits
+
+    dated = (F.substring(cell, 5, 1) == "-") & (F.substring(cell, 8, 1) == "-")
+    timed, other = ([bit for bit, _ in LOOKS if (bit in (DATE, TIME, ZONED)) == d] for d in (True, False))
+    kinds = [reduce(lambda k, bit: k.when(looks(bit), bit), bits[1:], F.when(looks(bits[0]), bits[0])).otherwise(TEXT) for bits in (timed, other)]
+    return (F.when(cell.isNull(), 0).when(~F.substring(cell, 1, 1).isin(*BEGINS), TEXT)
+            .when(dated, kinds[0]).otherwise(kinds[1]))
 
 
 def join_kinds(kinds: int) -> T.DataType:
@@ -46,12 +58,15 @@ def infer_types(cells: DataFrame) -> T.StructType:
     """The schema that the text columns of ``cells`` have, from every cell.
 
     One aggregate: each cell's kind is a bit, a column's kinds are their OR,
-    which is combined map-side, and the driver gets one row.
+    which is combined map-side, and the driver gets a row for each column. Cells
+    are rows of (column, text), so that one small piece of code judges them all.
     """
     if not cells.columns:
         return T.StructType([])
-    row = cells.agg(*[F.coalesce(F.bit_or(cell_kind(F.col(f"`{c}`"))), F.lit(0)).alias(f"c{i}") for i, c in enumerate(cells.columns)]).first()
-    return T.StructType([T.StructField(c, join_kinds(row[i])) for i, c in enumerate(cells.columns)])
+    each = cells.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in cells.columns])).alias("_column", "_cell"))
+    found = each.groupBy("_column").agg(F.bit_or(cell_kind(F.col("_cell"))).alias("_kinds")).collect()
+    kinds = {r["_column"]: r["_kinds"] for r in found}
+    return T.StructType([T.StructField(c, join_kinds(kinds.get(i, 0))) for i, c in enumerate(cells.columns)])
 
 
 def infer_schema(spark: SparkSession, path: str | Sequence[str], sep: str = ",", na_strings: Sequence[str] = DEFAULT_NA,
