@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +23,12 @@ def ancestor_closure(parents: DataFrame, child: str = "child", parent: str = "pa
     """
     reach = materialize(parents.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"))
                         .where(F.col("node").isNotNull() & F.col("ancestor").isNotNull() & (F.col("node") != F.col("ancestor"))).distinct())
-    n = reach.count()
+    n, few = reach.count(), reach.sparkSession.sparkContext.defaultParallelism
     while True:
         on = reach.select(F.col("node").alias("_m"), F.col("ancestor").alias("_a"))
         far = reach.join(on, F.col("ancestor") == F.col("_m")).select("node", F.col("_a").alias("ancestor"))
-        reach = materialize(reach.unionByName(far).distinct())
+        # Paths are made distinct in tasks of a bounded size, not where the join makes them.
+        reach = materialize(reach.unionByName(far).repartition(max(few, math.ceil(4 * n / ROWS)), "node", "ancestor").distinct())
         count, loops = reach.agg(F.count(F.lit(1)), F.count_if(F.col("node") == F.col("ancestor"))).first()
         if loops:
             raise ValueError("the hierarchy has a cycle")
