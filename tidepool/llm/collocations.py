@@ -41,7 +41,8 @@ from tidepool.llm.bitmaps import Bitmap, bitmap_of
 from tidepool.llm.common import slices, written
 from tidepool.llm.hashing import BYTE_HASHES, U, mix, prefix_sums, span_hashes, text_bytes
 
-BLOCK = 1 << 21
+#: Bytes that are hashed at once, about; a worker holds some 75 bytes of working tables for each.
+BLOCK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -105,7 +106,7 @@ def _salt(lang: str) -> int:
 def _read(batches, overlap: int) -> Iterator[tuple[_Block, pa.Array, np.ndarray]]:
     """(block, names of the languages, their salts) of all texts."""
     for batch in batches:
-        for piece in slices(batch, 1):
+        for piece in slices(batch, 1, BLOCK):
             langs = piece.column(0).dictionary_encode()
             names = langs.dictionary
             salts = np.array([_salt(x) for x in names.to_pylist()], dtype=U)
