@@ -46,9 +46,11 @@ from tidepool.llm import hashing
 from tidepool.llm.bitmaps import bitmap_of
 from tidepool.llm.common import bare, free, fresh, settled, slices
 from tidepool.llm.graphs import components
-from tidepool.llm.repeats import SLICE, documents
+from tidepool.llm.repeats import documents
 
 BITS = 16
+#: Bytes of text whose shingles are made at once, about; a worker holds some 45 bytes of working tables for each.
+SLICE = 1 << 20
 SETS = "id long, h long, n int, s1 long, s2 long, need int, head int, prefix array<long>"
 PAIRS = "x long, y long, nx int, ny int, both int, differ array<long>"
 
