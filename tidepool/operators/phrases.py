@@ -45,17 +45,21 @@ def phrase_hits(df: DataFrame, dictionary: DataFrame, text: str = "text", keep:
     index = materialize(phrase_index(dictionary, term))
     longest = index.agg(F.max("_size")).first()[0] or 1
     staged = df.select(*keep, tx.plain_words(text).alias("_words"))
-    # Stretches of SEGMENT words and the few after them that a term may still need; a row never holds more of a text than that.
-    starts = F.sequence(F.lit(0), F.floor((F.size("_words") - 1) / SEGMENT).cast("int"))
-    parts = F.transform(starts, lambda k: F.struct((k * SEGMENT).alias("_base"), F.slice("_words", k * SEGMENT + 1, F.lit(SEGMENT + longest - 1)).alias("_seg")))
-    rows = staged.where(F.size("_words") > 0).select(*keep, F.inline(parts))
-    rows = rows.select(*keep, "_base", "_seg", F.posexplode(F.slice("_seg", 1, SEGMENT)).alias("_pos", "_word"))
-    if longest > 1:
+    if longest == 1:
+        # The outer form: a test for words beforehand would make them once more.
+        rows = staged.select(*keep, F.lit(0).alias("_base"), F.posexplode_outer("_words").alias("_pos", "_word"))
+    else:
+        # Stretches of SEGMENT words and the few after them that a term may still need; a row never holds more of a text than that.
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("_words") - 1) / SEGMENT).cast("int")))
+        parts = F.transform(starts, lambda k: F.struct((k * SEGMENT).alias("_base"), F.slice("_words", k * SEGMENT + 1, F.lit(SEGMENT + longest - 1)).alias("_seg")))
+        rows = staged.select(*keep, F.inline_outer(parts))
+        rows = rows.select(*keep, "_base", "_seg", F.posexplode(F.slice("_seg", 1, SEGMENT)).alias("_pos", "_word"))
         pair = F.concat("_word", F.lit(" "), F.get("_seg", F.col("_pos") + 1))
         rows = rows.select(*keep, "_base", "_seg", "_pos", F.explode(F.array("_word", pair)).alias("_word"))
     met = rows.join(bounded_broadcast(index), F.col("_word") == F.col("_key"))
-    same = (F.col("_size") <= 2) | (F.slice("_seg", F.col("_pos") + 3, F.size("_rest")) == F.col("_rest"))
-    return met.where(same).select(*keep, term, (F.col("_base") + F.col("_pos")).alias("at"), F.col("_size").alias("size"))
+    if longest > 2:
+        met = met.where((F.col("_size") <= 2) | (F.slice("_seg", F.col("_pos") + 3, F.size("_rest")) == F.col("_rest")))
+    return met.select(*keep, term, (F.col("_base") + F.col("_pos")).alias("at"), F.col("_size").alias("size"))
 
 
 def leftmost_longest(hits: DataFrame, keep: Sequence[str] = ("doc_id",), term: str = "term") -> DataFrame:

@@ -713,9 +713,8 @@ def a74(t: Tables) -> DataFrame:
 def a75(t: Tables) -> DataFrame:
     """Terms of applicants' patents on the pages of their domains: applicants, domains and pages per term."""
     from tidepool.operators import listings
-    hits = listings.applicant_species_pages(fx.applicant_domains(t), fx.applicant_species(t), fx.web(t), min_pages=3)
-    return hits.groupBy("term").agg(F.countDistinct("applicant").alias("applicants"), F.countDistinct("host").alias("domains"),
-                                    F.max("pages").alias("most_pages"))
+    hits = listings.applicant_species_pages(fx.applicant_domains(t), fx.applicant_species(t), fx.web(t), min_pages=3, packed=True)
+    return hits.totals()
 
 
 @query("a76_funnel_stages")
