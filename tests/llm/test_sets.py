@@ -80,6 +80,26 @@ def test_repeats_of_awkward_documents(spark):
         assert bytes(got[r[0], len(u)]["kept"]) == kept and got[r[0], len(u)]["n_spans"] == runs(g)
 
 
+def test_a_passage_goes_when_it_holds_400_bytes_however_many_words(spark):
+    r, docs, planted = random.Random(11), [], {}
+
+    def text(words):
+        return [f"{r.getrandbits(32):x}"[:r.randint(2, 8)] for _ in range(words)]
+
+    for k, size in enumerate([330, 380, 397, 398, 400, 401, 500]):
+        passage = " ".join(text(120))[:size].strip().ljust(size, "z")
+        assert len(passage.split()) > 50
+        for side in (0, 1):  # the blanks at both sides repeat, too
+            planted[2 * k + side] = size + 2
+            docs.append((2 * k + side, " ".join([*text(60), passage, *text(60)])))
+    docs += [(100 + k, " ".join(text(150))) for k in range(10)]
+    got = {row["doc_id"]: row for row in pfp.drop_repeated_bytes(spark.createDataFrame(docs, "doc_id long, text string"), digest=True).collect()}
+    gone = removed([t.encode() for _, t in docs], 400)
+    assert {i: (got[i]["n_removed"], got[i]["n_spans"]) for i, _ in docs} == {i: (sum(g), runs(g)) for (i, _), g in zip(docs, gone)}
+    for i, _ in docs:
+        assert (got[i]["n_removed"] >= planted.get(i, 400)) == (planted.get(i, 0) >= 400)
+
+
 def test_repeats_of_nothing(spark):
     assert debruijn.drop_repeated_words(frame(spark, [])).count() == 0
     assert pfp.drop_repeated_bytes(frame(spark, [])).count() == 0
